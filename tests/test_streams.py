@@ -1,0 +1,139 @@
+"""Streams: each record once, restart, fan-out, readiness, progress."""
+
+import time
+
+import pytest
+from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StringType, StructField, StructType
+
+from rowtide.errors import StreamNotReady
+from rowtide.plans.lake import start_all, start_table_job
+from rowtide.plans.monitor import start_text_monitor
+from rowtide.session import build_session, work_dir
+from rowtide.sources.kafka import stored_stream
+from rowtide.specs import SHOP_TABLES, TableSpec, topic_of
+from rowtide.streaming import lifecycle
+from rowtide.streaming.sink import AVAILABLE_NOW, checkpoint_path, lake_path
+
+SPEC = TableSpec("t", StructType([StructField("id", IntegerType()), StructField("v", StringType())]), ("id",))
+
+
+def write(records, path, *rows):
+    records(*rows).write.mode("append").parquet(path)
+
+
+def run(spark, path, root, spec=SPEC, **options):
+    job = start_table_job(stored_stream(spark, path), spec, root, trigger=AVAILABLE_NOW, **options)
+    lifecycle.finish([job])
+    return job
+
+
+def test_each_record_once_across_restarts(spark, records, tmp_path):
+    log, root = str(tmp_path / "log"), str(tmp_path / "lake")
+    write(records, log, ('{"id":1}', '{"id":1,"v":"a"}'), ('{"id":2}', None))
+    run(spark, log, root)
+    assert spark.read.parquet(lake_path(root, "t")).count() == 2
+    write(records, log, ('{"id":3}', '{"id":3,"v":"c"}'))
+    run(spark, log, root)
+    run(spark, log, root)
+    rows = spark.read.parquet(lake_path(root, "t"))
+    assert sorted((r.id or 0, r.v or "") for r in rows.collect()) == [(0, ""), (1, "a"), (3, "c")]
+    assert rows.where("kafka_timestamp is null or processed_at is null").isEmpty()
+
+
+def test_layout():
+    assert lake_path("s3a://b/", "t") == "s3a://b/t"
+    assert checkpoint_path("s3a://b", "t") == "s3a://b/.checkpoints/t"
+
+
+def test_options(spark, records, tmp_path):
+    log, root = str(tmp_path / "log"), str(tmp_path / "lake")
+    write(records, log, ('{"id":1}', '{"id":"1","v":"a","__op":"c"}'))
+    run(spark, log, root, coerce=True, keep_meta=True, by_day=True)
+    row = spark.read.parquet(lake_path(root, "t")).first()
+    assert (row.id, row["__op"], str(row.kafka_date)) == (1, "c", "2024-03-01")
+    assert (tmp_path / "lake" / "t" / "kafka_date=2024-03-01").is_dir()
+
+
+def test_failfast_stops_the_stream(spark, records, tmp_path):
+    log, root = str(tmp_path / "log"), str(tmp_path / "lake")
+    write(records, log, ('{"id":1}', "broken"))
+    with pytest.raises(Exception, match="malformed record"):
+        run(spark, log, root, on_malformed="failfast")
+
+
+def test_three_tables_from_one_log(spark, records, tmp_path):
+    log, root = str(tmp_path / "log"), str(tmp_path / "lake")
+    rows = []
+    for name, spec in SHOP_TABLES.items():
+        rows += [(f'{{"{spec.key[0]}":{i}}}', f'{{"{spec.key[0]}":{i}}}', topic_of(name)) for i in (1, 2)]
+    write(records, log, *rows)
+    jobs = start_all(lambda _: stored_stream(spark, log), SHOP_TABLES.values(), root, trigger=AVAILABLE_NOW)
+    with lifecycle.stopping(jobs):
+        lifecycle.finish(jobs)
+    for name, spec in SHOP_TABLES.items():
+        stored = spark.read.parquet(lake_path(root, name))
+        assert sorted(r[0] for r in stored.collect()) == [1, 2]
+        assert stored.columns == [*spec.columns, "kafka_timestamp", "processed_at"]
+
+
+def test_ready_await_stop_and_progress(spark, records, tmp_path):
+    log, root = str(tmp_path / "log"), str(tmp_path / "lake")
+    write(records, log, ('{"id":1}', '{"id":1}'))
+    job = start_table_job(stored_stream(spark, log), SPEC, root, trigger="100 milliseconds")
+    with lifecycle.stopping([job]):
+        lifecycle.wait_until_ready([job], timeout=60)
+        assert job.lastProgress is not None
+        write(records, log, ('{"id":2}', '{"id":2}'))
+        lifecycle.await_any(spark, timeout=1)
+        assert job.isActive
+        job.processAllAvailable()
+    assert not job.isActive
+    assert sorted(r.id for r in spark.read.parquet(lake_path(root, "t")).collect()) == [1, 2]
+    reports = lifecycle.progress_frame(spark, [job])
+    assert reports.schema == lifecycle.PROGRESS_SCHEMA
+    assert reports.agg(F.sum("num_input_rows")).first()[0] == 2
+    assert {r.name for r in reports.collect()} == {"t"}
+
+
+def test_stopping_after_an_error(spark, records, tmp_path):
+    log = str(tmp_path / "log")
+    write(records, log, ('{"id":1}', '{"id":1}'))
+    job = start_table_job(stored_stream(spark, log), SPEC, str(tmp_path / "lake"), trigger="1 second")
+    with pytest.raises(KeyboardInterrupt):
+        with lifecycle.stopping([job]):
+            raise KeyboardInterrupt
+    assert not job.isActive
+
+
+class Silent:
+    name, isActive, lastProgress = "silent", True, None
+
+
+def test_not_ready_in_time():
+    started = time.monotonic()
+    with pytest.raises(StreamNotReady):
+        lifecycle.wait_until_ready([Silent()], timeout=0.2)
+    assert time.monotonic() - started < 5
+
+
+def test_monitor_writes_messages(spark, records, tmp_path):
+    log, out = str(tmp_path / "log"), str(tmp_path / "out")
+    write(records, log, ('{"id":1}', '{"id":1,"__op":"c","__table":"t"}', "x.y.t"), ('{"id":2}', "{}", "other"))
+    job = start_text_monitor(stored_stream(spark, log), ["x.y.t"], out, str(tmp_path / "check"), trigger="1 second")
+    with lifecycle.stopping([job]):
+        job.processAllAvailable()
+    text = "\n".join(r.value for r in spark.read.text(out).collect())
+    assert "[t] INSERT" in text and "other" not in text
+
+
+def test_work_dir(spark):
+    first, second = work_dir(spark, "x"), work_dir(spark, "x")
+    assert first != second
+    assert first.startswith(spark.conf.get("spark.checkpoint.dir"))
+
+
+def test_build_session_reuses_and_configures(spark):
+    again = build_session("other", conf={"spark.sql.shuffle.partitions": "4"})
+    assert again.conf.get("spark.sql.session.timeZone") == "UTC"
+    assert again.conf.get("spark.sql.adaptive.skewJoin.enabled") == "true"
