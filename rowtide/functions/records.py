@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -26,6 +26,11 @@ DELETED = "__deleted"
 JSON_OBJECTS = "array<map<string,variant>>"
 
 
+def once(costly: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(costly)`` with the costly expression evaluated once, however often it is used."""
+    return F.transform(F.array(costly), use)[0]
+
+
 def as_text(raw: Column) -> Column:
     return raw.cast("string")
 
@@ -53,7 +58,7 @@ def json_map(raw: Column) -> Column:
     # of an array, text with anything behind the object does not parse.
     listed = F.concat(F.lit("["), as_text(raw), F.lit("]"))
     objects = F.from_json(listed, JSON_OBJECTS, {"allowSingleQuotes": "false"})
-    return F.when(F.size(objects) == 1, objects[0])
+    return once(objects, lambda found: F.when(F.size(found) == 1, found[0]))
 
 
 def strip_metadata(fields: Column) -> Column:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from rowtide.functions.records import once
+
 # Indent of a record's fields and the line between two messages.
 INDENT = "    "
 RULE = "-" * 80
@@ -12,12 +14,14 @@ RULE = "-" * 80
 
 def json_value(item: Column) -> Column:
     """JSON text of a variant; a fractional number keeps its fraction (``1.0``)."""
-    kind = F.schema_of_variant(item)
-    text = F.to_json(item)
-    # A variant holds 1.0 as a decimal without fraction digits. Longer integers
-    # are decimals too, but those do not fit a bigint.
-    cut = kind.rlike(r"^DECIMAL\(\d+,0\)$") & F.try_variant_get(item, "$", "bigint").isNotNull()
-    return F.when(cut, F.concat(text, F.lit(".0"))).otherwise(text)
+    return once(F.to_json(item), lambda text: F.when(_lost_fraction(item, text), F.concat(text, F.lit(".0"))).otherwise(text))
+
+
+def _lost_fraction(item: Column, text: Column) -> Column:
+    # A variant holds 1.0 as a decimal without fraction digits. Integers too long
+    # for a bigint are such decimals as well.
+    decimal = F.schema_of_variant(item).startswith("DECIMAL")
+    return text.rlike(r"^-?\d+$") & decimal & F.try_variant_get(item, "$", "bigint").isNotNull()
 
 
 def json_block(fields: Column) -> Column:
@@ -31,8 +35,7 @@ def json_block(fields: Column) -> Column:
 
 
 def json_string(text: Column) -> Column:
-    listed = F.to_json(F.array(text))
-    return F.substring(listed, F.lit(2), F.length(listed) - 2)
+    return once(F.to_json(F.array(text)), lambda listed: F.substring(listed, F.lit(2), F.length(listed) - 2))
 
 
 def literal_map(fields: Column) -> Column:
@@ -45,13 +48,12 @@ def literal_map(fields: Column) -> Column:
 
 
 def literal_value(item: Column) -> Column:
-    kind = F.schema_of_variant(item)
-    plain = F.try_variant_get(item, "$", "string")
-    return (
-        F.when(kind == "VOID", "None")
-        .when(kind == "STRING", literal_string(plain))
-        .when(kind == "BOOLEAN", F.initcap(plain))
-        .otherwise(json_value(item))
+    return once(
+        F.to_json(item),
+        lambda text: F.when(text.startswith('"'), literal_string(F.try_variant_get(item, "$", "string")))
+        .when(text == "null", "None")
+        .when(text.isin("true", "false"), F.initcap(text))
+        .otherwise(json_value(item)),
     )
 
 

@@ -17,12 +17,6 @@ FAILFAST = "failfast"
 META_FIELDS = (rec.OP, rec.TABLE, rec.DELETED)
 SOURCE_FIELDS = ("key", "topic", "partition", "offset")
 
-# to_json and from_json cut fractions to milliseconds unless told otherwise.
-JSON_TIME_OPTIONS = {
-    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
-    "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
-}
-
 
 def decode(
     records: DataFrame,
@@ -54,7 +48,7 @@ def decode(
 
     meta = [StructField(name, StringType()) for name in META_FIELDS] if keep_meta else []
     declared = spec.as_text() if coerce else spec.schema
-    row = F.from_json(text, StructType(declared.fields + meta), JSON_TIME_OPTIONS)
+    row = F.from_json(text, StructType(declared.fields + meta))
 
     source = [F.col(f"`{name}`").alias(f"kafka_{name}") for name in SOURCE_FIELDS]
     kept = records.select(

@@ -18,7 +18,6 @@ from pyspark.sql.types import (
 
 from rowtide.functions import records as rec
 from rowtide.functions.typed import cols
-from rowtide.operators.decode import JSON_TIME_OPTIONS
 
 # The layout of Spark's Kafka source.
 KAFKA_SCHEMA = StructType(
@@ -33,8 +32,13 @@ KAFKA_SCHEMA = StructType(
     ]
 )
 
-# NULL columns are written as JSON nulls, not left out.
-ENCODE_OPTIONS = {**JSON_TIME_OPTIONS, "ignoreNullFields": "false"}
+# NULL columns are written as JSON nulls, not left out, and times with their
+# microseconds, which to_json would cut.
+ENCODE_OPTIONS = {
+    "ignoreNullFields": "false",
+    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+    "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+}
 
 
 def json_bytes(names: Sequence[str]) -> Column:

@@ -15,7 +15,7 @@ from pyspark.sql.types import (
 from rowtide.functions.records import is_tombstone
 from rowtide.operators import decode as dec
 from rowtide.operators.changes import flatten
-from rowtide.operators.encode import json_bytes, to_records
+from rowtide.operators.encode import to_records
 from rowtide.plans.monitor import messages
 from rowtide.queries.inputs import (
     EVENT_OP_SQL,
@@ -109,10 +109,6 @@ def table_of_topic(spark: SparkSession, sf_dir: str) -> DataFrame:
     return described.select(F.col("offset").alias("event_id"), "topic", "table")
 
 
-def event_rows(events: DataFrame) -> list[str]:
-    return ["event_id", "user_id", "event_type", "value", "props", "__op", "__table", "__deleted"]
-
-
 def flat_event_records(spark: SparkSession, sf_dir: str, tombstones: bool = False) -> DataFrame:
     rows = flatten(event_envelopes(table(spark, sf_dir, "events")), "events", carry=["sequence"]).drop("ts")
     return to_records(rows, ["event_id"], EVENTS_TOPIC, "sequence", tombstones=tombstones)
@@ -122,7 +118,7 @@ def strip_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The fields that are left, one per row, as JSON text."""
     described = dec.describe(flat_event_records(spark, sf_dir))
     fields = described.select(F.col("offset").alias("event_id"), F.explode("record").alias("name", "item"))
-    return fields.select("event_id", "name", F.try_variant_get("item", F.lit("$"), "string").alias("value"))
+    return fields.select("event_id", "name", F.try_variant_get("item", "$", "string").alias("value"))
 
 
 def render_message(spark: SparkSession, sf_dir: str) -> DataFrame:
