@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DataType, MapType, StructType, VariantType
 
 from rowtide.functions import records as rec
 from rowtide.functions.typed import cols
@@ -18,14 +19,27 @@ def latest(log: DataFrame, key: Sequence[str], order: Sequence[str]) -> DataFram
 
     An aggregation, not a sort over the key: each task first keeps one row per
     key of its own input, so a key that holds a large part of the log reaches
-    the shuffle as one row per task. ``order`` must not repeat within a key.
+    the shuffle as one row per task. Should ``order`` repeat within a key, the
+    other columns decide.
     """
     rest = [c for c in log.columns if c not in set(key) | set(order)]
-    picked = F.max_by(F.struct(*cols([*order, *rest])), F.struct(*cols(order)))
-    state = log.groupBy(*cols(key)).agg(picked.alias("_last")).select(*cols(key), "_last.*")
+    row = F.struct(*cols([*order, *rest]))
+    # The largest row by order first; rows with maps or variants in them have no
+    # order of their own.
+    comparable = all(_comparable(log.schema[c].dataType) for c in rest)
+    last = F.max(row) if comparable else F.max_by(row, F.struct(*cols(order)))
+    state = log.groupBy(*cols(key)).agg(last.alias("_last")).select(*cols(key), "_last.*")
     return state.select(*cols(log.columns))
 
 
+def _comparable(kind: DataType) -> bool:
+    if isinstance(kind, StructType):
+        return all(_comparable(f.dataType) for f in kind)
+    if isinstance(kind, ArrayType):
+        return _comparable(kind.elementType)
+    return not isinstance(kind, (MapType, VariantType))
+
+
 def replay_rows(rows: DataFrame, key: Sequence[str], order: Sequence[str]) -> DataFrame:
     """Current state from flattened rows: the last row of a key unless it is a delete.
 

@@ -65,7 +65,7 @@ def load_csv_tables(
     specs = specs or csv_specs(spark, files)
     for table, path in files.items():
         _stage(read_csv_table(spark, path, specs[table], multiline=multiline), root, table, load_id)
-    problems = [p for table in files if (p := _key_problem(spark, root, specs[table], load_id))]
+    problems = _key_problems(spark, root, [specs[table] for table in files], load_id)
     if problems:
         raise LoadError("; ".join(problems))
     _commit(spark, root, load_id, list(files))
@@ -105,20 +105,25 @@ def _commit(spark: SparkSession, root: str, load_id: str, tables: list[str]) ->
     marker.coalesce(1).write.mode("append").parquet(f"{root}/{COMMITS}")
 
 
-def _key_problem(spark: SparkSession, root: str, spec: TableSpec, load_id: str) -> str | None:
-    if not spec.key:
-        return None
-    keys = cols(spec.key)
-    staged = spark.read.schema(spec.schema).parquet(f"{root}/{spec.name}/load_id={load_id}").select(*keys)
-    missing = reduce(or_, [k.isNull() for k in keys])
-    problems = {
-        "rows without a usable key": staged.where(missing),
-        "repeated keys": inserts.key_clashes(staged.where(~missing), spec.key),
-        "keys already loaded": read_table(spark, root, spec).select(*keys).join(staged, list(spec.key), "left_semi"),
-    }
-    counts = [df.agg(F.lit(what).alias("what"), F.count(F.lit(1)).alias("n")) for what, df in problems.items()]
-    found = [f"{r.n} {r.what}" for r in reduce(DataFrame.unionAll, counts).where("n > 0").collect()]
-    return f"{spec.name}: {', '.join(found)}" if found else None
+def _key_problems(spark: SparkSession, root: str, specs: list[TableSpec], load_id: str) -> list[str]:
+    """What is wrong with the staged keys, counted for all tables in one job."""
+    counts = []
+    for spec in specs:
+        if not spec.key:
+            continue
+        staged = spark.read.schema(spec.schema).parquet(f"{root}/{spec.name}/load_id={load_id}").select(*cols(spec.key))
+        missing = reduce(or_, [k.isNull() for k in cols(spec.key)])
+        held = read_table(spark, root, spec).select(*cols(spec.key))
+        found = {
+            "rows without a usable key": staged.where(missing),
+            "repeated keys": inserts.key_clashes(staged.where(~missing), spec.key),
+            "keys already loaded": held.join(staged, list(spec.key), "left_semi"),
+        }
+        for what, df in found.items():
+            counts.append(df.agg(F.lit(f"{spec.name}: {{}} {what}").alias("what"), F.count(F.lit(1)).alias("n")))
+    if not counts:
+        return []
+    return [r.what.format(r.n) for r in reduce(DataFrame.unionAll, counts).where("n > 0").collect()]
 
 
 def _read_or_empty(spark: SparkSession, path: str, schema: StructType) -> DataFrame:

@@ -11,7 +11,7 @@ from rowtide.operators.encode import json_bytes, to_records
 from rowtide.plans.lake import start_all, start_table_job
 from rowtide.queries.inputs import EVENTS_TOPIC, event_records, spec_of, table
 from rowtide.session import work_dir
-from rowtide.sources.kafka import stored_stream
+from rowtide.sources.kafka import append_log, stored_stream
 from rowtide.specs import TableSpec, topic_of
 from rowtide.streaming.lifecycle import finish, progress_frame, stopping
 from rowtide.streaming.sink import AVAILABLE_NOW, lake_path
@@ -53,7 +53,7 @@ def stream_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
     middle = F.lit("2024-01-16").cast("timestamp_ntz").cast("timestamp")
     for part in (F.col("timestamp") < middle, F.col("timestamp") >= middle, None):
         if part is not None:
-            records.where(part).write.mode("append").parquet(f"{root}/log")
+            append_log(records.where(part), f"{root}/log")
         finish([start_table_job(stored_stream(spark, f"{root}/log"), spec, f"{root}/lake", trigger=AVAILABLE_NOW)])
     return lake_rows(spark, f"{root}/lake", spec)
 
@@ -67,7 +67,7 @@ def stream_fan_out(spark: SparkSession, sf_dir: str) -> DataFrame:
         specs[name] = spec_of(rows, name)
         key = specs[name].key
         log = to_records(rows.withColumn("sequence", F.col(key[0])), key, topic_of(name), "sequence")
-        log.write.mode("append").parquet(f"{root}/log")
+        append_log(log, f"{root}/log")
     with stopping(
         start_all(lambda _: stored_stream(spark, f"{root}/log"), specs.values(), f"{root}/lake", trigger=AVAILABLE_NOW)
     ) as jobs:

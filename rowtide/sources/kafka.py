@@ -8,6 +8,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from rowtide.operators.encode import KAFKA_SCHEMA
+
 # The position codes of Spark's Kafka source in a JSON offset map.
 LATEST_CODE = -1
 EARLIEST_CODE = -2
@@ -56,6 +58,11 @@ def kafka_stream(spark: SparkSession, options: Mapping[str, str]) -> DataFrame:
     return spark.readStream.format("kafka").options(**options).load()
 
 
+def append_log(records: DataFrame, path: str) -> None:
+    """Append records to a stored log, one folder per topic, so that a reader opens only its topics."""
+    records.write.mode("append").partitionBy("topic").parquet(path)
+
+
 def stored_stream(
     spark: SparkSession,
     path: str,
@@ -63,13 +70,11 @@ def stored_stream(
     max_files_per_trigger: int | None = None,
     ignore_missing_files: bool = False,
 ) -> DataFrame:
-    """A stream over a Parquet log in the Kafka layout; new files are new records."""
-    from rowtide.operators.encode import KAFKA_SCHEMA
-
+    """A stream over a stored log; new files are new records."""
     reader = spark.readStream.schema(KAFKA_SCHEMA).option("ignoreMissingFiles", str(ignore_missing_files).lower())
     if max_files_per_trigger is not None:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    return reader.parquet(path)
+    return reader.parquet(path).select(*KAFKA_SCHEMA.names)
 
 
 def subscribe(log: DataFrame, topics: Sequence[str]) -> DataFrame:

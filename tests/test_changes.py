@@ -225,7 +225,12 @@ def test_latest_against_brute_force(spark):
     got = latest(df, ["k"], ["n"])
     assert {r.k: (r.n, r.x) for r in got.collect()} == wanted
     plan = got._jdf.queryExecution().executedPlan().toString()
-    assert "partial_max_by" in plan and "Window" not in plan
+    assert "partial_max" in plan and "Window" not in plan
+
+
+def test_latest_of_rows_without_an_order(spark):
+    df = spark.createDataFrame([(1, 1, {"a": "x"}), (1, 2, {"a": "y"})], "k int, n int, m map<string,string>")
+    assert [r.m for r in latest(df, ["k"], ["n"]).collect()] == [{"a": "y"}]
 
 
 def test_replay_parses_only_the_last_records(spark, records):

@@ -10,7 +10,7 @@ from rowtide.errors import StreamNotReady
 from rowtide.plans.lake import start_all, start_table_job
 from rowtide.plans.monitor import start_text_monitor
 from rowtide.session import build_session, work_dir
-from rowtide.sources.kafka import stored_stream
+from rowtide.sources.kafka import append_log, stored_stream
 from rowtide.specs import SHOP_TABLES, TableSpec, topic_of
 from rowtide.streaming import lifecycle
 from rowtide.streaming.sink import AVAILABLE_NOW, checkpoint_path, lake_path
@@ -19,7 +19,7 @@ SPEC = TableSpec("t", StructType([StructField("id", IntegerType()), StructField(
 
 
 def write(records, path, *rows):
-    records(*rows).write.mode("append").parquet(path)
+    append_log(records(*rows), path)
 
 
 def run(spark, path, root, spec=SPEC, **options):
@@ -77,6 +77,16 @@ def test_three_tables_from_one_log(spark, records, tmp_path):
         assert stored.columns == [*spec.columns, "kafka_timestamp", "processed_at"]
 
 
+def test_a_stream_opens_only_its_topic(spark, records, tmp_path):
+    log, root = str(tmp_path / "log"), str(tmp_path / "lake")
+    write(records, log, ('{"id":1}', '{"id":1}', topic_of("t")), ('{"id":2}', '{"id":2}', topic_of("other")))
+    jobs = start_all(lambda _: stored_stream(spark, log), [SPEC], root, trigger=AVAILABLE_NOW)
+    lifecycle.finish(jobs)
+    assert [r.id for r in spark.read.parquet(lake_path(root, "t")).collect()] == [1]
+    plan = jobs[0]._jsq.explainInternal(False)
+    assert "PartitionFilters: [isnotnull(topic" in plan and "Exchange" not in plan
+
+
 def test_ready_await_stop_and_progress(spark, records, tmp_path):
     log, root = str(tmp_path / "log"), str(tmp_path / "lake")
     write(records, log, ('{"id":1}', '{"id":1}'))
