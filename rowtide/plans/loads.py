@@ -117,7 +117,7 @@ def _key_problems(spark: SparkSession, root: str, specs: list[TableSpec], load_i
         found = {
             "rows without a usable key": staged.where(missing),
             "repeated keys": inserts.key_clashes(staged.where(~missing), spec.key),
-            "keys already loaded": held.join(staged, list(spec.key), "left_semi"),
+            "keys already loaded": held.join(staged.where(~missing).distinct(), list(spec.key), "left_semi"),
         }
         for what, df in found.items():
             counts.append(df.agg(F.lit(f"{spec.name}: {{}} {what}").alias("what"), F.count(F.lit(1)).alias("n")))
