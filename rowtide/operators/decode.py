@@ -85,6 +85,17 @@ def describe(records: DataFrame) -> DataFrame:
     )
 
 
+def record_fields(described: DataFrame, carry: list[str]) -> DataFrame:
+    """The fields of described records one per row: the carried columns, ``name`` and ``item``.
+
+    A record without fields gives no row.
+    """
+    # A plain explode makes Spark test the map for emptiness in a filter below,
+    # which would parse every record twice more.
+    fields = described.select(*carry, F.explode_outer("record").alias("name", "item"))
+    return fields.where(F.col("name").isNotNull())
+
+
 def render_messages(described: DataFrame, stamp: bool = True) -> DataFrame:
     """One ``message`` text per described record, followed by a rule; adds one column.
 

@@ -61,8 +61,8 @@ def decode_coerced(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def decode_malformed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Records cut off for one kind of event: set apart with their text, the rest decoded."""
-    cut = F.when(F.col("event_type") == "error", F.substring("props", 1, 4)).otherwise(F.col("props"))
+    """Records without their closing brace for one kind of event: set apart with their text, the rest decoded."""
+    cut = F.when(F.col("event_type") == "error", F.rtrim("props", F.lit("}"))).otherwise(F.col("props"))
     good, bad = dec.quarantine(event_records(table(spark, sf_dir, "events"), cut))
     rows = dec.decode(good, PROPS, keep_source=True)
     return rows.select(
@@ -116,8 +116,8 @@ def flat_event_records(spark: SparkSession, sf_dir: str, tombstones: bool = Fals
 
 def strip_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The fields that are left, one per row, as JSON text."""
-    described = dec.describe(flat_event_records(spark, sf_dir))
-    fields = described.select(F.col("offset").alias("event_id"), F.explode("record").alias("name", "item"))
+    described = dec.describe(flat_event_records(spark, sf_dir)).withColumnRenamed("offset", "event_id")
+    fields = dec.record_fields(described, ["event_id"])
     return fields.select("event_id", "name", F.try_variant_get("item", "$", "string").alias("value"))
 
 
@@ -158,7 +158,7 @@ SQL = {
     "decode_coerced": "select * from part",
     "decode_malformed": """
         with cut as (
-          select event_id, case when event_type = 'error' then substring(props, 1, 4) else props end as text
+          select event_id, case when event_type = 'error' then rtrim(props, '}') else props end as text
           from events)
         select event_id,
                case when json_valid(text) then try_cast(json_extract_string(text, '$.k') as integer) end as k,

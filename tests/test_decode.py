@@ -172,6 +172,14 @@ def test_stripping_keeps_order_and_types(records):
     assert record == '{"b":1,"a":"1","n":null,"t":true,"_y":1.5}'
 
 
+def test_fields_as_rows(records):
+    log = records((None, '{"b":1,"__op":"c","a":"1"}'), (None, "{}"), (None, None), (None, "x"))
+    fields = dec.record_fields(dec.describe(log), ["offset"])
+    assert [(r.offset, r.name) for r in fields.collect()] == [(0, "b"), (0, "a")]
+    plan = fields._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("from_json(") == 1
+
+
 def test_message(records):
     value = (
         '{"idKlienta":9,"imie":"Zoë \\"Z\\"","n":null,"d":1.0,"e":1e5,"i":12345678901234567890,"__op":"c",'

@@ -62,6 +62,18 @@ def test_failfast_stops_the_stream(spark, records, tmp_path):
         run(spark, log, root, on_malformed="failfast")
 
 
+def test_each_record_once_after_a_failure(spark, records, tmp_path):
+    log, root = str(tmp_path / "log"), str(tmp_path / "lake")
+    write(records, log, ('{"id":1}', '{"id":1}'))
+    run(spark, log, root, on_malformed="failfast")
+    write(records, log, ('{"id":2}', '{"id":2}'), ('{"id":3}', "broken"))
+    with pytest.raises(Exception, match="malformed record"):
+        run(spark, log, root, on_malformed="failfast")
+    run(spark, log, root)
+    run(spark, log, root)
+    assert sorted(r.id or 0 for r in spark.read.parquet(lake_path(root, "t")).collect()) == [0, 1, 2]
+
+
 def test_three_tables_from_one_log(spark, records, tmp_path):
     log, root = str(tmp_path / "log"), str(tmp_path / "lake")
     rows = []
