@@ -99,8 +99,9 @@ def record_fields(described: DataFrame, carry: list[str]) -> DataFrame:
 def render_messages(described: DataFrame, stamp: bool = True) -> DataFrame:
     """One ``message`` text per described record, followed by a rule; adds one column.
 
-    A tombstone is one line with its topic; any other record shows table,
-    operation, key and the fields. ``stamp=False`` leaves out the wall-clock time.
+    A tombstone is one line with its topic, a malformed record one line with its
+    text; any other record shows table, operation, key and the fields.
+    ``stamp=False`` leaves out the wall-clock time.
     """
     time = F.concat(F.lit("["), rec.iso_millis(F.current_timestamp()), F.lit("]")) if stamp else F.lit("")
     gap = " " if stamp else ""
@@ -117,5 +118,7 @@ def render_messages(described: DataFrame, stamp: bool = True) -> DataFrame:
         F.lit("\n  record: "),
         render.json_block(F.col("record")),
     )
-    body = F.when(F.col("is_tombstone"), tombstone).otherwise(change)
+    text = rec.as_text(F.col("value"))
+    malformed = F.concat(time, F.lit("["), F.col("topic"), F.lit("] MALFORMED | key="), key, F.lit(" value="), text)
+    body = F.when(F.col("is_tombstone"), tombstone).when(F.col("record").isNull(), malformed).otherwise(change)
     return described.withColumn("message", F.concat(F.lit("\n"), body, F.lit("\n" + render.RULE)))

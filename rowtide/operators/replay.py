@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -53,11 +55,19 @@ def replay(records: DataFrame, spec: TableSpec, *, coerce: bool = True) -> DataF
     """Current state of a table from the raw records of its topic.
 
     Records are reduced to the last of each key before any JSON is parsed. Order
-    is the offset, which holds because a key stays in one partition.
+    is the offset, which holds because a key stays in one partition. A record
+    without a key, or a last record that gives no key column, fails the job: it
+    cannot be told which row it stands for.
     """
-    keyed = records.where(
-        F.when(F.col("key").isNull(), F.raise_error(F.lit("record without a key"))).otherwise(F.lit(True))
-    ).select("key", "offset", "value", "timestamp")
-    last = latest(keyed, ["key"], ["offset"]).where(~rec.is_tombstone(F.col("value")))
-    rows = decode(last, spec, coerce=coerce, keep_meta=True)
-    return rows.where(F.coalesce(F.col(rec.OP) != "d", F.lit(True))).select(*cols(spec.columns))
+    unkeyed = F.raise_error(F.lit("record without a key"))
+    keyed = records.where(F.when(F.col("key").isNull(), unkeyed).otherwise(F.lit(True)))
+    last = latest(keyed.select("key", "offset", "value", "timestamp"), ["key"], ["offset"])
+    rows = decode(last.where(~rec.is_tombstone(F.col("value"))), spec, coerce=coerce, keep_meta=True)
+
+    row = F.when(F.coalesce(F.col(rec.OP) != "d", F.lit(True)), F.struct(*cols(spec.columns)))
+    if spec.key:
+        unusable = F.raise_error(F.lit(f"{spec.name}: last record of a key gives no key column"))
+        row = F.when(reduce(or_, [c.isNull() for c in cols(spec.key)]), unusable).otherwise(row)
+    # Spark moves a plain filter on parsed fields below the parsing, and so would
+    # parse twice. The element of an exploded array is tested where it is.
+    return rows.select(F.explode(F.array(row)).alias("row")).where(F.col("row").isNotNull()).select("row.*")

@@ -52,54 +52,46 @@ def spec_from_header(name: str, header: Sequence[str]) -> TableSpec:
     return TableSpec(name, StructType(fields), tuple(keys))
 
 
-# Table names, column names and declared types of the shop tables,
-# and the topic prefix and schema under which their changes are published.
-SHOP_TABLES = {
-    "albumy": TableSpec(
-        "albumy",
-        StructType(
-            [
-                StructField("idAlbumu", IntegerType()),
-                StructField("tytul", StringType()),
-                StructField("wykonawca", StringType()),
-                StructField("gatunek", StringType()),
-                StructField("wytwornia", StringType()),
-                StructField("dataWydania", StringType()),
-                StructField("cena", DoubleType()),
-            ]
-        ),
-        ("idAlbumu",),
-    ),
-    "klienci": TableSpec(
-        "klienci",
-        StructType(
-            [
-                StructField("idKlienta", IntegerType()),
-                StructField("imie", StringType()),
-                StructField("nazwisko", StringType()),
-                StructField("telefon", StringType()),
-                StructField("email", StringType()),
-            ]
-        ),
-        ("idKlienta",),
-    ),
-    "zamowienia": TableSpec(
-        "zamowienia",
-        StructType(
-            [
-                StructField("idZamowienia", IntegerType()),
-                StructField("KlientId", StringType()),
-                StructField("AlbumId", StringType()),
-                StructField("adresDostawy", StringType()),
-                StructField("dataZlozeniaZamowienia", StringType()),
-            ]
-        ),
-        ("idZamowienia",),
-    ),
+# Names, columns and declared types of the shop tables, and the
+# topic prefix and schema under which their changes are published.
+SHOP_COLUMNS = {
+    "albumy": {
+        "idAlbumu": IntegerType(),
+        "tytul": StringType(),
+        "wykonawca": StringType(),
+        "gatunek": StringType(),
+        "wytwornia": StringType(),
+        "dataWydania": StringType(),
+        "cena": DoubleType(),
+    },
+    "klienci": {
+        "idKlienta": IntegerType(),
+        "imie": StringType(),
+        "nazwisko": StringType(),
+        "telefon": StringType(),
+        "email": StringType(),
+    },
+    "zamowienia": {
+        "idZamowienia": IntegerType(),
+        "KlientId": StringType(),
+        "AlbumId": StringType(),
+        "adresDostawy": StringType(),
+        "dataZlozeniaZamowienia": StringType(),
+    },
 }
 TOPIC_PREFIX = "dbserver1"
 TOPIC_SCHEMA = "public"
 
+# The declared tables; their keys follow from their headers.
+SHOP_TABLES = {
+    name: TableSpec(
+        name,
+        StructType([StructField(column, kind) for column, kind in columns.items()]),
+        spec_from_header(name, list(columns)).key,
+    )
+    for name, columns in SHOP_COLUMNS.items()
+}
+
 
 def topic_of(table: str, prefix: str = TOPIC_PREFIX, schema: str = TOPIC_SCHEMA) -> str:
     """Topic of a table: ``<prefix>.<schema>.<table>``."""

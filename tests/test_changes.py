@@ -203,6 +203,14 @@ def test_replay_needs_keys(records):
         replay(records((None, "{}")), SPEC).collect()
 
 
+@pytest.mark.parametrize("value", ["{cut", '{"id":"x","name":"a"}', '{"name":"a"}', "42"])
+def test_replay_fails_on_a_last_record_without_a_row(records, value):
+    with pytest.raises(SPARK_ERRORS):
+        replay(records(('{"id":1}', value)), SPEC).collect()
+    later = records(('{"id":1}', value), ('{"id":1}', '{"id":1}'))
+    assert replay(later, SPEC).count() == 1
+
+
 def test_replay_rows(spark):
     rows = spark.createDataFrame(
         [(1, "a", "c", 1, 5), (1, "b", "u", 2, 0), (2, "c", "c", 1, 1), (2, "c", "d", 1, 2), (3, "x", None, 1, 1)],
@@ -236,7 +244,8 @@ def test_latest_of_rows_without_an_order(spark):
 def test_replay_parses_only_the_last_records(spark, records):
     log = records(('{"id":1}', "{}"))
     plan = replay(log, SPEC)._jdf.queryExecution().optimizedPlan().toString()
-    assert plan.index("from_json") < plan.index("Aggregate")
+    assert plan.index("from_json(") < plan.index("Aggregate")
+    assert plan.count("from_json(") == 1
 
 
 def test_shop_tables_round_trip(spark):

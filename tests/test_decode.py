@@ -202,6 +202,13 @@ def test_message_of_a_tombstone_and_an_empty_record(records):
     assert texts[1] == "\n[albumy] UPDATE\n  key   : None\n  record: {}\n" + "-" * 80
 
 
+def test_message_of_a_malformed_record(records):
+    log = records(('{"a":1}', "{broken"), (None, "42"))
+    texts = [r.message for r in messages(log, ["dbserver1.public.albumy"], stamp=False).orderBy("offset").collect()]
+    assert texts[0].startswith("\n[dbserver1.public.albumy] MALFORMED | key={'a': 1} value={broken\n")
+    assert "key=None value=42" in texts[1]
+
+
 @pytest.mark.parametrize("text", ["plain", "it's", 'say "x"', "it's \"x\"", "a\\b", "line\nbreak", "zażółć"])
 def test_key_text_reads_as_a_literal(records, text):
     import json
