@@ -101,7 +101,7 @@ def _stage(df: DataFrame, root: str, table: str, load_id: str) -> None:
 
 
 def _commit(spark: SparkSession, root: str, load_id: str, tables: list[str]) -> None:
-    marker = spark.createDataFrame([(load_id, ",".join(tables))], COMMIT_SCHEMA)
+    marker = spark.range(1).select(F.lit(load_id).alias("load_id"), F.lit(",".join(tables)).alias("tables"))
     marker.coalesce(1).write.mode("append").parquet(f"{root}/{COMMITS}")
 
 
@@ -111,19 +111,29 @@ def _key_problems(spark: SparkSession, root: str, specs: list[TableSpec], load_i
     for spec in specs:
         if not spec.key:
             continue
-        staged = spark.read.schema(spec.schema).parquet(f"{root}/{spec.name}/load_id={load_id}").select(*cols(spec.key))
-        missing = reduce(or_, [k.isNull() for k in cols(spec.key)])
-        held = read_table(spark, root, spec).select(*cols(spec.key))
-        found = {
-            "rows without a usable key": staged.where(missing),
-            "repeated keys": inserts.key_clashes(staged.where(~missing), spec.key),
-            "keys already loaded": held.join(staged.where(~missing).distinct(), list(spec.key), "left_semi"),
-        }
-        for what, df in found.items():
-            counts.append(df.agg(F.lit(f"{spec.name}: {{}} {what}").alias("what"), F.count(F.lit(1)).alias("n")))
+        key = cols(spec.key)
+        staged = spark.read.schema(spec.schema).parquet(f"{root}/{spec.name}/load_id={load_id}")
+        per_key = staged.groupBy(*key).agg(F.count(F.lit(1)).alias("n"))
+        missing = reduce(or_, [k.isNull() for k in key])
+        held = read_table(spark, root, spec).select(*key)
+        known = held.join(per_key.where(~missing).select(*key), list(spec.key), "left_semi")
+        counts.append(
+            per_key.agg(
+                F.lit(spec.name).alias("table"),
+                F.coalesce(F.sum(F.when(missing, F.col("n"))), F.lit(0)).alias("missing"),
+                F.count_if(~missing & (F.col("n") > 1)).alias("repeated"),
+                F.lit(0).cast("long").alias("known"),
+            )
+        )
+        none = F.lit(0).cast("long")
+        counts.append(known.agg(F.lit(spec.name), none, none, F.count(F.lit(1))))
     if not counts:
         return []
-    return [r.what.format(r.n) for r in reduce(DataFrame.unionAll, counts).where("n > 0").collect()]
+    problems = []
+    for r in reduce(DataFrame.unionAll, counts).where("missing + repeated + known > 0").collect():
+        found = {"rows without a usable key": r.missing, "repeated keys": r.repeated, "keys already loaded": r.known}
+        problems += [f"{r.table}: {n} {what}" for what, n in found.items() if n]
+    return problems
 
 
 def _read_or_empty(spark: SparkSession, path: str, schema: StructType) -> DataFrame:

@@ -14,7 +14,7 @@ from rowtide.specs import TableSpec
 def create_table(spark: SparkSession, spec: TableSpec, location: str | None = None) -> None:
     """Create the Parquet table unless it exists; an existing one is left alone."""
     columns = ", ".join(f"{quoted(f.name)} {f.dataType.simpleString()}" for f in spec.schema)
-    place = f" LOCATION '{location}'" if location else ""
+    place = " LOCATION '" + location.replace("'", "\\'") + "'" if location else ""
     spark.sql(f"CREATE TABLE IF NOT EXISTS {quoted(spec.name)} ({columns}) USING parquet{place}")
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import time
 from collections.abc import Iterable, Iterator
-from contextlib import contextmanager
+from contextlib import ExitStack, contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
@@ -50,8 +50,10 @@ def wait_until_ready(queries: Iterable[StreamingQuery], timeout: float = 60.0, p
 
 
 def await_any(spark: SparkSession, timeout: float | None = None) -> None:
-    """Block until one of the session's queries stops or fails."""
-    spark.streams.resetTerminated()
+    """Block until one of the session's queries stops or fails; a failure is raised.
+
+    A query that ended earlier counts too, until ``spark.streams.resetTerminated()``.
+    """
     if timeout is None:
         spark.streams.awaitAnyTermination()
     else:
@@ -67,11 +69,10 @@ def finish(queries: Iterable[StreamingQuery]) -> None:
 @contextmanager
 def stopping(queries: list[StreamingQuery]) -> Iterator[list[StreamingQuery]]:
     """Stop the queries on leaving, also after an error or an interrupt."""
-    try:
-        yield queries
-    finally:
+    with ExitStack() as stack:
         for query in queries:
-            query.stop()
+            stack.callback(query.stop)
+        yield queries
 
 
 def progress_frame(spark: SparkSession, queries: Iterable[StreamingQuery]) -> DataFrame:

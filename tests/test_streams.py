@@ -107,6 +107,7 @@ def test_ready_await_stop_and_progress(spark, records, tmp_path):
         lifecycle.wait_until_ready([job], timeout=60)
         assert job.lastProgress is not None
         write(records, log, ('{"id":2}', '{"id":2}'))
+        spark.streams.resetTerminated()
         lifecycle.await_any(spark, timeout=1)
         assert job.isActive
         job.processAllAvailable()
@@ -128,6 +129,18 @@ def test_stopping_after_an_error(spark, records, tmp_path):
     assert not job.isActive
 
 
+def test_await_any_raises_the_failure(spark, records, tmp_path):
+    log, root = str(tmp_path / "log"), str(tmp_path / "lake")
+    write(records, log, ('{"id":1}', "broken"))
+    spark.streams.resetTerminated()
+    job = start_table_job(stored_stream(spark, log), SPEC, root, trigger="1 second", on_malformed="failfast")
+    with pytest.raises(Exception, match="malformed record"):
+        lifecycle.await_any(spark)
+    with pytest.raises(Exception, match="malformed record"):
+        lifecycle.wait_until_ready([job])
+    spark.streams.resetTerminated()
+
+
 class Silent:
     name, isActive, lastProgress = "silent", True, None
 
