@@ -9,6 +9,7 @@ from operator import or_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from rowtide.errors import SchemaError
 from rowtide.functions import records as rec
 from rowtide.functions.typed import cols
 from rowtide.specs import TableSpec
@@ -29,6 +30,8 @@ def change_feed(old: DataFrame, new: DataFrame, spec: TableSpec, *, trusted_keys
     NULL; a full join on the key then does the same without the check, somewhat
     faster, and without a shuffle if both tables are bucketed alike by the key.
     """
+    if not spec.key:
+        raise SchemaError(f"{spec.name}: a change feed needs a key")
     paired = _joined(old, new, spec) if trusted_keys else _aggregated(old, new, spec)
     # An absent row is a NULL struct; a row of NULLs is not.
     op = F.when(F.col("before").isNull(), "c").when(F.col("after").isNull(), "d").otherwise("u")

@@ -58,6 +58,8 @@ def classify_keys(
     key is split between tasks.
     """
     key = list(spec.key)
+    if not key:
+        return incoming.withColumn(REASON, F.lit(None).cast("string"))
     keyless = incoming.where(_no_key(key)).withColumn(REASON, F.lit(NULL_KEY))
     keyed = incoming.where(~_no_key(key))
 
@@ -108,7 +110,7 @@ def _stored(df: DataFrame) -> DataFrame:
 
 
 def _no_key(key: Sequence[str]) -> Column:
-    return reduce(or_, [c.isNull() for c in cols(key)])
+    return reduce(or_, [c.isNull() for c in cols(key)], F.lit(False))
 
 
 def _verdicts(existing: DataFrame, keyed: DataFrame, key: list[str], arrival: list[str]) -> DataFrame:

@@ -22,6 +22,7 @@ from pyspark.sql.types import (
     TimestampType,
 )
 
+from rowtide.errors import SchemaError
 from rowtide.operators import changes
 from rowtide.operators.decode import decode
 from rowtide.operators.encode import KAFKA_SCHEMA, to_records
@@ -86,6 +87,11 @@ def test_change_feed_has_one_shuffle(spark):
     assert df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
 
 
+def test_a_feed_needs_a_key(spark):
+    with pytest.raises(SchemaError):
+        changes.change_feed(frame(spark, []), frame(spark, []), TableSpec("t", SPEC.schema))
+
+
 def test_compound_key(spark):
     spec = TableSpec("t", SPEC.schema, ("id", "name"))
     old, new = frame(spark, [(1, "a", 1.0), (1, "b", 1.0)]), frame(spark, [(1, "a", 2.0), (2, "b", 1.0)])

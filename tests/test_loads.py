@@ -215,6 +215,15 @@ def test_insert_rows(spark, tmp_path, name):
         loads.insert_rows(spark, root, spec, incoming, "insert-1")
 
 
+def test_a_table_without_a_key_takes_every_row(spark, tmp_path):
+    spec = TableSpec("t", StructType([StructField("v", StringType())]))
+    root = str(tmp_path / "lake")
+    loads.load_csv_tables(spark, {"t": put(tmp_path, "1.csv", "v\na\na\n")}, root, "one")
+    incoming = spark.createDataFrame([("a",), (None,)], "v string")
+    assert loads.insert_rows(spark, root, spec, incoming, "two").count() == 0
+    assert reasons(loads.read_table(spark, root, spec)) == [("a",), ("a",), ("a",), (None,)]
+
+
 def test_insert_into_a_table_never_loaded(spark, tmp_path):
     incoming = spark.createDataFrame([("1", "a")], "id string, v string")
     root = str(tmp_path / "lake")
