@@ -19,6 +19,7 @@ from rowtide.operators.encode import to_records
 from rowtide.plans.monitor import messages
 from rowtide.queries.inputs import (
     EVENT_OP_SQL,
+    EVENT_OPS,
     EVENTS_TOPIC,
     event_envelopes,
     event_op,
@@ -128,10 +129,9 @@ def render_message(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def from_offset(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A log of three partitions, read from an offset, from the beginning, and not at all."""
-    records = event_records(
-        table(spark, sf_dir, "events"), F.col("props"), partition=F.pmod("user_id", F.lit(3))
-    )
+    """A log with a partition per kind of event: one read from an offset, one not at all, the rest from the beginning."""
+    kind = F.array_position(F.array(*[F.lit(k) for k in EVENT_OPS]), F.col("event_type")) - 1
+    records = event_records(table(spark, sf_dir, "events"), F.col("props"), partition=kind)
     starts = {EVENTS_TOPIC: {0: 500, 1: EARLIEST_CODE, 2: LATEST_CODE}}
     return from_offsets(records, starts).select("partition", "offset")
 
@@ -203,6 +203,8 @@ SQL = {
                chr(10) || repeat('-', 80)
         from events where event_type = 'error'""",
     "from_offset": """
-        select cast(user_id % 3 as integer) as partition, event_id as "offset" from events
-        where (user_id % 3 = 0 and event_id >= 500) or user_id % 3 = 1""",
+        with log as (
+          select cast(list_position(['signup', 'view', 'click', 'error', 'purchase'], event_type) - 1 as integer)
+                   as partition, event_id as "offset" from events)
+        select * from log where (partition <> 0 or "offset" >= 500) and partition <> 2""",
 }
