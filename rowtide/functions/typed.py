@@ -2,23 +2,27 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Collection, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructType
 
 
-def typed_columns(schema: StructType, source: str | None = None) -> list[Column]:
+def typed_columns(schema: StructType, source: str | None = None, strict: Collection[str] = ()) -> list[Column]:
     """One cast per declared column; text that is no such value becomes NULL.
 
-    ``source`` names a struct column holding the text fields.
+    ``source`` names a struct column holding the text fields. In a ``strict``
+    column such text fails the job instead.
     """
     out = []
     for field in schema:
         name = quoted(field.name) if source is None else f"{source}.{quoted(field.name)}"
         raw = F.col(name)
         cast = raw if isinstance(field.dataType, StringType) else raw.try_cast(field.dataType)
+        if field.name in strict and cast is not raw:
+            message = F.concat(F.lit(f"{field.name}: no {field.dataType.simpleString()}: "), raw)
+            cast = F.when(raw.isNotNull() & cast.isNull(), F.raise_error(message)).otherwise(cast)
         out.append(cast.alias(field.name))
     return out
 

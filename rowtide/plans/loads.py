@@ -58,13 +58,17 @@ def load_csv_tables(
     """Load (table -> CSV path) in one commit, once; False when the id is committed already.
 
     Types come from the headers unless ``specs`` is given. A key that is missing,
-    no integer, repeated, or already in a table fails the load for all tables.
+    not of its type, repeated, or already in a table fails the load for all
+    tables, and so does any other cell that is not of its column's type.
     """
     if is_committed(spark, root, load_id):
         return False
     specs = specs or csv_specs(spark, files)
     for table, path in files.items():
-        _stage(read_csv_table(spark, path, specs[table], multiline=multiline), root, table, load_id)
+        spec = specs[table]
+        # Bad keys are counted below, for a message that covers the whole load.
+        strict = set(spec.columns) - set(spec.key)
+        _stage(read_csv_table(spark, path, spec, multiline=multiline, strict=strict), root, table, load_id)
     problems = _key_problems(spark, root, [specs[table] for table in files], load_id)
     if problems:
         raise LoadError("; ".join(problems))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Collection, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StringType, StructField, StructType
@@ -42,10 +42,20 @@ def read_csv_text(
     )
 
 
-def read_csv_table(spark: SparkSession, path: str, spec: TableSpec, *, multiline: bool = False) -> DataFrame:
-    """CSV read as the declared types; text that is no such value becomes NULL."""
+def read_csv_table(
+    spark: SparkSession,
+    path: str,
+    spec: TableSpec,
+    *,
+    multiline: bool = False,
+    strict: Collection[str] = (),
+) -> DataFrame:
+    """CSV read as the declared types; text that is no such value becomes NULL.
+
+    In a ``strict`` column such text fails the read.
+    """
     text = read_csv_text(spark, path, spec.columns, multiline=multiline)
-    return text.select(*typed_columns(spec.schema))
+    return text.select(*typed_columns(spec.schema, strict=strict))
 
 
 def csv_specs(spark: SparkSession, files: Mapping[str, str]) -> dict[str, TableSpec]:

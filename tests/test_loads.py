@@ -171,6 +171,18 @@ def test_a_bad_file_fails_the_load_of_all_tables(spark, tmp_path, text, problem)
     assert loads.read_table(spark, root, specs["albumy"]).count() == 1
 
 
+def test_a_cell_of_another_type_fails_the_load(spark, tmp_path):
+    spec = TableSpec("t", StructType([StructField("id", IntegerType()), StructField("n", IntegerType())]), ("id",))
+    root = str(tmp_path / "lake")
+    bad = put(tmp_path, "bad.csv", "id,n\n1,5\n2,five\n")
+    with pytest.raises(Exception, match="n: no int: five"):
+        loads.load_csv_tables(spark, {"t": bad}, root, "one", specs={"t": spec})
+    assert loads.read_table(spark, root, spec).count() == 0
+    good = put(tmp_path, "good.csv", "id,n\n1,5\n2,\n")
+    assert loads.load_csv_tables(spark, {"t": good}, root, "one", specs={"t": spec})
+    assert reasons(loads.read_table(spark, root, spec)) == [(1, 5), (2, None)]
+
+
 def test_a_second_load_must_not_repeat_keys(spark, tmp_path):
     root = str(tmp_path / "lake")
     loads.load_csv_tables(spark, {"t": put(tmp_path, "1.csv", "id,v\n1,a\n2,b\n")}, root, "one")
