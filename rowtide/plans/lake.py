@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Sequence
+from collections.abc import Callable, Iterable, Iterator, Sequence
+from contextlib import ExitStack, contextmanager
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -50,10 +51,29 @@ def start_all(
     """Start one job per table. ``source(topic)`` gives that topic's record stream.
 
     With Kafka each job subscribes to its own topic; over a stored log the
-    records are narrowed to the topic before anything is decoded.
+    records are narrowed to the topic before anything is decoded. Each job runs
+    in a scheduler pool of its own, so that under fair scheduling a large batch
+    of one table does not hold up the others. If a job cannot be started, the
+    ones before it are stopped.
     """
     jobs = []
-    for spec in specs:
-        name = topic(spec.name)
-        jobs.append(start_table_job(subscribe(source(name), [name]), spec, root, **options))
+    with ExitStack() as started:
+        for spec in specs:
+            name = topic(spec.name)
+            records = subscribe(source(name), [name])
+            with scheduler_pool(records, spec.name):
+                jobs.append(start_table_job(records, spec, root, **options))
+            started.callback(jobs[-1].stop)
+        started.pop_all()
     return jobs
+
+
+@contextmanager
+def scheduler_pool(df: DataFrame, name: str) -> Iterator[None]:
+    """Work started inside belongs to the named scheduler pool."""
+    context = df.sparkSession.sparkContext
+    context.setLocalProperty("spark.scheduler.pool", name)
+    try:
+        yield
+    finally:
+        context.setLocalProperty("spark.scheduler.pool", None)

@@ -11,14 +11,16 @@ from pyspark.sql import SparkSession
 KAFKA_PACKAGE = "org.apache.spark:spark-sql-kafka-0-10_2.13:4.1.2"
 S3A_PACKAGE = "org.apache.hadoop:hadoop-aws:3.4.2"
 
-# Correctness needs the fixed zone; the rest lets Spark re-plan joins and
-# partition counts from the sizes it sees. spark.sql.shuffle.partitions is left
-# to the cluster.
+# Correctness needs the fixed zone. Adaptive execution re-plans joins and
+# partition counts from the sizes it sees; fair scheduling keeps streams of one
+# session from waiting for each other. spark.sql.shuffle.partitions is left to
+# the cluster.
 BASE_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.scheduler.mode": "FAIR",
     "spark.ui.enabled": "false",
 }
 

@@ -89,6 +89,22 @@ def test_three_tables_from_one_log(spark, records, tmp_path):
         assert stored.columns == [*spec.columns, "kafka_timestamp", "processed_at"]
 
 
+def test_jobs_started_before_a_failed_start_are_stopped(spark, records, tmp_path):
+    log, root = str(tmp_path / "log"), str(tmp_path / "lake")
+    write(records, log, ('{"id":1}', '{"id":1}', topic_of("t")))
+    other = TableSpec("other", SPEC.schema, ("id",))
+
+    def source(topic):
+        if topic == topic_of("other"):
+            raise RuntimeError("no such topic")
+        return stored_stream(spark, log)
+
+    with pytest.raises(RuntimeError):
+        start_all(source, [SPEC, other], root, trigger="1 second")
+    assert spark.streams.active == []
+    assert spark.sparkContext.getLocalProperty("spark.scheduler.pool") is None
+
+
 def test_a_stream_opens_only_its_topic(spark, records, tmp_path):
     log, root = str(tmp_path / "log"), str(tmp_path / "lake")
     write(records, log, ('{"id":1}', '{"id":1}', topic_of("t")), ('{"id":2}', '{"id":2}', topic_of("other")))
