@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rowtide.functions.typed import bad_columns, cols, quoted, typed_columns
-from rowtide.session import work_dir
+from rowtide.session import stored
 from rowtide.specs import TableSpec
 
 REASON = "reject_reason"
@@ -49,13 +49,13 @@ def classify_keys(
     inserted one by one; without ``arrival`` no row is the first, so all of them
     are rejected. Rows that tie for first place are all rejected as ambiguous.
 
-    Runs one job at once: it groups the batch's key and arrival columns, scans
-    the table for its key columns (without a shuffle of the table while the
-    batch's keys are small enough for Spark to broadcast), and writes the keys
-    something is wrong with to the shared work folder. The result joins the batch
-    with that table. Being read back, the table has a size Spark knows: few keys
-    are broadcast, many are joined by a shuffle in which a partition with a hot
-    key is split between tasks.
+    Runs two jobs at once. The first groups the batch's key and arrival columns.
+    The second scans the table for its key columns, without a shuffle while the
+    batch's keys are few enough to be broadcast, and gives the keys something is
+    wrong with. Both results are stored in the shared work folder. The returned
+    frame joins the batch with the second: few keys are broadcast, many are
+    joined by a shuffle in which a partition with a hot key is split between
+    tasks.
     """
     key = list(spec.key)
     if not key:
@@ -63,8 +63,9 @@ def classify_keys(
     keyless = incoming.where(_no_key(key)).withColumn(REASON, F.lit(NULL_KEY))
     keyed = incoming.where(~_no_key(key))
 
-    verdicts = _verdicts(existing, keyed, key, list(arrival))
-    problems = _stored(verdicts.where(F.col("_exists") | (F.col("_rows") > 1)))
+    batch = stored(_batch_keys(keyed, key, list(arrival)), "batch-keys")
+    verdicts = batch.join(_known(existing, batch, key), key, "left").withColumn("_exists", F.col("_known").isNotNull())
+    problems = stored(verdicts.where(F.col("_exists") | (F.col("_rows") > 1)), "problem-keys")
 
     first = F.lit(True)
     for column in arrival:
@@ -103,32 +104,25 @@ def rejected(classified: DataFrame) -> DataFrame:
     return classified.where(F.col(REASON).isNotNull())
 
 
-def _stored(df: DataFrame) -> DataFrame:
-    path = f"{work_dir(df.sparkSession, 'keys')}/problems"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def _no_key(key: Sequence[str]) -> Column:
     return reduce(or_, [c.isNull() for c in cols(key)], F.lit(False))
 
 
-def _verdicts(existing: DataFrame, keyed: DataFrame, key: list[str], arrival: list[str]) -> DataFrame:
-    """One row per key of the batch: first arrival, rows at it, rows in all, known to the table."""
-    if arrival:
-        # Copies with equal arrival are counted first, so the smallest arrival
-        # comes with the number of rows that share it.
-        per_arrival = keyed.groupBy(*cols(key), *cols(arrival)).agg(F.count(F.lit(1)).alias("_n"))
-        smallest = F.min(F.struct(F.struct(*cols(arrival)).alias("at"), F.col("_n").alias("n")))
-        batch = (
-            per_arrival.groupBy(*cols(key))
-            .agg(smallest.alias("_min"), F.sum("_n").alias("_rows"))
-            .select(*cols(key), F.col("_min.at").alias("_first"), F.col("_min.n").alias("_first_rows"), "_rows")
-        )
-    else:
-        batch = keyed.groupBy(*cols(key)).agg(F.count(F.lit(1)).alias("_rows"))
-        batch = batch.withColumn("_first_rows", F.col("_rows"))
+def _batch_keys(keyed: DataFrame, key: list[str], arrival: list[str]) -> DataFrame:
+    """One row per key of the batch: first arrival, number of rows at it, rows in all."""
+    if not arrival:
+        counted = keyed.groupBy(*cols(key)).agg(F.count(F.lit(1)).alias("_rows"))
+        return counted.withColumn("_first_rows", F.col("_rows"))
+    # Copies with equal arrival are counted first, so the smallest arrival comes
+    # with the number of rows that share it.
+    per_arrival = keyed.groupBy(*cols(key), *cols(arrival)).agg(F.count(F.lit(1)).alias("_n"))
+    smallest = F.min(F.struct(F.struct(*cols(arrival)).alias("at"), F.col("_n").alias("n")))
+    batch = per_arrival.groupBy(*cols(key)).agg(smallest.alias("_min"), F.sum("_n").alias("_rows"))
+    return batch.select(*cols(key), F.col("_min.at").alias("_first"), F.col("_min.n").alias("_first_rows"), "_rows")
+
+
+def _known(existing: DataFrame, batch: DataFrame, key: list[str]) -> DataFrame:
+    """The keys of the batch that the table holds, marked ``_known``."""
     # The table on the left: the batch's keys are the side Spark may broadcast.
-    known = existing.select(*cols(key)).join(batch.select(*cols(key)), key, "left_semi").distinct()
-    flagged = batch.join(known.withColumn("_known", F.lit(True)), key, "left")
-    return flagged.withColumn("_exists", F.col("_known").isNotNull()).drop("_known")
+    found = existing.select(*cols(key)).join(batch.select(*cols(key)), key, "left_semi").distinct()
+    return found.withColumn("_known", F.lit(True))

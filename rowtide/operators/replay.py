@@ -6,13 +6,22 @@ from collections.abc import Sequence
 from functools import reduce
 from operator import or_
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, DataType, MapType, StructType, VariantType
+from pyspark.sql.types import (
+    ArrayType,
+    DataType,
+    MapType,
+    StringType,
+    StructField,
+    StructType,
+    VariantType,
+)
 
 from rowtide.functions import records as rec
-from rowtide.functions.typed import cols
+from rowtide.functions.typed import cols, typed_columns
 from rowtide.operators.decode import META_FIELDS, decode
+from rowtide.session import stored
 from rowtide.specs import TableSpec
 
 
@@ -59,15 +68,45 @@ def replay(records: DataFrame, spec: TableSpec, *, coerce: bool = True) -> DataF
     without a key, or a last record that gives no key column, fails the job: it
     cannot be told which row it stands for.
     """
+    return _rows(_last_records(records), spec, coerce)
+
+
+def apply_changes(state: DataFrame, records: DataFrame, spec: TableSpec, *, coerce: bool = True) -> DataFrame:
+    """A known state of a table moved on by the records that came after it.
+
+    Only the records are grouped; the last of each key are stored at once in the
+    shared work folder. The state keeps the rows whose key none of them names, by
+    an anti join. While the named keys are few enough to be broadcast, the state
+    is read once and not shuffled, nor is it if it is bucketed by the key.
+    """
+    last = stored(_last_records(records), "last-records")
+    key = StructType([spec.schema[k] for k in spec.key])
+    text = StructType([StructField(k, StringType()) for k in spec.key])
+    parsed = last.select(F.from_json(rec.as_text(F.col("key")), text if coerce else key).alias("key"))
+    named = parsed.select(*(typed_columns(key, "key") if coerce else ["key.*"]))
+    unusable = F.raise_error(F.lit(f"{spec.name}: a record's key gives no key column"))
+    named = named.where(F.when(_no_key(spec), unusable).otherwise(F.lit(True)))
+    kept = state.select(*cols(spec.columns)).join(named, list(spec.key), "left_anti")
+    return kept.unionByName(_rows(last, spec, coerce))
+
+
+def _last_records(records: DataFrame) -> DataFrame:
     unkeyed = F.raise_error(F.lit("record without a key"))
     keyed = records.where(F.when(F.col("key").isNull(), unkeyed).otherwise(F.lit(True)))
-    last = latest(keyed.select("key", "offset", "value", "timestamp"), ["key"], ["offset"])
-    rows = decode(last.where(~rec.is_tombstone(F.col("value"))), spec, coerce=coerce, keep_meta=True)
+    return latest(keyed.select("key", "offset", "value", "timestamp"), ["key"], ["offset"])
 
+
+def _rows(last: DataFrame, spec: TableSpec, coerce: bool) -> DataFrame:
+    """The table rows of the last records: no tombstones, no deletes."""
+    rows = decode(last.where(~rec.is_tombstone(F.col("value"))), spec, coerce=coerce, keep_meta=True)
     row = F.when(F.coalesce(F.col(rec.OP) != "d", F.lit(True)), F.struct(*cols(spec.columns)))
     if spec.key:
         unusable = F.raise_error(F.lit(f"{spec.name}: last record of a key gives no key column"))
-        row = F.when(reduce(or_, [c.isNull() for c in cols(spec.key)]), unusable).otherwise(row)
+        row = F.when(_no_key(spec), unusable).otherwise(row)
     # Spark moves a plain filter on parsed fields below the parsing, and so would
     # parse twice. The element of an exploded array is tested where it is.
     return rows.select(F.explode(F.array(row)).alias("row")).where(F.col("row").isNotNull()).select("row.*")
+
+
+def _no_key(spec: TableSpec) -> Column:
+    return reduce(or_, [c.isNull() for c in cols(spec.key)])

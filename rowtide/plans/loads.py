@@ -21,7 +21,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 from rowtide.errors import LoadError
 from rowtide.functions.typed import cols
 from rowtide.operators import inserts
-from rowtide.session import work_dir
+from rowtide.session import stored
 from rowtide.sources.files import csv_specs, read_csv_table
 from rowtide.specs import TableSpec
 
@@ -86,15 +86,13 @@ def insert_rows(
 ) -> DataFrame:
     """Insert text rows into a loaded table; returns the rejected rows with their reason.
 
-    The verdicts are written to the shared work folder first: accepted and
-    rejected rows then come from one evaluation, also when a task is run again.
+    The verdicts are stored first: accepted and rejected rows then come from one
+    evaluation, also when a task is run again.
     """
     if is_committed(spark, root, load_id):
         raise LoadError(f"load {load_id} is committed already")
     verdicts = inserts.insertable(read_table(spark, root, spec), incoming_text, spec, arrival)
-    path = f"{work_dir(spark, 'insert')}/verdicts"
-    verdicts.write.parquet(path)
-    judged = spark.read.parquet(path)
+    judged = stored(verdicts, "insert")
     _stage(inserts.accepted(judged).select(*cols(spec.columns)), root, spec.name, load_id)
     _commit(spark, root, load_id, [spec.name])
     return inserts.rejected(judged)

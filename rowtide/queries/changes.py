@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from rowtide.functions.records import topic_name
 from rowtide.operators import changes
 from rowtide.operators.encode import to_records
+from rowtide.operators.replay import apply_changes as move_on
 from rowtide.operators.replay import latest, replay
 from rowtide.plans.capture import change_log, snapshot_log
 from rowtide.queries.inputs import (
@@ -98,6 +99,14 @@ def replay_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return replay(log, spec)
 
 
+def apply_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first state moved on by the records of the changes: the second state."""
+    orders = table(spark, sf_dir, "orders")
+    spec = spec_of(orders, "orders")
+    earlier, later = order_states(orders)
+    return move_on(earlier, change_log(earlier, later, spec, 1), spec)
+
+
 QUERIES = {
     "change_feed": change_feed,
     "snapshot_reads": snapshot_reads,
@@ -108,6 +117,7 @@ QUERIES = {
     "replay_state": replay_state,
     "replay_line_versions": replay_line_versions,
     "replay_round_trip": replay_round_trip,
+    "apply_changes": apply_changes,
 }
 
 ORDER_COLUMNS = ("orderkey", "custkey", "orderstatus", "totalprice", "orderdate", "orderpriority")
@@ -157,4 +167,5 @@ SQL = {
               from lineitem)
         where nth = 1""",
     "replay_round_trip": f"with {ORDER_STATES_SQL} select * from later",
+    "apply_changes": f"with {ORDER_STATES_SQL} select * from later",
 }

@@ -6,7 +6,7 @@ import tempfile
 import uuid
 from collections.abc import Mapping
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 KAFKA_PACKAGE = "org.apache.spark:spark-sql-kafka-0-10_2.13:4.1.2"
 S3A_PACKAGE = "org.apache.hadoop:hadoop-aws:3.4.2"
@@ -61,3 +61,16 @@ def work_dir(spark: SparkSession, purpose: str) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         return tempfile.mkdtemp(prefix=f"rowtide-{purpose}-")
     return f"{root.rstrip('/')}/rowtide/{purpose}-{uuid.uuid4().hex}"
+
+
+def stored(df: DataFrame, purpose: str) -> DataFrame:
+    """The same rows, written to the shared work folder at once and read back.
+
+    For a small result that decides how a large table is joined: read back, its
+    size is known when the join is planned, so Spark broadcasts it if it fits
+    and need not shuffle the large table to find out. It also is computed once
+    only, and survives the loss of an executor.
+    """
+    path = f"{work_dir(df.sparkSession, purpose)}/rows"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

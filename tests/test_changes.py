@@ -26,7 +26,7 @@ from rowtide.errors import SchemaError
 from rowtide.operators import changes
 from rowtide.operators.decode import decode
 from rowtide.operators.encode import KAFKA_SCHEMA, to_records
-from rowtide.operators.replay import latest, replay, replay_rows
+from rowtide.operators.replay import apply_changes, latest, replay, replay_rows
 from rowtide.plans.capture import change_log, snapshot_log
 from rowtide.specs import SHOP_TABLES, TableSpec
 
@@ -182,6 +182,39 @@ def test_replay_inverts_the_feed(spark, first, second, third):
         assert replay(log.orderBy(F.rand(7)), SPEC).count() == len(third)
 
 
+@FEW
+@given(state, state)
+def test_applied_changes_give_the_new_state(spark, first, second):
+    a, b = (frame(spark, [(k, *v) for k, v in s.items()]) for s in (first, second))
+    moved = apply_changes(a, change_log(a, b, SPEC, 1), SPEC)
+    assert sorted(map(tuple, moved.collect())) == sorted((k, *v) for k, v in second.items())
+
+
+def test_apply_changes_record_by_record(spark, records):
+    state = frame(spark, [(1, "a", 1.0), (2, "b", 2.0), (3, "c", 3.0), (4, None, None)])
+    log = records(
+        ('{"id":1}', '{"id":1,"name":"a2","price":9.5,"__op":"u"}'),
+        ('{"id":2}', None),
+        ('{"id":3}', '{"id":3,"name":"c","__op":"d"}'),
+        ('{"id":5}', '{"id":5,"name":"e","__op":"c"}'),
+        ('{"id":6}', '{"id":6,"__op":"d"}'),
+    )
+    wanted = [(1, "a2", 9.5), (4, None, None), (5, "e", None)]
+    for coerce in (False, True):
+        assert sorted(map(tuple, apply_changes(state, log, SPEC, coerce=coerce).collect())) == wanted
+    with pytest.raises(SPARK_ERRORS):
+        apply_changes(state, records(("{}", None)), SPEC).collect()
+
+
+def test_a_large_state_is_not_shuffled_for_few_changes(spark, records, tmp_path):
+    rows = spark.range(20_000).select(F.col("id").cast("int"), F.lit("x").alias("name"), F.lit(1.0).alias("price"))
+    rows.write.parquet(str(tmp_path / "state"))
+    moved = apply_changes(spark.read.parquet(str(tmp_path / "state")), records(('{"id":7}', None)), SPEC)
+    plan = moved._jdf.queryExecution().executedPlan().toString()
+    assert "LeftAnti" in plan and "SortMergeJoin" not in plan and "Exchange hashpartitioning" not in plan
+    assert moved.count() == 19_999
+
+
 def test_replay_without_tombstones(spark, records):
     log = records(
         ('{"id":1}', '{"id":1,"name":"a","price":"1.5","__op":"c"}'),

@@ -10,6 +10,7 @@ from rowtide.errors import LoadError
 from rowtide.operators import inserts
 from rowtide.operators.profile import display, profile
 from rowtide.plans import loads
+from rowtide.session import stored
 from rowtide.specs import SHOP_TABLES, TableSpec
 
 SPEC = TableSpec("t", StructType([StructField("id", IntegerType()), StructField("v", StringType())]), ("id",))
@@ -123,11 +124,12 @@ def test_a_hot_key_is_split_between_tasks(spark, tmp_path):
 def test_the_held_table_is_not_shuffled_for_a_small_batch(spark, tmp_path):
     spark.range(20_000).select(F.col("id").cast("int"), F.lit("x").alias("v")).write.parquet(str(tmp_path / "held"))
     held = spark.read.parquet(str(tmp_path / "held"))
-    verdicts = inserts._verdicts(held, frame(spark, [(5, "a"), (90_000, "b")]), ["id"], [])
-    assert {r.id: r._exists for r in verdicts.collect()} == {5: True, 90_000: False}
-    plan = verdicts._jdf.queryExecution().executedPlan().toString()
-    final = plan[: plan.find("== Initial Plan ==")]
-    assert "BroadcastHashJoin [id" in final and "LeftSemi" in final and "SortMergeJoin" not in final
+    batch = stored(inserts._batch_keys(frame(spark, [(5, "a"), (90_000, "b")]), ["id"], []), "test")
+    known = inserts._known(held, batch, ["id"])
+    plan = known._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in plan
+    assert plan.index("Exchange hashpartitioning") < plan.index("LeftSemi") < plan.index("FileScan")
+    assert [r.id for r in known.collect()] == [5]
 
 
 def put(path, name, text):
