@@ -14,7 +14,10 @@ RULE = "-" * 80
 
 def json_value(item: Column) -> Column:
     """JSON text of a variant; a fractional number keeps its fraction (``1.0``)."""
-    return once(F.to_json(item), lambda text: F.when(_lost_fraction(item, text), F.concat(text, F.lit(".0"))).otherwise(text))
+    return once(
+        F.to_json(item),
+        lambda text: F.when(_lost_fraction(item, text), F.concat(text, F.lit(".0"))).otherwise(text),
+    )
 
 
 def _lost_fraction(item: Column, text: Column) -> Column:

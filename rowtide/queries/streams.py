@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from rowtide.operators.encode import json_bytes, to_records
 from rowtide.plans.lake import start_all, start_table_job
-from rowtide.queries.inputs import EVENTS_TOPIC, event_records, spec_of, table
+from rowtide.queries.inputs import event_records, spec_of, table
 from rowtide.session import work_dir
 from rowtide.sources.kafka import append_log, stored_stream
 from rowtide.specs import TableSpec, topic_of

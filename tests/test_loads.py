@@ -30,7 +30,8 @@ def test_key_clashes(spark):
 
 
 def test_classify_types(spark):
-    df = spark.createDataFrame([("1", "a"), ("x", "b"), ("", "c"), (None, "d"), ("1.0", "e"), (" 7 ", "f")], "id string, v string")
+    rows = [("1", "a"), ("x", "b"), ("", "c"), (None, "d"), ("1.0", "e"), (" 7 ", "f")]
+    df = spark.createDataFrame(rows, "id string, v string")
     got = {r.v: (r.id, r.bad_columns, r.reject_reason) for r in inserts.classify_types(df, SPEC).collect()}
     assert got == {
         "a": ("1", [], None),
