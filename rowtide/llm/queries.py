@@ -7,6 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from rowtide.llm.embedding_dedup import near_vectors
 from rowtide.llm.mixing import mix
 from rowtide.llm.packing import pack
 from rowtide.llm.quality_ranker import quality_scores
@@ -24,6 +25,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of every document; the cache starts empty, so every distinct text is encoded."""
     return count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
@@ -55,6 +60,7 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_embedding_near_dedup": op1_embedding_near_dedup,
     "op3_token_counts": op3_token_counts,
     "op4_quality_classifier": op4_quality_classifier,
     "op6_quality_rules": op6_quality_rules,
@@ -67,6 +73,25 @@ QUERIES: dict[str, Query] = {
 WORDS_SQL = r"list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '')"
 
 SQL = {
+    "op1_embedding_near_dedup": """
+        with recursive
+        usable as (
+          select vec_id, label, cast(embedding as double[]) as e from embeddings
+          where vec_id is not null and label is not null and len(embedding) > 0
+            and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+            and len(list_filter(embedding, lambda x: x <> 0)) > 0),
+        links as (
+          select a.vec_id as x, b.vec_id as y
+          from usable a join usable b on a.label = b.label and a.vec_id <> b.vec_id and len(a.e) = len(b.e)
+          where list_cosine_similarity(a.e, b.e) >= 0.93),
+        reach(x, y) as (
+          select vec_id, vec_id from embeddings
+          union
+          select reach.x, links.y from reach join links on reach.y = links.x),
+        low as (select x, min(y) as component_id from reach group by x),
+        degree as (select x, count(*) as n from links group by x)
+        select vec_id, coalesce(n, 0) as n_links, component_id, vec_id = component_id as kept
+        from embeddings join low on low.x = vec_id left join degree on degree.x = vec_id""",
     "op7_substring_dedup": rf"""
         with words as (select doc_id, {WORDS_SQL} as w from documents),
         windows as (
