@@ -85,7 +85,7 @@ def balance(grouped: DataFrame, wanted: DataFrame, most: float, *, rounds: int =
         near = F.col("done") | (F.abs(gap) <= F.greatest(F.lit(1e-6), tolerance * F.col("target")))
         low = F.when(gap < 0, F.col("slope")).otherwise(F.col("low"))
         high = F.when(gap > 0, F.col("slope")).otherwise(F.col("high"))
-        newton = F.col("slope") - gap / F.col("steep")
+        newton = F.col("slope") - F.try_divide(gap, F.col("steep"))
         # Halves the bracket on a scale that is logarithmic far from zero.
         middle = F.sinh((F.asinh(low) + F.asinh(high)) / 2)
         step = F.when(near, F.col("slope")).when((F.col("steep") > 0) & (newton > low) & (newton < high), newton).otherwise(middle)

@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from rowtide.llm.embedding_dedup import near_vectors
+from rowtide.llm.language_id import identify
 from rowtide.llm.mixing import mix
 from rowtide.llm.packing import pack
 from rowtide.llm.quality_ranker import quality_scores
@@ -15,6 +16,7 @@ from rowtide.llm.quality_rules import quality_rules
 from rowtide.llm.simhash_dedup import near_groups
 from rowtide.llm.substring_dedup import remove_repeats
 from rowtide.llm.token_counts import count_tokens
+from rowtide.llm.toxicity import toxicity_scores
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -29,6 +31,10 @@ def op1_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_vectors(table(spark, sf_dir, "embeddings"))
 
 
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identify(table(spark, sf_dir, "documents"))
+
+
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of every document; the cache starts empty, so every distinct text is encoded."""
     return count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
@@ -38,6 +44,10 @@ def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -61,8 +71,10 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_embedding_near_dedup": op1_embedding_near_dedup,
+    "op2_language_id": op2_language_id,
     "op3_token_counts": op3_token_counts,
     "op4_quality_classifier": op4_quality_classifier,
+    "op5_toxicity": op5_toxicity,
     "op6_quality_rules": op6_quality_rules,
     "op7_substring_dedup": op7_substring_dedup,
     "op8_source_mixing": op8_source_mixing,
