@@ -56,14 +56,35 @@ def row_struct(**columns: str) -> T.StructType:
     return T.StructType([T.StructField(k, T._parse_datatype_string(v)) for k, v in columns.items()])
 
 
+def parts_of(texts: list[str | None], characters: int = 1 << 21) -> Iterator[list[str | None]]:
+    """The texts in order, in lists of about so many characters; a longer text is a list of its own."""
+    part: list[str | None] = []
+    size = 0
+    for t in texts:
+        if part and size + len(t or "") > characters:
+            yield part
+            part, size = [], 0
+        part.append(t)
+        size += len(t or "")
+    if part:
+        yield part
+
+
 def text_udf(score: Callable[[list[str | None]], dict[str, Sequence]], schema: str) -> Callable[[Column], Column]:
-    """A column function over whole texts, called with lists of them in Arrow batches."""
+    """A column function over whole texts in Arrow batches.
+
+    ``score`` gets lists of bounded size, so what it holds at once does not
+    depend on the rows of a batch.
+    """
 
     @F.pandas_udf(schema)
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for texts in batches:
-            out = score([t if isinstance(t, str) else None for t in texts])
-            yield pd.DataFrame(out)
+            out: dict[str, list] = {}
+            for part in parts_of([t if isinstance(t, str) else None for t in texts]):
+                for name, values in score(part).items():
+                    out.setdefault(name, []).extend(values)
+            yield pd.DataFrame(out or score([]))
 
     return run
 
