@@ -195,7 +195,7 @@ def level_table(counts: DataFrame, order: int) -> DataFrame:
     return joined.join(per_lang, F.col("lang") == F.col("l")).select("lang", "gram", "c", "total", "kinds", "discount")
 
 
-def fit_languages(training: DataFrame, *, max_grams: int = 400_000) -> LanguageModel:
+def fit_languages(training: DataFrame, *, max_grams: int = 200_000) -> LanguageModel:
     """Interpolated Kneser-Ney models of all languages in ``training`` (text, lang).
 
     Counts, continuation counts (in how many contexts a shorter gram continues
@@ -214,11 +214,12 @@ def fit_languages(training: DataFrame, *, max_grams: int = 400_000) -> LanguageM
     model = LanguageModel(langs, (), floor, letters())
     number = {name: k for k, name in enumerate(langs)}
     for order in range(1, ORDER + 1):
-        top = level_table(by_order[order], order).orderBy(F.col("c").desc(), "gram", "lang").limit(max_grams).toPandas()
-        key = top["gram"].to_numpy(np.int64).view(np.uint64)
-        lang = top["lang"].map(number).to_numpy(np.int64)
-        alpha = np.maximum(top["c"].to_numpy(float) - top["discount"].to_numpy(float), 0) / top["total"].to_numpy(float)
-        gamma = top["discount"].to_numpy(float) * top["kinds"].to_numpy(float) / top["total"].to_numpy(float)
+        top = level_table(by_order[order], order).orderBy(F.col("c").desc(), "gram", "lang").limit(max_grams).toArrow()
+        key = top["gram"].to_numpy().astype(np.int64).view(np.uint64)
+        lang = np.array([number[name] for name in top["lang"].to_pylist()], np.int64)
+        c, discount, total, kinds = (top[x].to_numpy().astype(float) for x in ("c", "discount", "total", "kinds"))
+        alpha = np.maximum(c - discount, 0) / total
+        gamma = discount * kinds / total
         gram = np.unique(key)
         context = np.unique(key >> np.uint64(16))
         backoff = np.zeros((len(context), len(langs)), np.float32)
@@ -235,7 +236,7 @@ def fit_languages(training: DataFrame, *, max_grams: int = 400_000) -> LanguageM
     return model
 
 
-def identify(documents: DataFrame, *, buckets: int = 4, remainder: int = 2, quantile: float = 0.999, max_grams: int = 400_000) -> DataFrame:
+def identify(documents: DataFrame, *, buckets: int = 4, remainder: int = 2, quantile: float = 0.999, max_grams: int = 200_000) -> DataFrame:
     """doc_id, held_out, lang_pred, score, entropy, rejected of every row of ``documents``.
 
     Learns from the rows with a language whose crc32(doc_id) modulo ``buckets``
