@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import json
 import os
+import re
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -15,6 +16,9 @@ from pyspark.sql import types as T
 from rowtide.llm.common import store
 from rowtide.session import work_dir
 
+# Words whose counts a task remembers.
+KNOWN_WORDS = 500_000
+
 CACHE = T.StructType(
     [
         T.StructField("content", T.BinaryType()),
@@ -52,7 +56,21 @@ def normalised(text: Column, space_runs: bool) -> Column:
     return F.regexp_replace(text, r"[ \t\n\x0B\f\r]+", " ") if space_runs else text
 
 
-def counter(path: str, space_runs: bool):
+def words_apart(path: str) -> bool:
+    """Whether the file says that no token reaches over a space, so that words can be counted one by one."""
+    if not ignores_space_runs(path):
+        return False
+    with open(path, encoding="utf-8") as file:
+        splitter = json.load(file).get("pre_tokenizer") or {}
+    first = splitter.get("pretokenizers", [splitter])[0]
+    if first.get("type") != "Split" or first.get("behavior") != "Removed" or not first.get("invert"):
+        return False
+    # Only what the pattern matches is kept; outside its negated classes nothing in it matches a space.
+    rest = re.sub(r"\[\^[^\]]*\]", "", first["pattern"].get("Regex", " "))
+    return not re.search(r"[ .]|\\[sSWDPX]", rest)
+
+
+def counter(path: str):
     """A function from texts to token counts; no added begin or end, no truncation, no padding."""
     if path.endswith(".model"):
         import sentencepiece
@@ -66,7 +84,22 @@ def counter(path: str, space_runs: bool):
     model = Tokenizer.from_file(path)
     model.no_truncation()
     model.no_padding()
-    return lambda texts: [len(e) for e in model.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def whole(texts: list[str]) -> list[int]:
+        return [len(e) for e in model.encode_batch_fast(texts, add_special_tokens=False)]
+
+    known: dict[str, int] = {}
+
+    def by_word(texts: list[str]) -> list[int]:
+        """Sums over the words of a text, each distinct word encoded once."""
+        if len(known) > KNOWN_WORDS:
+            known.clear()
+        lists = [t.split(" ") for t in texts]
+        new = sorted(set().union(*lists) - known.keys())
+        known.update(zip(new, whole(new)))
+        return [sum(map(known.__getitem__, words)) for words in lists]
+
+    return by_word if words_apart(path) else whole
 
 
 def open_cache(spark: SparkSession, path: str | None) -> DataFrame:
@@ -79,13 +112,13 @@ def open_cache(spark: SparkSession, path: str | None) -> DataFrame:
     return spark.read.schema(CACHE).parquet(path)
 
 
-def encode_misses(content: DataFrame, path: str, version: str, space_runs: bool) -> DataFrame:
+def encode_misses(content: DataFrame, path: str, version: str) -> DataFrame:
     """Counts of distinct contents (columns content, text) in Arrow batches."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         count = None
         for batch in batches:
-            count = count or counter(path, space_runs)
+            count = count or counter(path)
             texts = batch.column("text").to_pylist()
             got = []
             for a in range(0, len(texts), 256):
@@ -131,7 +164,7 @@ def count_tokens(documents: DataFrame, tokenizer: str, *, cache: str | None = No
         .groupBy("content")
         .agg(F.first("text").alias("text"))
     )
-    encode_misses(misses, tokenizer, version, space_runs).write.mode("append").parquet(folder)
+    encode_misses(misses, tokenizer, version).write.mode("append").parquet(folder)
     counts = (
         spark.read.schema(CACHE).parquet(folder).where(F.col("tokenizer") == version).groupBy("content").agg(F.max("n_tokens").alias("n_tokens"))
     )
