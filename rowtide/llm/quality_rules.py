@@ -115,7 +115,7 @@ def fit_sparse(rows: list[tuple[np.ndarray, np.ndarray]], label: np.ndarray, bit
     weights, intercept = np.zeros(width), 0.0
     if len(set(label.tolist())) < 2:
         return weights, intercept
-    at = np.repeat(np.arange(len(rows)), [len(n) for n, _ in rows])
+    at = np.repeat(np.arange(len(rows), dtype=np.int32), [len(n) for n, _ in rows])
     number = np.concatenate([n for n, _ in rows])
     value = np.concatenate([v for _, v in rows])
     share = np.where(label == 1, 0.5 / label.sum(), 0.5 / (len(label) - label.sum()))
@@ -137,7 +137,7 @@ def fit_rules(
     labels: DataFrame,
     *,
     bits: int = 16,
-    max_train_rows: int = 4_000,
+    max_train_rows: int = 2_000,
     buckets: int = 5,
     remainder: int = 0,
     rounds: int = 120,
@@ -158,14 +158,11 @@ def fit_rules(
         return {"number": [n.astype(np.int32) for n, _ in both], "value": [v.astype(np.float32) for _, v in both]}
 
     hashed = text_udf(run, "number array<int>, value array<float>")
-    got = (
-        sample.select(F.pmod(F.xxhash64("doc_id"), F.lit(4)).alias("part"), "doc_id", "label", hashed(F.col("text")).alias("g"))
-        .select("part", "doc_id", "label", "g.number", "g.value")
-        .toPandas()
-        .sort_values("doc_id", kind="stable")
-    )
-    rows = [(np.asarray(n, np.int64), np.asarray(v, float)) for n, v in zip(got["number"], got["value"])]
-    label, part = got["label"].to_numpy(int), got["part"].to_numpy(int)
+    part_of = F.pmod(F.xxhash64("doc_id"), F.lit(4)).alias("part")
+    got = sample.select(part_of, "doc_id", "label", hashed(F.col("text")).alias("g")).select("part", "doc_id", "label", "g.number", "g.value").toArrow()
+    got = got.sort_by([("doc_id", "ascending")])
+    rows = [(n.values.to_numpy(), v.values.to_numpy()) for n, v in zip(got["number"], got["value"])]
+    label, part = got["label"].to_numpy().astype(int), got["part"].to_numpy()
     learn = [r for r, p in zip(rows, part) if p]
     weights, intercept = fit_sparse(learn, label[part > 0], bits, rounds=rounds, l2=l2, rate=rate)
     check = np.array([weights[n] @ v + intercept for (n, v), p in zip(rows, part) if not p])
