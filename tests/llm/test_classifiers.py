@@ -1,0 +1,148 @@
+"""Quality ranking, quality rules and toxicity: held-out accuracy, the parts against brute force, odd rows."""
+
+import itertools
+
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from rowtide.llm.quality_ranker import features, fit_pairs, quality_scores
+from rowtide.llm.quality_rules import base_counts, quality_rules, repeated_in_windows
+from rowtide.llm.toxicity import EXACT, FUZZY, STEM, automaton_of, context_weight, tokens, toxicity_scores
+
+SF = "/root/testdata/sf0.01"
+LABELS = "doc_id long, quality int, toxic int"
+
+
+def tables(spark, sf=SF):
+    return spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet")
+
+
+def held(spark, remainder):
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == remainder
+
+
+def test_quality_ranks_held_out_rows(spark):
+    docs, labels = tables(spark)
+    got = quality_scores(docs, labels).join(labels, "doc_id")
+    assert got.where("held_out").where(~held(spark, 0)).count() == 0
+    rows = got.where("held_out").collect()
+    assert np.mean([r["predicted"] == r["quality"] for r in rows]) >= 0.97
+    assert all((r["score"] >= 0.3) == bool(r["predicted"]) and 0 <= r["score"] <= 1 for r in rows)
+
+
+def test_pairs_order_what_they_compare():
+    rng = np.random.default_rng(0)
+    x = rng.standard_normal((300, 14))
+    label = (x[:, 3] + 0.1 * rng.standard_normal(300) > 0).astype(int)
+    model = fit_pairs(x, label, at_cut=0.3, pairs=5000, seed=1, l2=1e-3)
+    raw = model.raw(x)
+    right = [raw[i] > raw[j] for i, j in itertools.product(np.flatnonzero(label)[:50], np.flatnonzero(label == 0)[:50])]
+    assert np.mean(right) > 0.95
+    assert ((model.score(x) >= 0.3) == (raw >= model.cut)).all()
+
+
+def test_one_class_has_no_order():
+    model = fit_pairs(np.zeros((3, 14)), np.ones(3, int), at_cut=0.3, pairs=10, seed=1, l2=1e-3)
+    assert (model.score(np.zeros((2, 14))) >= 0.3).all()
+
+
+def test_features_without_words():
+    assert features(None) == features("") == features(" \n") and len(features("a b")) == len(features(""))
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.sampled_from("abc"), max_size=14))
+def test_words_in_repeated_windows(words):
+    ids = np.array([ord(w) - 97 for w in words], np.int64)
+    windows = [tuple(words[i : i + 3]) for i in range(len(words) - 2)]
+    covered = {k for i, w in enumerate(windows) if windows.count(w) > 1 for k in range(i, i + 3)}
+    assert repeated_in_windows(ids) == len(covered)
+
+
+def test_base_counts():
+    text = "Äb# c$ \nx y\n  \nx y\nx y \n z"
+    words = text.encode().split()
+    assert base_counts(text, words) == (len(words), sum(len(w.decode()) for w in words), 2, 1, 6)
+    assert base_counts(None, []) == (0, 0, 0, 0, 0)
+
+
+def test_rules_keep_the_good_ones(spark):
+    docs, labels = tables(spark)
+    got = quality_rules(docs, labels).join(labels, "doc_id").where(held(spark, 0)).collect()
+    assert np.mean([r["kept"] == bool(r["quality"]) for r in got if not r["base_failed"]]) >= 0.97
+    for r in got:
+        assert r["base_failed"] == (r["n_words"] < 50 or 100 * r["n_repeat_words"] > 50 * r["n_words"])
+        assert not (r["base_failed"] and r["kept"])
+
+
+def test_toxicity_on_held_out_rows(spark):
+    docs, labels = tables(spark)
+    rows = toxicity_scores(docs, labels).join(labels, "doc_id").where("held_out").collect()
+    assert np.mean([r["predicted"] == r["toxic"] for r in rows]) >= 0.95
+    assert not any(r["predicted"] for r in rows if not r["toxic"])
+
+
+def distance(a, b):
+    line = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        before, line[0] = line[0], i
+        for j, y in enumerate(b, 1):
+            before, line[j] = line[j], min(line[j] + 1, line[j - 1] + 1, before + (x != y))
+    return line[-1]
+
+
+@settings(max_examples=60, deadline=None)
+@given(
+    st.sets(st.text("abc", min_size=1, max_size=6), min_size=1, max_size=5),
+    st.sets(st.text("abc", min_size=2, max_size=4), max_size=2),
+    st.lists(st.text("abcx", max_size=9), max_size=30),
+    st.sampled_from([0, 1, 2]),
+)
+def test_automaton_equals_distances(words, stems, tried, most):
+    errors = {w: most if len(w) > 2 else 0 for w in words}
+    found = automaton_of(sorted(words), sorted(stems), errors).kinds(tried)
+
+    def kind(t):
+        if t in words:
+            return EXACT
+        if any(t.startswith(s) for s in stems):
+            return STEM
+        return FUZZY if any(distance(t, w) <= errors[w] for w in words) else 0
+
+    assert found.tolist() == [kind(t) for t in tried]
+
+
+def test_automaton_finds_misspellings():
+    automaton = automaton_of(["idiot", "worthless"], ["lowei"], {"idiot": 1, "worthless": 1})
+    tried = ["idiot", "idi0t", "idot", "idioot", "iidiots", "worth1ess", "loweisch", "lowe", "plain", "idiot" * 20]
+    assert automaton.kinds(tried).tolist() == [1, 3, 3, 3, 0, 3, 2, 0, 0, 0]
+
+
+@pytest.mark.parametrize(
+    ("text", "weight"),
+    [
+        ("you are an idiot", 1.0),
+        ('he was "an idiot" there', 0.25),
+        ("sie “ein idiot” da", 0.25),
+        ("the word idiot is rude", 0.5),
+        ('she said "you idiot" once', 0.125),
+        ('an "odd" idiot', 1.0),
+    ],
+)
+def test_quotation_weighs_less(text, weight):
+    words = tokens(text)
+    assert context_weight(words, words.index("idiot")) == weight
+
+
+@pytest.mark.parametrize("run", [quality_scores, toxicity_scores, quality_rules])
+def test_odd_rows(spark, documents, odd_rows, clashing, run):
+    labels = spark.createDataFrame([(1, 1, 0), (2, 0, 1), (2, 1, 0), (6, 0, 0), (None, 1, 1), (7, None, None), (99, 0, 1)], LABELS)
+    got = run(clashing(documents(odd_rows)), clashing(labels)).collect()
+    assert len(got) == len(odd_rows)
+    assert sorted(str(r["doc_id"]) for r in got) == sorted(str(r[0]) for r in odd_rows)
+    assert len({tuple(r) for r in got if r["doc_id"] == 2}) == 1
+    assert run(documents([]), labels).count() == 0
+    assert run(documents(odd_rows), spark.createDataFrame([], LABELS)).count() == len(odd_rows)
