@@ -56,7 +56,7 @@ def row_struct(**columns: str) -> T.StructType:
     return T.StructType([T.StructField(k, T._parse_datatype_string(v)) for k, v in columns.items()])
 
 
-def parts_of(texts: list[str | None], characters: int = 1 << 21) -> Iterator[list[str | None]]:
+def parts_of(texts: list[str | None], characters: int = 1 << 20) -> Iterator[list[str | None]]:
     """The texts in order, in lists of about so many characters; a longer text is a list of its own."""
     part: list[str | None] = []
     size = 0

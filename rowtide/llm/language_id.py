@@ -121,8 +121,8 @@ class LanguageModel:
         """Cross-entropy per symbol of each text in each language, and the number of symbols."""
         keys, text = grams(texts, self.is_letter)
         total = np.zeros((len(texts), len(self.langs)))
-        for a in range(0, len(keys), 1 << 19):
-            block = slice(a, a + (1 << 19))
+        for a in range(0, len(keys), 1 << 18):
+            block = slice(a, a + (1 << 18))
             log_p = self.log_probability(keys[block])
             for k in range(len(self.langs)):
                 total[:, k] += np.bincount(text[block], log_p[:, k], len(texts))
@@ -163,8 +163,8 @@ def gram_counts(training: DataFrame) -> DataFrame:
             for name in sorted(set(lang)):
                 mine = [t for t, of in zip(text, lang) if of == name]
                 sizes = np.cumsum([len(t or "") for t in mine])
-                # Parts of a few million characters bound the memory, whatever the batch.
-                for part in np.split(np.arange(len(mine)), np.searchsorted(sizes, np.arange(1 << 22, sizes[-1], 1 << 22))):
+                # Parts of about a million characters bound the memory, whatever the batch.
+                for part in np.split(np.arange(len(mine)), np.searchsorted(sizes, np.arange(1 << 20, sizes[-1], 1 << 20))):
                     keys, _ = grams([mine[i] for i in part], is_letter)
                     gram, count = np.unique(keys, return_counts=True)
                     yield pa.RecordBatch.from_arrays(

@@ -264,7 +264,7 @@ def remove_repeats(
     *,
     size: int = 13,
     depth: int = 2,
-    chunk_bytes: int = 8 << 20,
+    chunk_bytes: int = 4 << 20,
     cells_per_window: int = 4,
     as_text: bool = False,
 ) -> DataFrame:
