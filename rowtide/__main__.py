@@ -5,7 +5,7 @@
   insert   one row into a shop table, as column=value
   profile  column types and counts of a Parquet path
   lake     stream the topics of the shop tables into the lake
-  monitor  print the change records of the topics
+  monitor  print every change record of the topics, or write them as text
 """
 
 from __future__ import annotations
@@ -21,8 +21,9 @@ from rowtide.functions.typed import quoted
 from rowtide.operators.inserts import REASON
 from rowtide.operators.profile import display, profile
 from rowtide.plans import loads
-from rowtide.plans.lake import start_all
-from rowtide.plans.monitor import messages
+from rowtide.operators.decode import FAILFAST, PERMISSIVE
+from rowtide.plans.lake import QUARANTINE, start_all
+from rowtide.plans.monitor import start_printing_monitor, start_text_monitor
 from rowtide.session import KAFKA_PACKAGE, S3A_PACKAGE, build_session
 from rowtide.sources.connect import s3a_options
 from rowtide.sources.files import read_parquet
@@ -34,6 +35,8 @@ from rowtide.streaming.sink import DEFAULT_TRIGGER
 # File names of the shop tables.
 CSV_FILES = {"albumy": "albumy.csv", "klienci": "klienci.csv", "zamowienia": "zamowienia.csv"}
 SEED = "seed"
+# Records of a micro-batch at most, so that the first one is not a whole topic.
+MAX_OFFSETS = 1_000_000
 
 
 def stored_spec(table: str) -> TableSpec:
@@ -47,9 +50,14 @@ def load(spark: SparkSession, data: str, root: str) -> None:
     print("[INFO] All tables loaded." if done else "[INFO] Loaded before, nothing done.")
 
 
-def show(spark: SparkSession, tables: Sequence[str], root: str, rows: int) -> None:
+def show(spark: SparkSession, tables: Sequence[str], root: str, rows: int, out: str | None = None) -> None:
+    """Print the first rows; with ``out`` the executors write all of them there as text, a folder per table."""
     for table in tables:
-        display(loads.read_table(spark, root, stored_spec(table)), table, rows)
+        held = loads.read_table(spark, root, stored_spec(table))
+        display(held, table, rows)
+        if out:
+            held.write.mode("overwrite").csv(f"{out}/{table}", header=True)
+            print(f"[INFO] All rows of {table}: {out}/{table}")
 
 
 def insert(spark: SparkSession, table: str, values: Mapping[str, str], root: str) -> bool:
@@ -66,11 +74,11 @@ def insert(spark: SparkSession, table: str, values: Mapping[str, str], root: str
     return refused is None
 
 
-def lake(spark: SparkSession, tables: Sequence[str], root: str, servers: str, trigger: str, **options) -> None:
+def lake(spark: SparkSession, tables: Sequence[str], root: str, source: Mapping, trigger: str, **options) -> None:
     """Run one stream per table until one of them ends; say so once all of them read their topic."""
 
     def topic_stream(topic: str):
-        return kafka_stream(spark, kafka_options(servers, [topic]))
+        return kafka_stream(spark, kafka_options(topics=[topic], **source))
 
     jobs = start_all(topic_stream, [SHOP_TABLES[t] for t in tables], root, trigger=trigger, **options)
     with stopping(jobs):
@@ -79,20 +87,29 @@ def lake(spark: SparkSession, tables: Sequence[str], root: str, servers: str, tr
         await_any(spark)
 
 
-def monitor(spark: SparkSession, tables: Sequence[str], servers: str, checkpoint: str, trigger: str) -> None:
+def monitor(spark: SparkSession, tables: Sequence[str], source: Mapping, checkpoint: str, trigger: str, out: str | None) -> None:
+    """Print every message, or let the executors write them to text files below ``out``."""
     topics = [topic_of(t) for t in tables]
-    shown = messages(kafka_stream(spark, kafka_options(servers, topics)), topics).select("message")
-    job = (
-        shown.writeStream.format("console")
-        .option("truncate", "false")
-        .option("checkpointLocation", checkpoint)
-        .trigger(processingTime=trigger)
-        .start()
-    )
+    records = kafka_stream(spark, kafka_options(topics=topics, **source))
+    if out:
+        job = start_text_monitor(records, topics, out, checkpoint, trigger=trigger)
+    else:
+        job = start_printing_monitor(records, topics, checkpoint, trigger=trigger)
     with stopping([job]):
         await_any(spark)
 
 
+def source_options(args: argparse.Namespace) -> dict:
+    """What the stream commands say about their source."""
+    return {
+        "servers": args.servers,
+        "starting": args.starting,
+        "fail_on_data_loss": args.fail_on_data_loss,
+        "max_offsets_per_trigger": args.max_offsets or None,
+        "min_partitions": args.min_partitions,
+    }
+
+
 def parser() -> argparse.ArgumentParser:
     top = argparse.ArgumentParser(prog="rowtide", description=__doc__, formatter_class=argparse.RawTextHelpFormatter)
     jobs = top.add_subparsers(dest="job", required=True)
@@ -107,10 +124,16 @@ def parser() -> argparse.ArgumentParser:
         if stream:
             p.add_argument("--servers", default=os.environ.get("KAFKA_BOOTSTRAP_SERVERS", "localhost:9092"))
             p.add_argument("--trigger", default=DEFAULT_TRIGGER)
+            p.add_argument("--starting", default="earliest", help="where a new checkpoint starts: earliest, latest or a JSON offset map")
+            p.add_argument("--max-offsets", type=int, default=MAX_OFFSETS, help="records of a micro-batch at most; 0 for no bound")
+            p.add_argument("--min-partitions", type=int, help="tasks that read the topics, at least")
+            p.add_argument("--fail-on-data-loss", action="store_true", help="stop where log segments are gone, instead of going on behind them")
         return p
 
     job("load").add_argument("--data", default="data", help="folder of the CSV files")
-    job("show", tables=True).add_argument("--rows", type=int, default=20)
+    shown = job("show", tables=True)
+    shown.add_argument("--rows", type=int, default=20)
+    shown.add_argument("--out", help="folder to which all rows are written")
     put = job("insert")
     put.add_argument("table", choices=names)
     put.add_argument("values", nargs="+", metavar="COLUMN=VALUE")
@@ -118,7 +141,12 @@ def parser() -> argparse.ArgumentParser:
     sink = job("lake", stream=True, tables=True)
     sink.add_argument("--coerce", action="store_true", help="read text as the declared type")
     sink.add_argument("--keep-meta", action="store_true", help="keep operation, table and delete flag")
-    job("monitor", root=False, stream=True, tables=True).add_argument("--checkpoint", required=True)
+    sink.add_argument("--keep-source", action="store_true", help="keep key, topic, partition and offset")
+    sink.add_argument("--by-day", action="store_true", help="a partition per day of broker time")
+    sink.add_argument("--on-malformed", choices=[PERMISSIVE, FAILFAST, QUARANTINE], default=PERMISSIVE)
+    watch = job("monitor", root=False, stream=True, tables=True)
+    watch.add_argument("--checkpoint", required=True)
+    watch.add_argument("--out", help="folder for text files, instead of printing")
     return top
 
 
@@ -138,17 +166,17 @@ def main(argv: Sequence[str] | None = None, spark: SparkSession | None = None) -
         case "load":
             load(spark, args.data, args.root)
         case "show":
-            show(spark, args.tables, args.root, args.rows)
+            show(spark, args.tables, args.root, args.rows, args.out)
         case "insert":
             return 0 if insert(spark, args.table, dict(v.split("=", 1) for v in args.values), args.root) else 1
         case "profile":
-            profile(read_parquet(spark, args.path)).show(1000, truncate=False)
+            df = read_parquet(spark, args.path)
+            profile(df).show(len(df.columns), truncate=False)
         case "lake":
-            lake(
-                spark, args.tables, args.root, args.servers, args.trigger, coerce=args.coerce, keep_meta=args.keep_meta
-            )
+            options = {name: getattr(args, name) for name in ("coerce", "keep_meta", "keep_source", "by_day", "on_malformed")}
+            lake(spark, args.tables, args.root, source_options(args), args.trigger, **options)
         case "monitor":
-            monitor(spark, args.tables, args.servers, args.checkpoint, args.trigger)
+            monitor(spark, args.tables, source_options(args), args.checkpoint, args.trigger, args.out)
     return 0
 
 

@@ -6,7 +6,21 @@ from collections.abc import Collection, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructType
+from pyspark.sql.types import DataType, DoubleType, FloatType, StringType, StructType
+
+
+# Fixed value: the text a database column of a floating type takes. Spark's cast
+# alone also takes the suffixes of literals, such as 12d and 12f.
+FLOATING_TEXT = r"(?i)^\s*[+-]?((\d+\.?\d*|\.\d+)(e[+-]?\d+)?|nan|inf|infinity)\s*$"
+
+
+def from_text(raw: Column, kind: DataType) -> Column:
+    """Text as the type; NULL where it is no such value."""
+    if isinstance(kind, StringType):
+        return raw
+    if isinstance(kind, (FloatType, DoubleType)):
+        return F.when(raw.rlike(FLOATING_TEXT), raw.try_cast(kind))
+    return raw.try_cast(kind)
 
 
 def typed_columns(schema: StructType, source: str | None = None, strict: Collection[str] = ()) -> list[Column]:
@@ -19,7 +33,7 @@ def typed_columns(schema: StructType, source: str | None = None, strict: Collect
     for field in schema:
         name = quoted(field.name) if source is None else f"{source}.{quoted(field.name)}"
         raw = F.col(name)
-        cast = raw if isinstance(field.dataType, StringType) else raw.try_cast(field.dataType)
+        cast = from_text(raw, field.dataType)
         if field.name in strict and cast is not raw:
             message = F.concat(F.lit(f"{field.name}: no {field.dataType.simpleString()}: "), raw)
             cast = F.when(raw.isNotNull() & cast.isNull(), F.raise_error(message)).otherwise(cast)
@@ -30,7 +44,7 @@ def typed_columns(schema: StructType, source: str | None = None, strict: Collect
 def bad_columns(schema: StructType) -> Column:
     """Names of the columns whose text cannot be read as the declared type."""
     checks = [
-        F.when(F.col(quoted(f.name)).isNotNull() & F.col(quoted(f.name)).try_cast(f.dataType).isNull(), f.name)
+        F.when(F.col(quoted(f.name)).isNotNull() & from_text(F.col(quoted(f.name)), f.dataType).isNull(), f.name)
         for f in schema
         if not isinstance(f.dataType, StringType)
     ]

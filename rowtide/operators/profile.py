@@ -31,9 +31,11 @@ def profile(df: DataFrame) -> DataFrame:
 
 
 def display(df: DataFrame, title: str, rows: int = 20) -> None:
-    """Print a heading and at most ``rows`` rows; an empty table is reported as such."""
+    """Print a heading, at most ``rows`` rows, and how many of how many that are."""
     print(f"--- {title} ---")
-    if df.isEmpty():
+    held = df.count()
+    if not held:
         print("[INFO] The table is empty.")
     else:
         df.show(rows, truncate=False)
+        print(f"[INFO] {min(rows, held)} of {held} rows.")

@@ -19,7 +19,7 @@ from pyspark.sql.types import (
 )
 
 from rowtide.functions import records as rec
-from rowtide.functions.typed import cols, typed_columns
+from rowtide.functions.typed import cols, from_text, quoted
 from rowtide.operators.decode import META_FIELDS, decode
 from rowtide.session import stored
 from rowtide.specs import TableSpec
@@ -52,23 +52,32 @@ def _comparable(kind: DataType) -> bool:
 
 
 def replay_rows(rows: DataFrame, key: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """Current state from flattened rows: the last row of a key unless it is a delete.
+    """Current state from flattened rows: the last row of a key unless ``__op`` or ``__deleted`` says it is gone.
 
     ``__op``, ``__table``, ``__deleted`` and the order columns are dropped.
     """
-    state = latest(rows, key, order).where(F.coalesce(F.col(rec.OP) != "d", F.lit(True)))
-    return state.drop(*META_FIELDS, *order)
+    state = latest(rows, key, order)
+    return state.where(~_gone(state.columns)).drop(*META_FIELDS, *order)
+
+
+def _gone(columns: Sequence[str]) -> Column:
+    """Whether a row is a delete: by its operation, or by the flag a delete is rewritten to."""
+    marks = [F.col(rec.OP) == "d"] if rec.OP in columns else []
+    if rec.DELETED in columns:
+        marks.append(F.col(rec.DELETED) == "true")
+    return reduce(or_, [F.coalesce(m, F.lit(False)) for m in marks], F.lit(False))
 
 
 def replay(records: DataFrame, spec: TableSpec, *, coerce: bool = True) -> DataFrame:
     """Current state of a table from the raw records of its topic.
 
-    Records are reduced to the last of each key before any JSON is parsed. Order
-    is the offset, which holds because a key stays in one partition. A record
-    without a key, or a last record that gives no key column, fails the job: it
-    cannot be told which row it stands for.
+    The key of each record is parsed to the key columns, so that a key is the
+    same however its JSON is spelled; of the values only those of the last
+    records are parsed. Order is the offset, which holds because a key stays in
+    one partition. A record without a key, or a last record that gives no key
+    column, fails the job: it cannot be told which row it stands for.
     """
-    return _rows(_last_records(records), spec, coerce)
+    return _rows(_last_records(records, spec, coerce), spec, coerce)
 
 
 def apply_changes(state: DataFrame, records: DataFrame, spec: TableSpec, *, coerce: bool = True) -> DataFrame:
@@ -79,27 +88,46 @@ def apply_changes(state: DataFrame, records: DataFrame, spec: TableSpec, *, coer
     an anti join. While the named keys are few enough to be broadcast, the state
     is read once and not shuffled, nor is it if it is bucketed by the key.
     """
-    last = stored(_last_records(records), "last-records")
-    key = StructType([spec.schema[k] for k in spec.key])
-    text = StructType([StructField(k, StringType()) for k in spec.key])
-    parsed = last.select(F.from_json(rec.as_text(F.col("key")), text if coerce else key).alias("key"))
-    named = parsed.select(*(typed_columns(key, "key") if coerce else ["key.*"]))
+    last = stored(_last_records(records, spec, coerce), "last-records")
     unusable = F.raise_error(F.lit(f"{spec.name}: a record's key gives no key column"))
-    named = named.where(F.when(_no_key(spec), unusable).otherwise(F.lit(True)))
+    # In the columns and not in a filter: a join's own test for NULL keys would come before that.
+    named = last.select(*[F.when(F.col(RAW_KEY).isNotNull(), unusable).otherwise(F.col(f"{KEY}.{quoted(k)}")).alias(k) for k in spec.key])
     kept = state.select(*cols(spec.columns)).join(named, list(spec.key), "left_anti")
     return kept.unionByName(_rows(last, spec, coerce))
 
 
-def _last_records(records: DataFrame) -> DataFrame:
+# The key columns of a record as one struct, and its raw key where that gives none.
+KEY, RAW_KEY = "_key", "_raw_key"
+
+
+def _last_records(records: DataFrame, spec: TableSpec, coerce: bool) -> DataFrame:
     unkeyed = F.raise_error(F.lit("record without a key"))
     keyed = records.where(F.when(F.col("key").isNull(), unkeyed).otherwise(F.lit(True)))
-    return latest(keyed.select("key", "offset", "value", "timestamp"), ["key"], ["offset"])
+    rest = [F.col("offset"), F.col("value"), F.col("timestamp")]
+    if not spec.key:
+        last = latest(keyed.select(F.col("key").alias(RAW_KEY), *rest), [RAW_KEY], ["offset"])
+        return last.withColumn(KEY, F.lit(None))
+    key = StructType([spec.schema[k] for k in spec.key])
+    text = StructType([StructField(k, StringType()) for k in spec.key])
+    # One struct from one parse, so that the columns do not each parse the key again.
+    parsed = F.from_json(rec.as_text(F.col("key")), text if coerce else key)
+
+    def typed(found: Column) -> Column:
+        fields = [from_text(found[k], spec.schema[k].dataType) if coerce else found[k] for k in spec.key]
+        missing = reduce(or_, [f.isNull() for f in fields], found.isNull())
+        return F.struct(
+            F.when(~missing, F.struct(*[f.alias(k) for f, k in zip(fields, spec.key)])).alias(KEY),
+            F.when(missing, F.col("key")).alias(RAW_KEY),
+        )
+
+    named = keyed.select(rec.once(parsed, typed).alias("_both"), *rest).select("_both.*", *rest)
+    return latest(named, [KEY, RAW_KEY], ["offset"])
 
 
 def _rows(last: DataFrame, spec: TableSpec, coerce: bool) -> DataFrame:
     """The table rows of the last records: no tombstones, no deletes."""
     rows = decode(last.where(~rec.is_tombstone(F.col("value"))), spec, coerce=coerce, keep_meta=True)
-    row = F.when(F.coalesce(F.col(rec.OP) != "d", F.lit(True)), F.struct(*cols(spec.columns)))
+    row = F.when(~_gone(META_FIELDS), F.struct(*cols(spec.columns)))
     if spec.key:
         unusable = F.raise_error(F.lit(f"{spec.name}: last record of a key gives no key column"))
         row = F.when(_no_key(spec), unusable).otherwise(row)

@@ -9,12 +9,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from rowtide.functions import records as rec
 from rowtide.operators.decode import PERMISSIVE, decode
 from rowtide.sources.kafka import subscribe
 from rowtide.specs import TableSpec, topic_of
 from rowtide.streaming.sink import DEFAULT_TRIGGER, append_to_lake
 
 DAY = "kafka_date"
+QUARANTINE = "quarantine"
+MALFORMED_SUFFIX = "_malformed"
 
 
 def start_table_job(
@@ -25,21 +28,34 @@ def start_table_job(
     trigger: str = DEFAULT_TRIGGER,
     coerce: bool = False,
     keep_meta: bool = False,
+    keep_source: bool = False,
     on_malformed: str = PERMISSIVE,
     by_day: bool = False,
 ) -> StreamingQuery:
     """Decode one table's record stream and append it to the lake.
 
+    ``keep_source`` keeps key, topic, partition and offset, without which the
+    table cannot be replayed. With ``on_malformed="quarantine"`` records that
+    are no JSON object are left out; ``start_quarantine_job`` stores them.
+
     ``by_day`` adds the broker date as a partition column, so that readers of a
     time range open only its files.
     """
-    rows = decode(records, spec, coerce=coerce, keep_meta=keep_meta, on_malformed=on_malformed)
+    if on_malformed == QUARANTINE:
+        records, on_malformed = records.where(~rec.is_malformed(F.col("value"))), PERMISSIVE
+    rows = decode(records, spec, coerce=coerce, keep_meta=keep_meta, keep_source=keep_source, on_malformed=on_malformed)
     partition_by: Sequence[str] = ()
     if by_day:
         rows, partition_by = rows.withColumn(DAY, F.to_date("kafka_timestamp")), (DAY,)
     return append_to_lake(rows, root, spec.name, trigger=trigger, partition_by=partition_by)
 
 
+def start_quarantine_job(records: DataFrame, spec: TableSpec, root: str, *, trigger: str = DEFAULT_TRIGGER) -> StreamingQuery:
+    """Append the table's malformed records as they came, to a path of their own beside the table's."""
+    broken = records.where(rec.is_malformed(F.col("value")))
+    return append_to_lake(broken, root, f"{spec.name}{MALFORMED_SUFFIX}", trigger=trigger)
+
+
 def start_all(
     source: Callable[[str], DataFrame],
     specs: Iterable[TableSpec],
@@ -63,7 +79,11 @@ def start_all(
             records = subscribe(source(name), [name])
             with scheduler_pool(records, spec.name):
                 jobs.append(start_table_job(records, spec, root, **options))
-            started.callback(jobs[-1].stop)
+                started.callback(jobs[-1].stop)
+                if options.get("on_malformed") == QUARANTINE:
+                    trigger = options.get("trigger", DEFAULT_TRIGGER)
+                    jobs.append(start_quarantine_job(records, spec, root, trigger=trigger))
+                    started.callback(jobs[-1].stop)
         started.pop_all()
     return jobs
 

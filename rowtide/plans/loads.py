@@ -9,6 +9,7 @@ run side by side do not see each other.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 from functools import reduce
 from operator import or_
@@ -61,6 +62,7 @@ def load_csv_tables(
     not of its type, repeated, or already in a table fails the load for all
     tables, and so does any other cell that is not of its column's type.
     """
+    _check_id(load_id)
     if is_committed(spark, root, load_id):
         return False
     specs = specs or csv_specs(spark, files)
@@ -89,6 +91,7 @@ def insert_rows(
     The verdicts are stored first: accepted and rejected rows then come from one
     evaluation, also when a task is run again.
     """
+    _check_id(load_id)
     if is_committed(spark, root, load_id):
         raise LoadError(f"load {load_id} is committed already")
     verdicts = inserts.insertable(read_table(spark, root, spec), incoming_text, spec, arrival)
@@ -98,6 +101,12 @@ def insert_rows(
     return inserts.rejected(judged)
 
 
+def _check_id(load_id: str) -> None:
+    """An id names a folder and is read back from its name, so it has only what a name keeps as it is."""
+    if not re.fullmatch(r"[A-Za-z0-9._-]+", load_id):
+        raise LoadError(f"load id {load_id!r} is not made of letters, digits, dot, dash and underscore")
+
+
 def _stage(df: DataFrame, root: str, table: str, load_id: str) -> None:
     df.write.mode("overwrite").parquet(f"{root}/{table}/load_id={load_id}")
 

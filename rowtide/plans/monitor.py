@@ -17,6 +17,28 @@ def messages(records: DataFrame, topics: Sequence[str], *, stamp: bool = True) -
     return render_messages(describe(subscribe(records, topics)), stamp)
 
 
+def start_printing_monitor(records: DataFrame, topics: Sequence[str], checkpoint: str, *, trigger: str = DEFAULT_TRIGGER) -> StreamingQuery:
+    """Print every message of every micro-batch, line breaks and all.
+
+    The driver holds the messages of one partition at a time. For more than a
+    person reads, ``start_text_monitor`` lets the executors write them.
+    """
+
+    def show(batch: DataFrame, _: int) -> None:
+        for row in batch.toLocalIterator():
+            print(row["message"], flush=True)
+
+    return (
+        messages(records, topics)
+        .select("message")
+        .writeStream.foreachBatch(show)
+        .queryName("monitor")
+        .option("checkpointLocation", checkpoint)
+        .trigger(processingTime=trigger)
+        .start()
+    )
+
+
 def start_text_monitor(
     records: DataFrame,
     topics: Sequence[str],

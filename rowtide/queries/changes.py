@@ -65,7 +65,7 @@ def delete_tombstones(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = changes.flatten(event_envelopes(table(spark, sf_dir, "events")), "events", carry=["sequence"])
     records = to_records(rows, ["event_id"], EVENTS_TOPIC, "sequence", tombstones=True)
     return records.select(
-        F.col("key").cast("string").alias("key"), "topic", "offset", F.col("value").isNull().alias("no_value")
+        F.col("key").cast("string").alias("key"), "topic", "offset", F.col("value").cast("string").alias("value")
     )
 
 
@@ -83,6 +83,24 @@ def replay_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     return replay(log, TableSpec("events", events.schema, ("user_id",)))
 
 
+def replay_deleted_flag(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same log without operations: a delete has only the flag that deletes are rewritten to."""
+    events = table(spark, sf_dir, "events")
+    rows = events.withColumn("__deleted", F.when(event_op() == "d", "true").otherwise("false"))
+    log = to_records(rows.withColumn("sequence", F.col("event_id")), ["user_id"], EVENTS_TOPIC, "sequence")
+    return replay(log, TableSpec("events", events.schema, ("user_id",)))
+
+
+def replay_key_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same log, every second key with spaces in its JSON."""
+    events = table(spark, sf_dir, "events")
+    rows = events.withColumn("__op", event_op()).withColumn("sequence", F.col("event_id"))
+    log = to_records(rows, ["user_id"], EVENTS_TOPIC, "sequence")
+    spaced = F.replace(F.col("key").cast("string"), F.lit(":"), F.lit(" : ")).cast("binary")
+    odd = F.col("offset").bitwiseAND(2) > 0
+    return replay(log.withColumn("key", F.when(odd, spaced).otherwise(F.col("key"))), TableSpec("events", events.schema, ("user_id",)))
+
+
 def replay_line_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line items as versions of their key: the last one by ship date and the other columns."""
     lines = table(spark, sf_dir, "lineitem")
@@ -115,6 +133,8 @@ QUERIES = {
     "delete_tombstones": delete_tombstones,
     "json_encode": json_encode,
     "replay_state": replay_state,
+    "replay_deleted_flag": replay_deleted_flag,
+    "replay_key_spelling": replay_key_spelling,
     "replay_line_versions": replay_line_versions,
     "replay_round_trip": replay_round_trip,
     "apply_changes": apply_changes,
@@ -122,6 +142,11 @@ QUERIES = {
 
 ORDER_COLUMNS = ("orderkey", "custkey", "orderstatus", "totalprice", "orderdate", "orderpriority")
 
+LAST_EVENTS_SQL = """
+    select event_id, ts, user_id, event_type, value, props
+    from (select *, row_number() over (partition by user_id order by event_id desc) as nth from events)
+    where nth = 1 and event_type <> 'error'"""
+
 SQL = {
     "change_feed": f"""
         with {ORDER_STATES_SQL}
@@ -143,21 +168,25 @@ SQL = {
         select *, {EVENT_OP_SQL} as __op, 'events' as __table,
                case when event_type = 'error' then 'true' else 'false' end as __deleted
         from events""",
-    "delete_tombstones": """
-        select '{"event_id":' || event_id || '}' as key, 'dbserver1.public.events' as topic,
-               event_id * 2 as "offset", false as no_value from events
+    "delete_tombstones": f"""
+        select '{{"event_id":' || event_id || '}}' as key, 'dbserver1.public.events' as topic,
+               event_id * 2 as "offset",
+               '{{"event_id":' || event_id || ',"ts":"' || strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') || '","user_id":' ||
+               user_id || ',"event_type":"' || event_type || '","value":' || value || ',"props":' ||
+               cast(to_json(props) as varchar) || ',"__op":"' || {EVENT_OP_SQL} || '","__table":"events","__deleted":"' ||
+               case when event_type = 'error' then 'true' else 'false' end || '"}}' as value
+        from events
         union all
-        select '{"event_id":' || event_id || '}', 'dbserver1.public.events', event_id * 2 + 1, true
+        select '{{"event_id":' || event_id || '}}', 'dbserver1.public.events', event_id * 2 + 1, null
         from events where event_type = 'error'""",
     "json_encode": """
         select '{"c_custkey":' || c_custkey || '}' as key,
                cast(to_json({'c_custkey': c_custkey, 'c_name': c_name, 'c_nationkey': c_nationkey,
                              'c_acctbal': c_acctbal, 'c_mktsegment': c_mktsegment}) as varchar) as value
         from customer""",
-    "replay_state": """
-        select event_id, ts, user_id, event_type, value, props
-        from (select *, row_number() over (partition by user_id order by event_id desc) as nth from events)
-        where nth = 1 and event_type <> 'error'""",
+    "replay_state": LAST_EVENTS_SQL,
+    "replay_deleted_flag": LAST_EVENTS_SQL,
+    "replay_key_spelling": LAST_EVENTS_SQL,
     "replay_line_versions": """
         select * exclude (nth)
         from (select *, row_number() over (

@@ -105,7 +105,7 @@ def table_of_topic(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def flat_event_records(spark: SparkSession, sf_dir: str, tombstones: bool = False) -> DataFrame:
-    rows = flatten(event_envelopes(table(spark, sf_dir, "events")), "events", carry=["sequence"]).drop("ts")
+    rows = flatten(event_envelopes(table(spark, sf_dir, "events")), "events", carry=["sequence"])
     return to_records(rows, ["event_id"], EVENTS_TOPIC, "sequence", tombstones=tombstones)
 
 
@@ -174,6 +174,7 @@ SQL = {
         from events""",
     "strip_metadata": """
         select event_id, 'event_id' as name, cast(event_id as varchar) as value from events
+        union all select event_id, 'ts', strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') from events
         union all select event_id, 'user_id', cast(user_id as varchar) from events
         union all select event_id, 'event_type', event_type from events
         union all select event_id, 'value', regexp_replace(cast(value as varchar), '\\.0$', '') from events
@@ -185,6 +186,7 @@ SQL = {
                                when 'error' then 'DELETE' else 'UNKNOWN (x)' end ||
                chr(10) || '  key   : {{''event_id'': ' || event_id || '}}' || chr(10) || '  record: {{' || chr(10) ||
                '    "event_id": ' || event_id || ',' || chr(10) ||
+               '    "ts": "' || strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') || '",' || chr(10) ||
                '    "user_id": ' || user_id || ',' || chr(10) ||
                '    "event_type": "' || event_type || '",' || chr(10) ||
                '    "value": ' || value || ',' || chr(10) ||

@@ -9,14 +9,17 @@ from pyspark.sql import functions as F
 
 from rowtide.operators.encode import json_bytes, to_records
 from rowtide.plans.lake import start_all, start_table_job
-from rowtide.queries.inputs import event_records, spec_of, table
+from rowtide.operators.replay import replay_rows
+from rowtide.queries.inputs import event_op, event_records, spec_of, table
 from rowtide.session import work_dir
 from rowtide.sources.kafka import append_log, stored_stream
 from rowtide.specs import TableSpec, topic_of
-from rowtide.streaming.lifecycle import finish, progress_frame, stopping
+from rowtide.streaming.lifecycle import finish, logging_progress, stopping
 from rowtide.streaming.sink import AVAILABLE_NOW, lake_path
 
 FANNED_OUT = ("customer", "part", "orders")
+# Files of the log of the progress query, each a micro-batch.
+PROGRESS_FILES = 12
 
 
 def event_stream(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, TableSpec]:
@@ -75,18 +78,36 @@ def stream_fan_out(spark: SparkSession, sf_dir: str) -> DataFrame:
     stored = []
     for name, spec in specs.items():
         rows = spark.read.parquet(lake_path(f"{root}/lake", name))
-        row_text = F.concat_ws("|", *[F.col(c).cast("string") for c in spec.columns if c != "o_orderdate"])
+        row_text = F.concat_ws("|", *[F.col(c).cast("string") for c in spec.columns])
         stored.append(rows.select(F.lit(name).alias("table_name"), F.col(spec.key[0]).alias("id"), row_text.alias("row")))
     return reduce(DataFrame.unionAll, stored)
 
 
 def stream_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows taken in and batches with data, from the progress reports of one run."""
-    records, spec = event_stream(spark, sf_dir)
-    job = start_table_job(records, spec, work_dir(spark, "progress"), trigger=AVAILABLE_NOW)
-    finish([job])
-    reports = progress_frame(spark, [job])
-    return reports.groupBy("name").agg(F.sum("num_input_rows").alias("input_rows"))
+    """Rows taken in and batches with data, from all progress reports of a run over a log in many files."""
+    events = table(spark, sf_dir, "events")
+    root = work_dir(spark, "progress")
+    append_log(event_records(events, json_bytes(events.columns)).repartition(PROGRESS_FILES, "offset"), f"{root}/log")
+    records = stored_stream(spark, f"{root}/log", max_files_per_trigger=1)
+    with logging_progress(spark, f"{root}/reports") as log:
+        job = start_table_job(records, spec_of(events, "events"), f"{root}/lake", trigger=AVAILABLE_NOW)
+        finish([job])
+        reports = log.frame([job]).where(F.col("run_id") == str(job.runId))
+    return reports.where("num_input_rows > 0").groupBy("name").agg(
+        F.sum("num_input_rows").alias("input_rows"), F.count(F.lit(1)).alias("batches")
+    )
+
+
+def lake_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events keyed by user, streamed to the lake with key and offset, and replayed from there."""
+    schema = table(spark, sf_dir, "events").schema
+    events = spark.readStream.schema(schema).parquet(f"{sf_dir}/{{events.parquet}}").withColumn("__op", event_op())
+    records = event_records(events, json_bytes([*schema.names, "__op"]), key=["user_id"])
+    spec = TableSpec("events", schema, ("user_id",))
+    root = work_dir(spark, "lake-replay")
+    finish([start_table_job(records, spec, root, trigger=AVAILABLE_NOW, keep_meta=True, keep_source=True)])
+    rows = spark.read.parquet(lake_path(root, spec.name)).select(*spec.columns, "__op", "__deleted", "kafka_offset")
+    return replay_rows(rows, spec.key, ["kafka_offset"])
 
 
 QUERIES = {
@@ -94,6 +115,7 @@ QUERIES = {
     "stream_restart": stream_restart,
     "stream_fan_out": stream_fan_out,
     "stream_progress": stream_progress,
+    "lake_replay": lake_replay,
 }
 
 LAKE_EVENTS_SQL = "select *, ts as kafka_timestamp, true as processed from events"
@@ -108,6 +130,13 @@ SQL = {
         select 'part', p_partkey, concat_ws('|', p_partkey, p_name, p_brand, p_type, p_size, p_retailprice) from part
         union all
         select 'orders', o_orderkey,
-               concat_ws('|', o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderpriority) from orders""",
-    "stream_progress": "select 'events' as name, cast(count(*) as bigint) as input_rows from events",
+               concat_ws('|', o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority)
+        from orders""",
+    "stream_progress": f"""
+        select 'events' as name, cast(count(*) as bigint) as input_rows, cast({PROGRESS_FILES} as bigint) as batches
+        from events""",
+    "lake_replay": """
+        select event_id, ts, user_id, event_type, value, props
+        from (select *, row_number() over (partition by user_id order by event_id desc) as nth from events)
+        where nth = 1 and event_type <> 'error'""",
 }

@@ -54,17 +54,12 @@ def all_tables_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     specs = {name: spec_of(df, name) for name, df in source.items()}
     paths = {name: write_csv(df, f"{root}/csv/{name}") for name, df in source.items()}
     load_csv_tables(spark, paths, f"{root}/lake", "seed", specs=specs)
-    counts = []
+    scanned = []
     for name, spec in specs.items():
         rows = read_table(spark, f"{root}/lake", spec)
-        counts.append(
-            rows.agg(
-                F.lit(name).alias("table_name"),
-                F.count(F.lit(1)).alias("row_count"),
-                F.sum(spec.key[0]).alias("key_sum"),
-            )
-        )
-    return reduce(DataFrame.unionAll, counts)
+        row_text = F.concat_ws("|", *[F.col(c).cast("string") for c in spec.columns])
+        scanned.append(rows.select(F.lit(name).alias("table_name"), F.col(spec.key[0]).alias("id"), row_text.alias("row")))
+    return reduce(DataFrame.unionAll, scanned)
 
 
 def table_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -163,9 +158,14 @@ SQL = {
                cast(c_acctbal as varchar) as c_acctbal, c_mktsegment
         from customer""",
     "all_tables_scan": """
-        select 'customer' as table_name, count(*) as row_count, cast(sum(c_custkey) as bigint) as key_sum from customer
-        union all select 'part', count(*), cast(sum(p_partkey) as bigint) from part
-        union all select 'orders', count(*), cast(sum(o_orderkey) as bigint) from orders""",
+        select 'customer' as table_name, c_custkey as id,
+               concat_ws('|', c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment) as row from customer
+        union all
+        select 'part', p_partkey, concat_ws('|', p_partkey, p_name, p_brand, p_type, p_size, p_retailprice) from part
+        union all
+        select 'orders', o_orderkey,
+               concat_ws('|', o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority)
+        from orders""",
     "table_profile": """
         with n as (
           select count(*) as row_count, count(o_orderkey) as c0, count(o_custkey) as c1, count(o_orderstatus) as c2,

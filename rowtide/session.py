@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Mapping
 
@@ -52,14 +51,12 @@ def build_session(
 def work_dir(spark: SparkSession, purpose: str) -> str:
     """A new folder below ``spark.checkpoint.dir``, which every executor can reach.
 
-    Only a local master may run without that setting; it then gets a temporary
-    folder, since driver and executors are one process.
+    Without that setting the context's checkpoint folder is used, and without
+    that there is none: a folder of one machine would be lost to the others.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        return tempfile.mkdtemp(prefix=f"rowtide-{purpose}-")
+        raise ValueError("set spark.checkpoint.dir to a folder all executors share")
     return f"{root.rstrip('/')}/rowtide/{purpose}-{uuid.uuid4().hex}"
 
 

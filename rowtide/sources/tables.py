@@ -6,7 +6,8 @@ from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rowtide.functions.typed import quoted
+from rowtide.errors import SchemaError
+from rowtide.functions.typed import cols, quoted
 from rowtide.operators.profile import display
 from rowtide.specs import TableSpec
 
@@ -19,8 +20,12 @@ def create_table(spark: SparkSession, spec: TableSpec, location: str | None = No
 
 
 def append_table(df: DataFrame, spec: TableSpec) -> None:
-    """Append rows, bound by column name."""
-    df.select(*[quoted(c) for c in spec.columns]).write.mode("append").insertInto(quoted(spec.name))
+    """Append rows, bound by column name whatever the order of the stored table's columns."""
+    stored = df.sparkSession.table(quoted(spec.name)).columns
+    if set(stored) != set(spec.columns):
+        raise SchemaError(f"{spec.name}: stored columns {stored} are not {spec.columns}")
+    # insertInto binds by position.
+    df.select(*cols(stored)).write.mode("append").insertInto(quoted(spec.name))
 
 
 def scan(spark: SparkSession, name: str) -> DataFrame | None:

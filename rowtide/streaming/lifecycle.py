@@ -5,9 +5,18 @@ from __future__ import annotations
 import time
 from collections.abc import Iterable, Iterator
 from contextlib import ExitStack, contextmanager
+from threading import Condition
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.listener import (
+    QueryIdleEvent,
+    QueryProgressEvent,
+    QueryStartedEvent,
+    QueryTerminatedEvent,
+    StreamingQueryListener,
+    StreamingQueryProgress,
+)
 from pyspark.sql.types import (
     DoubleType,
     LongType,
@@ -32,20 +41,23 @@ PROGRESS_SCHEMA = StructType(
 )
 
 
-def wait_until_ready(queries: Iterable[StreamingQuery], timeout: float = 60.0, pause: float = 0.05) -> None:
-    """Return once every query has reported progress, so its start position is fixed.
+def wait_until_ready(queries: Iterable[StreamingQuery], timeout: float | None = None, pause: float = 0.05) -> None:
+    """Return once the start position of every query is fixed.
 
     A query that was merely started may not have read its position yet; records
-    written before it does would be lost with a ``latest`` start.
+    written before it does would be lost with a ``latest`` start. The position
+    is fixed when the first batch is planned, however long that batch then
+    takes, or when a query without input has reported that. ``timeout`` is in
+    seconds; by default there is none.
     """
-    deadline = time.monotonic() + timeout
+    deadline = None if timeout is None else time.monotonic() + timeout
     for query in queries:
-        while query.lastProgress is None:
+        while query.lastProgress is None and not query.status["isDataAvailable"]:
             if not query.isActive:
                 query.awaitTermination()  # raises the query's own error
                 break
-            if time.monotonic() > deadline:
-                raise StreamNotReady(f"no progress of {query.name} in {timeout} s")
+            if deadline is not None and time.monotonic() > deadline:
+                raise StreamNotReady(f"no start position of {query.name} in {timeout} s")
             time.sleep(pause)
 
 
@@ -75,20 +87,78 @@ def stopping(queries: list[StreamingQuery]) -> Iterator[list[StreamingQuery]]:
         yield queries
 
 
-def progress_frame(spark: SparkSession, queries: Iterable[StreamingQuery]) -> DataFrame:
-    """The retained progress reports of the queries, one row per micro-batch."""
-    rows = [
-        (
-            str(p.id),
-            str(p.runId),
-            p.name,
-            p.timestamp,
-            p.batchId,
-            p.numInputRows,
-            float(p.inputRowsPerSecond),
-            float(p.processedRowsPerSecond),
-        )
-        for query in queries
-        for p in query.recentProgress
-    ]
-    return spark.createDataFrame(rows, PROGRESS_SCHEMA)
+class ProgressLog(StreamingQueryListener):
+    """Every progress report of the session's queries, appended to a Parquet table.
+
+    A query itself keeps about its last 100 reports. This listener gets each of
+    them and writes them out in parts of ``part``, so what the driver holds
+    stays small however long the queries run.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, part: int = 500):
+        self.spark, self.path, self.part = spark, path, part
+        self.waiting: list[tuple] = []
+        self.ended: set[str] = set()
+        self.changed = Condition()
+
+    def onQueryStarted(self, event: QueryStartedEvent) -> None:
+        pass
+
+    def onQueryProgress(self, event: QueryProgressEvent) -> None:
+        with self.changed:
+            self.waiting.append(report_row(event.progress))
+            if len(self.waiting) >= self.part:
+                self._write()
+
+    def onQueryIdle(self, event: QueryIdleEvent) -> None:
+        pass
+
+    def onQueryTerminated(self, event: QueryTerminatedEvent) -> None:
+        with self.changed:
+            self.ended.add(str(event.runId))
+            self.changed.notify_all()
+
+    def _write(self) -> None:
+        if self.waiting:
+            self.spark.createDataFrame(self.waiting, PROGRESS_SCHEMA).coalesce(1).write.mode("append").parquet(self.path)
+            self.waiting = []
+
+    def frame(self, queries: Iterable[StreamingQuery] = (), timeout: float = 60.0) -> DataFrame:
+        """All reports so far, one row per micro-batch.
+
+        Of the ``queries`` that have ended, the last report is waited for: it
+        comes before the message that the query ended.
+        """
+        over = {str(q.runId) for q in queries if not q.isActive}
+        with self.changed:
+            if not self.changed.wait_for(lambda: over <= self.ended, timeout):
+                raise StreamNotReady(f"no end message of {sorted(over - self.ended)} in {timeout} s")
+            # Without a report there still is a table to read.
+            rows = self.waiting
+            self.waiting = []
+            self.spark.createDataFrame(rows, PROGRESS_SCHEMA).coalesce(1).write.mode("append").parquet(self.path)
+        return self.spark.read.schema(PROGRESS_SCHEMA).parquet(self.path)
+
+
+@contextmanager
+def logging_progress(spark: SparkSession, path: str) -> Iterator[ProgressLog]:
+    """A progress log that listens until the block ends."""
+    log = ProgressLog(spark, path)
+    spark.streams.addListener(log)
+    try:
+        yield log
+    finally:
+        spark.streams.removeListener(log)
+
+
+def report_row(p: StreamingQueryProgress) -> tuple:
+    return (
+        str(p.id),
+        str(p.runId),
+        p.name,
+        p.timestamp,
+        p.batchId,
+        p.numInputRows,
+        float(p.inputRowsPerSecond),
+        float(p.processedRowsPerSecond),
+    )

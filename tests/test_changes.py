@@ -280,11 +280,34 @@ def test_latest_of_rows_without_an_order(spark):
     assert [r.m for r in latest(df, ["k"], ["n"]).collect()] == [{"a": "y"}]
 
 
-def test_replay_parses_only_the_last_records(spark, records):
+def test_replay_parses_each_key_once_and_only_the_last_values(spark, records):
     log = records(('{"id":1}', "{}"))
     plan = replay(log, SPEC)._jdf.queryExecution().optimizedPlan().toString()
-    assert plan.index("from_json(") < plan.index("Aggregate")
-    assert plan.count("from_json(") == 1
+    above, below = plan.split("Aggregate", 1)
+    assert above.count("from_json(") == 1 and below.count("from_json(") == 1
+
+
+@pytest.mark.parametrize("mark", ['"__deleted":"true"', '"__op":"d"', '"__op":"u","__deleted":"true"'])
+def test_either_mark_deletes(spark, records, mark):
+    log = records(('{"id":1}', '{"id":1,"name":"a"}'), ('{"id":2}', '{"id":2,"name":"b"}'), ('{"id":1}', '{"id":1,"name":"a",%s}' % mark))
+    assert [r.id for r in replay(log, SPEC).collect()] == [2]
+    assert [r.id for r in apply_changes(frame(spark, [(1, "x", 1.0)]), log, SPEC).collect()] == [2]
+    rows = spark.createDataFrame([(1, "a", "false", 1), (1, "a", "true", 2), (2, "b", None, 1)], "id int, name string, __deleted string, n int")
+    assert [tuple(r) for r in replay_rows(rows, ["id"], ["n"]).collect()] == [(2, "b")]
+
+
+@pytest.mark.parametrize("coerce", [True, False])
+def test_a_key_is_the_same_however_it_is_spelled(spark, records, coerce):
+    log = records(('{"id":1}', '{"id":1,"name":"a"}'), ('{ "id": 1 }', '{"id":1,"name":"b"}'), ('{"more":0,"id":1}', '{"id":1,"name":"c"}'))
+    assert [(r.id, r.name) for r in replay(log, SPEC, coerce=coerce).collect()] == [(1, "c")]
+    moved = apply_changes(frame(spark, [(1, "x", 1.0), (2, "y", 2.0)]), log, SPEC, coerce=coerce)
+    assert sorted((r.id, r.name) for r in moved.collect()) == [(1, "c"), (2, "y")]
+
+
+def test_compound_keys_in_any_order(spark, records):
+    spec = TableSpec("t", SPEC.schema, ("id", "name"))
+    log = records(('{"id":1,"name":"a"}', '{"id":1,"name":"a","price":1}'), ('{"name":"a","id":1}', '{"id":1,"name":"a","price":2}'))
+    assert [r.price for r in replay(log, spec).collect()] == [2.0]
 
 
 def test_shop_tables_round_trip(spark):

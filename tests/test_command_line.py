@@ -62,14 +62,16 @@ def test_lake_job(spark, shop, tmp_path, monkeypatch, capsys):
     assert cli.main(["lake", "--root", root, "--servers", "h:1", "--trigger", "1 second", "klienci"], spark) == 0
     assert "Streams ready: klienci" in capsys.readouterr().out
     assert asked[0]["subscribe"] == "dbserver1.public.klienci"
+    assert asked[0]["maxOffsetsPerTrigger"] == "1000000" and asked[0]["failOnDataLoss"] == "false"
     assert [r.imie for r in spark.read.parquet(lake_path(root, "klienci")).collect()] == ["Łucja"]
     assert spark.streams.active == []
 
 
-def test_monitor_job(spark, tmp_path, monkeypatch):
+@pytest.mark.parametrize("to_files", [False, True])
+def test_monitor_shows_every_message(spark, tmp_path, monkeypatch, capfd, to_files):
     log = str(tmp_path / "log")
     spec = SHOP_TABLES["klienci"]
-    rows = spark.createDataFrame([(1, "Łucja", "N", "050", "l@x.pl")], spec.schema).selectExpr("*", "1 as n")
+    rows = spark.createDataFrame([(i, "Łucja", "N", "050", "l@x.pl") for i in range(50)], spec.schema).selectExpr("*", "idKlienta as n")
     append_log(to_records(rows, spec.key, topic_of("klienci"), "n"), log)
     seen = []
     monkeypatch.setattr(cli, "kafka_stream", lambda s, options: stored_stream(s, log))
@@ -80,5 +82,8 @@ def test_monitor_job(spark, tmp_path, monkeypatch):
             seen.append(query.lastProgress.numInputRows)
 
     monkeypatch.setattr(cli, "await_any", wait)
-    assert cli.main(["monitor", "--checkpoint", str(tmp_path / "c"), "--trigger", "1 second"], spark) == 0
+    out = ["--out", str(tmp_path / "out")] if to_files else []
+    assert cli.main(["monitor", "--checkpoint", str(tmp_path / "c"), "--trigger", "1 second", *out], spark) == 0
     assert len(seen) == 1
+    shown = "\n".join(r.value for r in spark.read.text(str(tmp_path / "out")).collect()) if to_files else capfd.readouterr().out
+    assert [shown.count(f'"idKlienta": {i},') for i in range(50)] == [1] * 50

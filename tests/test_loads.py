@@ -252,3 +252,40 @@ def test_profile_and_display(spark, capsys):
     assert [r.row_count for r in profile(df.limit(0)).collect()] == [0, 0]
     display(df, "t", rows=1)
     assert "only showing top 1 row" in capsys.readouterr().out
+
+
+@pytest.mark.parametrize("load_id", ["a%41", "a/b", "", "a b", "ł"])
+def test_ids_that_a_folder_would_not_keep_are_refused(spark, tmp_path, load_id):
+    text = spark.createDataFrame([("1", "a")], "id string, v string")
+    with pytest.raises(LoadError, match="load id"):
+        loads.insert_rows(spark, str(tmp_path), SPEC, text, load_id)
+    with pytest.raises(LoadError, match="load id"):
+        loads.load_csv_tables(spark, {}, str(tmp_path), load_id)
+
+
+def test_append_binds_by_name(spark, tmp_path):
+    from rowtide.errors import SchemaError
+    from rowtide.sources import tables
+
+    swapped = TableSpec("swapped", StructType([StructField("b", StringType()), StructField("a", StringType())]))
+    tables.create_table(spark, swapped, str(tmp_path / "swapped"))
+    named = TableSpec("swapped", StructType([StructField("a", StringType()), StructField("b", StringType())]))
+    tables.append_table(spark.createDataFrame([("in-a", "in-b")], "a string, b string"), named)
+    assert [(r.a, r.b) for r in spark.table("swapped").collect()] == [("in-a", "in-b")]
+    other = TableSpec("swapped", StructType([StructField("a", StringType()), StructField("c", StringType())]))
+    with pytest.raises(SchemaError):
+        tables.append_table(spark.createDataFrame([("x", "y")], "a string, c string"), other)
+
+
+@pytest.mark.parametrize(
+    ("text", "value"),
+    [("12d", None), ("12f", None), ("1e5", 1e5), ("NaN", "nan"), (" 7 ", 7.0), ("", None), (" ", None), (".5", 0.5), ("5.", 5.0), ("-inf", float("-inf")), ("0x1", None), ("1,5", None)],
+)
+def test_text_of_a_floating_column(spark, text, value):
+    from rowtide.functions.typed import bad_columns, typed_columns
+    from pyspark.sql.types import DoubleType
+
+    schema = StructType([StructField("x", DoubleType())])
+    row = spark.createDataFrame([(text,)], "x string").select(*typed_columns(schema), bad_columns(schema).alias("bad")).first()
+    assert (row.x == value) or (value == "nan" and row.x != row.x)
+    assert row.bad == ([] if value is not None else ["x"])

@@ -1,46 +1,49 @@
-"""Rendered messages against Python's own JSON and literal forms."""
+"""Rendered messages: hand-written ones, and properties of any others."""
 
 import json
 
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
+from rowtide.functions.records import OP_LABELS
 from rowtide.plans.monitor import messages
 
 TOPIC = "dbserver1.public.albumy"
-LABELS = {"c": "INSERT", "u": "UPDATE", "d": "DELETE", "r": "READ (snapshot)"}
+RULE = "-" * 80
 
 text = st.text(st.characters(codec="utf-8", min_codepoint=32, exclude_categories=("Cs", "Cc", "Cn", "Zl", "Zp")), max_size=8)
 number = st.integers(-(2**70), 2**70) | st.decimals(-(10**6), 10**6, places=3).map(float)
 scalar = st.none() | st.booleans() | text | number
-fields = st.dictionaries(st.text("abcąż_ '\"\\", min_size=1, max_size=4), scalar, max_size=5)
-plain_text = st.text("abcąż '\"\\/{}[]:,", max_size=6)
-key = st.none() | st.dictionaries(st.sampled_from(["id", "k", "o'k"]), st.integers() | plain_text, min_size=1, max_size=2)
-change = st.tuples(key, st.none() | st.tuples(fields, st.none() | st.sampled_from("cudrt?"), st.none() | st.just("tab")))
+names = st.text("abcąż_ '\"\\", min_size=1, max_size=4).filter(lambda n: not n.startswith("__"))
+change = st.tuples(st.dictionaries(names, scalar, max_size=5), st.sampled_from([*OP_LABELS, "t"]))
 
+FIXTURES = [
+    (
+        ('{"idAlbumu":3}', '{"idAlbumu":3,"tytul":"Żółw","__op":"u","__table":"albumy","__deleted":"false"}'),
+        "\n[albumy] UPDATE\n  key   : {'idAlbumu': 3}\n  record: {\n    \"idAlbumu\": 3,\n    \"tytul\": \"Żółw\"\n}\n" + RULE,
+    ),
+    (('{"idAlbumu":3}', None), f"\n[{TOPIC}] TOMBSTONE | key={{'idAlbumu': 3}}\n{RULE}"),
+    ((None, '{"__op":"r"}'), "\n[albumy] READ (snapshot)\n  key   : None\n  record: {}\n" + RULE),
+]
 
-def expected(key, value):
-    if value is None:
-        return f"\n[{TOPIC}] TOMBSTONE | key={key}\n" + "-" * 80
-    record, op, table = value
-    label = LABELS.get(op or "?", f"UNKNOWN ({op or '?'})")
-    shown = json.dumps({k: v for k, v in record.items() if not k.startswith("__")}, ensure_ascii=False, indent=4)
-    return f"\n[{table or 'albumy'}] {label}\n  key   : {key}\n  record: {shown}\n" + "-" * 80
 
-
-def encoded(value):
-    record, op, table = value
-    meta = {"__op": op, "__table": table, "__deleted": "false"}
-    return json.dumps(record | {k: v for k, v in meta.items() if v is not None}, ensure_ascii=False)
+def test_written_messages(records):
+    log = records(*[record for record, _ in FIXTURES])
+    shown = [r.message for r in messages(log, [TOPIC], stamp=False).orderBy("offset").collect()]
+    assert shown == [message for _, message in FIXTURES]
 
 
 @settings(max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(st.lists(change, min_size=1, max_size=25))
-def test_messages_read_as_python_prints_them(records, changes):
-    changes = [(k, v if v is None or not {"__op", "__table", "__deleted"} & set(v[0]) else None) for k, v in changes]
-    log = records(
-        *[(None if k is None else json.dumps(k, ensure_ascii=False), None if v is None else encoded(v)) for k, v in changes]
-    )
+def test_any_message(records, changes):
+    """The label first, then every field on a line of its own, and the record reads back as it was."""
+    log = records(*[(None, json.dumps(fields | {"__op": op, "__x": 1}, ensure_ascii=False)) for fields, op in changes])
     shown = {r.offset: r.message for r in messages(log, [TOPIC], stamp=False).collect()}
-    for i, (k, v) in enumerate(changes):
-        assert shown[i] == expected(k, v)
+    for i, (fields, op) in enumerate(changes):
+        head, body = shown[i].split("  record: ")
+        assert head.splitlines()[1] == f"[albumy] {OP_LABELS.get(op, 'UNKNOWN (t)')}"
+        block = body.removesuffix("\n" + RULE)
+        back = json.loads(block)
+        assert back == fields and list(back) == list(fields)
+        assert "__x" not in block and "__op" not in block
+        assert len(block.splitlines()) == (len(fields) + 2 if fields else 1)

@@ -121,7 +121,6 @@ def test_ready_await_stop_and_progress(spark, records, tmp_path):
     job = start_table_job(stored_stream(spark, log), SPEC, root, trigger="100 milliseconds")
     with lifecycle.stopping([job]):
         lifecycle.wait_until_ready([job], timeout=60)
-        assert job.lastProgress is not None
         write(records, log, ('{"id":2}', '{"id":2}'))
         spark.streams.resetTerminated()
         lifecycle.await_any(spark, timeout=1)
@@ -129,10 +128,6 @@ def test_ready_await_stop_and_progress(spark, records, tmp_path):
         job.processAllAvailable()
     assert not job.isActive
     assert sorted(r.id for r in spark.read.parquet(lake_path(root, "t")).collect()) == [1, 2]
-    reports = lifecycle.progress_frame(spark, [job])
-    assert reports.schema == lifecycle.PROGRESS_SCHEMA
-    assert reports.agg(F.sum("num_input_rows")).first()[0] == 2
-    assert {r.name for r in reports.collect()} == {"t"}
 
 
 def test_stopping_after_an_error(spark, records, tmp_path):
@@ -157,8 +152,50 @@ def test_await_any_raises_the_failure(spark, records, tmp_path):
     spark.streams.resetTerminated()
 
 
+def test_ready_while_a_long_first_batch_runs(spark, records, tmp_path):
+    log = str(tmp_path / "log")
+    write(records, log, ('{"id":1}', '{"id":1}'))
+    job = (
+        stored_stream(spark, log)
+        .writeStream.foreachBatch(lambda batch, _: time.sleep(6))
+        .option("checkpointLocation", str(tmp_path / "check"))
+        .start()
+    )
+    with lifecycle.stopping([job]):
+        started = time.monotonic()
+        lifecycle.wait_until_ready([job], timeout=30)
+        assert job.lastProgress is None and time.monotonic() - started < 6
+        job.processAllAvailable()
+
+
+def test_every_report_is_kept(spark, records, tmp_path):
+    """More batches than a query itself remembers."""
+    log, root = str(tmp_path / "log"), str(tmp_path / "lake")
+    records(*[(f'{{"id":{i}}}', f'{{"id":{i}}}') for i in range(220)]).repartition(110, "offset").write.partitionBy("topic").parquet(log)
+    with lifecycle.logging_progress(spark, str(tmp_path / "reports")) as progress:
+        progress.part = 40
+        job = start_table_job(stored_stream(spark, log, max_files_per_trigger=2), SPEC, root, trigger=AVAILABLE_NOW)
+        lifecycle.finish([job])
+        reports = progress.frame([job])
+    assert reports.schema == lifecycle.PROGRESS_SCHEMA
+    mine = reports.where(F.col("run_id") == str(job.runId)).where("num_input_rows > 0")
+    files = len([f for f in (tmp_path / "log").rglob("*.parquet")])
+    assert mine.agg(F.sum("num_input_rows"), F.count("*")).first()[:] == (220, -(-files // 2))
+    assert {r.name for r in mine.collect()} == {"t"}
+
+
+def test_malformed_records_have_a_path_of_their_own(spark, records, tmp_path):
+    log, root = str(tmp_path / "log"), str(tmp_path / "lake")
+    write(records, log, ('{"id":1}', '{"id":1}', topic_of("t")), ('{"id":2}', "broken", topic_of("t")), ('{"id":3}', None, topic_of("t")))
+    jobs = start_all(lambda _: stored_stream(spark, log), [SPEC], root, trigger=AVAILABLE_NOW, on_malformed="quarantine", keep_source=True)
+    lifecycle.finish(jobs)
+    rows = spark.read.parquet(lake_path(root, "t"))
+    assert sorted((r.id or 0, r.kafka_offset) for r in rows.collect()) == [(0, 2), (1, 0)]
+    assert [bytes(r.value) for r in spark.read.parquet(lake_path(root, "t_malformed")).collect()] == [b"broken"]
+
+
 class Silent:
-    name, isActive, lastProgress = "silent", True, None
+    name, isActive, lastProgress, status = "silent", True, None, {"isDataAvailable": False}
 
 
 def test_not_ready_in_time():
@@ -178,6 +215,13 @@ def test_monitor_writes_messages(spark, records, tmp_path):
     assert "[t] INSERT" in text and "other" not in text
 
 
+def test_work_dir_needs_a_shared_folder(spark, monkeypatch):
+    monkeypatch.setattr(type(spark.conf), "get", lambda *_: None)
+    monkeypatch.setattr(type(spark.sparkContext), "getCheckpointDir", lambda _: None)
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        work_dir(spark, "x")
+
+
 def test_work_dir(spark):
     first, second = work_dir(spark, "x"), work_dir(spark, "x")
     assert first != second
