@@ -2,17 +2,19 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from rowtide.functions import records as rec
 from rowtide.functions import render
-from rowtide.functions.typed import typed_columns
+from rowtide.functions.typed import quoted, typed_columns
 from rowtide.specs import TableSpec
 
 PERMISSIVE = "permissive"
 FAILFAST = "failfast"
+TAG = "tag"
+MALFORMED = "malformed"
 
 META_FIELDS = (rec.OP, rec.TABLE, rec.DELETED)
 SOURCE_FIELDS = ("key", "topic", "partition", "offset")
@@ -37,9 +39,11 @@ def decode(
     coerce        read every field as text and cast, so ``"89.99"`` is 89.99
     keep_meta     also keep ``__op``, ``__table`` and ``__deleted``
     keep_source   also keep key, topic, partition and offset, as ``kafka_<name>``
-    on_malformed  ``failfast`` stops at the first record that is no JSON object
+    on_malformed  ``failfast`` stops at the first record that is no JSON object;
+                  ``tag`` gives it a row of NULLs with its text in ``malformed``,
+                  a column that is NULL for all others, in the same pass
     """
-    if on_malformed not in (PERMISSIVE, FAILFAST):
+    if on_malformed not in (PERMISSIVE, FAILFAST, TAG):
         raise ValueError(f"on_malformed: {on_malformed!r}")
     text = rec.as_text(F.col("value"))
     if on_malformed == FAILFAST:
@@ -51,15 +55,25 @@ def decode(
     row = F.from_json(text, StructType(declared.fields + meta))
 
     source = [F.col(f"`{name}`").alias(f"kafka_{name}") for name in SOURCE_FIELDS]
+    tag = F.when(rec.is_malformed(F.col("value")), rec.as_text(F.col("value"))).alias(MALFORMED)
     kept = records.select(
         row.alias("row"),
         *(source if keep_source else []),
         F.col("timestamp").alias("kafka_timestamp"),
+        *([tag] if on_malformed == TAG else []),
     )
-    fields = typed_columns(StructType(spec.schema.fields + meta), "row") if coerce else ["row.*"]
+    declared_fields = StructType(spec.schema.fields + meta)
+    fields = typed_columns(declared_fields, "row") if coerce else cols_of("row", declared_fields.names)
+    if on_malformed == TAG:
+        # What a broken text holds before its break is no row.
+        fields = [F.when(F.col(MALFORMED).isNull(), f).alias(name) for f, name in zip(fields, declared_fields.names)]
     return kept.select(*fields, *kept.columns[1:], F.current_timestamp().alias("processed_at"))
 
 
+def cols_of(struct: str, names: list[str]) -> list[Column]:
+    return [F.col(f"{struct}.{quoted(n)}").alias(n) for n in names]
+
+
 def quarantine(records: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Split into (JSON objects and tombstones, malformed records); both keep the raw columns."""
     broken = rec.is_malformed(F.col("value"))

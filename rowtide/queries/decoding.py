@@ -58,11 +58,8 @@ def decode_coerced(spark: SparkSession, sf_dir: str) -> DataFrame:
 def decode_malformed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Records without their closing brace for one kind of event: set apart with their text, the rest decoded."""
     cut = F.when(F.col("event_type") == "error", F.rtrim("props", F.lit("}"))).otherwise(F.col("props"))
-    good, bad = dec.quarantine(event_records(table(spark, sf_dir, "events"), cut))
-    rows = dec.decode(good, PROPS, keep_source=True)
-    return rows.select(
-        F.col("kafka_offset").alias("event_id"), "k", F.lit(None).cast("string").alias("broken_text")
-    ).unionAll(bad.select("offset", F.lit(None).cast("int"), F.col("value").cast("string")))
+    rows = dec.decode(event_records(table(spark, sf_dir, "events"), cut), PROPS, keep_source=True, on_malformed=dec.TAG)
+    return rows.select(F.col("kafka_offset").alias("event_id"), "k", F.col(dec.MALFORMED).alias("broken_text"))
 
 
 def decode_keep_meta(spark: SparkSession, sf_dir: str) -> DataFrame:

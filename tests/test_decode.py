@@ -121,6 +121,16 @@ def test_quarantine(records):
     assert sorted(r.offset for r in good.collect()) == list(range(len(BROKEN), len(BROKEN) + len(FINE)))
 
 
+@pytest.mark.parametrize("coerce", [False, True])
+def test_tagged_in_one_pass(records, coerce):
+    df = dec.decode(records(*[(None, v) for v in BROKEN + FINE]), SMALL, coerce=coerce, keep_source=True, on_malformed=dec.TAG)
+    rows = {r.kafka_offset: r for r in df.collect()}
+    assert [i for i, r in sorted(rows.items()) if r.malformed is not None] == list(range(len(BROKEN)))
+    assert all(rows[i].idAlbumu is None and rows[i].tytul is None for i in range(len(BROKEN)))
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_json(") == 2 and plan.count("LogicalRDD") + plan.count("LocalRelation") == 1
+
+
 @pytest.mark.parametrize("value", BROKEN)
 def test_failfast(records, value):
     with pytest.raises(SPARK_ERRORS):
