@@ -167,7 +167,7 @@ def automaton_of(words: Sequence[str], stems: Sequence[str], errors: dict[str, i
             row.append(number[after])
         rows.append(row)
         done += 1
-    width = max([len(t) for t in (*words, *stems)], default=-2) + 2
+    width = max([len(t) + errors.get(t, 0) for t in (*words, *stems)], default=-1) + 1
     return Automaton(np.array(rows, np.int32), np.array([kind(s) for s in order], np.int8), letters, width)
 
 
