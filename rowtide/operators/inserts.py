@@ -41,9 +41,13 @@ def classify_keys(
     incoming: DataFrame,
     spec: TableSpec,
     arrival: Sequence[str] = (),
+    given: str | None = None,
 ) -> DataFrame:
     """Typed incoming rows plus ``reject_reason``: NULL for the rows an insert would accept.
 
+    ``given`` names a column of ``incoming`` with the reasons found before; such
+    a row keeps its reason, and its key counts for nothing.
+
     A key that the table already holds is rejected. Among rows of the batch with
     the same key the first in ``arrival`` order is accepted, as if the rows were
     inserted one by one; without ``arrival`` no row is the first, so all of them
@@ -55,13 +59,14 @@ def classify_keys(
     wrong with. Both results are stored in the shared work folder. The returned
     frame joins the batch with the second: few keys are broadcast, many are
     joined by a shuffle in which a partition with a hot key is split between
-    tasks.
+    tasks. So the batch is read twice, whatever is wrong with its rows.
     """
     key = list(spec.key)
+    before = F.col(given) if given else F.lit(None).cast("string")
+    shown = [c for c in incoming.columns if c != given]
     if not key:
-        return incoming.withColumn(REASON, F.lit(None).cast("string"))
-    keyless = incoming.where(_no_key(key)).withColumn(REASON, F.lit(NULL_KEY))
-    keyed = incoming.where(~_no_key(key))
+        return incoming.select(*cols(shown), before.alias(REASON))
+    keyed = incoming.where(~_no_key(key) & before.isNull())
 
     batch = stored(_batch_keys(keyed, key, list(arrival)), "batch-keys")
     verdicts = batch.join(_known(existing, batch, key), key, "left").withColumn("_exists", F.col("_known").isNotNull())
@@ -71,12 +76,14 @@ def classify_keys(
     for column in arrival:
         first = first & F.col(quoted(column)).eqNullSafe(F.col(f"_first.{quoted(column)}"))
     reason = (
-        F.when(F.col("_exists"), KEY_EXISTS)
+        F.when(before.isNotNull(), before)
+        .when(_no_key(key), NULL_KEY)
+        .when(F.col("_exists"), KEY_EXISTS)
         .when((F.col("_rows") > 1) & ~first, REPEATED)
         .when(F.col("_first_rows") > 1, AMBIGUOUS if arrival else REPEATED)
     )
-    judged = keyed.join(problems, key, "left").select(*cols(incoming.columns), reason.alias(REASON))
-    return judged.unionByName(keyless)
+    # A NULL key matches nothing, and stays.
+    return incoming.join(problems, key, "left").select(*cols(shown), reason.alias(REASON))
 
 
 def insertable(
@@ -91,9 +98,8 @@ def insertable(
     ``classify_types`` shows their text.
     """
     flagged = classify_types(incoming_text, spec, carry=arrival)
-    fine = flagged.where(F.col(REASON).isNull()).select(*typed_columns(spec.schema), *cols(arrival))
-    broken = flagged.where(F.col(REASON).isNotNull()).select(*typed_columns(spec.schema), *cols(arrival), REASON)
-    return classify_keys(existing, fine, spec, arrival).unionByName(broken)
+    typed = flagged.select(*typed_columns(spec.schema), *cols(arrival), REASON)
+    return classify_keys(existing, typed, spec, arrival, given=REASON)
 
 
 def accepted(classified: DataFrame) -> DataFrame:

@@ -289,3 +289,16 @@ def test_text_of_a_floating_column(spark, text, value):
     row = spark.createDataFrame([(text,)], "x string").select(*typed_columns(schema), bad_columns(schema).alias("bad")).first()
     assert (row.x == value) or (value == "nan" and row.x != row.x)
     assert row.bad == ([] if value is not None else ["x"])
+
+
+def test_a_batch_is_read_twice(spark, tmp_path):
+    """Once for its keys, which is stored, and once for the verdicts."""
+    text = spark.createDataFrame([("1", "a"), ("x", "b"), (None, "c"), ("2", "d"), ("2", "e")], "id string, v string")
+    text.write.parquet(str(tmp_path / "batch"))
+    batch = spark.read.parquet(str(tmp_path / "batch"))
+    got = inserts.insertable(frame(spark, [(1, "old")]), batch, SPEC)
+    assert got._jdf.queryExecution().optimizedPlan().toString().count("Relation [id#") <= 2
+    assert reasons(got) == sorted(
+        [(1, "a", "key_exists"), (None, "b", "bad_type"), (None, "c", "null_key"), (2, "d", "repeated_in_batch"), (2, "e", "repeated_in_batch")],
+        key=repr,
+    )
