@@ -78,81 +78,167 @@ def find(table: np.ndarray, wanted: np.ndarray) -> np.ndarray:
 
 @dataclass(frozen=True)
 class Level:
-    """Grams of one order: sorted hashes with log-probabilities per language, and contexts with back-off logs."""
+    """Grams of one order: sorted hashes with log-probabilities per language, and contexts with back-off logs.
+
+    ``all_grams`` and ``all_contexts`` say that the order has no others.
+    """
 
     hashes: np.ndarray
     log_p: np.ndarray
     contexts: np.ndarray
     log_backoff: np.ndarray
+    all_grams: bool
+    all_contexts: bool
+
+
+@dataclass(frozen=True)
+class Sums:
+    """Per text the log-probabilities summed by language and the number of symbols, and the grams left open, counted."""
+
+    total: np.ndarray
+    symbols: np.ndarray
+    open_text: np.ndarray
+    open_gram: np.ndarray
+    open_times: np.ndarray
 
 
 @dataclass(frozen=True)
-class LanguageModel:
+class SentModel:
+    """The frequent grams of the models, which go to the tasks. What it cannot answer for certain it leaves open."""
+
     langs: tuple[str, ...]
     levels: tuple[Level, ...]
     floor: float
     is_letter: np.ndarray
 
-    def log_probability(self, keys: np.ndarray) -> np.ndarray:
-        """Interpolated log-probability of the last symbol of each gram, one column per language.
+    def log_probability(self, keys: np.ndarray, order: int = ORDER) -> tuple[np.ndarray, np.ndarray]:
+        """Interpolated log-probability of the last symbol of each gram, one column per language, and which are open.
 
-        A stored gram has it ready; for others the context's back-off weight and
-        the shorter gram are looked up.
+        A stored gram has it ready. For others the context's back-off weight and
+        the shorter gram are looked up, if it is certain that the order has no
+        such gram or context.
         """
-        return self.at_order(keys, ORDER)
-
-    def at_order(self, keys: np.ndarray, order: int) -> np.ndarray:
         if not order:
-            return np.full((len(keys), len(self.langs)), self.floor, np.float32)
+            return np.full((len(keys), len(self.langs)), self.floor, np.float32), np.zeros(len(keys), bool)
         level = self.levels[order - 1]
         at = find(level.hashes, hashed(keys))
         out = level.log_p[np.maximum(at, 0)] if len(level.hashes) else np.zeros((len(keys), len(self.langs)), np.float32)
-        missing = np.flatnonzero(at < 0)
-        if len(missing):
+        unsure = at < 0
+        missing = np.flatnonzero(unsure)
+        if len(missing) and level.all_grams:
             rest, inverse = np.unique(keys[missing], return_inverse=True)
-            value = self.at_order(rest & mask(order - 1), order - 1)
+            value, deeper = self.log_probability(rest & mask(order - 1), order - 1)
             context = find(level.contexts, hashed(rest >> np.uint64(16)))
             known = context >= 0
             value[known] += level.log_backoff[context[known]]
-            out[missing] = value[inverse]
-        return out
+            if not level.all_contexts:
+                deeper |= ~known
+            out[missing], unsure[missing] = value[inverse], deeper[inverse]
+        return out, unsure
 
-    def entropies(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
-        """Cross-entropy per symbol of each text in each language, and the number of symbols."""
+    def sums(self, texts: list[str | None]) -> Sums:
         keys, text = grams(texts, self.is_letter)
         total = np.zeros((len(texts), len(self.langs)))
+        open_text, open_gram = [], []
         for a in range(0, len(keys), 1 << 18):
             block = slice(a, a + (1 << 18))
-            log_p = self.log_probability(keys[block])
+            log_p, unsure = self.log_probability(keys[block])
+            log_p[unsure] = 0
             for k in range(len(self.langs)):
                 total[:, k] += np.bincount(text[block], log_p[:, k], len(texts))
-        count = np.bincount(text, minlength=len(texts)) if len(texts) else np.zeros(0, np.int64)
-        return -total / np.maximum(count, 1)[:, None], count
+            open_text.append(text[block][unsure])
+            open_gram.append(keys[block][unsure])
+        symbols = np.bincount(text, minlength=len(texts)) if len(texts) else np.zeros(0, np.int64)
+        of = np.concatenate(open_text) if open_text else np.zeros(0, np.int64)
+        gram = np.concatenate(open_gram) if open_gram else np.zeros(0, np.uint64)
+        order = np.lexsort((gram, of))
+        of, gram = of[order], gram[order]
+        first = np.ones(len(of), bool)
+        first[1:] = (of[1:] != of[:-1]) | (gram[1:] != gram[:-1])
+        start = np.flatnonzero(first)
+        return Sums(total, symbols, of[start], gram[start], np.diff(np.append(start, len(of))))
 
     def columns(self, text: Column) -> Column:
-        """A struct of the predicted language, the entropy in it, and a score from 0 to 1."""
+        """A struct of the sums of a text, its number of symbols, and the open grams with how often they occur."""
 
         def run(texts: list[str | None]) -> dict:
-            entropy, count = self.entropies(texts)
-            if not self.langs:
-                return {"lang": [UNKNOWN] * len(texts), "entropy": [None] * len(texts), "score": [0.0] * len(texts)}
-            best = entropy.argmin(1)
-            least = entropy[np.arange(len(texts)), best]
-            # Entropies per symbol, taken as evidence of about ten of them.
-            score = 1 / np.exp(-10 * (entropy - least[:, None])).sum(1)
+            s = self.sums(texts)
+            cut = np.searchsorted(s.open_text, np.arange(1, len(texts)))
             return {
-                "lang": [self.langs[b] if n else UNKNOWN for b, n in zip(best, count)],
-                "entropy": [float(e) if n else None for e, n in zip(least, count)],
-                "score": np.where(count > 0, score, 0.0),
+                "total": s.total.tolist(),
+                "symbols": s.symbols.tolist(),
+                "grams": [g.tolist() for g in np.split(s.open_gram.view(np.int64), cut)][: len(texts)],
+                "times": [n.tolist() for n in np.split(s.open_times, cut)][: len(texts)],
             }
 
-        return text_udf(run, "lang string, entropy double, score double")(text)
+        return text_udf(run, "total array<double>, symbols long, grams array<long>, times array<long>")(text)
+
+
+@dataclass(frozen=True)
+class LanguageModels:
+    """Kneser-Ney models of all languages: whole in stored tables by order, their frequent part in ``sent``.
+
+    ``grams`` holds (gram, n, log_p) and ``contexts`` (context, n, log_backoff),
+    with one value per language in the arrays, lowest order first.
+    """
+
+    sent: SentModel
+    grams: tuple[DataFrame, ...]
+    contexts: tuple[DataFrame, ...]
+
+    @property
+    def sent_whole(self) -> bool:
+        return all(level.all_grams and level.all_contexts for level in self.sent.levels)
+
+    def look_up(self, wanted: DataFrame) -> DataFrame:
+        """(gram, log_p) of each distinct ``gram``, by joins with the whole tables."""
+        none = F.array(*[F.lit(0.0) for _ in self.sent.langs])
+        found = wanted.select("gram")
+        value = F.array(*[F.lit(self.sent.floor) for _ in self.sent.langs])
+        for order in range(1, ORDER + 1):
+            key = F.col("gram").bitwiseAND(F.lit(signed_mask(order)))
+            p = self.grams[order - 1].select(F.col("gram").alias(f"g{order}"), F.col("log_p").alias(f"p{order}"))
+            backoff = self.contexts[order - 1].select(F.col("context").alias(f"c{order}"), F.col("log_backoff").alias(f"b{order}"))
+            found = found.join(p, key == F.col(f"g{order}"), "left")
+            found = found.join(backoff, F.shiftrightunsigned(key, 16) == F.col(f"c{order}"), "left")
+            value = F.coalesce(F.col(f"p{order}"), added(F.coalesce(F.col(f"b{order}"), none), value))
+        return found.select("gram", value.alias("log_p"))
+
+    def entropies(self, texts: DataFrame) -> DataFrame:
+        """``texts`` with ``entropies``: by language, in nats per symbol; null without a letter or a language.
+
+        ``texts`` has a column ``row`` of its own for each row, and ``text``.
+        Grams that the tasks leave open are joined with the whole tables, each
+        distinct one once.
+        """
+        langs = self.sent.langs
+        scored = store(texts.withColumn("s", self.sent.columns(F.col("text"))).drop("text"), "language-sums")
+        total = F.col("s.total")
+        if not self.sent_whole:
+            left_open = scored.select("row", F.explode(F.arrays_zip("s.grams", "s.times")).alias("o")).select("row", F.col("o.grams").alias("gram"), "o.times")
+            known = store(self.look_up(left_open.select("gram").distinct()), "language-rare")
+            rare = left_open.join(known, "gram").groupBy("row").agg(
+                F.array(*[F.sum(F.col("log_p")[k] * F.col("times")) for k in range(len(langs))]).alias("rare")
+            )
+            scored = scored.join(rare, "row", "left")
+            total = F.when(F.col("rare").isNull(), total).otherwise(added(total, F.col("rare")))
+        per_symbol = F.transform(total, lambda x: -x / F.col("s.symbols"))
+        known_text = (F.col("s.symbols") > 0) & F.lit(bool(langs))
+        return scored.withColumn("entropies", F.when(known_text, per_symbol)).drop("s", "rare")
+
+
+def added(a: Column, b: Column) -> Column:
+    return F.zip_with(a, b, lambda x, y: x + y)
 
 
 def mask(order: int) -> np.uint64:
     return np.uint64((1 << (16 * order)) - 1)
 
 
+def signed_mask(order: int) -> int:
+    return (1 << (16 * order)) - 1 if order < ORDER else -1
+
+
 def gram_counts(training: DataFrame) -> DataFrame:
     """(lang, gram, c): how often each 4-gram occurs in the texts of each language, over all rows."""
     is_letter = letters()
@@ -176,67 +262,86 @@ def gram_counts(training: DataFrame) -> DataFrame:
     return parts.groupBy("lang", "gram").agg(F.sum("c").alias("c"))
 
 
-def level_table(counts: DataFrame, order: int) -> DataFrame:
-    """Counts of an order with the sums of their context and the discount of their language.
+def by_language(rows: DataFrame, key: str, langs: tuple[str, ...]) -> DataFrame:
+    """(key, n, value): ``n`` summed over the languages, and their values as an array, 0 where there is none."""
+    one = rows.groupBy(key).agg(F.sum("n").alias("n"), F.map_from_entries(F.collect_list(F.struct("lang", "value"))).alias("of"))
+    each = F.transform(F.array(*[F.lit(name) for name in langs]), lambda name: F.coalesce(F.try_element_at("of", name), F.lit(0.0)))
+    return one.select(key, "n", each.alias("value"))
+
+
+def level_tables(counts: DataFrame, order: int, langs: tuple[str, ...], lower: DataFrame | None, floor: float) -> tuple[DataFrame, DataFrame]:
+    """(gram, n, log_p) and (context, n, log_backoff) of one order, over all its grams.
 
     Per language the discount is n1 / (n1 + 2 n2), with n1 and n2 the grams
-    counted once and twice.
+    counted once and twice. A language without the gram or the context takes
+    the probability of the shorter gram. ``lower`` has those; every shorter
+    gram is in it, since it was counted from these.
     """
     once, twice = F.sum((F.col("c") == 1).cast("double")), F.sum((F.col("c") == 2).cast("double"))
     # Never all of a count, nor nothing: both kinds of grams keep some probability.
     discount = F.least(F.lit(0.95), F.greatest(F.lit(0.05), F.coalesce(F.try_divide(once, once + 2 * twice), F.lit(0.5))))
-    per_lang = counts.groupBy(F.col("lang").alias("l")).agg(discount.alias("discount"))
-    per_context = counts.groupBy(F.col("lang").alias("cl"), F.shiftrightunsigned("gram", 16).alias("context")).agg(
-        F.sum("c").alias("total"), F.count(F.lit(1)).alias("kinds")
-    )
-    joined = counts.withColumn("ctx", F.shiftrightunsigned("gram", 16)).join(
-        per_context, (F.col("lang") == F.col("cl")) & (F.col("ctx") == F.col("context"))
+    per_lang = counts.groupBy("lang").agg(discount.alias("discount"))
+    rows = counts.withColumn("context", F.shiftrightunsigned("gram", 16))
+    sums = rows.groupBy("lang", "context").agg(F.sum("c").alias("total"), F.count(F.lit(1)).alias("kinds")).join(per_lang, "lang")
+    weight = F.log(F.col("discount") * F.col("kinds") / F.col("total"))
+    contexts = store(
+        by_language(sums.select("lang", "context", F.col("total").alias("n"), weight.alias("value")), "context", langs).withColumnRenamed("value", "log_backoff"),
+        "language-contexts",
     )
-    return joined.join(per_lang, F.col("lang") == F.col("l")).select("lang", "gram", "c", "total", "kinds", "discount")
-
-
-def fit_languages(training: DataFrame, *, max_grams: int = 200_000) -> LanguageModel:
+    alpha = F.greatest(F.col("c") - F.col("discount"), F.lit(0.0)) / F.col("total")
+    own = by_language(rows.join(sums, ["lang", "context"]).select("lang", "gram", F.col("c").alias("n"), alpha.alias("value")), "gram", langs)
+    joined = own.join(contexts.select("context", "log_backoff"), F.shiftrightunsigned("gram", 16) == F.col("context"))
+    if lower is None:
+        shorter = F.array(*[F.lit(floor) for _ in langs])
+    else:
+        shorter = F.col("lower")
+        joined = joined.join(lower.select(F.col("gram").alias("rest"), F.col("log_p").alias("lower")), F.col("gram").bitwiseAND(F.lit(signed_mask(order - 1))) == F.col("rest"))
+    # P = alpha + backoff * P of the shorter gram.
+    log_p = F.zip_with("value", added(F.col("log_backoff"), shorter), lambda a, rest: F.log(a + F.exp(rest)))
+    return store(joined.select("gram", "n", log_p.alias("log_p")), "language-grams"), contexts
+
+
+def frequent(table: DataFrame, key: str, value: str, most: int) -> tuple[np.ndarray, np.ndarray, bool]:
+    """Hashes, sorted, and values of the ``most`` most frequent rows, and whether these are all."""
+    top = table.orderBy(F.col("n").desc(), key).limit(most).toArrow().combine_chunks()
+    hashes = hashed(top[key].to_numpy().astype(np.int64).view(np.uint64))
+    values = np.array(top[value].to_pylist(), np.float32)
+    order = np.argsort(hashes)
+    return hashes[order], values[order], len(hashes) < most or table.count() <= most
+
+
+def fit_languages(training: DataFrame, *, max_entries: int = 1_000_000) -> LanguageModels:
     """Interpolated Kneser-Ney models of all languages in ``training`` (text, lang).
 
     Counts, continuation counts (in how many contexts a shorter gram continues
-    a longer one), discounts and context sums are aggregations over every row.
-    The model that is sent to the tasks holds, per order, the ``max_grams`` most
-    frequent grams, which bounds it; rarer ones back off to shorter grams.
+    a longer one), discounts, context sums and probabilities are aggregations
+    and joins over every row, and no gram is left out: the tables grow with the
+    input. Of each order the most frequent grams and contexts, of at most
+    ``max_entries`` numbers (grams times languages), are also sent to the tasks.
     """
+    floor = -float(np.log(1 << 16))  # Every symbol is possible in every language.
     counts = store(gram_counts(training.where(F.col("lang").isNotNull()).select("lang", "text")), "grams")
     langs = tuple(r[0] for r in counts.select("lang").distinct().orderBy("lang").collect())
+    if not langs:
+        none = Level(np.zeros(0, np.uint64), np.zeros((0, 0), np.float32), np.zeros(0, np.uint64), np.zeros((0, 0), np.float32), True, True)
+        return LanguageModels(SentModel(langs, (none,) * ORDER, floor, letters()), (), ())
     by_order = {ORDER: counts}
     for order in range(ORDER - 1, 0, -1):
-        shorter = F.col("gram").bitwiseAND(F.lit((1 << (16 * order)) - 1))
+        shorter = F.col("gram").bitwiseAND(F.lit(signed_mask(order)))
         by_order[order] = store(by_order[order + 1].groupBy("lang", shorter.alias("gram")).agg(F.count(F.lit(1)).alias("c")), "grams")
-    # Every symbol is possible in every language.
-    floor = -float(np.log(1 << 16))
-    model = LanguageModel(langs, (), floor, letters())
-    number = {name: k for k, name in enumerate(langs)}
+    most = max(1, max_entries // len(langs))
+    all_grams, all_contexts, levels = [], [], []
     for order in range(1, ORDER + 1):
-        top = level_table(by_order[order], order).orderBy(F.col("c").desc(), "gram", "lang").limit(max_grams).toArrow()
-        key = top["gram"].to_numpy().astype(np.int64).view(np.uint64)
-        lang = np.array([number[name] for name in top["lang"].to_pylist()], np.int64)
-        c, discount, total, kinds = (top[x].to_numpy().astype(float) for x in ("c", "discount", "total", "kinds"))
-        alpha = np.maximum(c - discount, 0) / total
-        gamma = discount * kinds / total
-        gram = np.unique(key)
-        context = np.unique(key >> np.uint64(16))
-        backoff = np.zeros((len(context), len(langs)), np.float32)
-        backoff[np.searchsorted(context, key >> np.uint64(16)), lang] = np.log(gamma)
-        # P = alpha + backoff * P of the shorter gram.
-        lower = model.at_order(gram & mask(order - 1), order - 1) if len(gram) else np.zeros((0, len(langs)), np.float32)
-        p = np.exp(lower.astype(float) + backoff[np.searchsorted(context, gram >> np.uint64(16))]) if len(gram) else lower.astype(float)
-        np.add.at(p, (np.searchsorted(gram, key), lang), alpha)
-        by_hash, contexts_by_hash = np.argsort(hashed(gram)), np.argsort(hashed(context))
-        level = Level(
-            hashed(gram)[by_hash], np.log(p[by_hash]).astype(np.float32), hashed(context)[contexts_by_hash], backoff[contexts_by_hash]
-        )
-        model = LanguageModel(langs, (*model.levels, level), floor, model.is_letter)
-    return model
-
-
-def identify(documents: DataFrame, *, buckets: int = 4, remainder: int = 2, quantile: float = 0.999, max_grams: int = 200_000) -> DataFrame:
+        table, contexts = level_tables(by_order[order], order, langs, all_grams[-1] if all_grams else None, floor)
+        all_grams.append(table)
+        all_contexts.append(contexts)
+        gram, log_p, whole = frequent(table, "gram", "log_p", most)
+        context, log_backoff, whole_contexts = frequent(contexts, "context", "log_backoff", most)
+        levels.append(Level(gram, log_p, context, log_backoff, whole, whole_contexts))
+    return LanguageModels(SentModel(langs, tuple(levels), floor, letters()), tuple(all_grams), tuple(all_contexts))
+
+
+def identify(documents: DataFrame, *, buckets: int = 4, remainder: int = 2, quantile: float = 0.999, max_entries: int = 1_000_000) -> DataFrame:
     """doc_id, held_out, lang_pred, score, entropy, rejected of every row of ``documents``.
 
     Learns from the rows with a language whose crc32(doc_id) modulo ``buckets``
@@ -248,16 +353,28 @@ def identify(documents: DataFrame, *, buckets: int = 4, remainder: int = 2, quan
     language: the text is unlike what was learned, whichever language is
     nearest; ``und`` is rejected.
 
-    Whole texts are scored. A row without a doc_id is held out. Repeated rows
+    Whole texts are scored by the whole models. A row without a doc_id is held out. Repeated rows
     give repeated rows. With nothing to learn from every text is ``und``. An
     empty table gives no rows. Other columns are ignored.
     """
     out = F.coalesce(fold(F.col("doc_id"), buckets) == remainder, F.lit(True))
     rows = documents.select("doc_id", "text", F.col("lang").cast("string").alias("lang"), out.alias("held_out"))
-    model = fit_languages(rows.where(~F.col("held_out")), max_grams=max_grams)
-    found = rows.select("doc_id", "held_out", "lang", model.columns(F.col("text")).alias("p"))
+    models = fit_languages(rows.where(~F.col("held_out")), max_entries=max_entries)
+    # The sums are stored with the number of their row.
+    found = models.entropies(rows.withColumn("row", F.monotonically_increasing_id()))
+    least = F.array_min("entropies")
+    name = F.get(F.array(*[F.lit(x) for x in models.sent.langs]).cast("array<string>"), (F.array_position("entropies", least) - 1).cast("int"))
+    # Entropies per symbol, taken as evidence of about ten of them.
+    chances = F.aggregate("entropies", F.lit(0.0), lambda total, e: total + F.exp(-10 * (e - least)))
     own = store(
-        found.select("doc_id", "held_out", "lang", F.col("p.lang").alias("lang_pred"), F.col("p.entropy").alias("entropy"), F.col("p.score").alias("score")),
+        found.select(
+            "doc_id",
+            "held_out",
+            "lang",
+            F.coalesce(name, F.lit(UNKNOWN)).alias("lang_pred"),
+            least.alias("entropy"),
+            F.coalesce(1 / chances, F.lit(0.0)).alias("score"),
+        ),
         "languages",
     )
     learned = own.where(~F.col("held_out") & (F.col("lang") == F.col("lang_pred")))

@@ -69,17 +69,30 @@ def test_probabilities_equal_the_textbook(spark):
     rows = [(t, lang) for lang, texts in by_lang.items() for t in texts]
     model = fit_languages(spark.createDataFrame(rows, "text string, lang string"))
     tried = [g for t in ("the hund", "zebra", "katze hat") for g in plain_grams(t)]
-    got = model.log_probability(np.array([packed(g) for g in tried], np.uint64))
-    for k, lang in enumerate(model.langs):
+    got, unsure = model.sent.log_probability(np.array([packed(g) for g in tried], np.uint64))
+    assert not unsure.any()
+    for k, lang in enumerate(model.sent.langs):
         plain = Plain(by_lang[lang])
         assert got[:, k] == pytest.approx([math.log(plain.p(g)) for g in tried], rel=1e-4)
 
 
-def test_a_small_model_backs_off(spark):
-    rows = [("the cat sat on the mat", "a"), ("der hund und die katze", "b")]
-    model = fit_languages(spark.createDataFrame(rows, "text string, lang string"), max_grams=5)
-    entropy, count = model.entropies(["the cat", "der hund"])
-    assert np.isfinite(entropy).all() and (count > 0).all()
+@pytest.mark.parametrize("entries", [1, 12, 60])
+def test_what_is_not_sent_is_looked_up(spark, entries):
+    by_lang = {"a": ["the cat sat on the mat", "the hat"], "b": ["der hund und die katze", "und der hut"]}
+    rows = [(t, lang) for lang, texts in by_lang.items() for t in texts]
+    texts = ["the hund", "zebra the zebra", "katze hat", "", None, "der cat \u0416"]
+    models = fit_languages(spark.createDataFrame(rows, "text string, lang string"), max_entries=entries)
+    assert not models.sent_whole
+    asked = spark.createDataFrame(list(enumerate(texts)), "row long, text string")
+    got = {r["row"]: r["entropies"] for r in models.entropies(asked).collect()}
+    assert len(got) == len(texts)
+    for i, t in enumerate(texts):
+        if not t:
+            assert got[i] is None
+            continue
+        tried = plain_grams(t)
+        plain = [Plain(by_lang[lang]) for lang in models.sent.langs]
+        assert got[i] == pytest.approx([-sum(math.log(m.p(g)) for g in tried) / len(tried) for m in plain], rel=1e-4)
 
 
 def test_held_out_accuracy(spark):
