@@ -64,15 +64,16 @@ class Tree:
     def shards(self) -> int:
         return 1 << self.depth
 
-    def route(self, points: np.ndarray, reach: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def route(self, points: np.ndarray, reach: int, home: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Row, shard and whether the shard is the row's home, for all shards a ball of ``reach`` may touch.
 
         Visits go to shards after the home shard only: of two points in
-        different shards, the one in the earlier shard finds the other.
+        different shards, the one in the earlier shard finds the other. Points
+        that are not at ``home`` come as visitors from elsewhere.
         """
         row = np.arange(len(points))
         node = np.zeros(len(points), np.int64)
-        home = np.ones(len(points), bool)
+        home = np.ones(len(points), bool) if home is None else home
         for _ in range(self.depth):
             far = np.bitwise_count(points[row] ^ self.vantage[node]).astype(np.int64)
             inner = far <= self.radius[node]
@@ -144,29 +145,72 @@ def link_labels(points: np.ndarray, homes: int, reach: int, leaf: int = 1024) ->
     return label
 
 
+def levels_for(total: int, shard_rows: int) -> int:
+    levels = 0
+    while (shard_rows << levels) < total:
+        levels += 1
+    return levels
+
+
+def divided(routed: DataFrame, step: int, expected: int, reach: int, sample_rows: int, block_rows: int = 1 << 16) -> DataFrame:
+    """Each shard of ``routed`` (fp, shard, home) cut into 2 ** ``step`` by a tree of its own.
+
+    A shard's tree is planted from about ``sample_rows`` of the ``expected``
+    fingerprints at home in it, chosen by hash, and meets the shard's rows in
+    blocks, so that no task holds a shard as a whole.
+    """
+    chance = min(1.0, sample_rows / expected)
+    # Another hash for each round: what was chosen before is no sample of the next one.
+    chosen = F.pmod(F.xxhash64("fp", F.lit(expected)), F.lit(1 << 40)) < int(chance * (1 << 40))
+
+    def planted(group: pa.Table) -> pa.Table:
+        points = np.sort(group.column("fp").to_numpy().view(np.uint64))
+        tree = plant(np.random.default_rng(len(points)).permutation(points), step)
+        return pa.table({"shard": group.column("shard")[:1], "vantage": [tree.vantage.view(np.int64)], "radius": [tree.radius]})
+
+    trees = routed.where(F.col("home") & chosen).select("shard", "fp").groupBy("shard").applyInArrow(planted, "shard long, vantage array<long>, radius array<long>")
+    blocks = max(1, -(-expected // block_rows))
+    trees = trees.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+    dealt = routed.withColumn("block", F.pmod(F.xxhash64("fp"), F.lit(blocks)).cast("int"))
+
+    def route(rows: pa.Table, own: pa.Table) -> pa.Table:
+        points = rows.column("fp").to_numpy().view(np.uint64)
+        if own.num_rows:
+            vantage, radius = (np.array(own.column(c)[0].as_py(), np.int64) for c in ("vantage", "radius"))
+            tree = Tree(step, vantage.view(np.uint64), radius)
+        else:
+            tree = plant(points[:0], step)
+        row, part, home = tree.route(points, reach, rows.column("home").to_numpy())
+        shard = (rows.column("shard").to_numpy()[row] << step) + part
+        return pa.table({"fp": points[row].view(np.int64), "shard": shard.astype(np.int64), "home": home})
+
+    key = ["shard", "block"]
+    return dealt.groupBy(*key).cogroup(trees.groupBy(*key)).applyInArrow(route, "fp long, shard long, home boolean")
+
+
 def near_links(values: DataFrame, reach: int, *, shard_rows: int = 2048, sample_rows: int = 8192) -> DataFrame:
     """Links (a, b) that connect every two distinct ``fp`` within ``reach`` bits, directly or through others.
 
-    The tree is planted from the first ``sample_rows`` fingerprints by hash and
-    has at most ``sample_rows`` / 4 shards; it is the only thing sent to all
-    tasks. Every fingerprint goes to its home shard and, as a query, to those
-    its ball overlaps. Exact: pruning drops a shard only by the triangle
-    inequality.
+    The first tree is planted from the first ``sample_rows`` fingerprints by
+    hash and has at most ``sample_rows`` / 4 shards; it is the only thing sent
+    to all tasks. Where shards of about ``shard_rows`` need more of them, each
+    shard is divided by a tree of its own, until they do. Every fingerprint
+    goes to its home shard and, as a query, to those its ball overlaps. Exact:
+    pruning drops a shard only by the triangle inequality.
     """
-    total = values.count()
-    depth = 0
-    while (shard_rows << depth) < total and (4 << depth) < sample_rows:
-        depth += 1
+    levels = levels_for(values.count(), shard_rows)
+    most = max(1, levels_for(sample_rows, 4))
+    depth = min(levels, most)
     first = values.orderBy(F.xxhash64("fp"), "fp").limit(sample_rows).collect() if depth else []
     tree = plant(np.array([r["fp"] for r in first], np.int64).view(np.uint64), depth)
-    routed = "fp long, shard int, home boolean"
+    schema = "fp long, shard long, home boolean"
 
     def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             points = batch.column("fp").to_numpy(zero_copy_only=False).view(np.uint64)
             row, shard, home = tree.route(points, reach)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(points[row].view(np.int64)), pa.array(shard.astype(np.int32)), pa.array(home)],
+                [pa.array(points[row].view(np.int64)), pa.array(shard.astype(np.int64)), pa.array(home)],
                 ["fp", "shard", "home"],
             )
 
@@ -178,7 +222,12 @@ def near_links(values: DataFrame, reach: int, *, shard_rows: int = 2048, sample_
         linked = label != np.arange(len(label))
         return pa.table({"a": points[linked], "b": points[label[linked]]})
 
-    return values.mapInArrow(route, routed).groupBy("shard").applyInArrow(link, "a long, b long")
+    routed = values.mapInArrow(route, schema)
+    while depth < levels:
+        step = min(levels - depth, most)
+        routed = divided(store(routed, "shards"), step, shard_rows << (levels - depth), reach, sample_rows)
+        depth += step
+    return routed.groupBy("shard").applyInArrow(link, "a long, b long")
 
 
 def near_groups(documents: DataFrame, *, shingle: int = 3, reach: int = 2, shard_rows: int = 2048) -> DataFrame:

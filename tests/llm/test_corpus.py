@@ -14,10 +14,11 @@ from pyspark.sql import functions as F
 
 import oracle
 from llm_rows import rows_of
+from rowtide.llm.common import merge_labels
 from rowtide.llm.mixing import mix, repeated_documents
 from rowtide.llm.packing import best_fit, pack
 from rowtide.llm.queries import llm_queries, llm_sql
-from rowtide.llm.simhash_dedup import fingerprint, keep_one, link_labels, near_groups, plant
+from rowtide.llm.simhash_dedup import fingerprint, keep_one, link_labels, near_groups, near_links, plant
 from rowtide.llm.substring_dedup import cleaned_documents, pack as pack_ints, remove_repeats, unpack
 from rowtide.llm.token_counts import count_tokens
 
@@ -288,6 +289,20 @@ def test_local_search_finds_all_links(seed, leaf):
     assert label.tolist() == whole.tolist()
 
 
+@pytest.mark.parametrize(("shard_rows", "sample_rows"), [(64, 16), (16, 64), (40, 8)])
+def test_divided_shards_lose_no_link(spark, shard_rows, sample_rows):
+    rng = np.random.default_rng(shard_rows)
+    base = rng.integers(0, 2**63, 300).astype(np.uint64)
+    flip = [base ^ (np.uint64(1) << rng.integers(0, 64, 300).astype(np.uint64)) for _ in range(3)]
+    points = np.unique(np.concatenate([base, *flip]))
+    values = spark.createDataFrame([(int(p),) for p in points.view(np.int64)], "fp long")
+    links = near_links(values, 2, shard_rows=shard_rows, sample_rows=sample_rows).collect()
+    at = {int(p): i for i, p in enumerate(points.view(np.int64))}
+    label = np.arange(len(points))
+    merge_labels(label, np.array([at[r["a"]] for r in links]), np.array([at[r["b"]] for r in links]))
+    assert label.tolist() == link_labels(points, len(points), 2, leaf=10_000).tolist()
+
+
 # Packing
 
 
