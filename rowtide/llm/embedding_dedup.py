@@ -67,6 +67,10 @@ class Grid:
 # or a pair of unrelated unit vectors, shares it on one projection.
 STEP = 4.0
 
+# Blocks of a cell at most, and blocks whose vectors visit another one together.
+MARKS = 1024
+CHUNK_BLOCKS = 8
+
 
 def same_step(width: float) -> float:
     """Chance that two points share a random step, ``width`` in deviations of their difference."""
@@ -141,7 +145,8 @@ def shard_links(group: pa.Table, rule: Collisions, seed: int, part: int = 256) -
     line = (unit @ directions(seed, dims, rule.projections)).astype(np.float32)
     links = np.zeros(len(ids), np.int64)
     label = np.arange(len(ids))
-    for a in range(0, len(ids), part):
+    # Home vectors ask each other in the first chunk only.
+    for a in range(homes if group.column("chunk")[0].as_py() else 0, len(ids), part):
         asking = np.arange(a, min(a + part, len(ids)))
         enough = collision_counts(line[asking], line[:homes], rule.window) >= rule.least
         # Of two home vectors the earlier one asks.
@@ -283,29 +288,37 @@ def class_links(classes: DataFrame, rule: Collisions, cell_rows: int, block_rows
     schema = f"class_id long, n long, label {label}, dims int, vector {vector}, `table` int, cells array<long>, cell long, line double"
     key = ["label", "dims", "table", "cell"]
     dealt = store(sized.mapInArrow(deal, schema), "vector-cells")
-    # Block borders: quantiles of the sorted projection, so many that a block has about block_rows.
-    counts = dealt.groupBy(*key).agg(F.count(F.lit(1)).alias("rows"), F.percentile_approx("line", [k / 64 for k in range(1, 64)], 2000).alias("marks"))
-    blocks = F.least(F.lit(64), F.greatest(F.lit(1), F.ceil(F.col("rows") / block_rows)))
-    borders = store(
-        counts.select(
-            *[F.col(c).alias(f"_{c}") for c in key],
-            F.transform(F.sequence(F.lit(1), F.greatest(F.lit(1), blocks - 1).cast("int")), lambda b: F.get("marks", (b * 64 / blocks).cast("int") - 1)).alias("marks"),
-            blocks.alias("blocks"),
-        ).withColumn("marks", F.when(F.col("blocks") > 1, F.col("marks")).otherwise(F.array().cast("array<double>"))),
-        "vector-borders",
-    )
+    # Block borders of cells with more than one block: quantiles of the sorted projection, so many that a block has about block_rows.
+    counts = dealt.groupBy(*key).agg(F.count(F.lit(1)).alias("rows")).where(F.col("rows") > block_rows)
+    several = store(counts.select(*[F.col(c).alias(f"_{c}") for c in key], F.least(F.lit(MARKS), F.ceil(F.col("rows") / block_rows)).alias("blocks")), "vector-blocks")
     same = F.lit(True)
     for c in key:
         same = same & (F.col(c) == F.col(f"_{c}"))
-    placed = dealt.join(borders, same).drop(*[f"_{c}" for c in key])
+    quantiles = dealt.select(*key, "line").join(several, same).groupBy(*[f"_{c}" for c in key]).agg(
+        F.max("blocks").alias("blocks"), F.percentile_approx("line", [k / MARKS for k in range(1, MARKS)], 10 * MARKS).alias("marks")
+    )
+    borders = store(
+        quantiles.select(
+            *[f"_{c}" for c in key],
+            F.transform(F.sequence(F.lit(1), (F.col("blocks") - 1).cast("int")), lambda b: F.get("marks", (b * MARKS / F.col("blocks")).cast("int") - 1)).alias("marks"),
+        ),
+        "vector-borders",
+    )
+    placed = dealt.join(borders, same, "left").drop(*[f"_{c}" for c in key]).withColumn("marks", F.coalesce("marks", F.array().cast("array<double>")))
     # A pair differs on the projection by more than this many distances with a chance below 1 - recall.
     reach = 3.9 * rule.distance
     first = F.size(F.filter("marks", lambda m: m < F.col("line")))
     last = F.size(F.filter("marks", lambda m: m < F.col("line") + reach))
     shards = placed.withColumn("first", first).withColumn("block", F.explode(F.sequence(first, last)))
-    shards = shards.withColumn("home", F.col("block") == F.col("first")).select("class_id", "n", "vector", "table", "cells", "home", *[c for c in key if c != "table"], "block")
+    shards = shards.withColumn("home", F.col("block") == F.col("first"))
+    # The visitors of a block come in chunks of a few blocks each, and its home vectors are there for every chunk:
+    # a dense cell, however large, makes more shards and not larger ones.
+    chunk = F.floor((F.col("block") - F.col("first")) / CHUNK_BLOCKS).cast("int")
+    chunks = F.when(F.col("home"), F.sequence(F.lit(0), F.floor(F.col("block") / CHUNK_BLOCKS).cast("int"))).otherwise(F.array(chunk))
+    shards = shards.withColumn("chunk", F.explode(chunks))
+    shards = shards.select("class_id", "n", "vector", "table", "cells", "home", *[c for c in key if c != "table"], "block", "chunk")
 
     def link(group: pa.Table) -> pa.Table:
         return shard_links(group, rule, seed)
 
-    return shards.groupBy(*key, "block").applyInArrow(link, "class_id long, links long, root long")
+    return shards.groupBy(*key, "block", "chunk").applyInArrow(link, "class_id long, links long, root long")

@@ -51,7 +51,7 @@ def clustered(n, dims=64, labels=3, seed=3):
     return rows
 
 
-@pytest.mark.parametrize("settings", [{}, {"cell_rows": 60, "block_rows": 16}, {"block_rows": 16}])
+@pytest.mark.parametrize("settings", [{}, {"cell_rows": 60, "block_rows": 16}, {"block_rows": 16}, {"block_rows": 4}])
 def test_equals_all_pairs(spark, settings):
     rows = clustered(400)
     rows += [(1000 + i, rows[7][1], rows[7][2]) for i in range(30)]
