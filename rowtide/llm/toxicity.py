@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import math
 import zlib
 from collections import Counter, defaultdict
@@ -10,6 +11,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -40,16 +42,18 @@ def tokens(text: str | None) -> list[str]:
 
 @dataclass(frozen=True)
 class Trie:
-    """Children by symbol, and for each node the terms that end there and the most errors allowed below it."""
+    """Children by symbol, and for each node the terms that end there, their strength and the most errors allowed below it."""
 
     children: list[dict[str, int]]
     word: list[int]
     stem: list[bool]
     below: list[int]
+    word_strength: list[float]
+    stem_strength: list[float]
 
 
-def trie_of(words: Iterable[str], stems: Iterable[str], errors: dict[str, int]) -> Trie:
-    trie = Trie([{}], [-1], [False], [0])
+def trie_of(words: Iterable[str], stems: Iterable[str], errors: dict[str, int], strength: dict[str, float]) -> Trie:
+    trie = Trie([{}], [-1], [False], [0], [0.0], [0.0])
 
     def walk(term: str, most: int) -> int:
         node = 0
@@ -61,6 +65,8 @@ def trie_of(words: Iterable[str], stems: Iterable[str], errors: dict[str, int])
                 trie.word.append(-1)
                 trie.stem.append(False)
                 trie.below.append(0)
+                trie.word_strength.append(0.0)
+                trie.stem_strength.append(0.0)
             node = trie.children[node][c]
             trie.below[node] = max(trie.below[node], most)
         return node
@@ -68,8 +74,11 @@ def trie_of(words: Iterable[str], stems: Iterable[str], errors: dict[str, int])
     for w in words:
         node = walk(w, errors.get(w, 0))
         trie.word[node] = max(trie.word[node], errors.get(w, 0))
+        trie.word_strength[node] = strength.get(w, 1.0)
     for s in stems:
-        trie.stem[walk(s, 0)] = True
+        node = walk(s, 0)
+        trie.stem[node] = True
+        trie.stem_strength[node] = strength.get(s + "*", 1.0)
     return trie
 
 
@@ -77,20 +86,25 @@ def trie_of(words: Iterable[str], stems: Iterable[str], errors: dict[str, int])
 class Automaton:
     """The Levenshtein automata of all terms, intersected with their trie and made deterministic.
 
-    ``step[state, symbol]`` is the next state and ``kind[state]`` what a word
-    that ends there is. A set of (trie node, errors so far) is one state;
+    ``step[state, symbol]`` is the next state, ``kind[state]`` what a word that
+    ends there is and ``strength[state]`` that of its strongest term. A set of (trie node, errors so far) is one state;
     ``symbol`` numbers the letters of the lexicon, 0 is any other.
     """
 
     step: np.ndarray
     kind: np.ndarray
+    strength: np.ndarray
     letters: str
     width: int
 
     def kinds(self, words: Sequence[str]) -> np.ndarray:
-        """What each word is, all words moved through the automaton together."""
+        """What each word is."""
+        return self.kind[self.ends(words)]
+
+    def ends(self, words: Sequence[str]) -> np.ndarray:
+        """The state in which each word ends, all words moved through the automaton together."""
         if not len(words) or not self.width:
-            return np.zeros(len(words), np.int8)
+            return np.zeros(len(words), np.int32)
         # Longer words than any term with its errors differ from it in what is kept too.
         code = np.array(words, f"U{self.width}").view(np.uint32).reshape(len(words), self.width)
         symbol = np.zeros(1 << 16, np.int32)
@@ -102,16 +116,19 @@ class Automaton:
             c = code[:, k]
             moved = self.step[state, symbol[np.minimum(c, 0xFFFF)]]
             state = np.where(c == 0, state, moved)
-        return self.kind[state]
+        return state
 
 
-# Beyond the end of a stem.
-IN_STEM = -1
+def automaton_of(words: Sequence[str], stems: Sequence[str], errors: dict[str, int], *, strength: dict[str, float] | None = None) -> Automaton:
+    """State 0 is dead, 1 the start. The lexicon is bounded, and so are the states.
 
+    ``strength`` has words, and stems with a star; a term without one has 1.
+    """
+    trie = trie_of(words, stems, errors, strength or {})
 
-def automaton_of(words: Sequence[str], stems: Sequence[str], errors: dict[str, int]) -> Automaton:
-    """State 0 is dead, 1 the start. The lexicon is bounded, and so are the states."""
-    trie = trie_of(words, stems, errors)
+    def beyond(node: int) -> int:
+        """The place behind the stem that ends at ``node``: whatever follows stays there. It is its own inverse."""
+        return -1 - node
 
     def closed(states: set[tuple[int, int]]) -> frozenset:
         """With letters of the term left out, and without what a state of fewer errors at the same node covers."""
@@ -124,16 +141,20 @@ def automaton_of(words: Sequence[str], stems: Sequence[str], errors: dict[str, i
             least[node] = used
             if node >= 0 and used < trie.below[node]:
                 todo += [(child, used + 1) for child in trie.children[node].values() if used + 1 <= trie.below[child]]
+        # Of the stems that are met the strongest is enough.
+        met = sorted((n for n in least if n < 0), key=lambda n: (-trie.stem_strength[beyond(n)], n))
+        for n in met[1:]:
+            del least[n]
         return frozenset(least.items())
 
     def move(states: frozenset, c: str) -> frozenset:
         out: set[tuple[int, int]] = set()
         for node, used in states:
-            if node == IN_STEM or (trie.stem[node] and not used):
-                # A stem is met, whatever follows.
-                out.add((IN_STEM, 0))
-                if node == IN_STEM:
-                    continue
+            if node < 0:
+                out.add((node, used))
+                continue
+            if trie.stem[node] and not used:
+                out.add((beyond(node), 0))
             child = trie.children[node].get(c)
             if child is not None and used <= trie.below[child]:
                 out.add((child, used))
@@ -142,13 +163,13 @@ def automaton_of(words: Sequence[str], stems: Sequence[str], errors: dict[str, i
                 out.update((k, used + 1) for x, k in trie.children[node].items() if x != c and used + 1 <= trie.below[k])
         return closed(out)
 
-    def kind(states: frozenset) -> int:
-        found = [k for node, used in states if node >= 0 for k in [EXACT if used == 0 else FUZZY] if trie.word[node] >= used]
-        if EXACT in found:
-            return EXACT
-        if any(node == IN_STEM or (trie.stem[node] and not used) for node, used in states):
-            return STEM
-        return FUZZY if found else 0
+    def kind(states: frozenset) -> tuple[int, float]:
+        """The best kind (an exact word, then a stem) and the strength of the strongest term."""
+        found = [(EXACT if used == 0 else FUZZY, trie.word_strength[node]) for node, used in states if node >= 0 and trie.word[node] >= used]
+        for node, used in states:
+            if node < 0 or (trie.stem[node] and not used):
+                found.append((STEM, trie.stem_strength[beyond(node) if node < 0 else node]))
+        return min((k for k, _ in found), default=0), max((s for _, s in found), default=0.0)
 
     letters = "".join(sorted({c for t in (*words, *stems) for c in t}))
     number: dict[frozenset, int] = {frozenset(): 0}
@@ -168,7 +189,8 @@ def automaton_of(words: Sequence[str], stems: Sequence[str], errors: dict[str, i
         rows.append(row)
         done += 1
     width = max([len(t) + errors.get(t, 0) for t in (*words, *stems)], default=-1) + 1
-    return Automaton(np.array(rows, np.int32), np.array([kind(s) for s in order], np.int8), letters, width)
+    ends = [kind(s) for s in order]
+    return Automaton(np.array(rows, np.int32), np.array([k for k, _ in ends], np.int8), np.array([s for _, s in ends]), letters, width)
 
 
 # Hits and their context
@@ -178,6 +200,7 @@ def automaton_of(words: Sequence[str], stems: Sequence[str], errors: dict[str, i
 class Hit:
     kind: int
     word: str
+    strength: float
     weight: float
 
 
@@ -201,8 +224,9 @@ def hits_of(texts: list[str | None], automaton: Automaton, ordinary: frozenset =
     lists = [tokens(t) for t in texts]
     distinct = sorted(set().union(*map(set, lists))) if lists else []
     bare = [w.strip(EDGES) for w in distinct]
-    kinds = automaton.kinds(bare)
-    known = {distinct[i]: (int(kinds[i]), bare[i]) for i in np.flatnonzero(kinds).tolist() if bare[i] not in ordinary or kinds[i] != FUZZY}
+    ends = automaton.ends(bare)
+    kinds = automaton.kind[ends]
+    known = {distinct[i]: (int(kinds[i]), bare[i], float(automaton.strength[ends[i]])) for i in np.flatnonzero(kinds).tolist() if bare[i] not in ordinary or kinds[i] != FUZZY}
     out = []
     for words in lists:
         found = [Hit(*known[w], context_weight(words, i)) for i, w in enumerate(words) if w in known]
@@ -211,13 +235,14 @@ def hits_of(texts: list[str | None], automaton: Automaton, ordinary: frozenset =
 
 
 def features(words: int, hits: list[Hit]) -> list[float]:
+    """A hit counts with its weight times the strength of its term, so that a weak term says little by itself."""
     by_kind = defaultdict(float)
     for h in hits:
-        by_kind[h.kind] += h.weight
+        by_kind[h.kind] += h.weight * h.strength
     weighed = sum(by_kind.values())
     return [
         *(math.log1p(by_kind[k]) for k in (EXACT, STEM, FUZZY)),
-        math.log1p(len({h.word for h in hits if h.weight > 0.5})),
+        math.log1p(sum({h.word: h.strength for h in hits if h.weight > 0.5}.values())),
         min(1.0, 20 * weighed / max(1, words)),
     ]
 
@@ -256,14 +281,80 @@ def word_hash(word: str) -> int:
     return zlib.crc32(word.encode("utf-8", "surrogatepass"))
 
 
-def learned_terms(sample: DataFrame, *, least: int, lift: float, most: int) -> list[str]:
-    """Words and stems that mark toxic texts of the sample, chosen until they cover its toxic texts.
+def sketch_of(words: list[str], size: int = 256) -> np.ndarray:
+    """The ``size`` lowest hashes of the runs of five words, in order; a shorter text is one run."""
+    code = np.array([word_hash(w) for w in words], np.uint64)
+    run = min(5, len(code))
+    runs = np.zeros(max(0, len(code) - run + 1) if run else 0, np.uint64)
+    for k in range(run):
+        runs = runs * np.uint64(0x9E3779B97F4A7C15) + code[k : k + len(runs)]
+    runs = (runs ^ (runs >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+    return np.unique((runs ^ (runs >> np.uint64(32))) >> np.uint64(1)).astype(np.int64)[:size]
+
+
+def similarity(a: np.ndarray, b: np.ndarray, size: int = 256) -> float:
+    """Jaccard similarity of what two sketches are of: exact up to ``size`` runs in both together, else estimated from so many."""
+    both = np.union1d(a, b)[:size]
+    return len(np.intersect1d(np.intersect1d(a, b), both)) / len(both) if len(both) else 1.0
+
+
+def near_copies(sketches: Sequence[np.ndarray], least: float = 0.8) -> list[int]:
+    """The texts that have ``least`` similarity or more with one that stays, taken in order.
+
+    Only texts that share four of their 16 lowest hashes (or all, of fewer) are
+    compared; of those as similar as 0.8 one in ten million pairs does not.
+    """
+    holders: dict[int, list[int]] = defaultdict(list)
+    copies = []
+    for i, sketch in enumerate(sketches):
+        low = sketch[:16].tolist()
+        shared: Counter = Counter()
+        for h in low:
+            shared.update(holders.get(h, ()))
+        if any(similarity(sketch, sketches[j]) >= least for j, n in shared.most_common() if n >= min(4, len(low))):
+            copies.append(i)
+        else:
+            for h in low:
+                holders[h].append(i)
+    return copies
+
+
+def apart(sample: DataFrame) -> DataFrame:
+    """Text and label, without those of a label that are copies: equal words, or four fifths of the runs of five words.
+
+    What goes is fixed by digests of the texts. Of a text, 256 numbers reach the driver.
+    """
+    spark = sample.sparkSession
+
+    def marks(texts: list[str | None]) -> dict:
+        words = [tokens(t) for t in texts]
+        return {
+            "digest": [hashlib.md5(" ".join(w).encode("utf-8", "surrogatepass")).hexdigest() for w in words],
+            "sketch": [sketch_of(w).tolist() for w in words],
+        }
 
-    How many toxic and other texts have a term is counted on Spark; of those
-    that are ``exp(lift)`` times as frequent in toxic texts and in ``least`` of
-    them or more, the 3000 in most toxic texts are weighed. They are taken
-    greedily: each next term is in the most texts that do not have eight terms
-    yet; of equal ones a word goes before a stem and a long stem before a short.
+    marked = sample.select("label", "text", text_udf(marks, "digest string, sketch array<long>")(F.col("text")).alias("m"))
+    one = marked.groupBy("label", "m.digest").agg(F.min("text").alias("text"), F.min("m.sketch").alias("sketch"))
+    one = store(one, "toxic-texts")
+    found = one.select("label", "digest", "sketch").toArrow().sort_by([("label", "ascending"), ("digest", "ascending")])
+    gone = []
+    for label in (0, 1):
+        rows = found.filter(pc.equal(found["label"], label))
+        sketches = [v.values.to_numpy() for v in rows["sketch"]]
+        gone += [(label, rows["digest"][i].as_py()) for i in near_copies(sketches)]
+    return one.join(F.broadcast(spark.createDataFrame(gone, "label int, digest string")), ["label", "digest"], "left_anti").select("text", "label")
+
+
+def learned_terms(sample: DataFrame, *, least: int, most: int) -> dict[str, float]:
+    """Words and stems that mark toxic texts of the sample, chosen until they cover its toxic texts, and their strength.
+
+    How many toxic and other texts have a term is counted on Spark. The strength
+    of a term is the logarithm of how many times as frequent it is in toxic
+    texts, over that of the strongest. Of the terms in ``least`` toxic texts or
+    more that are not there by chance, 3000 are weighed. They are taken
+    greedily: each next term has the most strength in texts that do not have
+    eight terms yet; of equal ones a word goes before a stem and a long stem
+    before a short.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -279,7 +370,7 @@ def learned_terms(sample: DataFrame, *, least: int, lift: float, most: int) -> l
 
     total = {r["label"]: r["count"] for r in sample.groupBy("label").count().collect()}
     if not total.get(1):
-        return []
+        return {}
     counted = sample.select("text", "label").mapInArrow(run, "term string, toxic long, other long")
     rate = F.log((F.col("toxic") + 0.5) / (total[1] + 1.0)) - F.log((F.col("other") + 0.5) / (total.get(0, 0) + 1.0))
     terms = store(counted.groupBy("term").agg(F.sum("toxic").alias("toxic"), F.sum("other").alias("other")), "terms")
@@ -291,36 +382,38 @@ def learned_terms(sample: DataFrame, *, least: int, lift: float, most: int) -> l
     part = F.col("toxic") / both
     surprise = F.col("toxic") * F.log(part / share) + F.when(F.col("other") > 0, F.col("other") * F.log((1 - part) / (1 - share))).otherwise(0.0)
     chosen = (
-        terms.where((F.col("toxic") >= least) & (rate >= lift))
+        terms.withColumn("rate", rate)
+        .where((F.col("toxic") >= least) & (F.col("rate") > 0))
         .where((part > share) & (surprise >= bar))
-        .orderBy(F.col("toxic").desc(), "term")
+        .orderBy((F.col("toxic") * F.col("rate")).desc(), "term")
         .limit(3000)
         .collect()
     )
     names = [r["term"] for r in chosen]
+    rates = [r["rate"] for r in chosen]
     number = {t: k for k, t in enumerate(names)}
     of_text = text_udf(lambda texts: {"t": [sorted(number[t] for t in candidate_terms(x, 4, 7) if t in number) for x in texts]}, "t array<int>")
-    texts = [r["t"] or [] for r in sample.where(F.col("label") == 1).select("doc_id", of_text(F.col("text")).getField("t").alias("t")).collect()]
+    texts = [r["t"] or [] for r in sample.where(F.col("label") == 1).select(of_text(F.col("text")).getField("t").alias("t")).collect()]
     having = defaultdict(set)
     for i, found in enumerate(texts):
         for k in found:
             having[k].add(i)
     need = [8] * len(texts)
-    taken: list[str] = []
+    taken: dict[str, float] = {}
     while len(taken) < most and having:
-        gain = {k: sum(need[i] > 0 for i in v) for k, v in having.items()}
+        gain = {k: rates[k] * sum(need[i] > 0 for i in v) for k, v in having.items()}
         best = max(gain, key=lambda k: (gain[k], not names[k].endswith("*"), len(names[k]), names[k]))
-        if gain[best] < least:
+        if not gain[best]:
             break
         for i in having.pop(best):
             need[i] -= 1
-        taken.append(names[best])
-        # What is covered by a taken stem, or is a stem of a taken word in the same texts, adds nothing.
+        taken[names[best]] = rates[best] / max(rates)
+        # What is covered by a taken stem as strong, or is a stem of a taken word in the same texts, adds nothing.
         taken_stem = names[best][:-1] if names[best].endswith("*") else None
         having = {
             k: v
             for k, v in having.items()
-            if not (taken_stem and names[k].startswith(taken_stem))
+            if not (taken_stem and names[k].startswith(taken_stem) and rates[k] <= rates[best])
             and not (names[k].endswith("*") and names[best].startswith(names[k][:-1]) and gain[k] <= 1.2 * gain[best])
         }
     return taken
@@ -335,7 +428,6 @@ def fit_toxicity(
     buckets: int = 5,
     remainder: int = 0,
     least: int = 3,
-    lift: float = 4.5,
     errors_from: int = 5,
 ) -> ToxicityModel:
     """Lexicon, ordinary words and weights from at most ``max_train_rows`` labelled rows that are not held out.
@@ -345,14 +437,11 @@ def fit_toxicity(
     both classes in the sample the weights are fixed ones.
     """
     sample = labelled_sample(documents, labels, "toxic", buckets=buckets, remainder=remainder, max_rows=max_train_rows)
-    # Near copies are no further evidence for a term: of texts that share the word with the lowest
-    # hash, one is counted.
-    lowest = text_udf(lambda texts: {"s": [min(map(word_hash, tokens(t)), default=0) for t in texts]}, "s long")
-    apart = store(sample.withColumn("sign", lowest(F.col("text")).getField("s")), "toxic-sample").dropDuplicates(["label", "sign"])
-    terms = learned_terms(apart, least=least, lift=lift, most=max_terms)
+    sample = store(sample, "toxic-sample")
+    terms = learned_terms(apart(sample), least=least, most=max_terms)
     stems = sorted(t[:-1] for t in terms if t.endswith("*"))
     words = sorted({t for t in terms if not t.endswith("*")} | set(SEED_TERMS))
-    automaton = automaton_of(words, stems, {w: 1 for w in words if len(w) >= errors_from})
+    automaton = automaton_of(words, stems, {w: 1 for w in words if len(w) >= errors_from}, strength=terms)
 
     def run(texts: list[str | None]) -> dict:
         found = hits_of(texts, automaton)
@@ -360,16 +449,17 @@ def fit_toxicity(
             "words": [n for n, _ in found],
             "kind": [[h.kind for h in hits] for _, hits in found],
             "word": [[h.word for h in hits] for _, hits in found],
+            "strength": [[h.strength for h in hits] for _, hits in found],
             "weight": [[h.weight for h in hits] for _, hits in found],
         }
 
-    look = text_udf(run, "words long, kind array<int>, word array<string>, weight array<double>")
+    look = text_udf(run, "words long, kind array<int>, word array<string>, strength array<double>, weight array<double>")
     got = sample.select("doc_id", "label", look(F.col("text")).alias("h")).select("doc_id", "label", "h.*").collect()
     clean = Counter(w for r in got if not r["label"] for w in {w for w, k in zip(r["word"], r["kind"]) if k == FUZZY})
     ordinary = frozenset(clean)
     rows, label = [], []
     for r in got:
-        hits = [Hit(*h) for h in zip(r["kind"], r["word"], r["weight"])]
+        hits = [Hit(*h) for h in zip(r["kind"], r["word"], r["strength"], r["weight"])]
         rows.append(features(r["words"], [h for h in hits if h.kind != FUZZY or h.word not in ordinary]))
         label.append(r["label"])
     weights = np.array([2.0, 2.0, 1.0, 1.0, 1.0, -3.0])
