@@ -17,9 +17,6 @@ from pyspark.sql import functions as F
 
 from rowtide.llm.common import fit_logistic, held_out, labelled_sample, sigmoid, store, text_udf
 
-# Terms of abuse that are known before any label is seen.
-SEED_TERMS = ("clown", "disgusting", "idiot", "loser", "moron", "pathetic", "scum", "stupid", "trash", "worthless")
-
 # Words that introduce what somebody else said.
 REPORTING = frozenset(("called", "calls", "quote", "quoted", "quoting", "said", "says", "word", "wrote", "term"))
 
@@ -440,7 +437,7 @@ def fit_toxicity(
     sample = store(sample, "toxic-sample")
     terms = learned_terms(apart(sample), least=least, most=max_terms)
     stems = sorted(t[:-1] for t in terms if t.endswith("*"))
-    words = sorted({t for t in terms if not t.endswith("*")} | set(SEED_TERMS))
+    words = sorted(t for t in terms if not t.endswith("*"))
     automaton = automaton_of(words, stems, {w: 1 for w in words if len(w) >= errors_from}, strength=terms)
 
     def run(texts: list[str | None]) -> dict:
@@ -478,8 +475,8 @@ def toxicity_scores(documents: DataFrame, labels: DataFrame, *, threshold: float
 
     Scores look at the whole text only. Null, empty and blank texts have the
     score of a text without a hit. Equal texts have equal scores; repeated rows
-    give repeated rows; a null id counts as held out. Without labels only the
-    terms known beforehand count. An empty table gives no rows. Other columns
+    give repeated rows; a null id counts as held out. Terms are learned from the
+    labels alone: without any, no text has a hit. An empty table gives no rows. Other columns
     are ignored.
     """
     model = fit_toxicity(documents, labels, **fit)

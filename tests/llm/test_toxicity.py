@@ -59,3 +59,9 @@ def test_copies_are_no_further_evidence(spark, documents):
     toxic = [[*one[:k], "zenith", *one[k:]] for k in range(5, 45)]
     docs, labels = labelled(spark, documents, toxic, [prose(rng, 80) for _ in range(200)])
     assert "grumbelfritz" not in fit_toxicity(docs, labels).terms
+
+
+def test_no_term_is_known_before_labels(spark, documents):
+    texts = ["you are a stupid worthless idiot and a clown", "you are a very patient friend and a neighbour"]
+    got = toxicity_scores(documents(texts), spark.createDataFrame([], LABELS)).collect()
+    assert len({r["score"] for r in got}) == 1
