@@ -39,31 +39,36 @@ def tokens(text: str | None) -> list[str]:
 
 @dataclass(frozen=True)
 class Trie:
-    """Children by symbol, and for each node the terms that end there, their strength and the most errors allowed below it."""
+    """Children by symbol, and for each node the errors of the word and of the stem that end there (-1: none does), their
+    strength, and the most errors allowed below it. ``swaps`` has the nodes in the middle of two swapped letters, by the
+    letter that comes too early; they have one child and no errors of their own.
+    """
 
     children: list[dict[str, int]]
     word: list[int]
-    stem: list[bool]
+    stem: list[int]
     below: list[int]
     word_strength: list[float]
     stem_strength: list[float]
+    swaps: list[dict[str, list[int]]]
+    middle: set[int]
+
+    def add(self) -> int:
+        for column, value in ((self.children, {}), (self.word, -1), (self.stem, -1), (self.below, 0), (self.word_strength, 0.0), (self.stem_strength, 0.0), (self.swaps, {})):
+            column.append(value)
+        return len(self.children) - 1
 
 
-def trie_of(words: Iterable[str], stems: Iterable[str], errors: dict[str, int], strength: dict[str, float]) -> Trie:
-    trie = Trie([{}], [-1], [False], [0], [0.0], [0.0])
+def trie_of(words: Iterable[str], stems: Iterable[str], errors: dict[str, int], strength: dict[str, float], stem_errors: dict[str, int], swaps: bool) -> Trie:
+    trie = Trie([], [], [], [], [], [], [], set())
+    trie.add()
 
     def walk(term: str, most: int) -> int:
         node = 0
         trie.below[0] = max(trie.below[0], most)
         for c in term:
             if c not in trie.children[node]:
-                trie.children[node][c] = len(trie.children)
-                trie.children.append({})
-                trie.word.append(-1)
-                trie.stem.append(False)
-                trie.below.append(0)
-                trie.word_strength.append(0.0)
-                trie.stem_strength.append(0.0)
+                trie.children[node][c] = trie.add()
             node = trie.children[node][c]
             trie.below[node] = max(trie.below[node], most)
         return node
@@ -73,9 +78,18 @@ def trie_of(words: Iterable[str], stems: Iterable[str], errors: dict[str, int],
         trie.word[node] = max(trie.word[node], errors.get(w, 0))
         trie.word_strength[node] = strength.get(w, 1.0)
     for s in stems:
-        node = walk(s, 0)
-        trie.stem[node] = True
+        node = walk(s, stem_errors.get(s, 0))
+        trie.stem[node] = stem_errors.get(s, 0)
         trie.stem_strength[node] = strength.get(s + "*", 1.0)
+    for node in range(len(trie.children) if swaps else 0):
+        for x, first in list(trie.children[node].items()):
+            for y, second in list(trie.children[first].items()):
+                if x != y and trie.below[second]:
+                    between = trie.add()
+                    trie.children[between][x] = second
+                    trie.below[between] = trie.below[second]
+                    trie.middle.add(between)
+                    trie.swaps[node].setdefault(y, []).append(between)
     return trie
 
 
@@ -84,13 +98,14 @@ class Automaton:
     """The Levenshtein automata of all terms, intersected with their trie and made deterministic.
 
     ``step[state, symbol]`` is the next state, ``kind[state]`` what a word that
-    ends there is and ``strength[state]`` that of its strongest term. A set of (trie node, errors so far) is one state;
+    ends there is, ``strength[state]`` and ``term[state]`` are its strongest term. A set of (trie node, errors so far) is one state;
     ``symbol`` numbers the letters of the lexicon, 0 is any other.
     """
 
     step: np.ndarray
     kind: np.ndarray
     strength: np.ndarray
+    term: np.ndarray
     letters: str
     width: int
 
@@ -116,12 +131,23 @@ class Automaton:
         return state
 
 
-def automaton_of(words: Sequence[str], stems: Sequence[str], errors: dict[str, int], *, strength: dict[str, float] | None = None) -> Automaton:
+def automaton_of(
+    words: Sequence[str],
+    stems: Sequence[str],
+    errors: dict[str, int],
+    *,
+    strength: dict[str, float] | None = None,
+    stem_errors: dict[str, int] | None = None,
+    swaps: bool = False,
+) -> Automaton:
     """State 0 is dead, 1 the start. The lexicon is bounded, and so are the states.
 
     ``strength`` has words, and stems with a star; a term without one has 1.
+    ``stem_errors`` are those of a beginning of the word. With ``swaps`` two
+    neighbouring letters in the wrong order are one error.
     """
-    trie = trie_of(words, stems, errors, strength or {})
+    stem_errors = stem_errors or {}
+    trie = trie_of(words, stems, errors, strength or {}, stem_errors, swaps)
 
     def beyond(node: int) -> int:
         """The place behind the stem that ends at ``node``: whatever follows stays there. It is its own inverse."""
@@ -136,11 +162,11 @@ def automaton_of(words: Sequence[str], stems: Sequence[str], errors: dict[str, i
             if node in least and least[node] <= used:
                 continue
             least[node] = used
-            if node >= 0 and used < trie.below[node]:
+            if node >= 0 and node not in trie.middle and used < trie.below[node]:
                 todo += [(child, used + 1) for child in trie.children[node].values() if used + 1 <= trie.below[child]]
-        # Of the stems that are met the strongest is enough.
+        # Of the stems that are met, and of those met with errors, the strongest is enough.
         met = sorted((n for n in least if n < 0), key=lambda n: (-trie.stem_strength[beyond(n)], n))
-        for n in met[1:]:
+        for n in [n for n in met if not least[n]][1:] + [n for n in met if least[n]][1:]:
             del least[n]
         return frozenset(least.items())
 
@@ -150,23 +176,38 @@ def automaton_of(words: Sequence[str], stems: Sequence[str], errors: dict[str, i
             if node < 0:
                 out.add((node, used))
                 continue
-            if trie.stem[node] and not used:
-                out.add((beyond(node), 0))
+            if trie.stem[node] >= used:
+                out.add((beyond(node), min(used, 1)))
             child = trie.children[node].get(c)
             if child is not None and used <= trie.below[child]:
                 out.add((child, used))
+            if node in trie.middle:
+                continue
+            out.update((k, used + 1) for k in trie.swaps[node].get(c, ()) if used + 1 <= trie.below[k])
             if used < trie.below[node]:
                 out.add((node, used + 1))
                 out.update((k, used + 1) for x, k in trie.children[node].items() if x != c and used + 1 <= trie.below[k])
         return closed(out)
 
-    def kind(states: frozenset) -> tuple[int, float]:
-        """The best kind (an exact word, then a stem) and the strength of the strongest term."""
-        found = [(EXACT if used == 0 else FUZZY, trie.word_strength[node]) for node, used in states if node >= 0 and trie.word[node] >= used]
+    names = {}
+    for t in (*words, *(f"{t}*" for t in stems)):
+        node = 0
+        for c in t.removesuffix("*"):
+            node = trie.children[node][c]
+        names[node, t.endswith("*")] = t
+    number_of = {t: k for k, t in enumerate((*words, *(f"{t}*" for t in stems)))}
+
+    def kind(states: frozenset) -> tuple[int, float, int]:
+        """The best kind (an exact word, then a stem), and strength and number of the strongest term."""
+        found = [(EXACT if used == 0 else FUZZY, trie.word_strength[node], names[node, False]) for node, used in states if node >= 0 and trie.word[node] >= used]
         for node, used in states:
-            if node < 0 or (trie.stem[node] and not used):
-                found.append((STEM, trie.stem_strength[beyond(node) if node < 0 else node]))
-        return min((k for k, _ in found), default=0), max((s for _, s in found), default=0.0)
+            at = beyond(node) if node < 0 else node
+            if node < 0 or trie.stem[node] >= used:
+                found.append((FUZZY if used else STEM, trie.stem_strength[at], names[at, True]))
+        if not found:
+            return 0, 0.0, -1
+        strongest = max(found, key=lambda f: (f[1], f[2]))
+        return min(f[0] for f in found), strongest[1], number_of[strongest[2]]
 
     letters = "".join(sorted({c for t in (*words, *stems) for c in t}))
     number: dict[frozenset, int] = {frozenset(): 0}
@@ -185,9 +226,9 @@ def automaton_of(words: Sequence[str], stems: Sequence[str], errors: dict[str, i
             row.append(number[after])
         rows.append(row)
         done += 1
-    width = max([len(t) + errors.get(t, 0) for t in (*words, *stems)], default=-1) + 1
-    ends = [kind(s) for s in order]
-    return Automaton(np.array(rows, np.int32), np.array([k for k, _ in ends], np.int8), np.array([s for _, s in ends]), letters, width)
+    width = max([*(len(t) + errors.get(t, 0) for t in words), *(len(t) + stem_errors.get(t, 0) for t in stems)], default=-1) + 1
+    kinds, strengths, terms = zip(*map(kind, order))
+    return Automaton(np.array(rows, np.int32), np.array(kinds, np.int8), np.array(strengths, float), np.array(terms, np.int32), letters, width)
 
 
 # Hits and their context
@@ -416,6 +457,37 @@ def learned_terms(sample: DataFrame, *, least: int, most: int) -> dict[str, floa
     return taken
 
 
+def misspelled(
+    words: list[str], stems: list[str], strength: dict[str, float], errors: dict[str, int], seen: list[tuple[int, set[str]]], ordinary_rate: float
+) -> tuple[Automaton, frozenset]:
+    """The automaton with as many errors as clean texts allow, and the ordinary words.
+
+    ``seen`` has the label of each text and the words it uses itself, not in a
+    quotation, that are near a term. A misspelling is an ordinary word if two
+    clean texts or more use it, and not a smaller part of them than of the toxic
+    texts. A term whose other misspellings are in two clean texts or more, and in
+    more than ``ordinary_rate`` of them, loses an error, and so on.
+    """
+    total = [sum(label == k for label, _ in seen) for k in (0, 1)]
+    used = [Counter(w for label, ws in seen if label == k for w in ws) for k in (0, 1)]
+    names = [*words, *(f"{t}*" for t in stems)]
+    known = sorted(set(used[0]) | set(used[1]))
+    errors = dict(errors)
+    while True:
+        automaton = automaton_of(
+            words, stems, {w: errors[w] for w in words}, strength=strength, stem_errors={t: errors[f"{t}*"] for t in stems}, swaps=True
+        )
+        ends = automaton.ends(known)
+        term = {w: int(automaton.term[e]) for w, e in zip(known, ends.tolist()) if automaton.kind[e] == FUZZY}
+        ordinary = frozenset(w for w in term if used[0][w] >= 2 and used[0][w] * total[1] >= used[1][w] * total[0])
+        texts = Counter(t for label, ws in seen if not label for t in {term[w] for w in ws if w in term and w not in ordinary})
+        often = [names[t] for t, n in texts.items() if n >= 2 and n > ordinary_rate * total[0] and errors[names[t]]]
+        if not often:
+            return automaton, ordinary
+        for t in often:
+            errors[t] -= 1
+
+
 def fit_toxicity(
     documents: DataFrame,
     labels: DataFrame,
@@ -425,12 +497,17 @@ def fit_toxicity(
     buckets: int = 5,
     remainder: int = 0,
     least: int = 3,
-    errors_from: int = 5,
+    errors_from: int = 4,
+    two_from: int = 9,
+    stem_errors_from: int = 6,
+    ordinary_rate: float = 0.001,
 ) -> ToxicityModel:
     """Lexicon, ordinary words and weights from at most ``max_train_rows`` labelled rows that are not held out.
 
-    Words of ``errors_from`` letters and more are matched with one error. A
-    misspelling that texts without abuse have is an ordinary word. Without
+    Words of ``errors_from`` letters and more are matched with one error, words
+    of ``two_from`` with two, and words whose beginning is a stem of
+    ``stem_errors_from`` with one error in it; swapped letters are one error.
+    What clean texts have is told from a misspelling by ``misspelled``. Without
     both classes in the sample the weights are fixed ones.
     """
     sample = labelled_sample(documents, labels, "toxic", buckets=buckets, remainder=remainder, max_rows=max_train_rows)
@@ -438,27 +515,33 @@ def fit_toxicity(
     terms = learned_terms(apart(sample), least=least, most=max_terms)
     stems = sorted(t[:-1] for t in terms if t.endswith("*"))
     words = sorted(t for t in terms if not t.endswith("*"))
-    automaton = automaton_of(words, stems, {w: 1 for w in words if len(w) >= errors_from}, strength=terms)
+    errors = {w: (len(w) >= errors_from) + (len(w) >= two_from) for w in words} | {f"{t}*": int(len(t) >= stem_errors_from) for t in stems}
+    widest = automaton_of(
+        words, stems, {w: errors[w] for w in words}, strength=terms, stem_errors={t: errors[f"{t}*"] for t in stems}, swaps=True
+    )
 
     def run(texts: list[str | None]) -> dict:
-        found = hits_of(texts, automaton)
+        found = hits_of(texts, widest)
         return {
             "words": [n for n, _ in found],
-            "kind": [[h.kind for h in hits] for _, hits in found],
             "word": [[h.word for h in hits] for _, hits in found],
-            "strength": [[h.strength for h in hits] for _, hits in found],
             "weight": [[h.weight for h in hits] for _, hits in found],
         }
 
-    look = text_udf(run, "words long, kind array<int>, word array<string>, strength array<double>, weight array<double>")
-    got = sample.select("doc_id", "label", look(F.col("text")).alias("h")).select("doc_id", "label", "h.*").collect()
-    clean = Counter(w for r in got if not r["label"] for w in {w for w, k in zip(r["word"], r["kind"]) if k == FUZZY})
-    ordinary = frozenset(clean)
-    rows, label = [], []
-    for r in got:
-        hits = [Hit(*h) for h in zip(r["kind"], r["word"], r["strength"], r["weight"])]
-        rows.append(features(r["words"], [h for h in hits if h.kind != FUZZY or h.word not in ordinary]))
-        label.append(r["label"])
+    look = text_udf(run, "words long, word array<string>, weight array<double>")
+    got = sample.select("label", look(F.col("text")).alias("h")).select("label", "h.*").collect()
+    seen = [(r["label"], {w for w, weight in zip(r["word"], r["weight"]) if weight > 0.5}) for r in got]
+    automaton, ordinary = misspelled(words, stems, terms, errors, seen, ordinary_rate)
+    # With fewer errors fewer words are hits, and none that was not.
+    known = sorted({w for r in got for w in r["word"]})
+    ends = automaton.ends(known)
+    kept = {
+        w: (int(automaton.kind[e]), w, float(automaton.strength[e]))
+        for w, e in zip(known, ends.tolist())
+        if automaton.kind[e] and (automaton.kind[e] != FUZZY or w not in ordinary)
+    }
+    rows = [features(r["words"], [Hit(*kept[w], weight) for w, weight in zip(r["word"], r["weight"]) if w in kept]) for r in got]
+    label = [r["label"] for r in got]
     weights = np.array([2.0, 2.0, 1.0, 1.0, 1.0, -3.0])
     if len(set(label)) == 2:
         x, y = np.array(rows), np.array(label, float)

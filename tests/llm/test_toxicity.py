@@ -3,9 +3,10 @@
 import random
 
 import numpy as np
-from pyspark.sql import functions as F
+from hypothesis import given, settings
+from hypothesis import strategies as st
 
-from rowtide.llm.toxicity import fit_toxicity, near_copies, sketch_of, toxicity_scores
+from rowtide.llm.toxicity import EXACT, FUZZY, STEM, automaton_of, fit_toxicity, misspelled, near_copies, sketch_of, toxicity_scores
 
 LABELS = "doc_id long, quality int, toxic int"
 
@@ -65,3 +66,62 @@ def test_no_term_is_known_before_labels(spark, documents):
     texts = ["you are a stupid worthless idiot and a clown", "you are a very patient friend and a neighbour"]
     got = toxicity_scores(documents(texts), spark.createDataFrame([], LABELS)).collect()
     assert len({r["score"] for r in got}) == 1
+
+
+def osa(a, b):
+    """Levenshtein's distance where two neighbouring letters in the wrong order are one error."""
+    d = [[max(i, j) if not i or not j else 0 for j in range(len(b) + 1)] for i in range(len(a) + 1)]
+    for i in range(1, len(a) + 1):
+        for j in range(1, len(b) + 1):
+            d[i][j] = min(d[i - 1][j] + 1, d[i][j - 1] + 1, d[i - 1][j - 1] + (a[i - 1] != b[j - 1]))
+            if i > 1 and j > 1 and a[i - 1] == b[j - 2] and a[i - 2] == b[j - 1]:
+                d[i][j] = min(d[i][j], d[i - 2][j - 2] + 1)
+    return d[-1][-1]
+
+
+@settings(max_examples=80, deadline=None)
+@given(
+    st.sets(st.text("abc", min_size=3, max_size=6), min_size=1, max_size=4),
+    st.sets(st.text("abc", min_size=3, max_size=5), max_size=3),
+    st.lists(st.text("abcx", max_size=9), max_size=30),
+    st.sampled_from([0, 1, 2]),
+    st.sampled_from([0, 1]),
+)
+def test_automaton_with_swaps_and_errors_in_stems(words, stems, tried, most, in_stem):
+    errors, stem_errors = {w: most for w in words}, {s: in_stem for s in stems}
+    found = automaton_of(sorted(words), sorted(stems), errors, stem_errors=stem_errors, swaps=True).kinds(tried)
+
+    def kind(t):
+        if t in words:
+            return EXACT
+        if any(t.startswith(s) for s in stems):
+            return STEM
+        near = any(osa(t, w) <= most for w in words) or any(osa(t[:k], s) <= in_stem for s in stems for k in range(len(t) + 1))
+        return FUZZY if near else 0
+
+    assert found.tolist() == [kind(t) for t in tried]
+
+
+def test_slips_that_were_missed(spark, documents):
+    rng = random.Random(5)
+    tails = ["bal", "nor", "tig", "wex", "mup", "dov", "sel", "rik", "hin", "goz"]
+    toxic = [[*prose(rng, 60), "idiot", "scum", "worthless", "ventrux" + tails[k % 10]] for k in range(60)]
+    quoting = [[*prose(rng, 60), "he", "said", '"idoit"', "again"]]
+    docs, labels = labelled(spark, documents, toxic, [*(prose(rng, 60) for _ in range(300)), *quoting])
+    model = fit_toxicity(docs, labels)
+    tried = ["idoit", "scmu", "scuum", "wrothles", "worthlsse", "vnetruxqua", "ventuxqua", "harbor", "island"]
+    assert [w in model.ordinary or not k for w, k in zip(tried, model.automaton.kinds(tried))] == [False] * 7 + [True] * 2
+
+
+def test_rates_tell_ordinary_words_from_misspellings():
+    strength = {"idiot": 1.0, "scum": 1.0}
+    toxic = [(1, {"idiot", "scum"})] * 100
+    errors = {"idiot": 1, "scum": 1}
+    once = misspelled(["idiot", "scum"], [], strength, errors, [*toxic, (0, {"idoit"}), *[(0, set())] * 900], 0.001)
+    assert "idoit" not in once[1] and once[0].kinds(["idoit"]).tolist() == [FUZZY]
+    often = misspelled(["idiot", "scum"], [], strength, errors, [*toxic, *[(0, {"scumb"})] * 3, *[(0, set())] * 900], 0.001)
+    assert often[1] == {"scumb"} and often[0].kinds(["scum", "scm"]).tolist() == [EXACT, FUZZY]
+    # Every text has another word near the term: the term loses its error, the other does not.
+    many = [(0, {"scum" + c}) for c in "abcdefgh"]
+    lost = misspelled(["idiot", "scum"], [], strength, errors, [*toxic, *many, *[(0, set())] * 900], 0.001)
+    assert lost[0].kinds(["scum", "scuma", "scm", "idoit"]).tolist() == [EXACT, 0, 0, FUZZY]
