@@ -92,7 +92,7 @@ def labelled_sample(
     remainder: int,
     max_rows: int,
 ) -> DataFrame:
-    """Text and label of at most ``max_rows`` labelled rows that are not held out.
+    """Text and label of at most ``max_rows`` labelled rows that are not held out, one for each id.
 
     The rows are the first by a hash of their id, the same at each run; a class
     gets half of the room, so that a rare class is not lost. Only the chosen
@@ -106,7 +106,9 @@ def labelled_sample(
     order = [F.xxhash64("doc_id"), F.col("doc_id")]
     halves = [one.where(F.col("label") == k).orderBy(*order).limit(max_rows // 2) for k in (0, 1)]
     chosen = F.broadcast(store(halves[0].unionAll(halves[1]), "labels"))
-    return documents.select("doc_id", "text").join(chosen, "doc_id").select("doc_id", "text", "label")
+    found = documents.select("doc_id", "text").join(chosen, "doc_id")
+    # Rows that repeat an id are one: the text with the smallest digest, whatever their order.
+    return found.groupBy("doc_id", "label").agg(F.min_by("text", F.md5("text")).alias("text")).select("doc_id", "text", "label")
 
 
 def sigmoid(x: np.ndarray) -> np.ndarray:
