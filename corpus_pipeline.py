@@ -34,7 +34,8 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row per piece: the context window it goes to, and where in it. Copies of a document never share one."""
-    return pack(docs, capacity=2048)
+    # Mixing cuts a copy, which is no longer equal to the others: the id tells whose copy it is.
+    return pack(docs, capacity=2048, same=docs["doc_id"])
 
 
 STAGES = [

@@ -74,11 +74,17 @@ def bits_of(values: Sequence) -> list[int]:
     return [0 if count[v] < 2 else 1 << known.setdefault(v, len(known)) for v in values]
 
 
-def best_fit(sizes: Sequence[int], sources: Sequence, clusters: Sequence, capacity: int, order: Sequence[int]) -> list[tuple[int, int]]:
-    """Bin and offset of each piece, placed in ``order``."""
+def best_fit(
+    sizes: Sequence[int], sources: Sequence, clusters: Sequence, capacity: int, order: Sequence[int], same: Sequence | None = None
+) -> list[tuple[int, int]]:
+    """Bin and offset of each piece, placed in ``order``; pieces equal in ``same`` conflict as those of a cluster do."""
     bins = Bins(capacity)
     needed = max(1, -(-sum(sizes) // capacity))
     source, cluster = bits_of(lanes(sources, order, needed)), bits_of(clusters)
+    if same is not None:
+        shift = max((b.bit_length() for b in cluster), default=0)
+        also = bits_of([(i,) if v is None else v for i, v in enumerate(same)])
+        cluster = [c | a << shift for c, a in zip(cluster, also)]
     placed: list[tuple[int, int]] = [(0, 0)] * len(sizes)
     for i in order:
         placed[i] = bins.place(sizes[i], source[i], cluster[i])
@@ -91,13 +97,14 @@ def copies_of(text: Column) -> Column:
     return F.unhex(F.md5(words))
 
 
-def pack(documents: DataFrame, *, capacity: int = 2048, cluster: Column | None = None, shard_rows: int = 2048) -> DataFrame:
+def pack(documents: DataFrame, *, capacity: int = 2048, cluster: Column | None = None, same: Column | None = None, shard_rows: int = 2048) -> DataFrame:
     """doc_id, piece, start, n_words, shard, bin, bin_id, position: where each piece of each document goes.
 
     Documents longer than ``capacity`` words are cut into pieces of that many,
     and a rest. A bin holds at most ``capacity`` words, at most one piece of a
     duplicate cluster (``cluster``; by default texts equal but for case and
-    spacing) and at most one of a source. A source with more pieces in a shard
+    spacing), at most one of rows equal in ``same`` (if given; null is equal to
+    none) and at most one of a source. A source with more pieces in a shard
     than half the bins that the shard's words need would leave bins half empty:
     it has several bits, one for as many pieces as that, its pieces in turn,
     and a bin takes one of each. Pieces go largest first to the bin
@@ -118,7 +125,7 @@ def pack(documents: DataFrame, *, capacity: int = 2048, cluster: Column | None =
     """
     size = word_count(F.col("text"))
     group = copies_of(F.col("text")) if cluster is None else cluster
-    whole = documents.select("doc_id", F.col("source").cast("string").alias("source"), size.alias("size"), group.alias("cluster"))
+    whole = documents.select("doc_id", F.col("source").cast("string").alias("source"), size.alias("size"), group.alias("cluster"), (F.lit(None).cast("string") if same is None else same).alias("same"))
     # Read back from files, a row's place is fixed: a retry deals it to the same shard.
     whole = store(whole, "pack-rows").withColumn("place", F.monotonically_increasing_id())
     last = F.greatest(F.lit(0), F.floor((F.col("size") - 1) / capacity)).cast("long")
@@ -128,10 +135,12 @@ def pack(documents: DataFrame, *, capacity: int = 2048, cluster: Column | None =
     shards = max(1, math.ceil(total / shard_rows))
     dealt = pieces.where(F.col("n_words") > 0).withColumn("shard", F.pmod(F.xxhash64("place", "piece"), F.lit(shards)).cast("int"))
 
+    same_given = same is not None
+
     def packed(rows: pa.Table) -> pa.Table:
         sizes, place, piece = (rows.column(c).to_pylist() for c in ("n_words", "place", "piece"))
         order = sorted(range(len(sizes)), key=lambda i: (-sizes[i], place[i], piece[i]))
-        where = best_fit(sizes, rows.column("source").to_pylist(), rows.column("cluster").to_pylist(), capacity, order)
+        where = best_fit(sizes, rows.column("source").to_pylist(), rows.column("cluster").to_pylist(), capacity, order, rows.column("same").to_pylist() if same_given else None)
         return pa.table(
             {
                 **{c: rows.column(c) for c in ("doc_id", "piece", "start", "n_words", "shard")},
@@ -142,7 +151,7 @@ def pack(documents: DataFrame, *, capacity: int = 2048, cluster: Column | None =
 
     kind = documents.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {kind}, piece long, start long, n_words long, shard int, bin int, position long"
-    columns = ["doc_id", "piece", "start", "n_words", "shard", "source", "cluster", "place"]
+    columns = ["doc_id", "piece", "start", "n_words", "shard", "source", "cluster", "same", "place"]
     full = dealt.select(*columns).groupBy("shard").applyInArrow(packed, schema)
     none = whole.where(F.col("size") == 0).select(
         "doc_id", *[F.lit(0).cast("long").alias(c) for c in ("piece", "start", "n_words")], *[F.lit(None).cast(t).alias(c) for c, t in (("shard", "int"), ("bin", "int"), ("position", "long"))]
