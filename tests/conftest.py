@@ -6,8 +6,6 @@ import pytest
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-SF_DIR = "/root/testdata/sf0.001"
-
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
@@ -30,7 +28,7 @@ def spark(tmp_path_factory):
 
 @pytest.fixture(scope="session")
 def sf_dir():
-    return SF_DIR
+    return "/root/testdata/sf0.001"
 
 
 @pytest.fixture(scope="session")

@@ -2,20 +2,19 @@
 
 import __spark_entry__ as contract
 import pytest
-from conftest import SF_DIR
 
 import oracle
 from rowtide.queries import all_queries, all_sql
 
 
 @pytest.fixture(scope="module")
-def con():
-    return oracle.connect(SF_DIR)
+def con(sf_dir):
+    return oracle.connect(sf_dir)
 
 
 @pytest.mark.parametrize("name", sorted(all_queries()))
-def test_query_matches_sql(spark, con, name):
-    df = contract.queries()[name](spark, SF_DIR)
+def test_query_matches_sql(spark, sf_dir, con, name):
+    df = contract.queries()[name](spark, sf_dir)
     assert oracle.compare(df, con, contract.oracle_sql()[name]) == []
 
 
