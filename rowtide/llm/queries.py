@@ -17,6 +17,7 @@ from rowtide.llm.simhash_dedup import near_groups
 from rowtide.llm.substring_dedup import remove_repeats
 from rowtide.llm.token_counts import count_tokens
 from rowtide.llm.toxicity import toxicity_scores
+from rowtide.llm.whitening import whitened
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -69,6 +70,10 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"))
 
 
+def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitened(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_embedding_near_dedup": op1_embedding_near_dedup,
     "op2_language_id": op2_language_id,
@@ -80,6 +85,7 @@ QUERIES: dict[str, Query] = {
     "op8_source_mixing": op8_source_mixing,
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
     "op10_best_fit_packing": op10_best_fit_packing,
+    "op11_embedding_whitening": op11_embedding_whitening,
 }
 
 WORDS_SQL = r"list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '')"
