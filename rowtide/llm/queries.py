@@ -11,6 +11,7 @@ from rowtide.llm.embedding_dedup import near_vectors
 from rowtide.llm.language_id import identify
 from rowtide.llm.mixing import mix
 from rowtide.llm.packing import pack
+from rowtide.llm.periodic_runs import periodic_runs
 from rowtide.llm.quality_ranker import quality_scores
 from rowtide.llm.quality_rules import quality_rules
 from rowtide.llm.simhash_dedup import near_groups
@@ -74,6 +75,11 @@ def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitened(table(spark, sf_dir, "embeddings"))
 
 
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of every document; one in ten has its tail repeated first, by its id."""
+    return periodic_runs(table(spark, sf_dir, "documents"), plant=True)
+
+
 QUERIES: dict[str, Query] = {
     "op1_embedding_near_dedup": op1_embedding_near_dedup,
     "op2_language_id": op2_language_id,
@@ -86,6 +92,7 @@ QUERIES: dict[str, Query] = {
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
     "op10_best_fit_packing": op10_best_fit_packing,
     "op11_embedding_whitening": op11_embedding_whitening,
+    "op13_periodic_runs": op13_periodic_runs,
 }
 
 WORDS_SQL = r"list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '')"
