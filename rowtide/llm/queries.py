@@ -14,6 +14,7 @@ from rowtide.llm.packing import pack
 from rowtide.llm.periodic_runs import periodic_runs
 from rowtide.llm.quality_ranker import quality_scores
 from rowtide.llm.quality_rules import quality_rules
+from rowtide.llm.secret_scan import secret_digests
 from rowtide.llm.simhash_dedup import near_groups
 from rowtide.llm.substring_dedup import remove_repeats
 from rowtide.llm.token_counts import count_tokens
@@ -75,6 +76,10 @@ def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitened(table(spark, sf_dir, "embeddings"))
 
 
+def op12_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_digests(table(spark, sf_dir, "documents"))
+
+
 def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Runs of every document; one in ten has its tail repeated first, by its id."""
     return periodic_runs(table(spark, sf_dir, "documents"), plant=True)
@@ -92,6 +97,7 @@ QUERIES: dict[str, Query] = {
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
     "op10_best_fit_packing": op10_best_fit_packing,
     "op11_embedding_whitening": op11_embedding_whitening,
+    "op12_secret_scans": op12_secret_scans,
     "op13_periodic_runs": op13_periodic_runs,
 }
 
