@@ -51,12 +51,13 @@ def load(spark: SparkSession, data: str, root: str) -> None:
 
 
 def show(spark: SparkSession, tables: Sequence[str], root: str, rows: int, out: str | None = None) -> None:
-    """Print the first rows; with ``out`` the executors write all of them there as text, a folder per table."""
+    """Print the first rows in load order; with ``out`` the executors write all of them there as text, a folder per table."""
     for table in tables:
-        held = loads.read_table(spark, root, stored_spec(table))
-        display(held, table, rows)
+        held = loads.read_in_order(spark, root, stored_spec(table))
+        display(held.orderBy(loads.ORDINAL).drop(loads.ORDINAL), table, rows)
         if out:
-            held.write.mode("overwrite").csv(f"{out}/{table}", header=True)
+            in_order = held.repartitionByRange(loads.ORDINAL).sortWithinPartitions(loads.ORDINAL)
+            in_order.drop(loads.ORDINAL).write.mode("overwrite").csv(f"{out}/{table}", header=True)
             print(f"[INFO] All rows of {table}: {out}/{table}")
 
 

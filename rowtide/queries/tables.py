@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from rowtide.functions.typed import as_text_frame
 from rowtide.operators import inserts
 from rowtide.operators.profile import profile
-from rowtide.plans.loads import insert_rows, load_csv_tables, read_table
+from rowtide.plans.loads import insert_rows, load_csv_tables, read_in_order, read_table
 from rowtide.queries.inputs import spec_of, table
 from rowtide.session import work_dir
 from rowtide.sources import files
@@ -19,6 +19,8 @@ from rowtide.sources import tables as catalog
 from rowtide.specs import TableSpec
 
 LOADED = ("customer", "part", "orders")
+# CSV files of a load whose order matters.
+LOAD_FILES = 5
 
 
 def write_csv(df: DataFrame, path: str) -> str:
@@ -134,6 +136,19 @@ def insert_committed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, f"{root}/lake", spec)
 
 
+def load_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two loads of several files each, older orders second, with the place of every row in load order."""
+    root = work_dir(spark, "order")
+    orders = table(spark, sf_dir, "orders")
+    spec = spec_of(orders, "orders")
+    newer = F.col("o_orderdate") >= F.lit("2000-01-01").cast("timestamp_ntz")
+    for load_id, part in (("newer", orders.where(newer)), ("older", orders.where(~newer))):
+        files = part.repartitionByRange(LOAD_FILES, "o_orderkey").sortWithinPartitions("o_orderkey")
+        path = write_csv(files, f"{root}/csv/{load_id}")
+        load_csv_tables(spark, {"orders": path}, f"{root}/lake", load_id, specs={"orders": spec})
+    return read_in_order(spark, f"{root}/lake", spec)
+
+
 QUERIES = {
     "parquet_scan": parquet_scan,
     "csv_round_trip": csv_round_trip,
@@ -147,6 +162,7 @@ QUERIES = {
     "insert_first_wins": insert_first_wins,
     "insert_bad_types": insert_bad_types,
     "insert_committed": insert_committed,
+    "load_order": load_order,
 }
 
 SQL = {
@@ -210,4 +226,6 @@ SQL = {
                     when try_cast(c_custkey as bigint) is null then 'bad_type' end as reject_reason
         from typed_in""",
     "insert_committed": "select * from orders",
+    "load_order": """
+        select *, row_number() over (order by o_orderdate < timestamp '2000-01-01', o_orderkey) as ordinal from orders""",
 }

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Collection, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from rowtide.functions.typed import typed_columns
@@ -13,6 +14,9 @@ from rowtide.specs import TableSpec, spec_from_header
 # RFC quoting: a quote inside a quoted cell is doubled, not backslashed.
 CSV_OPTIONS = {"header": "true", "quote": '"', "escape": '"', "encoding": "UTF-8"}
 
+# Columns that say which block of which file a row was read from.
+BLOCK_FILE, BLOCK_START = "load_file", "load_start"
+
 
 def csv_header(spark: SparkSession, path: str) -> list[str]:
     """Column names of a CSV file; Spark reads the first line only."""
@@ -49,13 +53,17 @@ def read_csv_table(
     *,
     multiline: bool = False,
     strict: Collection[str] = (),
+    blocks: bool = False,
 ) -> DataFrame:
     """CSV read as the declared types; text that is no such value becomes NULL.
 
-    In a ``strict`` column such text fails the read.
+    In a ``strict`` column such text fails the read. ``blocks`` adds the path of
+    a row's file and where the block of the file begins that it was read with.
     """
     text = read_csv_text(spark, path, spec.columns, multiline=multiline)
-    return text.select(*typed_columns(spec.schema, strict=strict))
+    origin = {BLOCK_FILE: "file_path", BLOCK_START: "file_block_start"} if blocks else {}
+    placed = [F.col(f"_metadata.{field}").alias(name) for name, field in origin.items()]
+    return text.select(*typed_columns(spec.schema, strict=strict), *placed)
 
 
 def csv_specs(spark: SparkSession, files: Mapping[str, str]) -> dict[str, TableSpec]:

@@ -199,7 +199,7 @@ def test_a_second_load_must_not_repeat_keys(spark, tmp_path):
 def test_uncommitted_files_are_not_read(spark, tmp_path):
     root = str(tmp_path / "lake")
     loads.load_csv_tables(spark, {"t": put(tmp_path, "1.csv", "id,v\n1,a\n")}, root, "one")
-    loads._stage(frame(spark, [(9, "aborted")]), root, "t", "two")
+    loads._stage(frame(spark, [(9, "aborted")]), root, "t", "two.1")
     assert reasons(loads.read_table(spark, root, SPEC)) == [(1, "a")]
 
 
@@ -302,3 +302,122 @@ def test_a_batch_is_read_twice(spark, tmp_path):
         [(1, "a", "key_exists"), (None, "b", "bad_type"), (None, "c", "null_key"), (2, "d", "repeated_in_batch"), (2, "e", "repeated_in_batch")],
         key=repr,
     )
+
+
+def test_an_id_with_a_meaning_of_its_own_as_a_folder(spark, tmp_path):
+    root = str(tmp_path / "lake")
+    odd = "__HIVE_DEFAULT_PARTITION__"
+    assert loads.load_csv_tables(spark, {"t": put(tmp_path, "1.csv", "id,v\n1,a\n")}, root, odd)
+    assert reasons(loads.read_table(spark, root, SPEC)) == [(1, "a")]
+    assert loads.load_csv_tables(spark, {"t": put(tmp_path, "2.csv", "id,v\n2,a\n")}, root, odd) is False
+
+
+@pytest.fixture
+def small_blocks(spark):
+    """Files are read in blocks of a few rows, several blocks to a task."""
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "700")
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    yield
+    spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
+def test_rows_in_load_order(spark, tmp_path, small_blocks):
+    """Several files, cut in blocks, two loads and an insert; keys say nothing about the order."""
+    rng = random.Random(9)
+    keys = rng.sample(range(10_000), 1200)
+    spec = TableSpec("t", StructType([StructField("id", IntegerType()), StructField("number", StringType())]), ("id",))
+    written = []
+    root = str(tmp_path / "lake")
+    for load_id, part in (("one", keys[:700]), ("two", keys[700:])):
+        folder = tmp_path / load_id
+        folder.mkdir()
+        for n, start in enumerate(range(0, len(part), 150)):
+            rows = part[start : start + 150]
+            written += rows
+            put(folder, f"part-{n}.csv", "id,number\n" + "".join(f"{k},{'x' * rng.randrange(30)}\n" for k in rows))
+        assert loads.load_csv_tables(spark, {"t": str(folder)}, root, load_id, specs={"t": spec})
+    got = loads.read_in_order(spark, root, spec).orderBy("ordinal").collect()
+    assert [r.id for r in got] == written
+    assert [r.ordinal for r in got] == list(range(1, 1201))
+    late = spark.createDataFrame([("x", "bad"), ("20000", "a"), (str(keys[0]), "again"), ("20001", "b")], "id string, number string").coalesce(1)
+    assert loads.insert_rows(spark, root, spec, late, "three").count() == 2
+    got = loads.read_in_order(spark, root, spec).orderBy("ordinal").collect()
+    assert [r.id for r in got[:1200]] == written and sorted(r.id for r in got[1200:]) == [20000, 20001]
+    assert len({r.ordinal for r in got}) == len(got) == loads.read_table(spark, root, spec).count()
+
+
+def test_an_empty_load_has_an_order(spark, tmp_path):
+    root = str(tmp_path / "lake")
+    assert loads.read_in_order(spark, root, SPEC).collect() == []
+    assert loads.load_csv_tables(spark, {"t": put(tmp_path, "1.csv", "id,v\n")}, root, "one", specs={"t": SPEC})
+    assert loads.read_in_order(spark, root, SPEC).collect() == []
+
+
+def test_two_writers_of_one_key(spark, tmp_path):
+    """Both judge the same table before either commits; one is accepted, the other sees its key."""
+    from concurrent.futures import ThreadPoolExecutor
+    from threading import Barrier
+
+    root = str(tmp_path / "lake")
+    loads.load_csv_tables(spark, {"t": put(tmp_path, "1.csv", "id,v\n1,a\n")}, root, "seed")
+    together, put_commit, tries = Barrier(2, timeout=60), loads.put_commit, []
+
+    def at_once(s, folder, number, content):
+        tries.append(number)
+        if number == 2:
+            together.wait()
+        return put_commit(s, folder, number, content)
+
+    def insert(name):
+        batch = spark.createDataFrame([("5", name), ("6" if name == "x" else "7", name)], "id string, v string")
+        return [tuple(r) for r in loads.insert_rows(spark, root, SPEC, batch, name).collect()]
+
+    loads.put_commit = at_once
+    try:
+        with ThreadPoolExecutor(2) as pool:
+            refused = sorted(sum(pool.map(insert, ["x", "y"]), []))
+    finally:
+        loads.put_commit = put_commit
+    assert sorted(tries) == [2, 2, 3]
+    assert len(refused) == 1 and refused[0][0] == 5 and refused[0][2] == "key_exists"
+    rows = reasons(loads.read_table(spark, root, SPEC))
+    assert sorted(r[0] for r in rows) == [1, 5, 6, 7]
+    assert (5, refused[0][1]) not in rows
+
+
+def test_two_loads_of_one_id_and_of_one_key(spark, tmp_path):
+    """What another writer commits between the check and the commit is checked again."""
+    root = str(tmp_path / "lake")
+    path = put(tmp_path, "1.csv", "id,v\n1,a\n")
+    put_commit = loads.put_commit
+
+    def late(between):
+        def put_late(s, folder, number, content):
+            loads.put_commit = put_commit
+            between()
+            return put_commit(s, folder, number, content)
+
+        loads.put_commit = put_late
+
+    late(lambda: loads.load_csv_tables(spark, {"t": path}, root, "same"))
+    assert loads.load_csv_tables(spark, {"t": path}, root, "same") is False
+    other = put(tmp_path, "2.csv", "id,v\n2,b\n3,b\n")
+    again = put(tmp_path, "3.csv", "id,v\n2,c\n")
+    late(lambda: loads.load_csv_tables(spark, {"t": again}, root, "first"))
+    with pytest.raises(LoadError, match="1 keys already loaded"):
+        loads.load_csv_tables(spark, {"t": other}, root, "second")
+    assert reasons(loads.read_table(spark, root, SPEC)) == [(1, "a"), (2, "c")]
+    assert [r.load_id for r in loads.commits(spark, root).orderBy("number").collect()] == ["same", "first"]
+
+
+def test_a_judged_batch_is_written_once(spark, tmp_path):
+    """The rows of the load are the verdicts; nothing of the batch is stored beside them."""
+    root = tmp_path / "lake"
+    batch = spark.createDataFrame([("1", "a", 2), ("1", "b", 1), ("x", "c", 3)], "id string, v string, at int")
+    refused = loads.insert_rows(spark, str(root), SPEC, batch, "one", ["at"])
+    assert reasons(refused) == [(1, "a", 2, "repeated_in_batch"), (None, "c", 3, "bad_type")]
+    parts = [p.name for p in (root / "t").iterdir()]
+    assert len(parts) == 1 and parts[0].startswith("load_part=one.")
+    assert spark.read.parquet(str(root / "t")).count() == 3
+    assert reasons(loads.read_table(spark, str(root), SPEC)) == [(1, "b")]
