@@ -29,7 +29,7 @@ from rowtide.sources.connect import s3a_options
 from rowtide.sources.files import read_parquet
 from rowtide.sources.kafka import kafka_options, kafka_stream
 from rowtide.specs import SHOP_TABLES, TableSpec, spec_from_header, topic_of
-from rowtide.streaming.lifecycle import await_any, stopping, wait_until_ready
+from rowtide.streaming.lifecycle import await_any, draining, wait_until_ready
 from rowtide.streaming.sink import DEFAULT_TRIGGER
 
 # File names of the shop tables.
@@ -37,6 +37,8 @@ CSV_FILES = {"albumy": "albumy.csv", "klienci": "klienci.csv", "zamowienia": "za
 SEED = "seed"
 # Records of a micro-batch at most, so that the first one is not a whole topic.
 MAX_OFFSETS = 1_000_000
+# How long an interrupted job may take to finish its batch.
+DRAIN_SECONDS = 600.0
 
 
 def stored_spec(table: str) -> TableSpec:
@@ -82,7 +84,7 @@ def lake(spark: SparkSession, tables: Sequence[str], root: str, source: Mapping,
         return kafka_stream(spark, kafka_options(topics=[topic], **source))
 
     jobs = start_all(topic_stream, [SHOP_TABLES[t] for t in tables], root, trigger=trigger, **options)
-    with stopping(jobs):
+    with draining(jobs, DRAIN_SECONDS):
         wait_until_ready(jobs)
         print(f"[INFO] Streams ready: {', '.join(tables)}", flush=True)
         await_any(spark)
@@ -96,7 +98,7 @@ def monitor(spark: SparkSession, tables: Sequence[str], source: Mapping, checkpo
         job = start_text_monitor(records, topics, out, checkpoint, trigger=trigger)
     else:
         job = start_printing_monitor(records, topics, checkpoint, trigger=trigger)
-    with stopping([job]):
+    with draining([job], DRAIN_SECONDS):
         await_any(spark)
 
 

@@ -96,6 +96,34 @@ def apply_changes(state: DataFrame, records: DataFrame, spec: TableSpec, *, coer
     return kept.unionByName(_rows(last, spec, coerce))
 
 
+def changed_rows(records: DataFrame, spec: TableSpec, offset: str, gone: str, *, coerce: bool = True) -> DataFrame:
+    """The last record of every key as a typed row, with its offset and whether it takes the key away.
+
+    Key columns come from the record's key, so a tombstone has them too. The last
+    records are stored in the shared work folder.
+    """
+    last = stored(_last_records(records, spec, coerce), "last-records")
+    unusable = F.raise_error(F.lit(f"{spec.name}: a record's key gives no key column"))
+    found = F.when(F.col(RAW_KEY).isNotNull(), unusable).otherwise(F.col(KEY))
+    # The layout of a log, as far as decoding needs it.
+    log = last.select(found.alias("key"), "value", "offset", "timestamp", F.lit(None).alias("topic"), F.lit(None).alias("partition"))
+    empty = rec.is_tombstone(F.col("value"))
+    rows = decode(log.where(~empty), spec, coerce=coerce, keep_meta=True, keep_source=True)
+    # A value that gives no key column is no row of the table.
+    broken = F.raise_error(F.lit(f"{spec.name}: last record of a key gives no key column"))
+    usable = F.when(_no_key(spec), broken).otherwise(_gone(META_FIELDS))
+    rest = [c for c in spec.columns if c not in spec.key]
+    key = [F.col(f"kafka_key.{quoted(k)}").alias(k) for k in spec.key]
+    kept = rows.select(*key, *cols(rest), F.col("kafka_offset").alias(offset), usable.alias(gone))
+    bare = log.where(empty).select(
+        *[F.col(f"key.{quoted(k)}").alias(k) for k in spec.key],
+        *[F.lit(None).cast(spec.schema[c].dataType).alias(c) for c in rest],
+        F.col("offset").alias(offset),
+        F.lit(True).alias(gone),
+    )
+    return kept.unionByName(bare).select(*cols([*spec.columns, offset, gone]))
+
+
 # The key columns of a record as one struct, and its raw key where that gives none.
 KEY, RAW_KEY = "_key", "_raw_key"
 

@@ -4,22 +4,27 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rowtide.operators.encode import json_bytes, to_records
-from rowtide.plans.lake import start_all, start_table_job
+from rowtide.operators.encode import KAFKA_SCHEMA, json_bytes, to_records
+from rowtide.plans.lake import split_malformed, split_offsets, split_rows, start_all, start_split_job, start_table_job
 from rowtide.operators.replay import replay_rows
-from rowtide.queries.inputs import event_op, event_records, spec_of, table
+from rowtide.queries.decoding import PROPS
+from rowtide.queries.inputs import EVENT_OPS, EVENTS_TOPIC, event_op, event_records, spec_of, table
 from rowtide.session import work_dir
 from rowtide.sources.kafka import append_log, stored_stream
 from rowtide.specs import TableSpec, topic_of
+from rowtide.streaming.lag import batch_positions, lag, log_ends
 from rowtide.streaming.lifecycle import finish, logging_progress, stopping
 from rowtide.streaming.sink import AVAILABLE_NOW, lake_path
+from rowtide.streaming.state import replayed_table, start_replay_job
 
 FANNED_OUT = ("customer", "part", "orders")
 # Files of the log of the progress query, each a micro-batch.
 PROGRESS_FILES = 12
+# Parts of a log by broker date, each appended by itself, so that a batch takes one.
+LOG_DAYS = ((None, "2024-01-09"), ("2024-01-09", "2024-01-16"), ("2024-01-16", "2024-01-23"), ("2024-01-23", None))
 
 
 def event_stream(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, TableSpec]:
@@ -110,14 +115,77 @@ def lake_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     return replay_rows(rows, spec.key, ["kafka_offset"])
 
 
+def replay_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events keyed by user, their state kept by a stream that is stopped and started again in the middle."""
+    events = table(spark, sf_dir, "events")
+    rows = events.withColumn("__op", event_op()).withColumn("sequence", F.col("event_id"))
+    records = to_records(rows, ["user_id"], EVENTS_TOPIC, "sequence", timestamp=F.col("ts"))
+    spec = TableSpec("events", events.schema, ("user_id",))
+    root = work_dir(spark, "replay-stream")
+    for parts in (LOG_DAYS[:2], LOG_DAYS[2:]):
+        for since, until in parts:
+            append_log(records.where(within(since, until)), f"{root}/log")
+        stream = stored_stream(spark, f"{root}/log", max_files_per_trigger=1)
+        finish([start_replay_job(stream, spec, f"{root}/lake", trigger=AVAILABLE_NOW, merge_every=2)])
+    return replayed_table(spark, f"{root}/lake", spec)
+
+
+def within(since: str | None, until: str | None) -> Column:
+    """Records with a broker date in a range, open where it has no end."""
+    at = F.to_date("timestamp").cast("string")
+    return (at >= since if since else F.lit(True)) & (at < until if until else F.lit(True))
+
+
+def broken_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events as a log with a partition for each kind; errors lack their closing brace."""
+    cut = F.when(F.col("event_type") == "error", F.rtrim("props", F.lit("}"))).otherwise(F.col("props"))
+    kind = F.array_position(F.array(*[F.lit(k) for k in EVENT_OPS]), F.col("event_type")) - 1
+    return event_records(table(spark, sf_dir, "events"), cut, partition=kind)
+
+
+def split_batches(spark: SparkSession, sf_dir: str, root: str) -> DataFrame:
+    """That log taken in one batch for each of its parts, with a restart after the first; gives the log."""
+    records = broken_events(spark, sf_dir)
+    for since, until in LOG_DAYS:
+        append_log(records.where(within(since, until)).coalesce(1), f"{root}/log")
+        stream = stored_stream(spark, f"{root}/log", max_files_per_trigger=1)
+        if since is None or until is None:
+            finish([start_split_job(stream, PROPS, f"{root}/lake", trigger=AVAILABLE_NOW, keep_source=True)])
+    return spark.read.schema(KAFKA_SCHEMA).parquet(f"{root}/log")
+
+
+def stream_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Good and malformed records of one stream, each in its own table, with the batch that brought them."""
+    root = work_dir(spark, "split")
+    split_batches(spark, sf_dir, root)
+    rows = split_rows(spark, f"{root}/lake", PROPS, keep_source=True)
+    broken = split_malformed(spark, f"{root}/lake", PROPS)
+    none = F.lit(None)
+    return rows.select("batch", F.col("kafka_offset").alias("event_id"), "k", none.cast("string").alias("broken_text")).unionAll(
+        broken.select("batch", "offset", none.cast("int"), F.col("value").cast("string"))
+    )
+
+
+def stream_lag(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """For every batch of that stream and every partition, the position it reached and how many offsets were to come."""
+    root = work_dir(spark, "lag")
+    log = split_batches(spark, sf_dir, root)
+    return lag(batch_positions(split_offsets(spark, f"{root}/lake", PROPS)), log_ends(log))
+
+
 QUERIES = {
     "stream_append": stream_append,
     "stream_restart": stream_restart,
     "stream_fan_out": stream_fan_out,
     "stream_progress": stream_progress,
     "lake_replay": lake_replay,
+    "replay_stream": replay_stream,
+    "stream_split": stream_split,
+    "stream_lag": stream_lag,
 }
 
+BATCH_OF_EVENT_SQL = """cast(case when ts < timestamp '2024-01-09' then 0 when ts < timestamp '2024-01-16' then 1
+    when ts < timestamp '2024-01-23' then 2 else 3 end as bigint)"""
 LAKE_EVENTS_SQL = "select *, ts as kafka_timestamp, true as processed from events"
 
 SQL = {
@@ -135,6 +203,33 @@ SQL = {
     "stream_progress": f"""
         select 'events' as name, cast(count(*) as bigint) as input_rows, cast({PROGRESS_FILES} as bigint) as batches
         from events""",
+    "replay_stream": """
+        select event_id, ts, user_id, event_type, value, props
+        from (select *, row_number() over (partition by user_id order by event_id desc) as nth from events)
+        where nth = 1 and event_type <> 'error'""",
+    "stream_split": f"""
+        with cut as (
+          select {BATCH_OF_EVENT_SQL} as batch, event_id,
+                 case when event_type = 'error' then rtrim(props, '}}') else props end as text
+          from events)
+        select batch, event_id,
+               case when json_valid(text) then try_cast(json_extract_string(text, '$.k') as integer) end as k,
+               case when not json_valid(text) then text end as broken_text
+        from cut""",
+    "stream_lag": f"""
+        with log as (
+          select {BATCH_OF_EVENT_SQL} as batch, event_id,
+                 cast(list_position(['signup', 'view', 'click', 'error', 'purchase'], event_type) - 1 as integer) as part
+          from events),
+        ends as (select part, max(event_id) + 1 as log_end from log group by part),
+        grid as (select part, log_end, unnest(range(0, 4)) as batch from ends),
+        reached as (
+          select grid.part, grid.batch, log_end, max(event_id) + 1 as position
+          from grid left join log on log.part = grid.part and log.batch <= grid.batch
+          group by all)
+        select batch, 'dbserver1.public.events' as topic, part as "partition", position,
+               log_end - coalesce(position, 0) as lag
+        from reached""",
     "lake_replay": """
         select event_id, ts, user_id, event_type, value, props
         from (select *, row_number() over (partition by user_id order by event_id desc) as nth from events)

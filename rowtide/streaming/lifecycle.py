@@ -18,6 +18,7 @@ from pyspark.sql.streaming.listener import (
     StreamingQueryProgress,
 )
 from pyspark.sql.types import (
+    ArrayType,
     DoubleType,
     LongType,
     StringType,
@@ -27,6 +28,10 @@ from pyspark.sql.types import (
 
 from rowtide.errors import StreamNotReady
 
+# Where a batch began and ended in each of its sources, in the source's own notation.
+SOURCE_SCHEMA = StructType(
+    [StructField(c, StringType()) for c in ("description", "start_offset", "end_offset", "latest_offset")]
+)
 PROGRESS_SCHEMA = StructType(
     [
         StructField("id", StringType()),
@@ -37,6 +42,7 @@ PROGRESS_SCHEMA = StructType(
         StructField("num_input_rows", LongType()),
         StructField("input_rows_per_second", DoubleType()),
         StructField("processed_rows_per_second", DoubleType()),
+        StructField("sources", ArrayType(SOURCE_SCHEMA)),
     ]
 )
 
@@ -87,6 +93,47 @@ def stopping(queries: list[StreamingQuery]) -> Iterator[list[StreamingQuery]]:
         yield queries
 
 
+def drain(queries: Iterable[StreamingQuery], timeout: float | None = None, pause: float = 0.05) -> None:
+    """Stop the queries, each once the batch it is in the middle of is committed.
+
+    A query between two batches stops at once. ``timeout`` in seconds is for all
+    of them together; what still runs then is stopped in its batch, which the
+    next start does again.
+    """
+    waiting = {query: _last_batch(query) for query in queries}
+    deadline = None if timeout is None else time.monotonic() + timeout
+    while waiting:
+        for query, before in list(waiting.items()):
+            late = deadline is not None and time.monotonic() > deadline
+            # A report comes after the commit of its batch.
+            done = not query.isActive or not query.status["isTriggerActive"] or _last_batch(query) != before
+            if done or late:
+                query.stop()
+                del waiting[query]
+        if waiting:
+            time.sleep(pause)
+
+
+def _last_batch(query: StreamingQuery) -> tuple[int, str] | None:
+    report = query.lastProgress
+    return None if report is None else (report.batchId, report.timestamp)
+
+
+@contextmanager
+def draining(queries: list[StreamingQuery], timeout: float | None = None) -> Iterator[list[StreamingQuery]]:
+    """Like ``stopping``, but on leaving by itself or by an interrupt the running batches are committed first.
+
+    After any other error the queries are stopped at once.
+    """
+    with stopping(queries):
+        try:
+            yield queries
+        except KeyboardInterrupt:
+            drain(queries, timeout)
+            raise
+        drain(queries, timeout)
+
+
 class ProgressLog(StreamingQueryListener):
     """Every progress report of the session's queries, appended to a Parquet table.
 
@@ -161,4 +208,5 @@ def report_row(p: StreamingQueryProgress) -> tuple:
         p.numInputRows,
         float(p.inputRowsPerSecond),
         float(p.processedRowsPerSecond),
+        [(s.description, s.startOffset, s.endOffset, s.latestOffset) for s in p.sources],
     )

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 AVAILABLE_NOW = "available_now"
 # Fixed value: the interval between two micro-batches.
@@ -45,6 +45,9 @@ def append_to_lake(
     )
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    if trigger == AVAILABLE_NOW:
-        return writer.trigger(availableNow=True).start()
-    return writer.trigger(processingTime=trigger).start()
+    return triggered(writer, trigger).start()
+
+
+def triggered(writer: DataStreamWriter, trigger: str) -> DataStreamWriter:
+    """The writer with its trigger: an interval, or ``available_now``."""
+    return writer.trigger(availableNow=True) if trigger == AVAILABLE_NOW else writer.trigger(processingTime=trigger)

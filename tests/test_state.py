@@ -1,0 +1,253 @@
+"""Streams that write by batch: kept state, split outputs, positions, draining."""
+
+import json
+import random
+import time
+
+import pytest
+from pyspark.sql.types import IntegerType, StringType, StructField, StructType
+
+from rowtide.errors import SchemaError
+from rowtide.operators.replay import replay
+from rowtide.plans import lake
+from rowtide.sources.kafka import append_log, stored_stream
+from rowtide.specs import TableSpec
+from rowtide.streaming import lifecycle, state
+from rowtide.streaming.batches import read_batches, write_batch
+from rowtide.streaming.lag import batch_positions, lag, log_ends, reported_positions
+from rowtide.streaming.sink import AVAILABLE_NOW
+
+SPEC = TableSpec("t", StructType([StructField("id", IntegerType()), StructField("v", StringType())]), ("id",))
+
+
+def change(key, v, op="u"):
+    gone = "true" if op == "d" else "false"
+    return json.dumps({"id": key}), None if op is None else json.dumps({"id": key, "v": v, "__op": op, "__deleted": gone})
+
+
+def append(spark, log, rows, first, partition=0):
+    """Records with offsets from ``first``, in one file."""
+    from rowtide.operators.encode import KAFKA_SCHEMA
+    import datetime
+
+    at = datetime.datetime(2024, 3, 1)
+    full = [(k.encode(), None if v is None else v.encode(), "t", partition, first + i, at, 0) for i, (k, v) in enumerate(rows)]
+    append_log(spark.createDataFrame(full, KAFKA_SCHEMA).coalesce(1), log)
+
+
+def run(spark, log, root, **options):
+    stream = stored_stream(spark, log, max_files_per_trigger=1)
+    lifecycle.finish([state.start_replay_job(stream, SPEC, root, trigger=AVAILABLE_NOW, **options)])
+
+
+def held(spark, root):
+    return sorted(map(tuple, state.replayed_table(spark, root, SPEC).collect()))
+
+
+def random_changes(rng, n):
+    """A third of them on one key; updates, deletes of both kinds, new rows."""
+    keys = [7 if rng.random() < 0.33 else rng.randrange(30) for _ in range(n)]
+    return [change(k, f"v{i}", rng.choice(["c", "u", "u", "d", None])) for i, k in enumerate(keys)]
+
+
+@pytest.mark.parametrize("merge_every", [1, 2, 100])
+def test_state_equals_the_replayed_log(spark, tmp_path, merge_every):
+    rng = random.Random(merge_every)
+    log, root = str(tmp_path / "log"), str(tmp_path / "lake")
+    first = 0
+    for _ in range(2):
+        for _ in range(2):
+            rows = random_changes(rng, 40)
+            append(spark, log, rows, first)
+            first += len(rows)
+        run(spark, log, root, merge_every=merge_every)
+        records = spark.read.parquet(log)
+        assert held(spark, root) == sorted(map(tuple, replay(records, SPEC).collect()))
+
+
+def test_a_batch_that_failed_is_done_again(spark, tmp_path, monkeypatch):
+    """The changes were written, their commit or the merge was not; the batch runs again with the same records."""
+    log, root = str(tmp_path / "log"), str(tmp_path / "lake")
+    append(spark, log, [change(1, "a", "c"), change(2, "b", "c")], 0)
+    run(spark, log, root, merge_every=2)
+    append(spark, log, [change(1, "a2"), change(2, None, "d"), change(3, "c", "c")], 2)
+    calls = []
+
+    def broken(rows, path, batch_id):
+        calls.append(path.rsplit("/", 1)[-1])
+        if len(calls) == 1:
+            rows.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+            raise RuntimeError("executor lost")
+        if len(calls) == 3:
+            raise RuntimeError("no merge")
+        return write_batch(rows, path, batch_id)
+
+    monkeypatch.setattr(state, "write_batch", broken)
+    for message in ("executor lost", "no merge"):
+        with pytest.raises(Exception, match=message):
+            run(spark, log, root, merge_every=2)
+        assert held(spark, root) == ([(1, "a"), (2, "b")] if message == "executor lost" else [(1, "a2"), (3, "c")])
+    run(spark, log, root, merge_every=2)
+    assert calls == ["changes", "changes", "merged", "changes", "merged"]
+    assert held(spark, root) == [(1, "a2"), (3, "c")]
+    spark.streams.resetTerminated()
+
+
+def test_a_committed_batch_is_not_written_again(spark, tmp_path):
+    path = str(tmp_path / "t")
+    rows = spark.createDataFrame([(1, "a")], SPEC.schema)
+    assert write_batch(rows, path, 0)
+    assert not write_batch(spark.createDataFrame([(2, "b")], SPEC.schema), path, 0)
+    rows.write.parquet(f"{path}/batch=1")
+    assert [tuple(r) for r in read_batches(spark, path, SPEC.schema).collect()] == [(0, 1, "a")]
+    assert write_batch(spark.createDataFrame([(3, "c")], SPEC.schema), path, 1)
+    assert sorted(r.id for r in read_batches(spark, path, SPEC.schema).collect()) == [1, 3]
+
+
+def test_state_before_any_record(spark, tmp_path):
+    assert held(spark, str(tmp_path / "none")) == []
+    with pytest.raises(SchemaError):
+        state.start_replay_job(None, TableSpec("t", SPEC.schema), str(tmp_path))
+
+
+@pytest.mark.parametrize("record", [('{"x":1}', '{"id":1}'), ('{"id":1}', '{"v":"no key"}'), ('{"id":1}', "broken")])
+def test_records_that_name_no_row_fail_the_batch(spark, tmp_path, record):
+    log = str(tmp_path / "log")
+    append(spark, log, [record], 0)
+    with pytest.raises(Exception, match="gives no key column"):
+        run(spark, log, str(tmp_path / "lake"))
+    spark.streams.resetTerminated()
+
+
+def split(spark, log, root, **options):
+    stream = stored_stream(spark, log, max_files_per_trigger=1)
+    job = lake.start_split_job(stream, SPEC, root, trigger=AVAILABLE_NOW, keep_source=True, **options)
+    lifecycle.finish([job])
+    return job
+
+
+def outputs(spark, root):
+    rows = lake.split_rows(spark, root, SPEC, keep_source=True)
+    broken = lake.split_malformed(spark, root, SPEC)
+    return (
+        sorted((r.batch, r.kafka_offset, r.id) for r in rows.collect()),
+        sorted((r.batch, r.offset, bytes(r.value)) for r in broken.collect()),
+    )
+
+
+def test_two_outputs_of_one_read(spark, tmp_path, monkeypatch):
+    """The job fails between its outputs; after a restart each record is once where it belongs."""
+    log, root = str(tmp_path / "log"), str(tmp_path / "lake")
+    append(spark, log, [change(1, "a"), ("{}", "broken"), change(2, "b")], 0)
+    job = split(spark, log, root)
+    # A second read of the source would count its rows twice.
+    assert [p.numInputRows for p in job.recentProgress if p.numInputRows] == [3]
+    append(spark, log, [change(3, "c"), ("{}", "{cut")], 3)
+
+    def failing(rows, path, batch_id, partition_by=()):
+        if path.endswith("_malformed"):
+            raise RuntimeError("executor lost")
+        return write_batch(rows, path, batch_id, partition_by)
+
+    with monkeypatch.context() as patched:
+        patched.setattr(lake, "write_batch", failing)
+        with pytest.raises(Exception, match="executor lost"):
+            split(spark, log, root)
+    spark.streams.resetTerminated()
+    split(spark, log, root)
+    split(spark, log, root)
+    assert outputs(spark, root) == ([(0, 0, 1), (0, 2, 2), (1, 3, 3)], [(0, 1, b"broken"), (1, 4, b"{cut")])
+    assert spark.sparkContext._jsc.getPersistentRDDs().isEmpty()
+
+
+def test_split_by_day(spark, tmp_path):
+    log, root = str(tmp_path / "log"), str(tmp_path / "lake")
+    append(spark, log, [change(1, "a"), ("{}", "broken")], 0)
+    split(spark, log, root, by_day=True)
+    assert (tmp_path / "lake" / "t" / "batch=0" / "kafka_date=2024-03-01").is_dir()
+    assert [(r.id, str(r.kafka_date)) for r in lake.split_rows(spark, root, SPEC, by_day=True).collect()] == [(1, "2024-03-01")]
+
+
+def test_lag_of_every_partition_and_batch(spark, tmp_path):
+    log, root = str(tmp_path / "log"), str(tmp_path / "lake")
+    append(spark, log, [change(1, "a"), change(2, "b")], 10)
+    split(spark, log, root)
+    append(spark, log, [change(3, "c"), ("{}", "broken")], 100, partition=1)
+    split(spark, log, root)
+    append(spark, log, [change(4, "d")], 12)
+    whole = spark.read.parquet(log)
+    got = lag(batch_positions(lake.split_offsets(spark, root, SPEC)), log_ends(whole))
+    assert sorted((r.batch, r.partition, r.position, r.lag) for r in got.collect()) == [
+        (0, 0, 12, 1), (0, 1, None, 102), (1, 0, 12, 1), (1, 1, 102, 0),
+    ]
+    none = batch_positions(lake.split_offsets(spark, str(tmp_path / "none"), SPEC))
+    assert lag(none, log_ends(whole)).collect() == []
+
+
+def test_positions_from_reports(spark):
+    topics = ("k", '{"a":{"0":5},"b":{"1":7}}', '{"a":{"0":9,"1":2},"b":{"1":7}}', '{"a":{"0":20,"1":2},"b":{"1":8}}')
+    file = ("f", '{"logOffset":0}', '{"logOffset":1}', None)
+    rows = [("i", "r", "q", "now", 3, 6, 1.0, 1.0, [topics, file]), ("i", "r", "q", "now", 0, 1, 1.0, 1.0, [("k", None, '{"a":{"0":5}}', None)])]
+    got = reported_positions(spark.createDataFrame(rows, lifecycle.PROGRESS_SCHEMA))
+    assert sorted(tuple(r)[2:] for r in got.collect()) == [
+        (0, "a", 0, 0, 5, None), (3, "a", 0, 5, 9, 20), (3, "a", 1, 0, 2, 2), (3, "b", 1, 7, 7, 8),
+    ]
+
+
+def test_reports_name_their_sources(spark, tmp_path):
+    log, root = str(tmp_path / "log"), str(tmp_path / "lake")
+    append(spark, log, [change(1, "a")], 0)
+    with lifecycle.logging_progress(spark, str(tmp_path / "reports")) as progress:
+        reports = progress.frame([split(spark, log, root)])
+    source = reports.where("num_input_rows > 0").first().sources[0]
+    assert "FileStreamSource" in source.description and json.loads(source.end_offset) == {"logOffset": 0}
+
+
+def slow_job(spark, tmp_path, seconds):
+    log = str(tmp_path / "log")
+    append(spark, log, [change(1, "a")], 0)
+
+    def work(batch, batch_id):
+        time.sleep(seconds)
+        batch.write.mode("overwrite").parquet(str(tmp_path / f"out/batch={batch_id}"))
+
+    stream = stored_stream(spark, log).writeStream.foreachBatch(work)
+    job = stream.option("checkpointLocation", str(tmp_path / "check")).trigger(processingTime="100 milliseconds").start()
+    while not job.status["isTriggerActive"] or not job.status["isDataAvailable"]:
+        time.sleep(0.05)
+    return job
+
+
+def test_a_running_batch_is_committed_before_the_stop(spark, tmp_path):
+    job = slow_job(spark, tmp_path, 5)
+    lifecycle.drain([job], timeout=60)
+    assert not job.isActive
+    assert (tmp_path / "check" / "commits" / "0").exists()
+    assert spark.read.parquet(str(tmp_path / "out")).count() == 1
+
+
+def test_an_interrupt_drains_and_an_error_does_not(spark, tmp_path):
+    with pytest.raises(KeyboardInterrupt):
+        with lifecycle.draining([slow_job(spark, tmp_path / "a", 3)], timeout=60):
+            raise KeyboardInterrupt
+    assert (tmp_path / "a" / "check" / "commits" / "0").exists()
+    with pytest.raises(RuntimeError):
+        with lifecycle.draining([slow_job(spark, tmp_path / "b", 3)], timeout=60):
+            raise RuntimeError
+    assert not (tmp_path / "b" / "check" / "commits" / "0").exists()
+    spark.streams.resetTerminated()
+
+
+class Endless:
+    """A query that never leaves its batch."""
+
+    lastProgress, isActive, status = None, True, {"isTriggerActive": True}
+
+    def stop(self):
+        self.isActive = False
+
+
+def test_a_drain_does_not_wait_for_ever():
+    job, started = Endless(), time.monotonic()
+    lifecycle.drain([job], timeout=0.5)
+    assert not job.isActive and 0.4 < time.monotonic() - started < 5
