@@ -1,71 +1,71 @@
-"""Readable text for decoded change records."""
+"""Change records as the texts a reader sees."""
 
 from __future__ import annotations
 
+import json
+from collections.abc import Callable, Iterator
+
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from rowtide.functions.records import once
+from rowtide.functions.records import META_PREFIX, MISSING_OP, OP, TABLE
 
 # Indent of a record's fields and the line between two messages.
-INDENT = "    "
+INDENT = 4
 RULE = "-" * 80
 
-
-def json_value(item: Column) -> Column:
-    """JSON text of a variant; a fractional number keeps its fraction (``1.0``)."""
-    return once(
-        F.to_json(item),
-        lambda text: F.when(_lost_fraction(item, text), F.concat(text, F.lit(".0"))).otherwise(text),
-    )
-
-
-def _lost_fraction(item: Column, text: Column) -> Column:
-    # A variant holds 1.0 as a decimal without fraction digits. Integers too long
-    # for a bigint are such decimals as well.
-    decimal = F.schema_of_variant(item).startswith("DECIMAL")
-    return text.rlike(r"^-?\d+$") & decimal & F.try_variant_get(item, "$", "bigint").isNotNull()
-
-
-def json_block(fields: Column) -> Column:
-    """A JSON object over several lines, one field per line, text not escaped to ASCII."""
-    lines = F.transform(
-        F.map_entries(fields),
-        lambda e: F.concat(F.lit(INDENT), json_string(e["key"]), F.lit(": "), json_value(e["value"])),
+TOMBSTONE, CHANGE, MALFORMED = "tombstone", "change", "malformed"
+SHOWN = "kind string, key string, record string, op string, `table` string"
+
+
+def shown(key: bytes | None, value: bytes | None) -> tuple[str, str | None, str | None, str | None, str | None]:
+    """kind, key text, record text, operation and table of one record.
+
+    Any JSON is taken as a key, only an object as a value. Fields keep their
+    order, nested ones too; numbers are shown in their shortest form.
+    """
+    try:
+        key_text = str(loaded(key))
+    except (ValueError, RecursionError):
+        return MALFORMED, None if key is None else bytes(key).decode("utf-8", "replace"), None, None, None
+    try:
+        fields = loaded(value)
+    except (ValueError, RecursionError):
+        return MALFORMED, printable(key_text), None, None, None
+    if fields is None:
+        return TOMBSTONE, printable(key_text), None, None, None
+    if not isinstance(fields, dict):
+        return MALFORMED, printable(key_text), None, None, None
+    kept = {name: item for name, item in fields.items() if not name.startswith(META_PREFIX)}
+    text = json.dumps(kept, ensure_ascii=False, indent=INDENT)
+    op, table = fields.get(OP), fields.get(TABLE)
+    # A JSON null counts as absent.
+    return (
+        CHANGE,
+        printable(key_text),
+        printable(text),
+        MISSING_OP if op is None else printable(str(op)),
+        None if table is None else printable(str(table)),
     )
-    body = F.concat(F.lit("{\n"), F.array_join(lines, ",\n"), F.lit("\n}"))
-    return F.when(F.size(fields) == 0, F.lit("{}")).otherwise(body)
 
 
-def json_string(text: Column) -> Column:
-    return once(F.to_json(F.array(text)), lambda listed: F.substring(listed, F.lit(2), F.length(listed) - 2))
+def loaded(raw: bytes | None) -> object:
+    return json.loads(bytes(raw).decode("utf-8")) if raw else None
 
 
-def literal_map(fields: Column) -> Column:
-    """A map in the form ``{'name': value}``; ``None`` when there is none."""
-    pairs = F.transform(
-        F.map_entries(fields),
-        lambda e: F.concat(literal_string(e["key"]), F.lit(": "), literal_value(e["value"])),
-    )
-    return F.coalesce(F.concat(F.lit("{"), F.array_join(pairs, ", "), F.lit("}")), F.lit("None"))
+def printable(text: str) -> str:
+    """Half a surrogate pair, which JSON can spell, is no text: a question mark."""
+    return text.encode("utf-8", "replace").decode("utf-8")
 
 
-def literal_value(item: Column) -> Column:
-    return once(
-        F.to_json(item),
-        lambda text: F.when(text.startswith('"'), literal_string(F.try_variant_get(item, "$", "string")))
-        .when(text == "null", "None")
-        .when(text.isin("true", "false"), F.initcap(text))
-        .otherwise(json_value(item)),
-    )
+def shown_record() -> Callable[[Column, Column], Column]:
+    """``shown`` over Arrow batches. How numbers and nested fields look is JSON's affair, which no built-in function has."""
 
+    @F.pandas_udf(SHOWN)
+    def run(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
+        for keys, values in batches:
+            rows = [shown(k, v) for k, v in zip(keys, values)]
+            yield pd.DataFrame(rows, columns=["kind", "key", "record", "op", "table"], dtype=object)
 
-def literal_string(text: Column) -> Column:
-    escaped = F.replace(text, F.lit("\\"), F.lit("\\\\"))
-    for raw, shown in (("\n", "\\n"), ("\r", "\\r"), ("\t", "\\t")):
-        escaped = F.replace(escaped, F.lit(raw), F.lit(shown))
-    single, double = F.lit("'"), F.lit('"')
-    double_quoted = F.contains(text, single) & ~F.contains(text, double)
-    return F.when(double_quoted, F.concat(double, escaped, double)).otherwise(
-        F.concat(single, F.replace(escaped, single, F.lit("\\'")), single)
-    )
+    return run

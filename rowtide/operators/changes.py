@@ -38,13 +38,14 @@ def change_feed(old: DataFrame, new: DataFrame, spec: TableSpec, *, trusted_keys
     return paired.where(~F.col("before").eqNullSafe(F.col("after"))).select(op.alias("op"), "before", "after")
 
 
-def snapshot_reads(df: DataFrame, spec: TableSpec) -> DataFrame:
-    """Every existing row as an envelope with operation ``r``."""
+def snapshot_reads(df: DataFrame, spec: TableSpec, carry: Sequence[str] = ()) -> DataFrame:
+    """Every existing row as an envelope with operation ``r``; ``carry`` names other columns to keep."""
     after = F.struct(*cols(spec.columns))
     return df.select(
         F.lit("r").alias("op"),
         F.lit(None).cast(spec.schema).alias("before"),
         after.alias("after"),
+        *cols(carry),
     )
 
 

@@ -110,29 +110,31 @@ def record_fields(described: DataFrame, carry: list[str]) -> DataFrame:
     return fields.where(F.col("name").isNotNull())
 
 
-def render_messages(described: DataFrame, stamp: bool = True) -> DataFrame:
-    """One ``message`` text per described record, followed by a rule; adds one column.
+def render_messages(records: DataFrame, stamp: bool = True) -> DataFrame:
+    """One ``message`` text per record, followed by a rule; adds one column.
 
-    A tombstone is one line with its topic, a malformed record one line with its
-    text; any other record shows table, operation, key and the fields.
-    ``stamp=False`` leaves out the wall-clock time.
+    A tombstone is one line with its topic, a malformed record (its key no JSON,
+    or its value no JSON object) one line with its text; any other record shows
+    table, operation, key and the fields. ``stamp=False`` leaves out the
+    wall-clock time.
     """
     time = F.concat(F.lit("["), rec.iso_millis(F.current_timestamp()), F.lit("]")) if stamp else F.lit("")
     gap = " " if stamp else ""
-    key = render.literal_map(F.col("key_fields"))
-    tombstone = F.concat(time, F.lit("["), F.col("topic"), F.lit("] TOMBSTONE | key="), key)
+    shown = F.col("_shown")
+    tombstone = F.concat(time, F.lit("["), F.col("topic"), F.lit("] TOMBSTONE | key="), shown["key"])
     change = F.concat(
         time,
         F.lit(f"{gap}["),
-        F.col("table"),
+        F.coalesce(shown["table"], rec.table_of_topic(F.col("topic"))),
         F.lit("] "),
-        F.col("op_label"),
+        rec.op_label(shown["op"]),
         F.lit("\n  key   : "),
-        key,
+        shown["key"],
         F.lit("\n  record: "),
-        render.json_block(F.col("record")),
+        shown["record"],
     )
-    text = rec.as_text(F.col("value"))
-    malformed = F.concat(time, F.lit("["), F.col("topic"), F.lit("] MALFORMED | key="), key, F.lit(" value="), text)
-    body = F.when(F.col("is_tombstone"), tombstone).when(F.col("record").isNull(), malformed).otherwise(change)
-    return described.withColumn("message", F.concat(F.lit("\n"), body, F.lit("\n" + render.RULE)))
+    text = F.coalesce(rec.as_text(F.col("value")), F.lit("None"))
+    malformed = F.concat(time, F.lit("["), F.col("topic"), F.lit("] MALFORMED | key="), shown["key"], F.lit(" value="), text)
+    body = F.when(shown["kind"] == render.TOMBSTONE, tombstone).when(shown["kind"] == render.CHANGE, change).otherwise(malformed)
+    read = records.withColumn("_shown", render.shown_record()(F.col("key"), F.col("value")))
+    return read.withColumn("message", F.concat(F.lit("\n"), body, F.lit("\n" + render.RULE))).drop("_shown")

@@ -57,10 +57,10 @@ def replay_rows(rows: DataFrame, key: Sequence[str], order: Sequence[str]) -> Da
     ``__op``, ``__table``, ``__deleted`` and the order columns are dropped.
     """
     state = latest(rows, key, order)
-    return state.where(~_gone(state.columns)).drop(*META_FIELDS, *order)
+    return state.where(~gone(state.columns)).drop(*META_FIELDS, *order)
 
 
-def _gone(columns: Sequence[str]) -> Column:
+def gone(columns: Sequence[str]) -> Column:
     """Whether a row is a delete: by its operation, or by the flag a delete is rewritten to."""
     marks = [F.col(rec.OP) == "d"] if rec.OP in columns else []
     if rec.DELETED in columns:
@@ -96,8 +96,8 @@ def apply_changes(state: DataFrame, records: DataFrame, spec: TableSpec, *, coer
     return kept.unionByName(_rows(last, spec, coerce))
 
 
-def changed_rows(records: DataFrame, spec: TableSpec, offset: str, gone: str, *, coerce: bool = True) -> DataFrame:
-    """The last record of every key as a typed row, with its offset and whether it takes the key away.
+def changed_rows(records: DataFrame, spec: TableSpec, offset: str, mark: str, *, coerce: bool = True) -> DataFrame:
+    """The last record of every key as a typed row, with its ``offset`` and a ``mark``: whether it takes the key away.
 
     Key columns come from the record's key, so a tombstone has them too. The last
     records are stored in the shared work folder.
@@ -111,17 +111,17 @@ def changed_rows(records: DataFrame, spec: TableSpec, offset: str, gone: str, *,
     rows = decode(log.where(~empty), spec, coerce=coerce, keep_meta=True, keep_source=True)
     # A value that gives no key column is no row of the table.
     broken = F.raise_error(F.lit(f"{spec.name}: last record of a key gives no key column"))
-    usable = F.when(_no_key(spec), broken).otherwise(_gone(META_FIELDS))
+    usable = F.when(_no_key(spec), broken).otherwise(gone(META_FIELDS))
     rest = [c for c in spec.columns if c not in spec.key]
     key = [F.col(f"kafka_key.{quoted(k)}").alias(k) for k in spec.key]
-    kept = rows.select(*key, *cols(rest), F.col("kafka_offset").alias(offset), usable.alias(gone))
+    kept = rows.select(*key, *cols(rest), F.col("kafka_offset").alias(offset), usable.alias(mark))
     bare = log.where(empty).select(
         *[F.col(f"key.{quoted(k)}").alias(k) for k in spec.key],
         *[F.lit(None).cast(spec.schema[c].dataType).alias(c) for c in rest],
         F.col("offset").alias(offset),
-        F.lit(True).alias(gone),
+        F.lit(True).alias(mark),
     )
-    return kept.unionByName(bare).select(*cols([*spec.columns, offset, gone]))
+    return kept.unionByName(bare).select(*cols([*spec.columns, offset, mark]))
 
 
 # The key columns of a record as one struct, and its raw key where that gives none.
@@ -155,7 +155,7 @@ def _last_records(records: DataFrame, spec: TableSpec, coerce: bool) -> DataFram
 def _rows(last: DataFrame, spec: TableSpec, coerce: bool) -> DataFrame:
     """The table rows of the last records: no tombstones, no deletes."""
     rows = decode(last.where(~rec.is_tombstone(F.col("value"))), spec, coerce=coerce, keep_meta=True)
-    row = F.when(~_gone(META_FIELDS), F.struct(*cols(spec.columns)))
+    row = F.when(~gone(META_FIELDS), F.struct(*cols(spec.columns)))
     if spec.key:
         unusable = F.raise_error(F.lit(f"{spec.name}: last record of a key gives no key column"))
         row = F.when(_no_key(spec), unusable).otherwise(row)

@@ -7,14 +7,14 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
-from rowtide.operators.decode import describe, render_messages
+from rowtide.operators.decode import render_messages
 from rowtide.sources.kafka import subscribe
 from rowtide.streaming.sink import DEFAULT_TRIGGER
 
 
 def messages(records: DataFrame, topics: Sequence[str], *, stamp: bool = True) -> DataFrame:
     """One message per record of the listed topics, in a ``message`` column."""
-    return render_messages(describe(subscribe(records, topics)), stamp)
+    return render_messages(subscribe(records, topics), stamp)
 
 
 def start_printing_monitor(records: DataFrame, topics: Sequence[str], checkpoint: str, *, trigger: str = DEFAULT_TRIGGER) -> StreamingQuery:

@@ -8,10 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rowtide.functions.records import topic_name
-from rowtide.operators import changes
+from rowtide.operators import changes, images
+from rowtide.operators.cutover import cut_over
 from rowtide.operators.encode import to_records
 from rowtide.operators.replay import apply_changes as move_on
-from rowtide.operators.replay import latest, replay
+from rowtide.operators.replay import latest, replay, replay_rows
 from rowtide.plans.capture import change_log, snapshot_log
 from rowtide.queries.inputs import (
     EVENT_OP_SQL,
@@ -125,6 +126,34 @@ def apply_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return move_on(earlier, change_log(earlier, later, spec, 1), spec)
 
 
+def before_images(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events keyed by user as a log of after-rows, with the row each one replaced."""
+    events = table(spark, sf_dir, "events")
+    rows = events.withColumn("__op", event_op()).withColumn("position", F.col("event_id"))
+    envelopes = images.before_images(rows, TableSpec("events", events.schema, ("user_id",)), "position", span=1000)
+    shown = [F.col(f"{image}.{c}").alias(f"{image}_{c}") for image in ("before", "after") for c in events.columns]
+    return envelopes.select("position", "op", *shown)
+
+
+def snapshot_cut_over(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders read in eight chunks while they change: chunk reads and changes as one log, replayed to the final state."""
+    orders = table(spark, sf_dir, "orders")
+    spec = spec_of(orders, "orders")
+    earlier, later = order_states(orders)
+    feed = changes.change_feed(earlier, later, spec)
+    key = F.coalesce("after.o_orderkey", "before.o_orderkey")
+    moves = feed.withColumn("position", F.pmod(F.xxhash64(key), F.lit(10_000)) + 1)
+    # A chunk was read at some time between its two positions, which overlap those of the next chunk.
+    chunk = F.pmod(key, F.lit(8)).cast("int")
+    seen = moves.select(chunk.alias("chunk"), F.when(F.col("position") <= chunk * 1000 + 1700, F.col("after")).otherwise(F.col("before")).alias("row"))
+    moved = moves.select(key.alias("o_orderkey"))
+    still = earlier.join(moved, "o_orderkey", "left_anti").select(F.pmod("o_orderkey", F.lit(8)).cast("int").alias("chunk"), F.struct(*orders.columns).alias("row"))
+    reads = seen.where(F.col("row").isNotNull()).unionAll(still).select("chunk", "row.*")
+    windows = spark.range(8).select(F.col("id").cast("int").alias("chunk"), (F.col("id") * 1000).alias("low"), (F.col("id") * 1000 + 3000).alias("high"))
+    log = changes.flatten(moves, "orders", carry=["position"])
+    return replay_rows(cut_over(reads, windows, log, spec, "position"), spec.key, ["position"])
+
+
 QUERIES = {
     "change_feed": change_feed,
     "snapshot_reads": snapshot_reads,
@@ -138,8 +167,11 @@ QUERIES = {
     "replay_line_versions": replay_line_versions,
     "replay_round_trip": replay_round_trip,
     "apply_changes": apply_changes,
+    "before_images": before_images,
+    "snapshot_cut_over": snapshot_cut_over,
 }
 
+EVENT_COLUMNS = ("event_id", "ts", "user_id", "event_type", "value", "props")
 ORDER_COLUMNS = ("orderkey", "custkey", "orderstatus", "totalprice", "orderdate", "orderpriority")
 
 LAST_EVENTS_SQL = """
@@ -197,4 +229,14 @@ SQL = {
         where nth = 1""",
     "replay_round_trip": f"with {ORDER_STATES_SQL} select * from later",
     "apply_changes": f"with {ORDER_STATES_SQL} select * from later",
+    "before_images": f"""
+        with log as (
+          select *, {EVENT_OP_SQL} as op, event_type <> 'error' as held,
+                 lag(event_id) over by_user as prior_id, lag(event_type) over by_user as prior_type
+          from events window by_user as (partition by user_id order by event_id))
+        select log.event_id as position, op,
+               {", ".join(f"b.{c} as before_{c}" for c in EVENT_COLUMNS)},
+               {", ".join(f"case when held then log.{c} end as after_{c}" for c in EVENT_COLUMNS)}
+        from log left join events b on b.event_id = prior_id and prior_type <> 'error'""",
+    "snapshot_cut_over": f"with {ORDER_STATES_SQL} select * from later",
 }

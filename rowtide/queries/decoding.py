@@ -9,19 +9,25 @@ from pyspark.sql.types import IntegerType, StructField, StructType
 from rowtide.functions.records import is_tombstone
 from rowtide.operators import decode as dec
 from rowtide.operators.changes import flatten
-from rowtide.operators.encode import to_records
+from rowtide.operators.encode import KAFKA_SCHEMA, to_records
+from rowtide.operators.offsets import lost_ranges as find_lost
 from rowtide.plans.monitor import messages
 from rowtide.queries.inputs import (
+    BATCH_OF_EVENT_SQL,
     EVENT_OP_SQL,
     EVENT_OPS,
     EVENTS_TOPIC,
+    LOG_DAYS,
     event_envelopes,
     event_op,
     event_records,
     spec_of,
     table,
+    within,
 )
-from rowtide.sources.kafka import EARLIEST_CODE, LATEST_CODE, from_offsets
+from rowtide.session import work_dir
+from rowtide.sources.kafka import EARLIEST_CODE, LATEST_CODE, append_log, from_offsets
+from rowtide.sources.positions import PART, ROWS, consume, consumed
 from rowtide.specs import TableSpec, topic_of
 
 PROPS = TableSpec("events", StructType([StructField("k", IntegerType())]))
@@ -119,6 +125,46 @@ def render_message(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shown.select("offset", "message")
 
 
+def render_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages of records with nested fields and with keys that are no objects: a number, a text, a list, a broken one."""
+    events = table(spark, sf_dir, "events")
+    kind, user = F.col("event_type"), F.col("user_id").cast("string")
+    key = (
+        F.when(kind == "signup", user)
+        .when(kind == "view", F.concat(F.lit('"user '), user, F.lit('"')))
+        .when(kind == "click", F.concat(F.lit("["), user, F.lit(", true, null]")))
+        .when(kind == "error", F.concat(F.lit('{"user": '), user))
+        .otherwise(F.concat(F.lit('{"user": {"id": '), user, F.lit(', "of": "a"}}')))
+    )
+    value = F.concat(
+        F.lit('{"z": {"props": '), "props", F.lit(', "user": ['), user, F.lit(', "\\u017c", {}], "a": 1e20}, "event": '),
+        F.col("event_id").cast("string"), F.lit(', "small": 1.5e-7, "__op": "u", "none": [], "__table": "seen"}'),
+    )
+    return messages(event_records(events, value, key=key), [EVENTS_TOPIC], stamp=False).select("offset", "message")
+
+
+def lost_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The log with a partition per kind of event, where each kind's offsets leave out those of the others."""
+    kind = F.array_position(F.array(*[F.lit(k) for k in EVENT_OPS]), F.col("event_type")) - 1
+    records = event_records(table(spark, sf_dir, "events"), F.col("props"), partition=kind)
+    since = {EVENTS_TOPIC: {p: 0 for p in range(len(EVENT_OPS))}}
+    return find_lost(records, since, span=1000)
+
+
+def consume_committed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A log that grows in four parts, read in as many runs; one run fails after its rows were written."""
+    root = work_dir(spark, "consume")
+    records = event_records(table(spark, sf_dir, "events"), F.col("props"))
+    for n, (since, until) in enumerate(LOG_DAYS):
+        append_log(records.where(within(since, until)), f"{root}/log")
+        log = spark.read.schema(KAFKA_SCHEMA).parquet(f"{root}/log")
+        if n == 2:
+            # What a failed run leaves: rows without a commit.
+            log.write.parquet(f"{root}/reader/{ROWS}/{PART}={n + 1}.failed")
+        consume(log, f"{root}/reader", starting="earliest" if n == 0 else "latest")
+    return consumed(spark, f"{root}/reader").select("run", "partition", "offset", F.col("value").cast("string").alias("value"))
+
+
 def from_offset(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A log with a partition per kind of event: one read from an offset, one not at all, the rest from the beginning."""
     kind = F.array_position(F.array(*[F.lit(k) for k in EVENT_OPS]), F.col("event_type")) - 1
@@ -139,6 +185,9 @@ QUERIES = {
     "strip_metadata": strip_metadata,
     "render_message": render_message,
     "from_offset": from_offset,
+    "render_nested": render_nested,
+    "lost_ranges": lost_ranges,
+    "consume_committed": consume_committed,
 }
 
 SQL = {
@@ -200,4 +249,35 @@ SQL = {
           select cast(list_position(['signup', 'view', 'click', 'error', 'purchase'], event_type) - 1 as integer)
                    as partition, event_id as "offset" from events)
         select * from log where (partition <> 0 or "offset" >= 500) and partition <> 2""",
+    "render_nested": """
+        with parts as (
+          select *, cast(user_id as varchar) as u, event_type = 'error' as broken from events),
+        keys as (
+          select *, case event_type when 'signup' then u when 'view' then 'user ' || u
+                                    when 'click' then '[' || u || ', True, None]' when 'error' then '{"user": ' || u
+                                    else '{''user'': {''id'': ' || u || ', ''of'': ''a''}}' end as shown
+          from parts)
+        select event_id as "offset",
+               case when broken
+                    then chr(10) || '[dbserver1.public.events] MALFORMED | key=' || shown || ' value={"z": {"props": ' || props ||
+                         ', "user": [' || u || ', "\\u017c", {}], "a": 1e20}, "event": ' || event_id ||
+                         ', "small": 1.5e-7, "__op": "u", "none": [], "__table": "seen"}'
+                    else concat_ws(chr(10), '', '[seen] UPDATE', '  key   : ' || shown, '  record: {', '    "z": {',
+                         '        "props": {', '            "k": ' || json_extract_string(props, '$.k'), '        },',
+                         '        "user": [', '            ' || u || ',', '            "ż",', '            {}', '        ],',
+                         '        "a": 1e+20', '    },', '    "event": ' || event_id || ',', '    "small": 1.5e-07,',
+                         '    "none": []', '}') end || chr(10) || repeat('-', 80) as message
+        from keys""",
+    "lost_ranges": """
+        with log as (
+          select cast(list_position(['signup', 'view', 'click', 'error', 'purchase'], event_type) - 1 as integer)
+                   as "partition", event_id from events),
+        pairs as (
+          select "partition", event_id as after,
+                 coalesce(lag(event_id) over (partition by "partition" order by event_id), -1) as before from log)
+        select 'dbserver1.public.events' as topic, "partition", before + 1 as "first", after - 1 as "last",
+               after - before - 1 as lost
+        from pairs where after - before > 1""",
+    "consume_committed": f"""
+        select {BATCH_OF_EVENT_SQL} + 1 as run, 0 as "partition", event_id as "offset", props as value from events""",
 }

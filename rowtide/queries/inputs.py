@@ -25,6 +25,11 @@ EVENT_OPS = {"signup": "c", "view": "r", "click": "u", "error": "d", "purchase":
 EVENT_OP_SQL = """case event_type when 'signup' then 'c' when 'view' then 'r' when 'click' then 'u'
     when 'error' then 'd' when 'purchase' then 'x' end"""
 
+# Parts of a log by broker date, each appended by itself, so that a batch takes one.
+LOG_DAYS = ((None, "2024-01-09"), ("2024-01-09", "2024-01-16"), ("2024-01-16", "2024-01-23"), ("2024-01-23", None))
+BATCH_OF_EVENT_SQL = """cast(case when ts < timestamp '2024-01-09' then 0 when ts < timestamp '2024-01-16' then 1
+    when ts < timestamp '2024-01-23' then 2 else 3 end as bigint)"""
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -34,6 +39,12 @@ def spec_of(df: DataFrame, name: str) -> TableSpec:
     return TableSpec(name, df.schema, KEYS[name])
 
 
+def within(since: str | None, until: str | None) -> Column:
+    """Records with a broker date in a range, open where it has no end."""
+    at = F.to_date("timestamp").cast("string")
+    return (at >= since if since else F.lit(True)) & (at < until if until else F.lit(True))
+
+
 def event_op() -> Column:
     op = F.lit(None).cast("string")
     for kind, code in EVENT_OPS.items():
@@ -45,13 +56,13 @@ def event_records(
     events: DataFrame,
     value: Column,
     *,
-    key: Sequence[str] = ("event_id",),
+    key: Sequence[str] | Column = ("event_id",),
     topic: str | Column = EVENTS_TOPIC,
     partition: Column | None = None,
 ) -> DataFrame:
     """The event stream as a change log with the given value bytes: id as offset, ts as broker time."""
     return events.select(
-        json_bytes(key).alias("key"),
+        (key.cast("binary") if isinstance(key, Column) else json_bytes(key)).alias("key"),
         value.cast("binary").alias("value"),
         (F.lit(topic) if isinstance(topic, str) else topic).alias("topic"),
         (F.lit(0) if partition is None else partition).cast("int").alias("partition"),

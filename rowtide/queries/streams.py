@@ -4,14 +4,24 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rowtide.operators.encode import KAFKA_SCHEMA, json_bytes, to_records
 from rowtide.plans.lake import split_malformed, split_offsets, split_rows, start_all, start_split_job, start_table_job
 from rowtide.operators.replay import replay_rows
 from rowtide.queries.decoding import PROPS
-from rowtide.queries.inputs import EVENT_OPS, EVENTS_TOPIC, event_op, event_records, spec_of, table
+from rowtide.queries.inputs import (
+    BATCH_OF_EVENT_SQL,
+    EVENT_OPS,
+    EVENTS_TOPIC,
+    LOG_DAYS,
+    event_op,
+    event_records,
+    spec_of,
+    table,
+    within,
+)
 from rowtide.session import work_dir
 from rowtide.sources.kafka import append_log, stored_stream
 from rowtide.specs import TableSpec, topic_of
@@ -23,8 +33,6 @@ from rowtide.streaming.state import replayed_table, start_replay_job
 FANNED_OUT = ("customer", "part", "orders")
 # Files of the log of the progress query, each a micro-batch.
 PROGRESS_FILES = 12
-# Parts of a log by broker date, each appended by itself, so that a batch takes one.
-LOG_DAYS = ((None, "2024-01-09"), ("2024-01-09", "2024-01-16"), ("2024-01-16", "2024-01-23"), ("2024-01-23", None))
 
 
 def event_stream(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, TableSpec]:
@@ -130,12 +138,6 @@ def replay_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return replayed_table(spark, f"{root}/lake", spec)
 
 
-def within(since: str | None, until: str | None) -> Column:
-    """Records with a broker date in a range, open where it has no end."""
-    at = F.to_date("timestamp").cast("string")
-    return (at >= since if since else F.lit(True)) & (at < until if until else F.lit(True))
-
-
 def broken_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The events as a log with a partition for each kind; errors lack their closing brace."""
     cut = F.when(F.col("event_type") == "error", F.rtrim("props", F.lit("}"))).otherwise(F.col("props"))
@@ -184,8 +186,6 @@ QUERIES = {
     "stream_lag": stream_lag,
 }
 
-BATCH_OF_EVENT_SQL = """cast(case when ts < timestamp '2024-01-09' then 0 when ts < timestamp '2024-01-16' then 1
-    when ts < timestamp '2024-01-23' then 2 else 3 end as bigint)"""
 LAKE_EVENTS_SQL = "select *, ts as kafka_timestamp, true as processed from events"
 
 SQL = {

@@ -1,0 +1,247 @@
+"""Before-images, lost ranges, committed positions and the snapshot cut-over, against plain versions."""
+
+import datetime
+import random
+from concurrent.futures import ThreadPoolExecutor
+
+import pytest
+from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, LongType, StringType, StructField, StructType
+
+from rowtide.errors import SchemaError
+from rowtide.operators.changes import change_feed, flatten, snapshot_reads
+from rowtide.operators.cutover import cut_over, read_in_chunks
+from rowtide.operators.encode import KAFKA_SCHEMA
+from rowtide.operators.images import before_images
+from rowtide.operators.offsets import lost_ranges
+from rowtide.operators.replay import replay_rows
+from rowtide.sources import positions
+from rowtide.sources.kafka import EARLIEST_CODE, LATEST_CODE
+from rowtide.specs import TableSpec
+
+SPEC = TableSpec("t", StructType([StructField("id", IntegerType()), StructField("v", StringType())]), ("id",))
+AT = datetime.datetime(2024, 3, 1)
+
+
+def hot_log(rng, n):
+    """(id, v, op, offset): a third of the log on one key, offsets with holes, deletes among them."""
+    offsets = sorted(rng.sample(range(5 * n), n))
+    return [(7 if rng.random() < 0.34 else rng.randrange(40), f"v{i}", rng.choice("cuud"), o) for i, o in enumerate(offsets)]
+
+
+def plain_images(log):
+    held, out = {}, []
+    for key, v, op, offset in sorted(log, key=lambda r: r[3]):
+        after = None if op == "d" else (key, v)
+        out.append((op, held.get(key), after, offset))
+        held[key] = after
+    return out
+
+
+@pytest.mark.parametrize("span", [1, 7, 100, 10**6])
+def test_images_equal_a_loop_over_the_log(spark, span):
+    log = hot_log(random.Random(span), 600)
+    rows = spark.createDataFrame(random.Random(1).sample(log, len(log)), "id int, v string, __op string, offset long")
+    got = before_images(rows.repartition(5), SPEC, "offset", span=span).orderBy("offset").collect()
+    assert [(r.op, r.before and tuple(r.before), r.after and tuple(r.after), r.offset) for r in got] == plain_images(log)
+
+
+def test_images_of_a_hot_key_are_not_sorted_by_one_task(spark):
+    """With a third of the log on one key no window of rows is wider than its span."""
+    log = spark.range(30_000).select(
+        F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") % 5000).cast("int").alias("id"),
+        F.col("id").cast("string").alias("v"),
+        F.lit("u").alias("__op"),
+        F.col("id").alias("offset"),
+    )
+    widths = before_images(log, SPEC, "offset", span=1000)
+    plan = widths._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Window [") == 2 and "_range" in plan.split("Window [")[1]
+    previous = widths.where("after.id = 7").select(F.col("offset"), F.col("before.v").cast("long").alias("p")).orderBy("offset").collect()
+    assert all(b.p == a.offset for a, b in zip(previous, previous[1:])) and previous[0].p is None
+
+
+def test_images_without_operations_or_with_flags(spark):
+    rows = spark.createDataFrame([(1, "a", "false", 1), (1, "b", "false", 2), (1, "b", "true", 3), (1, "c", "false", 9)], "id int, v string, __deleted string, n long")
+    got = before_images(rows, SPEC, "n", span=2).orderBy("n").collect()
+    assert [(r.op, r.before and r.before.v, r.after and r.after.v) for r in got] == [("c", None, "a"), ("u", "a", "b"), ("d", "b", None), ("c", None, "c")]
+    assert before_images(rows.limit(0), SPEC, "n").collect() == []
+    with pytest.raises(SchemaError):
+        before_images(rows, TableSpec("t", SPEC.schema), "n")
+
+
+def test_images_tell_a_row_of_nulls_from_none(spark):
+    rows = spark.createDataFrame([(None, None, "u", 1), (None, None, "u", 2), (None, "x", "u", 3)], "id int, v string, __op string, n long")
+    got = before_images(rows, SPEC, "n", span=2).orderBy("n").collect()
+    assert [r.before and tuple(r.before) for r in got] == [None, (None, None), (None, None)]
+
+
+def records_at(spark, places):
+    """Records at (topic, partition, offset)."""
+    return spark.createDataFrame([(b"k", f"{t}{p}:{o}".encode(), t, p, o, AT, 0) for t, p, o in places], KAFKA_SCHEMA)
+
+
+def plain_gaps(places, since):
+    by = {}
+    for t, p, o in places:
+        by.setdefault((t, p), set()).add(o)
+    out = []
+    for (t, p), offsets in by.items():
+        before = since.get(t, {}).get(p)
+        line = ([] if before is None else [before - 1]) + sorted(offsets)
+        out += [(t, p, a + 1, b - 1, b - a - 1) for a, b in zip(line, line[1:]) if b - a > 1]
+    return sorted(out)
+
+
+@pytest.mark.parametrize("span", [1, 8, 10**6])
+def test_lost_ranges_equal_a_plain_search(spark, span):
+    rng = random.Random(span)
+    places = [(t, p, o) for t in "ab" for p in (0, 1) for o in range(5, 400) if rng.random() < 0.6]
+    places = [x for x in places if not (x[0] == "a" and 100 < x[2] < 200)] + [("c", 0, 17)] + places[:30]
+    since = {"a": {0: 0, 1: 5}, "b": {1: 300}, "c": {0: 17}, "none": {0: 1}}
+    got = lost_ranges(records_at(spark, places).repartition(4), since, span=span)
+    assert sorted(map(tuple, got.collect())) == plain_gaps(places, since)
+
+
+def test_lost_ranges_of_odd_logs(spark):
+    assert lost_ranges(records_at(spark, [])).collect() == []
+    log = records_at(spark, [("a", 0, 1), ("a", 0, 3), (None, 0, 9), ("a", None, 9), ("a", 0, None)])
+    assert [tuple(r) for r in lost_ranges(log).collect()] == [("a", 0, 2, 2, 1)]
+
+
+def read_again(spark, root):
+    return sorted((r.topic, r.partition, r.offset, r.run) for r in positions.consumed(spark, root).collect())
+
+
+def test_each_record_once_in_three_runs_and_after_a_failed_commit(spark, tmp_path, monkeypatch):
+    root = str(tmp_path / "reader")
+    first = [("a", 0, 0), ("a", 0, 1), ("a", 1, 5)]
+    second = [("a", 0, 2), ("b", 0, 0)]
+    third = [("a", 1, 6), ("a", 1, 9), ("b", 0, 1)]
+    assert positions.committed_positions(spark, root) is None
+    assert positions.consume(records_at(spark, first), root)
+    assert not positions.consume(records_at(spark, first), root)
+    assert positions.committed_positions(spark, root) == {"a": {0: 2, 1: 6}}
+
+    def lost(*_):
+        raise OSError("commit failed")
+
+    with monkeypatch.context() as patched:
+        patched.setattr(positions, "put_commit", lost)
+        with pytest.raises(OSError):
+            positions.consume(records_at(spark, first + second), root)
+    assert read_again(spark, root) == [(*p, 1) for p in first]
+    # The start option has nothing to say where a position is committed, or a partition is new later on.
+    assert positions.consume(records_at(spark, first + second), root, starting="latest")
+    assert positions.consume(records_at(spark, first + second + third), root, starting={"a": {0: 0}})
+    assert read_again(spark, root) == sorted([(*p, 1) for p in first] + [(*p, 2) for p in second] + [(*p, 3) for p in third])
+    assert positions.committed_positions(spark, root) == {"a": {0: 3, 1: 10}, "b": {0: 2}}
+
+
+@pytest.mark.parametrize(
+    ("starting", "taken"),
+    [
+        ("earliest", [("a", 0, 0), ("a", 0, 1), ("a", 1, 0)]),
+        ("latest", []),
+        ({"a": {0: 1}}, [("a", 0, 1), ("a", 1, 0)]),
+        ({"a": {0: EARLIEST_CODE, 1: LATEST_CODE}}, [("a", 0, 0), ("a", 0, 1)]),
+    ],
+)
+def test_where_the_first_run_starts(spark, tmp_path, starting, taken):
+    root, log = str(tmp_path / "reader"), [("a", 0, 0), ("a", 0, 1), ("a", 1, 0)]
+    assert positions.consume(records_at(spark, log), root, starting=starting)
+    assert read_again(spark, root) == [(*p, 1) for p in taken]
+    more = [("a", 0, 2), ("a", 1, 1), ("a", 2, 0)]
+    assert positions.consume(records_at(spark, log + more), root, starting=starting)
+    assert read_again(spark, root) == sorted([(*p, 1) for p in taken] + [(*p, 2) for p in more])
+
+
+def test_latest_of_an_empty_log(spark, tmp_path):
+    root = str(tmp_path / "reader")
+    assert positions.consume(records_at(spark, []), root, starting="latest")
+    assert positions.consume(records_at(spark, [("a", 0, 0)]), root, starting="latest")
+    assert read_again(spark, root) == [("a", 0, 0, 2)]
+
+
+def test_two_readers_of_one_root(spark, tmp_path):
+    root, log = str(tmp_path / "reader"), [("a", 0, o) for o in range(20)]
+    with ThreadPoolExecutor(2) as pool:
+        done = list(pool.map(lambda _: positions.consume(records_at(spark, log), root), range(2)))
+    assert any(done)
+    assert [r[:3] for r in read_again(spark, root)] == log
+
+
+def table_at(changes, position):
+    """The table after the changes up to a position: {id: v}."""
+    held = {}
+    for at, key, v in changes:
+        if at <= position:
+            held.pop(key, None) if v is None else held.__setitem__(key, v)
+    return held
+
+
+def live_table(rng, n):
+    """Positions of changes (at, key, v or None for a delete); a third on one key."""
+    return [(at, 3 if rng.random() < 0.34 else rng.randrange(24), None if rng.random() < 0.25 else f"v{at}") for at in range(1, n)]
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_snapshot_of_a_changing_table(spark, seed):
+    """Chunks are read one after another while changes go on; wherever in its window each read falls, the result is the table."""
+    rng = random.Random(seed)
+    changes = live_table(rng, 300)
+    clock = [100]
+
+    def position():
+        clock[0] += rng.randrange(12)
+        return clock[0]
+
+    def read(chunk):
+        clock[0] += rng.randrange(12)
+        rows = [(k, v) for k, v in table_at(changes, clock[0]).items() if k % 4 == chunk]
+        clock[0] += rng.randrange(12)
+        return spark.createDataFrame(rows, SPEC.schema)
+
+    reads, windows = read_in_chunks(spark, range(4), read, position)
+    at = [(w.low, w.high) for w in windows.orderBy("chunk").collect()]
+    assert all(low <= high for low, high in at) and len(at) == 4
+    # The log is known from the first chunk on.
+    log = [(k, v, "d" if v is None else "u", "t", "true" if v is None else "false", p) for p, k, v in changes if p > at[0][0]]
+    flat = spark.createDataFrame(log, "id int, v string, __op string, __table string, __deleted string, lsn long")
+    joined = cut_over(reads, windows, flat, SPEC, "lsn")
+    assert joined.columns == ["id", "v", "__op", "__table", "__deleted", "lsn"]
+    state = {r.id: r.v for r in replay_rows(joined, ["id"], ["lsn"]).collect()}
+    assert state == table_at(changes, 10**9)
+
+
+def test_reads_without_the_cut_over_would_be_wrong(spark):
+    """A row read early in its window and deleted later in it does not come back."""
+    reads = spark.createDataFrame([(1, "old", 0), (2, "same", 0)], "id int, v string, chunk int")
+    windows = spark.createDataFrame([(0, 10, 20)], "chunk int, low long, high long")
+    flat = spark.createDataFrame([(1, None, "d", "t", "true", 15), (2, "early", "u", "t", "false", 10), (9, "new", "c", "t", "false", 20)], "id int, v string, __op string, __table string, __deleted string, lsn long")
+    got = cut_over(reads, windows, flat, SPEC, "lsn")
+    assert sorted((r.id, r.v, r["__op"], r.lsn) for r in got.collect() if r["__op"] == "r") == [(2, "same", "r", 20)]
+    naive = flatten(snapshot_reads(reads, SPEC).withColumn("lsn", F.lit(20)), "t", carry=["lsn"]).unionByName(flat)
+    assert {r.id for r in replay_rows(naive, ["id"], ["lsn"]).collect()} == {1, 2, 9}
+    assert sorted(map(tuple, replay_rows(got, ["id"], ["lsn"]).collect())) == [(2, "same"), (9, "new")]
+
+
+def test_cut_over_of_nothing(spark):
+    reads = spark.createDataFrame([], "id int, v string, chunk int")
+    windows = spark.createDataFrame([], "chunk int, low long, high long")
+    flat = spark.createDataFrame([], "id int, v string, __op string, __table string, __deleted string, lsn long")
+    assert cut_over(reads, windows, flat, SPEC, "lsn").collect() == []
+    with pytest.raises(SchemaError):
+        read_in_chunks(spark, [], None, None)
+    with pytest.raises(SchemaError):
+        cut_over(reads, windows, flat, TableSpec("t", SPEC.schema), "lsn")
+
+
+def test_columns_named_like_the_window(spark):
+    spec = TableSpec("t", StructType([StructField("low", IntegerType()), StructField("high", LongType())]), ("low",))
+    reads = spark.createDataFrame([(1, 5, 0)], "low int, high long, chunk int")
+    windows = spark.createDataFrame([(0, 10, 20)], "chunk int, low long, high long")
+    old, new = spark.createDataFrame([(2, 1)], spec.schema), spark.createDataFrame([(2, 3)], spec.schema)
+    flat = flatten(change_feed(old, new, spec), "t").withColumn("lsn", F.lit(30).cast("long"))
+    got = replay_rows(cut_over(reads, windows, flat, spec, "lsn"), ["low"], ["lsn"])
+    assert sorted(map(tuple, got.collect())) == [(1, 5), (2, 3)]

@@ -47,3 +47,37 @@ def test_any_message(records, changes):
         assert back == fields and list(back) == list(fields)
         assert "__x" not in block and "__op" not in block
         assert len(block.splitlines()) == (len(fields) + 2 if fields else 1)
+
+
+def test_keys_of_any_kind(records):
+    keys = ["5", '"abc"', "[1]", "true", "null", "1e20", "1.50", '{"a":[1,{"b":null}]}', "", None]
+    expected = ["5", "abc", "[1]", "True", "None", "1e+20", "1.5", "{'a': [1, {'b': None}]}", "None", "None"]
+    log = records(*[(k, None) for k in keys])
+    shown = [r.message for r in messages(log, [TOPIC], stamp=False).orderBy("offset").collect()]
+    assert shown == [f"\n[{TOPIC}] TOMBSTONE | key={e}\n{RULE}" for e in expected]
+
+
+def test_a_broken_key_or_value_is_malformed(records):
+    log = records(("{cut", '{"a":1}'), (b"\xff", None), ('{"a":1}', "[1]"), ("1", b'{"a":"\xff"}'), ("2", "{" * 100_000), ("3", '{"a":1} x'))
+    shown = [r.message for r in messages(log, [TOPIC], stamp=False).orderBy("offset").collect()]
+    assert all("] MALFORMED | key=" in m for m in shown)
+    assert [m.split("key=")[1].split(" value=")[0] for m in shown] == ["{cut", "�", "{'a': 1}", "1", "2", "3"]
+
+
+def test_nested_records_and_numbers(records):
+    value = (
+        '{"__op":"c","z":{"b":[1,{"y":1.0,"x":[]}],"a":"\\u017c\\/"},"big":1e20,"small":1.5e-7,"whole":1E5,'
+        '"long":123456789012345678901234567890,"same":1,"same":2,"half":"\\ud800","line":"a\\nb"}'
+    )
+    shown = messages(records((None, value)), [TOPIC], stamp=False).first().message
+    assert shown.split("  record: ")[1] == (
+        '{\n    "z": {\n        "b": [\n            1,\n            {\n                "y": 1.0,\n                "x": []\n'
+        '            }\n        ],\n        "a": "ż/"\n    },\n    "big": 1e+20,\n    "small": 1.5e-07,\n    "whole": 100000.0,\n'
+        '    "long": 123456789012345678901234567890,\n    "same": 2,\n    "half": "?",\n    "line": "a\\nb"\n}\n' + RULE
+    )
+
+
+def test_operations_and_tables_of_other_types(records):
+    log = records((None, '{"__op":5,"__table":7}'), (None, '{"__op":null,"__table":null}'), (None, "{}"))
+    heads = [r.message.splitlines()[1] for r in messages(log, [TOPIC], stamp=False).orderBy("offset").collect()]
+    assert heads == ["[7] UNKNOWN (5)", "[albumy] UNKNOWN (?)", "[albumy] UNKNOWN (?)"]
