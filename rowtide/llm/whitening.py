@@ -22,7 +22,8 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rowtide.llm.common import store
@@ -30,6 +31,8 @@ from rowtide.llm.common import store
 EPS = float(np.finfo(float).eps)
 # Entries this large have no grid value of their own in a long.
 LARGEST = float(1 << 62)
+# Rows worked on at once.
+ROWS = 2048
 
 Product = Callable[[np.ndarray], np.ndarray]
 
@@ -177,16 +180,35 @@ def jacobi_davidson(
     raise ArithmeticError(f"no convergence in {most_rounds} rounds: residual {before / top if top else before}")
 
 
-def grid_vector(vector: Column) -> Column:
-    """floor(64 * c) + 1000000 of each entry as a long; null where an entry is null, not finite, or has no such long."""
-    scaled = F.transform(vector, lambda c: F.floor(c.cast("double") * F.lit(64.0)))
-    fits = F.forall(vector, lambda c: c.isNotNull() & (F.abs(c.cast("double") * F.lit(64.0)) < F.lit(LARGEST)))
-    # NaN counts as larger than any number, so it does not fit.
-    return F.when(F.coalesce(fits, F.lit(False)) & (F.size(vector) > 0), F.transform(scaled, lambda x: x + F.lit(1000000).cast("long")))
+def grid_vectors(vectors: DataFrame) -> DataFrame:
+    """vec_id and x, the grid vector floor(64 * c) + 1000000 as the bytes of its longs.
+
+    Rows whose vector is null, empty, or has an entry that is null, not finite,
+    or without such a long are left out.
+    """
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for at in range(0, whole.num_rows, ROWS):
+                batch = whole.slice(at, ROWS)
+                lists = batch.column(1)
+                length = pc.list_value_length(lists).fill_null(0).to_numpy()
+                # A null entry is NaN here.
+                scaled = lists.flatten().cast(pa.float64()).to_numpy(zero_copy_only=False) * 64.0
+                row = np.repeat(np.arange(batch.num_rows), length)
+                usable = length > 0
+                usable[row[~(np.abs(scaled) < LARGEST)]] = False
+                x = np.floor(scaled[usable[row]]).astype(np.int64) + 1_000_000
+                ends = np.concatenate([[0], np.cumsum(8 * length[usable])]).astype(np.int32)
+                packed = pa.Array.from_buffers(pa.binary(), len(ends) - 1, [None, pa.py_buffer(ends), pa.py_buffer(x)])
+                yield pa.RecordBatch.from_arrays([batch.column(0).filter(pa.array(usable)), packed], names=["vec_id", "x"])
+
+    kind = vectors.schema["vec_id"].dataType.simpleString()
+    return vectors.select("vec_id", "embedding").mapInArrow(scan, f"vec_id {kind}, x binary")
 
 
 def matrix(column: pa.Array, dims: int) -> np.ndarray:
-    return column.flatten().to_numpy(zero_copy_only=False).reshape(-1, dims)
+    return np.frombuffer(b"".join(column.to_pylist()), np.int64).reshape(-1, dims)
 
 
 @dataclass(frozen=True)
@@ -218,7 +240,7 @@ def squared_length(deviation: np.ndarray) -> list[int | None]:
 
 
 def added(fit: DataFrame, dims: int, task: Callable[[np.ndarray], np.ndarray]) -> np.ndarray:
-    """The sum over the fit list of ``task(rows)``, a float array of one shape for all rows.
+    """The sum over the fit list of ``task(rows)``, a flat array of one length and type for all rows.
 
     One pass. Each task adds up its own rows, about sqrt(tasks) groups of tasks
     are added on the executors, and the driver adds those.
@@ -228,29 +250,33 @@ def added(fit: DataFrame, dims: int, task: Callable[[np.ndarray], np.ndarray]) -
     def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = None
         for batch in batches:
-            if batch.num_rows:
-                part = task(matrix(batch.column(0), dims))
+            for at in range(0, batch.num_rows, ROWS):
+                part = task(matrix(batch.column(0).slice(at, ROWS), dims))
                 total = part if total is None else total + part
         if total is not None:
-            yield pa.RecordBatch.from_pydict({"sums": [np.ascontiguousarray(total, float).tobytes()]})
+            yield pa.RecordBatch.from_pydict({"kind": [total.dtype.char], "sums": [total.tobytes()]})
 
-    def merged(group: pa.Table) -> pa.Table:
+    def summed(kinds: list[str], sums: list[bytes]) -> np.ndarray:
         # In an order of their own, so that the sum does not depend on which task ended first.
-        parts = sorted(group.column("sums").to_pylist())
-        return pa.table({"sums": [np.sum([np.frombuffer(p) for p in parts], axis=0).tobytes()]})
+        return np.sum([np.frombuffer(s, k) for k, s in zip(kinds, sorted(map(bytes, sums)))], axis=0)
 
-    parts = fit.mapInArrow(partial, "sums binary").withColumn("node", F.pmod(F.spark_partition_id(), F.lit(fan)))
-    rows = parts.groupBy("node").applyInArrow(merged, "sums binary").collect()
-    return np.sum([np.frombuffer(r.sums) for r in sorted(rows, key=lambda r: bytes(r.sums))], axis=0)
+    def merged(group: pa.Table) -> pa.Table:
+        total = summed(group.column("kind").to_pylist(), group.column("sums").to_pylist())
+        return pa.table({"kind": [total.dtype.char], "sums": [total.tobytes()]})
 
+    parts = fit.mapInArrow(partial, "kind string, sums binary").withColumn("node", F.pmod(F.spark_partition_id(), F.lit(fan)))
+    rows = parts.groupBy("node").applyInArrow(merged, "kind string, sums binary").collect()
+    return summed([r.kind for r in rows], [r.sums for r in rows])
 
-def fit_list(gridded: DataFrame) -> tuple[DataFrame, int, Scale]:
-    """The distinct grid vectors, stored; their length; their count and sums."""
-    fit = store(gridded.select("x").distinct(), "whitening-fit")
-    entries = fit.select(F.posexplode("x").alias("at", "entry"))
-    totals = entries.groupBy("at").agg(F.sum(F.col("entry").cast("decimal(38,0)")).alias("s"), F.count(F.lit(1)).alias("n"))
-    rows = sorted(totals.collect())
-    return fit, len(rows), Scale(rows[0].n if rows else 0, tuple(int(r.s) for r in rows))
+
+def scale_of(fit: DataFrame, dims: int) -> Scale:
+    """Count and exact sums of the fit list. The halves of a long are added apart, so that no sum overflows."""
+
+    def halves(x: np.ndarray) -> np.ndarray:
+        return np.concatenate([(x >> 31).sum(axis=0), (x & ((1 << 31) - 1)).sum(axis=0), [len(x)]])
+
+    *sums, n = added(fit, dims, halves).tolist()
+    return Scale(n, tuple((high << 31) + low for high, low in zip(sums[:dims], sums[dims:])))
 
 
 def whitened(vectors: DataFrame, *, components: int = 16, **settings) -> DataFrame:
@@ -273,20 +299,22 @@ def whitened(vectors: DataFrame, *, components: int = 16, **settings) -> DataFra
     spark = vectors.sparkSession
     kind = vectors.schema["vec_id"].dataType.simpleString()
     schema = f"vec_id {kind}, component int, n long, deviation long, whitened double, explained double, identity_error double"
-    gridded = vectors.select(F.col("vec_id"), grid_vector(F.col("embedding")).alias("x")).where(F.col("x").isNotNull())
-    lengths = gridded.groupBy(F.size("x").alias("dims")).agg(F.count(F.lit(1)).alias("rows"))
+    gridded = grid_vectors(vectors)
+    lengths = gridded.groupBy(F.octet_length("x").alias("bytes")).agg(F.count(F.lit(1)).alias("rows"))
     # Of the row counts by length only the largest comes to the driver.
-    common = lengths.agg(F.max(F.struct("rows", "dims")).alias("top")).first().top
+    common = lengths.agg(F.max(F.struct("rows", "bytes")).alias("top")).first().top
     if common is None:
         return spark.createDataFrame([], schema)
-    gridded = gridded.where(F.size("x") == common.dims)
-    fit, dims, scale = fit_list(gridded)
+    dims = common.bytes // 8
+    gridded = gridded.where(F.octet_length("x") == common.bytes)
+    fit = store(gridded.select("x").distinct(), "whitening-fit")
+    scale = scale_of(fit, dims)
     n = scale.n
 
     def product(block: np.ndarray) -> np.ndarray:
         def task(x: np.ndarray) -> np.ndarray:
             centred = scale.centred(x)
-            return centred.T @ (centred @ block)
+            return (centred.T @ (centred @ block)).ravel()
 
         return added(fit, dims, task).reshape(block.shape) / n
 
@@ -309,8 +337,8 @@ def whitened(vectors: DataFrame, *, components: int = 16, **settings) -> DataFra
 
     def project(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for at in range(0, whole.num_rows, 4096):
-                batch = whole.slice(at, 4096)
+            for at in range(0, whole.num_rows, ROWS):
+                batch = whole.slice(at, ROWS)
                 deviation = scale.deviations(matrix(batch.column(1), dims))
                 z = (deviation.astype(float) / n) @ turn
                 rows = batch.num_rows
@@ -328,4 +356,4 @@ def whitened(vectors: DataFrame, *, components: int = 16, **settings) -> DataFra
                     names=["vec_id", "component", "n", "deviation", "whitened", "explained", "identity_error"],
                 )
 
-    return gridded.select("vec_id", "x").mapInArrow(project, schema)
+    return gridded.mapInArrow(project, schema)

@@ -128,3 +128,15 @@ def test_minres_solves_indefinite_systems():
     x = minres(lambda block: a @ block - block * shifts, b, 60, 1e-12)
     for j in range(3):
         assert np.allclose((a - shifts[j] * np.eye(20)) @ x[:, j], b[:, j], atol=1e-8)
+
+
+def test_more_rows_than_are_worked_on_at_once(spark):
+    from rowtide.llm.whitening import ROWS
+
+    rows = vectors(2 * ROWS + 70, 3)
+    nulls = [(-i, None) for i in range(1, 60)]
+    mixed = [r for pair in zip(rows[:59], nulls) for r in pair] + rows[59:]
+    frame = spark.createDataFrame([(*r, 0) for r in mixed], SCHEMA).coalesce(1)
+    got = {(r.vec_id, r.component): r.deviation for r in whitened(frame).collect()}
+    expected, _, _ = plain(rows)
+    assert got == {(i, c): d for i, d, _ in expected for c in (1, 2, 3)}
