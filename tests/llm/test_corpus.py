@@ -102,7 +102,7 @@ def shared_texts(seed, n):
     return texts + texts[: n // 10]
 
 
-@pytest.mark.parametrize("settings_", [{}, {"chunk_bytes": 2000}, {"chunk_bytes": 500, "depth": 1, "cells_per_window": 1}, {"depth": 3, "size": 5}])
+@pytest.mark.parametrize("settings_", [{}, {"chunk_bytes": 2000}, {"chunk_bytes": 500, "depth": 1, "cells_per_window": 1}, {"depth": 3, "size": 5}, {"chunk_bytes": 600, "least_piece": 10**6}, {"chunk_bytes": 900, "least_piece": 10**6, "depth": 3, "size": 5, "cells_per_window": 1}])
 def test_removes_what_smaller_documents_have(documents, settings_):
     texts = shared_texts(1, 120)
     random.Random(2).shuffle(texts)
@@ -112,6 +112,40 @@ def test_removes_what_smaller_documents_have(documents, settings_):
     assert rows_of(got, "doc_id", "n_words", "n_removed", "kept") == want
 
 
+def test_more_chunks_than_buckets(spark, documents):
+    """Spark's limit of buckets bounds the buckets, not the chunks; no table is left behind."""
+    name = "spark.sql.sources.bucketing.maxBuckets"
+    before = spark.conf.get(name)
+    tables = {t.name for t in spark.catalog.listTables()}
+    texts = shared_texts(4, 150)
+    spark.conf.set(name, "5")
+    try:
+        got = remove_repeats(documents(texts), chunk_bytes=400)
+        found = rows_of(got, "doc_id", "n_words", "n_removed", "kept")
+        plan = got._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set(name, before)
+    assert found == removed([(i, t.encode().split()) for i, t in enumerate(texts)], 13)
+    assert "SelectedBucketsCount: 5 out of 5" in plan
+    assert {t.name for t in spark.catalog.listTables()} == tables
+
+
+def test_pieces_stay_large():
+    """Windows in a piece on average, from 30 GB to 100 TB: the rows sent grow with the windows."""
+    from rowtide.llm.substring_dedup import Plan
+
+    held = {}
+    for size in (0.5e9, 30e9, 300e9, 3e12, 100e12):
+        windows, chunks = size / 6, size / (4 << 20)
+        plan = Plan.of(13, 2, 4 * windows, windows / chunks, 512)
+        assert 2 ** (plan.bits - plan.range_bits) <= 2**25
+        first = windows / chunks / 2**plan.coarse_bits
+        second = plan.group * windows / chunks / 2**plan.range_bits if plan.two_steps else first
+        held[size] = (plan.two_steps, round(min(first, second)))
+    assert [two for two, _ in held.values()] == [False, False, True, True, True]
+    assert all(n >= 450 for _, n in held.values()), held
+
+
 def test_substring_odd_rows(documents, odd_rows, clashing):
     got = remove_repeats(clashing(documents(odd_rows)), chunk_bytes=4000)
     want = removed([(r[0], (r[1] or "").encode().split()) for r in odd_rows], 13)
