@@ -92,23 +92,48 @@ def labelled_sample(
     remainder: int,
     max_rows: int,
 ) -> DataFrame:
-    """Text and label of at most ``max_rows`` labelled rows that are not held out, one for each id.
+    """Text, label and weight of at most ``max_rows`` labelled rows that are not held out, one for each id.
 
     The rows are the first by a hash of their id, the same at each run; a class
-    gets half of the room, so that a rare class is not lost. Only the chosen
-    ids, at most ``max_rows`` of two numbers, are broadcast to the scan of the
-    texts.
+    gets half of the room, so that a rare class is not lost; ``weight`` is how
+    many labelled rows of its class a row stands for. Only the chosen ids, at
+    most ``max_rows`` of three numbers, are broadcast to the scan of the texts.
     """
     usable = labels.select(F.col("doc_id").alias("doc_id"), F.col(label).cast("int").alias("label")).where(
         F.col("doc_id").isNotNull() & F.col("label").isin(0, 1) & ~held_out(F.col("doc_id"), buckets, remainder)
     )
     one = usable.groupBy("doc_id").agg(F.max("label").alias("label"))
-    order = [F.xxhash64("doc_id"), F.col("doc_id")]
-    halves = [one.where(F.col("label") == k).orderBy(*order).limit(max_rows // 2) for k in (0, 1)]
+    held = {r["label"]: r["count"] for r in one.groupBy("label").count().collect()}
+    halves = []
+    for k in (0, 1):
+        rows, most = held.get(k, 0), max_rows // 2
+        half = first_by_hash(one.where(F.col("label") == k), ["doc_id"], rows, most)
+        halves.append(half.withColumn("weight", F.lit(rows / max(1, min(rows, most)))))
     chosen = F.broadcast(store(halves[0].unionAll(halves[1]), "labels"))
     found = documents.select("doc_id", "text").join(chosen, "doc_id")
     # Rows that repeat an id are one: the text with the smallest digest, whatever their order.
-    return found.groupBy("doc_id", "label").agg(F.min_by("text", F.md5("text")).alias("text")).select("doc_id", "text", "label")
+    kept = found.groupBy("doc_id", "label", "weight").agg(F.min_by("text", F.md5("text")).alias("text"))
+    return kept.select("doc_id", "text", "label", "weight")
+
+
+def first_by_hash(rows: DataFrame, keys: Sequence[str], total: int, most: int) -> DataFrame:
+    """The first ``most`` of ``total`` rows in the order of a hash of their ``keys``.
+
+    Of many rows those beyond the hash that about half as many again pass are
+    left out first, so that the task which orders the rest gets few of them.
+    """
+    by = F.xxhash64(*keys)
+    share = (1.5 * most + 1000) / max(1, total)
+    if share < 1:
+        rows = rows.where(by < F.lit(int(share * (1 << 64)) - (1 << 63)))
+    return rows.orderBy(by, *keys).limit(most)
+
+
+def spread_join(left: DataFrame, right: DataFrame, on: str, copies: int = 16) -> DataFrame:
+    """An inner join on a column unique in ``right``: a key that many rows of ``left`` share is dealt to several tasks."""
+    salted = left.withColumn("_salt", F.pmod(F.xxhash64(*[c for c in left.columns if c != on]), F.lit(copies)).cast("int"))
+    every = right.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(copies - 1))))
+    return salted.join(every, [on, "_salt"]).drop("_salt")
 
 
 def sigmoid(x: np.ndarray) -> np.ndarray:

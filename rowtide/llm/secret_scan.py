@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rowtide.llm.common import store
+from rowtide.llm.common import spread_join, store
 
 # The base patterns, by kind in their order, and how many characters a match must have.
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.ASCII | re.IGNORECASE)
@@ -281,13 +281,6 @@ def word_counts(documents: DataFrame, *, most_words: int = 100_000) -> DataFrame
     return counted.groupBy("word").agg(F.sum("n").alias("n"))
 
 
-def spread_join(left: DataFrame, right: DataFrame, on: str, how: str = "inner", copies: int = 16) -> DataFrame:
-    """A join on a column unique in ``right``: a key that many rows of ``left`` share is dealt to several tasks."""
-    salted = left.withColumn("_salt", F.pmod(F.xxhash64(*[c for c in left.columns if c != on]), F.lit(copies)).cast("int"))
-    every = right.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(copies - 1))))
-    return salted.join(every, [on, "_salt"], how).drop("_salt")
-
-
 def costly_values(values: DataFrame, documents: DataFrame, least_bits: float) -> DataFrame:
     """The keys of the values that take 2 ** least_bits guesses or more."""
 
