@@ -7,7 +7,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rowtide.llm.common import fold, store, text_udf
@@ -302,12 +302,18 @@ def level_tables(counts: DataFrame, order: int, langs: tuple[str, ...], lower: D
 
 
 def frequent(table: DataFrame, key: str, value: str, most: int) -> tuple[np.ndarray, np.ndarray, bool]:
-    """Hashes, sorted, and values of the ``most`` most frequent rows, and whether these are all."""
-    top = table.orderBy(F.col("n").desc(), key).limit(most).toArrow().combine_chunks()
+    """Hashes, sorted, and values of the most frequent rows, at most ``most``, and whether these are all.
+
+    Rows come down to a frequency: the lowest one that ``most`` rows at most
+    reach. It is found among the distinct frequencies, one row each.
+    """
+    reached = F.sum("count").over(Window.orderBy(F.col("n").desc()))
+    lowest = table.groupBy("n").count().withColumn("rows", reached).where(F.col("rows") <= most).agg(F.min("n")).first()[0]
+    top = table.where(F.lit(False) if lowest is None else F.col("n") >= lowest).select(key, value).toArrow().combine_chunks()
     hashes = hashed(top[key].to_numpy().astype(np.int64).view(np.uint64))
     values = np.array(top[value].to_pylist(), np.float32)
     order = np.argsort(hashes)
-    return hashes[order], values[order], len(hashes) < most or table.count() <= most
+    return hashes[order], values[order], len(hashes) == table.count()
 
 
 def fit_languages(training: DataFrame, *, max_entries: int = 1_000_000) -> LanguageModels:
