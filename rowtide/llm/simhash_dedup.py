@@ -9,10 +9,10 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rowtide.llm.common import merge_labels, store
+from rowtide.llm.common import first_by_hash, merge_labels, store
 from rowtide.llm.graph import components
 
 
@@ -38,14 +38,18 @@ def fingerprint(text: str | None, shingle: int = 3, seed: int = 42) -> int:
 
 
 def fingerprints(documents: DataFrame, shingle: int = 3) -> DataFrame:
-    """(doc_id, fp) of every row; ``fp`` is the fingerprint as a signed long."""
+    """(doc_id, digest, fp) of every row; ``fp`` is the fingerprint as a signed long, ``digest`` that of the text."""
 
     @F.pandas_udf("long")
     def run(texts: pd.Series) -> pd.Series:
         values = np.array([fingerprint(t, shingle) for t in texts], np.uint64)
         return pd.Series(values.view(np.int64))
 
-    return documents.select("doc_id", run(documents["text"]).alias("fp"))
+    return documents.select("doc_id", text_digest(documents["text"]).alias("digest"), run(documents["text"]).alias("fp"))
+
+
+def text_digest(text: Column) -> Column:
+    return F.unhex(F.md5(F.coalesce(text, F.lit(""))))
 
 
 @dataclass(frozen=True)
@@ -198,10 +202,11 @@ def near_links(values: DataFrame, reach: int, *, shard_rows: int = 2048, sample_
     goes to its home shard and, as a query, to those its ball overlaps. Exact:
     pruning drops a shard only by the triangle inequality.
     """
-    levels = levels_for(values.count(), shard_rows)
+    total = values.count()
+    levels = levels_for(total, shard_rows)
     most = max(1, levels_for(sample_rows, 4))
     depth = min(levels, most)
-    first = values.orderBy(F.xxhash64("fp"), "fp").limit(sample_rows).collect() if depth else []
+    first = first_by_hash(values, ["fp"], total, sample_rows).collect() if depth else []
     tree = plant(np.array([r["fp"] for r in first], np.int64).view(np.uint64), depth)
     schema = "fp long, shard long, home boolean"
 
@@ -242,24 +247,53 @@ def near_groups(documents: DataFrame, *, shingle: int = 3, reach: int = 2, shard
     than a shingle make one shingle. An empty table gives no rows; other
     columns are ignored.
     """
+    rows, rooted = rooted_rows(documents, shingle, reach, shard_rows)
+    low = rooted.groupBy("root").agg(F.min("smallest").alias("component_id"))
+    component = rooted.join(low, "root").select("fp", "component_id")
+    return rows.join(component, "fp").select(
+        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
+    )
+
+
+def rooted_rows(documents: DataFrame, shingle: int, reach: int, shard_rows: int) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, digest, fp) of every row, and (fp, smallest, root) of every fingerprint."""
     rows = store(fingerprints(documents, shingle), "fingerprints")
     nodes = store(rows.groupBy("fp").agg(F.min("doc_id").alias("smallest")), "nodes")
     root = components(near_links(nodes.select("fp"), reach, shard_rows=shard_rows))
     rooted = nodes.join(root.withColumnRenamed("node", "fp"), "fp", "left").select(
         "fp", "smallest", F.coalesce("root", "fp").alias("root")
     )
-    low = rooted.groupBy("root").agg(F.min("smallest").alias("component_id"))
-    component = rooted.join(low, "root").select("fp", "component_id")
-    return rows.join(component, "fp").select(
-        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
-    )
+    return rows, rooted
 
 
-def keep_one(documents: DataFrame, **settings) -> DataFrame:
-    """The rows of ``documents`` that are the smallest doc_id of their group; rows of one doc_id are one document.
+def keep_one(documents: DataFrame, *, shingle: int = 3, reach: int = 2, shard_rows: int = 2048) -> DataFrame:
+    """One row of each group of ``documents``, unchanged: that of the smallest doc_id.
 
-    A row without doc_id belongs to no group here and stays.
+    Rows are told by doc_id and text. If rows of the smallest doc_id differ in
+    their texts but not in their group, the one with the smallest digest stays;
+    of rows equal in both, one does. Rows of one doc_id in different groups are
+    decided on their own. A row without doc_id belongs to no group here and
+    stays. Null and empty texts are one group. An empty table gives no rows; all
+    columns are kept, whatever their names.
     """
-    groups = near_groups(documents, **settings)
-    gone = groups.where(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("_gone")).distinct()
-    return documents.join(gone, documents["doc_id"] == gone["_gone"], "left_anti")
+    rows, rooted = rooted_rows(documents, shingle, reach, shard_rows)
+    named = rows.where(F.col("doc_id").isNotNull()).join(rooted.select("fp", "root"), "fp")
+    members = named.groupBy("root", "doc_id", "digest").agg(F.count(F.lit(1)).alias("rows"))
+    best = members.groupBy("root").agg(F.min(F.struct("doc_id", "digest")).alias("best"))
+    judged = members.join(best, "root").withColumn("kept", F.struct("doc_id", "digest") == F.col("best"))
+    judged = store(
+        judged.where(~F.col("kept") | (F.col("rows") > 1)).select(F.col("doc_id").alias("_id"), F.col("digest").alias("_digest"), "kept"), "simhash-judged"
+    )
+
+    def own(known: DataFrame) -> Column:
+        return (documents["doc_id"] == known["_id"]) & (text_digest(documents["text"]) == known["_digest"])
+
+    left = documents.join(judged, own(judged), "left_anti")
+    repeated = judged.where("kept").drop("kept")
+    if repeated.isEmpty():
+        return left
+    # The rest travels as one struct, so that no column of it can clash.
+    key = [repeated["_id"].alias("_a"), repeated["_digest"].alias("_b")]
+    boxed = documents.join(repeated, own(repeated)).select(*key, F.struct(*[documents[f"`{c}`"] for c in documents.columns]).alias("_row"))
+    one = boxed.groupBy("_a", "_b").agg(F.first("_row").alias("_row"))
+    return left.unionAll(one.select("_row.*"))
