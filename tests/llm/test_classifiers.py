@@ -146,3 +146,53 @@ def test_odd_rows(spark, documents, odd_rows, clashing, run):
     assert len({tuple(r) for r in got if r["doc_id"] == 2}) == 1
     assert run(documents([]), labels).count() == 0
     assert run(documents(odd_rows), spark.createDataFrame([], LABELS)).count() == len(odd_rows)
+
+
+def test_quality_model_against_plain_code(spark):
+    """Weights where the loss over all compared pairs is least, the cut a quantile, the score from both."""
+    from rowtide.llm.quality_ranker import quantile_cut
+
+    rng = np.random.default_rng(3)
+    x = rng.standard_normal((40, 14))
+    label = (x[:, 0] - x[:, 5] + 0.8 * rng.standard_normal(40) > 0).astype(int)
+    weight = np.where(label == 1, 3.0, 1.0)
+    good, bad = np.flatnonzero(label == 1), np.flatnonzero(label == 0)
+    model = fit_pairs(x, label, at_cut=0.3, pairs=len(good) * len(bad), seed=1, l2=1e-3, weight=weight)
+    z = (x - x.mean(0)) / np.maximum(x.std(0), 0.02)
+    raw = [sum(z[i][k] * model.weights[k] for k in range(14)) for i in range(40)]
+    assert np.allclose(model.raw(x), raw)
+    # The pairs that were compared: every good document meets bad ones in turn.
+    count = len(good) * len(bad)
+    order = np.random.default_rng(1)
+    i = order.permuted(np.resize(good, count))
+    j = np.resize(order.permutation(bad), count)
+
+    def loss(w):
+        margins = (z[i] - z[j]) @ w
+        return 2 * np.logaddexp(0, -margins).sum() + 0.5 * 1e-3 * 2 * count * (w @ w)
+
+    least = loss(model.weights)
+    assert all(loss(model.weights + step) >= least - 1e-9 for k in range(14) for step in (1e-3 * np.eye(14)[k], -1e-3 * np.eye(14)[k]))
+    # The cut: as much weight below it as documents labelled 0 have.
+    below = sum(w for r, w in zip(raw, weight) if r < model.cut)
+    assert abs(below - weight[bad].sum()) <= 3.0
+    assert quantile_cut(np.array([4.0, 1.0, 3.0, 2.0]), np.ones(4), 0.5) == 2.35
+    score = 1 / (1 + np.exp(-(model.steep * (np.array(raw) - model.cut) + np.log(0.3 / 0.7))))
+    assert np.allclose(model.score(x), score)
+    assert ((score >= 0.3) == (np.array(raw) >= model.cut)).all()
+
+
+def test_keep_good_decides_by_text(spark, documents, odd_rows, clashing):
+    from rowtide.llm.quality_ranker import keep_good
+
+    docs, labels = tables(spark)
+    rows = clashing(documents(odd_rows))
+    learned = docs.select("doc_id", "text", "lang", "source", "n_chars")
+    kept = keep_good(rows, labels)
+    assert kept.columns == rows.columns
+    both = learned.unionByName(documents([(1_000_000 + i, r[1], r[2], r[3]) for i, r in enumerate(odd_rows)]))
+    score = {r.doc_id: r.predicted for r in quality_scores(both, labels).where("doc_id >= 1000000").collect()}
+    left = {r.doc_id for r in keep_good(both, labels).where("doc_id >= 1000000").collect()}
+    assert left == {i for i, p in score.items() if p}
+    assert keep_good(rows.limit(0), labels).count() == 0
+    assert keep_good(rows, labels.limit(0)).count() == len(odd_rows)
