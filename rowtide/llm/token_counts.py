@@ -18,6 +18,8 @@ from rowtide.session import work_dir
 
 # Words whose counts a task remembers.
 KNOWN_WORDS = 500_000
+# A content with more than one in so many rows is a hot one.
+HOT = 1000
 
 CACHE = T.StructType(
     [
@@ -140,7 +142,9 @@ def count_tokens(documents: DataFrame, tokenizer: str, *, cache: str | None = No
     are not encoded again; of the others each distinct one is encoded once and
     its count appended. Copies are reduced in each task before the texts are
     shuffled, so a text with very many copies is no hot key. The last join
-    carries digests only, and adaptive execution splits a hot one.
+    carries digests only. Contents with more than one row in ``HOT`` (so fewer
+    than that many of them) are not dealt by content there: their counts are
+    broadcast.
 
     Null counts as empty: 0 bytes, 0 tokens. Very long texts are encoded whole.
     Repeated rows give repeated rows, and a null doc_id stays null. Two runs
@@ -168,4 +172,9 @@ def count_tokens(documents: DataFrame, tokenizer: str, *, cache: str | None = No
     counts = (
         spark.read.schema(CACHE).parquet(folder).where(F.col("tokenizer") == version).groupBy("content").agg(F.max("n_tokens").alias("n_tokens"))
     )
-    return rows.join(counts, "content").select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))
+    counts = store(counts, "token-counts")
+    copies = rows.groupBy("content").agg(F.count(F.lit(1)).alias("copies"))
+    frequent = copies.where(F.col("copies") * HOT > F.lit(rows.count())).select("content")
+    hot = F.broadcast(store(counts.join(frequent, "content", "left_semi"), "token-hot"))
+    joined = rows.join(hot, "content").unionByName(rows.join(hot, "content", "left_anti").join(counts, "content"))
+    return joined.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))
