@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rowtide.llm.common import store, word_count
+from rowtide.llm.common import WORD_PATTERN, store, word_count
 
 
 @dataclass
@@ -97,8 +97,20 @@ def copies_of(text: Column) -> Column:
     return F.unhex(F.md5(words))
 
 
-def pack(documents: DataFrame, *, capacity: int = 2048, cluster: Column | None = None, same: Column | None = None, shard_rows: int = 2048) -> DataFrame:
-    """doc_id, piece, start, n_words, shard, bin, bin_id, position: where each piece of each document goes.
+def piece_texts(text: Column, last: Column, capacity: int) -> Column:
+    """The words of the pieces 0 to ``last`` of a text, each joined by one space."""
+    words = F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(f"({WORD_PATTERN})"), F.lit(1))
+
+    def cut(found: Column) -> Column:
+        begin = F.sequence(F.lit(0).cast("long"), last)
+        return F.transform(begin, lambda i: F.array_join(F.slice(found, (i * capacity + 1).cast("int"), F.lit(capacity)), " "))
+
+    # The words are found once, as the element of an array, however many pieces there are.
+    return F.transform(F.array(words), cut)[0]
+
+
+def pack(documents: DataFrame, *, capacity: int = 2048, cluster: Column | None = None, same: Column | None = None, shard_rows: int = 2048, with_words: bool = False) -> DataFrame:
+    """doc_id, row_id, piece, start, n_words, shard, bin, bin_id, position: where each piece of each document goes.
 
     Documents longer than ``capacity`` words are cut into pieces of that many,
     and a rest. A bin holds at most ``capacity`` words, at most one piece of a
@@ -111,7 +123,10 @@ def pack(documents: DataFrame, *, capacity: int = 2048, cluster: Column | None =
     with the smallest residual that fits and has no conflict; the search goes
     on from residual to residual until one is found, and a new bin is opened
     if there is none. ``start`` is the first word in the document, and
-    ``position`` the first in the bin.
+    ``position`` the first in the bin. ``row_id`` tells the rows apart, also
+    those of one doc_id. ``with_words`` adds ``words``, the words of the piece
+    joined by one space: the pieces of a bin by position are its text, the
+    pieces of a row by start that document's.
 
     Pieces are dealt to shards of about ``shard_rows``, by a hash of their
     place, and each shard is packed by one task: a source or a cluster that
@@ -125,17 +140,23 @@ def pack(documents: DataFrame, *, capacity: int = 2048, cluster: Column | None =
     """
     size = word_count(F.col("text"))
     group = copies_of(F.col("text")) if cluster is None else cluster
-    whole = documents.select("doc_id", F.col("source").cast("string").alias("source"), size.alias("size"), group.alias("cluster"), (F.lit(None).cast("string") if same is None else same).alias("same"))
+    whole = documents.select("doc_id", F.col("source").cast("string").alias("source"), size.alias("size"), group.alias("cluster"), (F.lit(None).cast("string") if same is None else same).alias("same"), *([F.col("text")] if with_words else []))
     # Read back from files, a row's place is fixed: a retry deals it to the same shard.
     whole = store(whole, "pack-rows").withColumn("place", F.monotonically_increasing_id())
     last = F.greatest(F.lit(0), F.floor((F.col("size") - 1) / capacity)).cast("long")
-    pieces = whole.withColumn("piece", F.explode(F.sequence(F.lit(0).cast("long"), last)))
+    slim = ["doc_id", "source", "size", "cluster", "same", "place"]
+    if with_words:
+        pieces = whole.select(*slim, F.posexplode(piece_texts(F.col("text"), last, capacity)).alias("nth", "words"))
+        pieces = pieces.withColumn("piece", F.col("nth").cast("long"))
+    else:
+        pieces = whole.withColumn("piece", F.explode(F.sequence(F.lit(0).cast("long"), last)))
     pieces = pieces.withColumn("start", F.col("piece") * capacity).withColumn("n_words", F.least(F.lit(capacity).cast("long"), F.col("size") - F.col("start")))
     total = whole.agg(F.sum(last + 1)).first()[0] or 0
     shards = max(1, math.ceil(total / shard_rows))
     dealt = pieces.where(F.col("n_words") > 0).withColumn("shard", F.pmod(F.xxhash64("place", "piece"), F.lit(shards)).cast("int"))
 
     same_given = same is not None
+    kept = ["doc_id", "row_id", "piece", "start", "n_words", "shard", *(["words"] if with_words else [])]
 
     def packed(rows: pa.Table) -> pa.Table:
         sizes, place, piece = (rows.column(c).to_pylist() for c in ("n_words", "place", "piece"))
@@ -143,18 +164,23 @@ def pack(documents: DataFrame, *, capacity: int = 2048, cluster: Column | None =
         where = best_fit(sizes, rows.column("source").to_pylist(), rows.column("cluster").to_pylist(), capacity, order, rows.column("same").to_pylist() if same_given else None)
         return pa.table(
             {
-                **{c: rows.column(c) for c in ("doc_id", "piece", "start", "n_words", "shard")},
+                **{c: rows.column(c) for c in kept},
                 "bin": pa.array([b for b, _ in where], pa.int32()),
                 "position": pa.array([p for _, p in where], pa.int64()),
             }
         )
 
     kind = documents.schema["doc_id"].dataType.simpleString()
-    schema = f"doc_id {kind}, piece long, start long, n_words long, shard int, bin int, position long"
-    columns = ["doc_id", "piece", "start", "n_words", "shard", "source", "cluster", "same", "place"]
-    full = dealt.select(*columns).groupBy("shard").applyInArrow(packed, schema)
+    schema = f"doc_id {kind}, row_id long, piece long, start long, n_words long, shard int, {'words string, ' if with_words else ''}bin int, position long"
+    full = dealt.withColumn("row_id", F.col("place")).select(*kept, "source", "cluster", "same", "place").groupBy("shard").applyInArrow(packed, schema)
     none = whole.where(F.col("size") == 0).select(
-        "doc_id", *[F.lit(0).cast("long").alias(c) for c in ("piece", "start", "n_words")], *[F.lit(None).cast(t).alias(c) for c, t in (("shard", "int"), ("bin", "int"), ("position", "long"))]
+        "doc_id",
+        F.col("place").alias("row_id"),
+        *[F.lit(0).cast("long").alias(c) for c in ("piece", "start", "n_words")],
+        F.lit(None).cast("int").alias("shard"),
+        *([F.lit("").alias("words")] if with_words else []),
+        F.lit(None).cast("int").alias("bin"),
+        F.lit(None).cast("long").alias("position"),
     )
     bin_id = F.concat_ws("-", F.col("shard").cast("string"), F.col("bin").cast("string"))
     return full.unionAll(none).withColumn("bin_id", F.when(F.col("bin").isNotNull(), bin_id))
