@@ -33,9 +33,14 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row per piece: the context window it goes to, and where in it. Copies of a document never share one."""
+    """One row per piece: its words, the context window it goes to, and where in it. Copies of a document never share one.
+
+    The pieces of a ``bin_id`` by ``position`` are the text of that window, and
+    those of a ``row_id``, which tells the copies of a document apart, by
+    ``start`` that copy: the rows are the corpus.
+    """
     # Mixing cuts a copy, which is no longer equal to the others: the id tells whose copy it is.
-    return pack(docs, capacity=2048, same=docs["doc_id"])
+    return pack(docs, capacity=2048, same=docs["doc_id"], with_words=True)
 
 
 STAGES = [
