@@ -50,8 +50,67 @@ def test_stages(spark):
     check_bins([{**r, "cluster": same[" ".join(left[r["doc_id"]].lower().split())] if r["piece"] == 0 else object()} for r in pieces], 2048)
 
 
-def test_run_is_registered(spark):
+def test_run_is_registered_and_its_rows_are_the_corpus(spark):
     got = contract.queries()["pipeline"](spark, SF)
-    assert {"doc_id", "bin_id", "n_words", "start"} <= set(got.columns)
-    assert got.where("n_words > 0 and bin_id is null").count() == 0
-    assert got.count() > 0
+    assert {"doc_id", "row_id", "bin_id", "n_words", "start", "words"} <= set(got.columns)
+    rows = got.collect()
+    assert rows and not [r for r in rows if r.n_words and r.bin_id is None]
+    windows, copies = defaultdict(list), defaultdict(list)
+    for r in rows:
+        assert len(r.words.encode().split()) == r.n_words
+        windows[r.bin_id].append(r)
+        copies[r.row_id].append(r)
+    for bin_id, pieces in windows.items():
+        text = [w for r in sorted(pieces, key=lambda r: r.position or 0) for w in r.words.encode().split()]
+        assert len(text) <= 2048
+        if bin_id is not None:
+            assert all(text[r.position : r.position + r.n_words] == r.words.encode().split() for r in pieces)
+            assert len({r.doc_id for r in pieces}) == len(pieces)
+    for pieces in copies.values():
+        assert len({r.doc_id for r in pieces}) == 1
+        whole = [w for r in sorted(pieces, key=lambda r: r.start) for w in r.words.encode().split()]
+        assert all(whole[r.start : r.start + r.n_words] == r.words.encode().split() for r in pieces)
+    # A document is there as often as it has rows that begin at its first word.
+    times = Counter(r.doc_id for r in rows if r.start == 0)
+    assert max(times.values()) == 2
+
+
+def through(spark, docs, sf_dir):
+    """What each stage gives for the rows that the one before gave."""
+    out = []
+    for name, stage in corpus_pipeline.STAGES:
+        docs = corpus_pipeline.store(stage(spark, docs, sf_dir), f"odd-{name}")
+        out.append(docs)
+    return out
+
+
+def test_odd_rows_through_all_stages(spark, documents, odd_rows, clashing):
+    """Nulls in every column, empty and very long texts, repeated rows, extra columns of any name."""
+    docs = clashing(documents(odd_rows))
+    quality, simhash, substrings, mixing, packed = through(spark, docs, SF)
+    assert all(stage.dtypes == docs.dtypes for stage in (quality, simhash, substrings, mixing))
+    ids = Counter(r[0] for r in odd_rows)
+    kept = Counter(r.doc_id for r in quality.collect())
+    assert kept and all(kept[i] == ids[i] for i in kept)
+    one = Counter(r.doc_id for r in simhash.collect())
+    assert all(n == 1 for i, n in one.items() if i is not None) and one[None] == kept[None]
+    assert Counter(r.doc_id for r in substrings.collect()) == one
+    texts = [r.text for r in mixing.collect()]
+    assert all(t and t.split() for t in texts)
+    assert sum(len(t.encode().split()) for t in texts) == sum(r.n_words for r in packed.collect())
+
+
+def test_no_rows_through_all_stages(spark, clashing):
+    docs = clashing(spark.read.parquet(f"{SF}/documents.parquet").limit(0))
+    for stage in through(spark, docs, SF):
+        assert stage.collect() == []
+
+
+def test_rows_without_any_text_or_label(spark, documents, tmp_path):
+    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    docs = documents([(k if k else None, t, None, None) for k, t in enumerate((None, "", " \n", None))])
+    stages = through(spark, docs, str(tmp_path))
+    assert stages[0].count() == 4
+    # One of the group of rows without words, and the one without an id.
+    assert sorted((r.doc_id for r in stages[1].collect()), key=str) == [1, None]
+    assert stages[3].count() == stages[4].count() == 0
