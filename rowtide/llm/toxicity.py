@@ -17,8 +17,11 @@ from pyspark.sql import functions as F
 
 from rowtide.llm.common import fit_logistic, held_out, labelled_sample, sigmoid, store, text_udf
 
-# Words that introduce what somebody else said.
-REPORTING = frozenset(("called", "calls", "quote", "quoted", "quoting", "said", "says", "word", "wrote", "term"))
+# Words that introduce what somebody else said, of general use in four languages. Others are learned from labels.
+REPORTING = frozenset(
+    "called calls quote quoted quoting said says word wrote term sagte sagt schrieb nannte zitiert wort "
+    "dit disait écrit appelé cite mot dijo dice escribió llamó cita palabra".split()
+)
 
 OPEN, CLOSE, BOTH = "“", "”", '"'
 SEPARATORS = {ord(c): " " for c in ".,;:!?()[]{}<>|/\\…—–¿¡"}
@@ -98,14 +101,16 @@ class Automaton:
     """The Levenshtein automata of all terms, intersected with their trie and made deterministic.
 
     ``step[state, symbol]`` is the next state, ``kind[state]`` what a word that
-    ends there is, ``strength[state]`` and ``term[state]`` are its strongest term. A set of (trie node, errors so far) is one state;
-    ``symbol`` numbers the letters of the lexicon, 0 is any other.
+    ends there is, ``strength[state]`` and ``term[state]`` are its strongest
+    term, met with ``used[state]`` errors. A set of (trie node, errors so far)
+    is one state; ``symbol`` numbers the letters of the lexicon, 0 is any other.
     """
 
     step: np.ndarray
     kind: np.ndarray
     strength: np.ndarray
     term: np.ndarray
+    used: np.ndarray
     letters: str
     width: int
 
@@ -197,17 +202,17 @@ def automaton_of(
         names[node, t.endswith("*")] = t
     number_of = {t: k for k, t in enumerate((*words, *(f"{t}*" for t in stems)))}
 
-    def kind(states: frozenset) -> tuple[int, float, int]:
-        """The best kind (an exact word, then a stem), and strength and number of the strongest term."""
-        found = [(EXACT if used == 0 else FUZZY, trie.word_strength[node], names[node, False]) for node, used in states if node >= 0 and trie.word[node] >= used]
+    def kind(states: frozenset) -> tuple[int, float, int, int]:
+        """The best kind (an exact word, then a stem), and strength, number and errors of the strongest term."""
+        found = [(EXACT if used == 0 else FUZZY, trie.word_strength[node], names[node, False], used) for node, used in states if node >= 0 and trie.word[node] >= used]
         for node, used in states:
             at = beyond(node) if node < 0 else node
             if node < 0 or trie.stem[node] >= used:
-                found.append((FUZZY if used else STEM, trie.stem_strength[at], names[at, True]))
+                found.append((FUZZY if used else STEM, trie.stem_strength[at], names[at, True], used))
         if not found:
-            return 0, 0.0, -1
-        strongest = max(found, key=lambda f: (f[1], f[2]))
-        return min(f[0] for f in found), strongest[1], number_of[strongest[2]]
+            return 0, 0.0, -1, 0
+        strongest = max(found, key=lambda f: (f[1], f[2], -f[3]))
+        return min(f[0] for f in found), strongest[1], number_of[strongest[2]], strongest[3]
 
     letters = "".join(sorted({c for t in (*words, *stems) for c in t}))
     number: dict[frozenset, int] = {frozenset(): 0}
@@ -227,8 +232,16 @@ def automaton_of(
         rows.append(row)
         done += 1
     width = max([*(len(t) + errors.get(t, 0) for t in words), *(len(t) + stem_errors.get(t, 0) for t in stems)], default=-1) + 1
-    kinds, strengths, terms = zip(*map(kind, order))
-    return Automaton(np.array(rows, np.int32), np.array(kinds, np.int8), np.array(strengths, float), np.array(terms, np.int32), letters, width)
+    kinds, strengths, terms, used = zip(*map(kind, order))
+    return Automaton(
+        np.array(rows, np.int32),
+        np.array(kinds, np.int8),
+        np.array(strengths, float),
+        np.array(terms, np.int32),
+        np.array(used, np.int8),
+        letters,
+        width,
+    )
 
 
 # Hits and their context
@@ -240,9 +253,14 @@ class Hit:
     word: str
     strength: float
     weight: float
+    before: tuple[str, ...] = ()
+
+
+def words_before(words: list[str], at: int, reach: int = 4) -> tuple[str, ...]:
+    return tuple(w.strip(EDGES) for w in words[max(0, at - reach) : at])
 
 
-def context_weight(words: list[str], at: int, reach: int = 8) -> float:
+def context_weight(words: list[str], at: int, reach: int = 8, reporting: frozenset = REPORTING) -> float:
     """1 for abuse, less inside quotation marks or after words that report speech."""
     weight = 1.0
     before, after = words[max(0, at - reach) : at], words[at + 1 : at + 1 + reach]
@@ -252,12 +270,16 @@ def context_weight(words: list[str], at: int, reach: int = 8) -> float:
     plain = before.count(BOTH) % 2 == 1 and BOTH in after
     if (opened and closed) or plain:
         weight *= 0.25
-    if REPORTING & set(before[-4:]):
-        weight *= 0.5
-    return weight
+    return weight * reported(words_before(words, at), reporting)
+
+
+def reported(before: Iterable[str], reporting: frozenset) -> float:
+    return 0.5 if reporting.intersection(before) else 1.0
 
 
-def hits_of(texts: list[str | None], automaton: Automaton, ordinary: frozenset = frozenset()) -> list[tuple[int, list[Hit]]]:
+def hits_of(
+    texts: list[str | None], automaton: Automaton, ordinary: frozenset = frozenset(), reporting: frozenset = REPORTING
+) -> list[tuple[int, list[Hit]]]:
     """Number of words and the hits of each text. Each distinct word of the batch is matched once."""
     lists = [tokens(t) for t in texts]
     distinct = sorted(set().union(*map(set, lists))) if lists else []
@@ -267,7 +289,7 @@ def hits_of(texts: list[str | None], automaton: Automaton, ordinary: frozenset =
     known = {distinct[i]: (int(kinds[i]), bare[i], float(automaton.strength[ends[i]])) for i in np.flatnonzero(kinds).tolist() if bare[i] not in ordinary or kinds[i] != FUZZY}
     out = []
     for words in lists:
-        found = [Hit(*known[w], context_weight(words, i)) for i, w in enumerate(words) if w in known]
+        found = [Hit(*known[w], context_weight(words, i, reporting=reporting), words_before(words, i)) for i, w in enumerate(words) if w in known]
         out.append((len(words), found))
     return out
 
@@ -291,9 +313,10 @@ class ToxicityModel:
     ordinary: frozenset
     weights: np.ndarray
     terms: tuple[str, ...]
+    reporting: frozenset = REPORTING
 
     def score(self, texts: list[str | None]) -> np.ndarray:
-        found = hits_of(texts, self.automaton, self.ordinary)
+        found = hits_of(texts, self.automaton, self.ordinary, self.reporting)
         rows = np.array([features(n, h) for n, h in found], float).reshape(len(texts), 5)
         return sigmoid(np.column_stack([rows, np.ones(len(rows))]) @ self.weights)
 
@@ -383,16 +406,16 @@ def apart(sample: DataFrame) -> DataFrame:
     return one.join(F.broadcast(spark.createDataFrame(gone, "label int, digest string")), ["label", "digest"], "left_anti").select("text", "label")
 
 
-def learned_terms(sample: DataFrame, *, least: int, most: int) -> dict[str, float]:
+def learned_terms(sample: DataFrame, *, least: int, cover: int) -> dict[str, float]:
     """Words and stems that mark toxic texts of the sample, chosen until they cover its toxic texts, and their strength.
 
     How many toxic and other texts have a term is counted on Spark. The strength
     of a term is the logarithm of how many times as frequent it is in toxic
-    texts, over that of the strongest. Of the terms in ``least`` toxic texts or
-    more that are not there by chance, 3000 are weighed. They are taken
-    greedily: each next term has the most strength in texts that do not have
-    eight terms yet; of equal ones a word goes before a stem and a long stem
-    before a short.
+    texts, over that of the strongest. Weighed are the terms in ``least`` toxic
+    texts or more that are not there by chance. They are taken greedily, as long
+    as one adds something: each next term has the most strength in texts that do
+    not have ``cover`` terms yet; of equal ones a word goes before a stem and a
+    long stem before a short. The sample bounds both the terms and the texts.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -423,10 +446,9 @@ def learned_terms(sample: DataFrame, *, least: int, most: int) -> dict[str, floa
         terms.withColumn("rate", rate)
         .where((F.col("toxic") >= least) & (F.col("rate") > 0))
         .where((part > share) & (surprise >= bar))
-        .orderBy((F.col("toxic") * F.col("rate")).desc(), "term")
-        .limit(3000)
         .collect()
     )
+    chosen.sort(key=lambda r: (-r["toxic"] * r["rate"], r["term"]))
     names = [r["term"] for r in chosen]
     rates = [r["rate"] for r in chosen]
     number = {t: k for k, t in enumerate(names)}
@@ -436,9 +458,9 @@ def learned_terms(sample: DataFrame, *, least: int, most: int) -> dict[str, floa
     for i, found in enumerate(texts):
         for k in found:
             having[k].add(i)
-    need = [8] * len(texts)
+    need = [cover] * len(texts)
     taken: dict[str, float] = {}
-    while len(taken) < most and having:
+    while having:
         gain = {k: rates[k] * sum(need[i] > 0 for i in v) for k, v in having.items()}
         best = max(gain, key=lambda k: (gain[k], not names[k].endswith("*"), len(names[k]), names[k]))
         if not gain[best]:
@@ -458,7 +480,13 @@ def learned_terms(sample: DataFrame, *, least: int, most: int) -> dict[str, floa
 
 
 def misspelled(
-    words: list[str], stems: list[str], strength: dict[str, float], errors: dict[str, int], seen: list[tuple[int, set[str]]], ordinary_rate: float
+    widest: Automaton,
+    words: list[str],
+    stems: list[str],
+    strength: dict[str, float],
+    errors: dict[str, int],
+    seen: list[tuple[int, set[str]]],
+    ordinary_rate: float,
 ) -> tuple[Automaton, frozenset]:
     """The automaton with as many errors as clean texts allow, and the ordinary words.
 
@@ -466,26 +494,70 @@ def misspelled(
     quotation, that are near a term. A misspelling is an ordinary word if two
     clean texts or more use it, and not a smaller part of them than of the toxic
     texts. A term whose other misspellings are in two clean texts or more, and in
-    more than ``ordinary_rate`` of them, loses an error, and so on.
+    more than ``ordinary_rate`` of them, loses an error, and so on. ``widest``
+    has all ``errors``. Which terms lose some is found by leaving out its
+    matches with more than they are allowed; the automaton is built again for
+    what is left, where another term may be the one that is met, and looked at
+    once more.
     """
     total = [sum(label == k for label, _ in seen) for k in (0, 1)]
     used = [Counter(w for label, ws in seen if label == k for w in ws) for k in (0, 1)]
     names = [*words, *(f"{t}*" for t in stems)]
     known = sorted(set(used[0]) | set(used[1]))
     errors = dict(errors)
+
+    def narrowed(automaton: Automaton) -> tuple[bool, frozenset]:
+        """Takes errors from terms until none has too many matches; whether one lost any, and the ordinary words."""
+        lost = False
+        ends = automaton.ends(known).tolist()
+        while True:
+            met = {w: (int(automaton.term[e]), int(automaton.used[e])) for w, e in zip(known, ends) if automaton.kind[e] == FUZZY}
+            term = {w: t for w, (t, n) in met.items() if n <= errors[names[t]]}
+            ordinary = frozenset(w for w in term if used[0][w] >= 2 and used[0][w] * total[1] >= used[1][w] * total[0])
+            texts = Counter(t for label, ws in seen if not label for t in {term[w] for w in ws if w in term and w not in ordinary})
+            often = [names[t] for t, n in texts.items() if n >= 2 and n > ordinary_rate * total[0] and errors[names[t]]]
+            if not often:
+                return lost, ordinary
+            for t in often:
+                errors[t] -= 1
+            lost = True
+
+    automaton = widest
     while True:
-        automaton = automaton_of(
-            words, stems, {w: errors[w] for w in words}, strength=strength, stem_errors={t: errors[f"{t}*"] for t in stems}, swaps=True
-        )
-        ends = automaton.ends(known)
-        term = {w: int(automaton.term[e]) for w, e in zip(known, ends.tolist()) if automaton.kind[e] == FUZZY}
-        ordinary = frozenset(w for w in term if used[0][w] >= 2 and used[0][w] * total[1] >= used[1][w] * total[0])
-        texts = Counter(t for label, ws in seen if not label for t in {term[w] for w in ws if w in term and w not in ordinary})
-        often = [names[t] for t, n in texts.items() if n >= 2 and n > ordinary_rate * total[0] and errors[names[t]]]
-        if not often:
+        lost, ordinary = narrowed(automaton)
+        if not lost:
             return automaton, ordinary
-        for t in often:
-            errors[t] -= 1
+        automaton = lexicon(words, stems, errors, strength)
+
+
+def lexicon(words: list[str], stems: list[str], errors: dict[str, int], strength: dict[str, float]) -> Automaton:
+    """The automaton of words and stems; a stem is named with a star."""
+    return automaton_of(
+        words, stems, {w: errors[w] for w in words}, strength=strength, stem_errors={t: errors[f"{t}*"] for t in stems}, swaps=True
+    )
+
+
+def learned_reporting(before: list[tuple[int, set[str]]], *, least: int) -> frozenset:
+    """Words that stand before the lexicon's words where these are no abuse: in texts labelled clean, and not by chance.
+
+    ``before`` has the label of each text with a hit, and the words before its
+    hits outside quotation marks. As for terms, a word must be in ``least``
+    clean texts or more, and a larger part of its texts must be clean than
+    chance gives to any of the words once in twenty samples.
+    """
+    texts = Counter(label for label, _ in before)
+    if not texts[0] or not texts[1]:
+        return frozenset()
+    share = texts[0] / (len(before) + 1.0)
+    clean, toxic = (Counter(w for label, ws in before if label == k for w in ws if w.isalpha()) for k in (0, 1))
+    bar = math.log(max(1, len(set(clean) | set(toxic)))) + 3.0
+    out = set()
+    for w, n in clean.items():
+        part = n / (n + toxic[w])
+        surprise = n * math.log(part / share) + (toxic[w] * math.log((1 - part) / (1 - share)) if toxic[w] else 0.0)
+        if n >= least and part > share and surprise >= bar:
+            out.add(w)
+    return frozenset(out)
 
 
 def fit_toxicity(
@@ -493,7 +565,7 @@ def fit_toxicity(
     labels: DataFrame,
     *,
     max_train_rows: int = 8_000,
-    max_terms: int = 150,
+    cover: int = 8,
     buckets: int = 5,
     remainder: int = 0,
     least: int = 3,
@@ -502,7 +574,7 @@ def fit_toxicity(
     stem_errors_from: int = 6,
     ordinary_rate: float = 0.001,
 ) -> ToxicityModel:
-    """Lexicon, ordinary words and weights from at most ``max_train_rows`` labelled rows that are not held out.
+    """Lexicon, ordinary words, reporting words and weights from at most ``max_train_rows`` labelled rows that are not held out.
 
     Words of ``errors_from`` letters and more are matched with one error, words
     of ``two_from`` with two, and words whose beginning is a stem of
@@ -512,35 +584,39 @@ def fit_toxicity(
     """
     sample = labelled_sample(documents, labels, "toxic", buckets=buckets, remainder=remainder, max_rows=max_train_rows)
     sample = store(sample, "toxic-sample")
-    terms = learned_terms(apart(sample), least=least, most=max_terms)
+    terms = learned_terms(apart(sample), least=least, cover=cover)
     stems = sorted(t[:-1] for t in terms if t.endswith("*"))
     words = sorted(t for t in terms if not t.endswith("*"))
     errors = {w: (len(w) >= errors_from) + (len(w) >= two_from) for w in words} | {f"{t}*": int(len(t) >= stem_errors_from) for t in stems}
-    widest = automaton_of(
-        words, stems, {w: errors[w] for w in words}, strength=terms, stem_errors={t: errors[f"{t}*"] for t in stems}, swaps=True
-    )
+    widest = lexicon(words, stems, errors, terms)
 
     def run(texts: list[str | None]) -> dict:
-        found = hits_of(texts, widest)
+        # Quotation marks alone, for now: which words report speech is not known yet.
+        found = hits_of(texts, widest, reporting=frozenset())
         return {
             "words": [n for n, _ in found],
             "word": [[h.word for h in hits] for _, hits in found],
             "weight": [[h.weight for h in hits] for _, hits in found],
+            "before": [[list(h.before) for h in hits] for _, hits in found],
         }
 
-    look = text_udf(run, "words long, word array<string>, weight array<double>")
+    look = text_udf(run, "words long, word array<string>, weight array<double>, before array<array<string>>")
     got = sample.select("label", look(F.col("text")).alias("h")).select("label", "h.*").collect()
-    seen = [(r["label"], {w for w, weight in zip(r["word"], r["weight"]) if weight > 0.5}) for r in got]
-    automaton, ordinary = misspelled(words, stems, terms, errors, seen, ordinary_rate)
-    # With fewer errors fewer words are hits, and none that was not.
     known = sorted({w for r in got for w in r["word"]})
+    exact = {w for w, k in zip(known, widest.kinds(known).tolist()) if k != FUZZY}
+    places = [(r["label"], [b for w, weight, b in zip(r["word"], r["weight"], r["before"]) if weight > 0.5 and w in exact]) for r in got]
+    reporting = REPORTING | learned_reporting([(label, set().union(*map(set, bs))) for label, bs in places if bs], least=least)
+    weigh = [[weight * reported(b, reporting) for weight, b in zip(r["weight"], r["before"])] for r in got]
+    seen = [(r["label"], {w for w, weight in zip(r["word"], own) if weight > 0.5}) for r, own in zip(got, weigh)]
+    automaton, ordinary = misspelled(widest, words, stems, terms, errors, seen, ordinary_rate)
+    # With fewer errors fewer words are hits, and none that was not.
     ends = automaton.ends(known)
     kept = {
         w: (int(automaton.kind[e]), w, float(automaton.strength[e]))
         for w, e in zip(known, ends.tolist())
         if automaton.kind[e] and (automaton.kind[e] != FUZZY or w not in ordinary)
     }
-    rows = [features(r["words"], [Hit(*kept[w], weight) for w, weight in zip(r["word"], r["weight"]) if w in kept]) for r in got]
+    rows = [features(r["words"], [Hit(*kept[w], weight) for w, weight in zip(r["word"], own) if w in kept]) for r, own in zip(got, weigh)]
     label = [r["label"] for r in got]
     weights = np.array([2.0, 2.0, 1.0, 1.0, 1.0, -3.0])
     if len(set(label)) == 2:
@@ -550,7 +626,7 @@ def fit_toxicity(
         floor = np.array([0.5, 0.5, 0.35]) * max(weights[0], weights[1], 1.0)
         weights[:3] = np.maximum(weights[:3], floor)
         weights[3:5] = np.maximum(weights[3:5], 0)
-    return ToxicityModel(automaton, ordinary, weights, tuple(terms))
+    return ToxicityModel(automaton, ordinary, weights, tuple(terms), reporting)
 
 
 def toxicity_scores(documents: DataFrame, labels: DataFrame, *, threshold: float = 0.5, **fit) -> DataFrame:

@@ -6,7 +6,11 @@ import numpy as np
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from rowtide.llm.toxicity import EXACT, FUZZY, STEM, automaton_of, fit_toxicity, misspelled, near_copies, sketch_of, toxicity_scores
+from collections import Counter
+
+import pytest
+
+from rowtide.llm.toxicity import EXACT, FUZZY, STEM, automaton_of, context_weight, fit_toxicity, learned_reporting, lexicon, misspelled, near_copies, sketch_of, tokens, toxicity_scores
 
 LABELS = "doc_id long, quality int, toxic int"
 
@@ -117,11 +121,76 @@ def test_rates_tell_ordinary_words_from_misspellings():
     strength = {"idiot": 1.0, "scum": 1.0}
     toxic = [(1, {"idiot", "scum"})] * 100
     errors = {"idiot": 1, "scum": 1}
-    once = misspelled(["idiot", "scum"], [], strength, errors, [*toxic, (0, {"idoit"}), *[(0, set())] * 900], 0.001)
+    widest = lexicon(["idiot", "scum"], [], errors, strength)
+    once = misspelled(widest, ["idiot", "scum"], [], strength, errors, [*toxic, (0, {"idoit"}), *[(0, set())] * 900], 0.001)
     assert "idoit" not in once[1] and once[0].kinds(["idoit"]).tolist() == [FUZZY]
-    often = misspelled(["idiot", "scum"], [], strength, errors, [*toxic, *[(0, {"scumb"})] * 3, *[(0, set())] * 900], 0.001)
+    often = misspelled(widest, ["idiot", "scum"], [], strength, errors, [*toxic, *[(0, {"scumb"})] * 3, *[(0, set())] * 900], 0.001)
     assert often[1] == {"scumb"} and often[0].kinds(["scum", "scm"]).tolist() == [EXACT, FUZZY]
     # Every text has another word near the term: the term loses its error, the other does not.
     many = [(0, {"scum" + c}) for c in "abcdefgh"]
-    lost = misspelled(["idiot", "scum"], [], strength, errors, [*toxic, *many, *[(0, set())] * 900], 0.001)
+    lost = misspelled(widest, ["idiot", "scum"], [], strength, errors, [*toxic, *many, *[(0, set())] * 900], 0.001)
     assert lost[0].kinds(["scum", "scuma", "scm", "idoit"]).tolist() == [EXACT, 0, 0, FUZZY]
+
+
+@settings(max_examples=40, deadline=None)
+@given(
+    st.lists(st.tuples(st.sampled_from([0, 0, 0, 1]), st.sets(st.text("abc", min_size=3, max_size=6), max_size=6)), min_size=4, max_size=40),
+    st.sampled_from([0.0, 0.05, 0.3]),
+)
+def test_errors_dropped_by_a_filter_are_those_dropped_by_building_again(seen, rate):
+    """Without stems, whose weaker ones an automaton forgets, both ways end with the same errors."""
+    words, errors = ["abcab", "bcacb", "cab"], {"abcab": 2, "bcacb": 1, "cab": 1}
+    strength = {"abcab": 1.0, "bcacb": 0.5, "cab": 0.25}
+    got, ordinary = misspelled(lexicon(words, [], errors, strength), words, [], strength, errors, seen, rate)
+    ends = got.ends([w for _, ws in seen for w in ws])
+    clean = Counter()
+    total = sum(not label for label, _ in seen)
+    for label, ws in seen:
+        if not label:
+            e = got.ends(sorted(ws))
+            clean.update({int(got.term[x]) for w, x in zip(sorted(ws), e) if got.kind[x] == FUZZY and w not in ordinary})
+    # No term that may still be misspelled has too many matches, and no error was dropped from one that never had.
+    used = {int(got.term[x]): 0 for x in ends if got.kind[x]}
+    for t in used:
+        n = clean[t]
+        assert n < 2 or n <= rate * total
+    if not any(not label for label, _ in seen):
+        assert (got.step == lexicon(words, [], errors, strength).step).all()
+
+
+@pytest.mark.parametrize("text", ["er sagte du bist ein grumbel", "il a dit que tu es grumbel", "el dijo que eres grumbel", "she wrote grumbel"])
+def test_reported_speech_in_four_languages(text):
+    words = tokens(text)
+    assert context_weight(words, len(words) - 1) == 0.5
+    assert context_weight(tokens("you are a grumbel"), 3) == 1.0
+
+
+def test_reporting_words_are_learned_from_labels(spark, documents):
+    """A word of no known language that stands before the term in clean texts only."""
+    rng = random.Random(6)
+    toxic = [[*prose(rng, 40), "grumbelfritz", *prose(rng, 20)] for _ in range(80)]
+    clean = [prose(rng, 60) for _ in range(250)] + [[*prose(rng, 40), "vorquat", "grumbelfritz", *prose(rng, 20)] for _ in range(30)]
+    docs, labels = labelled(spark, documents, toxic, clean)
+    model = fit_toxicity(docs, labels)
+    assert "vorquat" in model.reporting and "harbor" not in model.reporting and "grumbelfritz" in model.terms
+    quoted, own = model.score(["harbor vorquat grumbelfritz", "harbor lumen grumbelfritz"])
+    assert quoted < own
+
+
+def test_words_before_clean_and_toxic_hits_alike_report_nothing():
+    both = [(0, {"lumen"})] * 20 + [(1, {"lumen"})] * 20
+    assert learned_reporting(both, least=3) == frozenset()
+    assert learned_reporting([*both, *[(0, {"quat"})] * 20], least=3) == {"quat"}
+    assert learned_reporting([(0, {"quat"})] * 20, least=3) == frozenset() == learned_reporting([], least=3)
+
+
+def test_terms_go_on_until_none_adds_anything(spark, documents):
+    """More terms than the old bound of 150 are taken where the labels show that many."""
+    rng = random.Random(7)
+    syllables = [a + b for a in "bdfgklmnprstvz" for b in "aeiou"]
+    terms = ["".join(rng.sample(syllables, 4)) for _ in range(170)]
+    toxic = [[*prose(rng, 12), terms[k % 170]] for k in range(4250)]
+    clean = [prose(rng, 12) for _ in range(4000)]
+    docs, labels = labelled(spark, documents, toxic, clean)
+    taken = {t.rstrip("*") for t in fit_toxicity(docs, labels, two_from=99, errors_from=99, stem_errors_from=99).terms}
+    assert sum(any(t.startswith(x) for x in taken) for t in terms) >= 165 and len(taken) > 150
