@@ -62,6 +62,19 @@ class Grid:
     levels: int
     tables: int
 
+    def cells(self, unit: np.ndarray, seed: int, tables: int, distance: float) -> np.ndarray:
+        """The cell of each vector in each of the first ``tables`` tables, one column each."""
+        cells = np.zeros((len(unit), tables), np.uint64)
+        if not self.levels or not tables:
+            return cells.view(np.int64)
+        dims = unit.shape[1]
+        turn = directions(seed + 1, dims, self.levels * self.tables)[:, : self.levels * tables]
+        shift = np.random.default_rng([seed + 2, dims]).random(self.levels * self.tables)[: self.levels * tables]
+        steps = np.floor(projected(unit, turn) / (STEP * distance) + shift).astype(np.int64).view(np.uint64)
+        for k in range(self.levels):
+            cells = cells * np.uint64(0x9E3779B97F4A7C15) + steps[:, k :: self.levels]
+        return (cells ^ (cells >> np.uint64(29))).view(np.int64)
+
 
 # A cell's step in distances of a pair at the threshold, and the chances that such a pair,
 # or a pair of unrelated unit vectors, shares it on one projection.
@@ -91,6 +104,14 @@ def directions(seed: int, dims: int, count: int) -> np.ndarray:
     return np.random.default_rng([seed, dims]).standard_normal((dims, count))
 
 
+def projected(unit: np.ndarray, turn: np.ndarray) -> np.ndarray:
+    """``unit @ turn``, summed in the same order for each vector, so that it is the same number whatever others come with it."""
+    out = np.zeros((len(unit), turn.shape[1]))
+    for k in range(unit.shape[1]):
+        out += unit[:, k, None] * turn[k]
+    return out
+
+
 def unit_rows(vectors: pa.Array | pa.ChunkedArray, dims: int) -> np.ndarray:
     flat = vectors.combine_chunks() if isinstance(vectors, pa.ChunkedArray) else vectors
     rows = np.asarray(flat.flatten(), float).reshape(-1, dims)
@@ -103,29 +124,41 @@ def valid(vector: Column) -> Column:
     return F.coalesce((F.size(vector) > 0) & ~odd & F.exists(vector, lambda x: x != 0), F.lit(False))
 
 
+class SortedLines:
+    """The stored points on every projection in order, and the rank of each point there."""
+
+    def __init__(self, stored: np.ndarray):
+        points, projections = stored.shape
+        order = np.argsort(stored, axis=0, kind="stable")
+        self.line = np.ascontiguousarray(np.take_along_axis(stored, order, axis=0).T)
+        self.rank = np.empty((projections, points), np.uint16 if points < 1 << 16 else np.uint32)
+        for k in range(projections):
+            self.rank[k, order[:, k]] = np.arange(points)
+
+    def collisions(self, queries: np.ndarray, window: float) -> np.ndarray:
+        """On how many projections each stored point lies in the window centred on each query.
+
+        A window is one run of the sorted points, so a point is in it if its rank
+        is less than the run's length beyond the run's first: one unsigned
+        comparison, in which smaller ranks wrap around.
+        """
+        shape = len(queries), self.rank.shape[1]
+        count = np.zeros(shape, np.uint8)
+        beyond, inside = np.empty(shape, self.rank.dtype), np.empty(shape, bool)
+        for k, (line, rank) in enumerate(zip(self.line, self.rank)):
+            first = np.searchsorted(line, queries[:, k] - window, "left").astype(rank.dtype)
+            end = np.searchsorted(line, queries[:, k] + window, "right").astype(rank.dtype)
+            np.subtract(rank[None, :], first[:, None], out=beyond)
+            np.less(beyond, (end - first)[:, None], out=inside)
+            np.add(count, inside.view(np.uint8), out=count)
+        return count
+
+
 def collision_counts(queries: np.ndarray, stored: np.ndarray, window: float) -> np.ndarray:
-    """On how many projections each stored point lies in the window centred on each query.
+    return SortedLines(stored).collisions(queries, window)
 
-    Every projection is sorted; the window of a query is one run of the sorted
-    points. Runs are marked at their ends, summed along the order, and brought
-    back to the order of the points.
-    """
-    count = np.zeros((len(queries), len(stored)), np.int16)
-    each = np.arange(len(queries))
-    for k in range(stored.shape[1]):
-        order = np.argsort(stored[:, k], kind="stable")
-        line = stored[order, k]
-        ends = np.zeros((len(queries), len(stored) + 1), np.int8)
-        ends[each, np.searchsorted(line, queries[:, k] - window, "left")] += 1
-        ends[each, np.searchsorted(line, queries[:, k] + window, "right")] -= 1
-        inside = np.cumsum(ends, axis=1, dtype=np.int8)
-        place = np.empty(len(stored), np.int64)
-        place[order] = np.arange(len(stored))
-        count += inside[:, place]
-    return count
-
-
-def shard_links(group: pa.Table, rule: Collisions, seed: int, part: int = 256) -> pa.Table:
+
+def shard_links(group: pa.Table, rule: Collisions, grid: Grid, seed: int, part: int = 32) -> pa.Table:
     """(class_id, links, root) of the classes of one shard that have a link.
 
     Home vectors are stored and ask, visitors only ask. A pair is verified in
@@ -140,15 +173,17 @@ def shard_links(group: pa.Table, rule: Collisions, seed: int, part: int = 256) -
     ids = group.column("class_id").to_numpy()
     weight = group.column("n").to_numpy()
     table = group.column("table")[0].as_py()
-    cells = np.array(group.column("cells").to_pylist(), np.int64).reshape(len(ids), -1)
+    # The tables before this one: a pair that shares a cell in one of them was counted there.
+    cells = grid.cells(unit, seed, table, rule.distance)
     homes = int(group.column("home").to_numpy().sum())
     line = (unit @ directions(seed, dims, rule.projections)).astype(np.float32)
+    stored = SortedLines(line[:homes])
     links = np.zeros(len(ids), np.int64)
     label = np.arange(len(ids))
     # Home vectors ask each other in the first chunk only.
     for a in range(homes if group.column("chunk")[0].as_py() else 0, len(ids), part):
         asking = np.arange(a, min(a + part, len(ids)))
-        enough = collision_counts(line[asking], line[:homes], rule.window) >= rule.least
+        enough = stored.collisions(line[asking], rule.window) >= rule.least
         # Of two home vectors the earlier one asks.
         enough &= np.arange(homes)[None, :] > np.where(asking < homes, asking, -1)[:, None]
         i, j = np.nonzero(enough)
@@ -156,7 +191,7 @@ def shard_links(group: pa.Table, rule: Collisions, seed: int, part: int = 256) -
             x, y = asking[i[b : b + (1 << 17)]], j[b : b + (1 << 17)]
             near = np.einsum("ij,ij->i", unit[x], unit[y]) >= rule.threshold
             if table:
-                near &= ~(cells[x, :table] == cells[y, :table]).any(1)
+                near &= ~(cells[x] == cells[y]).any(1)
             x, y = x[near], y[near]
             np.add.at(links, x, weight[y])
             np.add.at(links, y, weight[x])
@@ -242,52 +277,33 @@ def class_links(classes: DataFrame, rule: Collisions, cell_rows: int, block_rows
     sized = classes.join(named, (F.col("label") == F.col("l")) & (F.col("dims") == F.col("d"))).select(
         "class_id", "n", "label", "dims", "size", "vector"
     )
-    step = STEP * rule.distance
     label = classes.schema["label"].dataType.simpleString()
     vector = classes.schema["vector"].dataType.simpleString()
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Each class once per table, with its cells in all tables and its place on the sorted projection."""
+        """The cells of each class in all tables, and its place on the sorted projection."""
         for batch in batches:
             size, dims = batch.column("size").to_numpy(), batch.column("dims").to_numpy()
-            out: dict[str, list] = {"row": [], "table": [], "cells": [], "cell": [], "line": []}
+            at_cells: list = [None] * len(size)
+            at_line = np.zeros(len(size))
             for rows, width in sorted(set(zip(size.tolist(), dims.tolist()))):
                 at = np.flatnonzero((size == rows) & (dims == width))
                 grid = grid_for(rows, cell_rows, rule.distance, rule.recall)
                 unit = unit_rows(batch.column("vector").take(pa.array(at)), width)
-                cells = np.zeros((len(at), grid.tables), np.uint64)
-                if grid.levels:
-                    turn = directions(seed + 1, width, grid.levels * grid.tables)
-                    shift = np.random.default_rng([seed + 2, width]).random(grid.levels * grid.tables)
-                    steps = np.floor(unit @ turn / step + shift).astype(np.int64).view(np.uint64)
-                    for t in range(grid.tables):
-                        for k in range(grid.levels):
-                            cells[:, t] = cells[:, t] * np.uint64(0x9E3779B97F4A7C15) + steps[:, t * grid.levels + k]
-                        cells[:, t] ^= cells[:, t] >> np.uint64(29)
-                line = unit @ directions(seed + 3, width, 1)[:, 0]
-                for t in range(grid.tables):
-                    out["row"].append(at)
-                    out["table"].append(np.full(len(at), t, np.int32))
-                    out["cells"] += cells.view(np.int64).tolist()
-                    out["cell"].append(cells[:, t].view(np.int64))
-                    out["line"].append(line)
-            if not out["row"]:
-                continue
-            source = batch.take(pa.array(np.concatenate(out["row"])))
+                for place, row in zip(at.tolist(), grid.cells(unit, seed, grid.tables, rule.distance).tolist()):
+                    at_cells[place] = row
+                at_line[at] = projected(unit, directions(seed + 3, width, 1))[:, 0]
+            columns = [batch.column(c) for c in own]
             yield pa.RecordBatch.from_arrays(
-                [
-                    *(source.column(c) for c in ("class_id", "n", "label", "dims", "vector")),
-                    pa.array(np.concatenate(out["table"])),
-                    pa.array(out["cells"], pa.list_(pa.int64())),
-                    pa.array(np.concatenate(out["cell"])),
-                    pa.array(np.concatenate(out["line"])),
-                ],
-                names=["class_id", "n", "label", "dims", "vector", "table", "cells", "cell", "line"],
+                [*columns, pa.array(at_cells, pa.list_(pa.int64())), pa.array(at_line)], names=[*own, "cells", "line"]
             )
 
-    schema = f"class_id long, n long, label {label}, dims int, vector {vector}, `table` int, cells array<long>, cell long, line double"
+    own = ["class_id", "n", "label", "dims", "size", "vector"]
+    schema = f"class_id long, n long, label {label}, dims int, size long, vector {vector}, cells array<long>, line double"
+    # A vector goes to the files once; its copies for the tables are made on the way to the shards.
+    placed_once = store(sized.select(*own).mapInArrow(deal, schema), "vector-cells")
+    dealt = placed_once.select(*own, "line", F.posexplode("cells").alias("table", "cell"))
     key = ["label", "dims", "table", "cell"]
-    dealt = store(sized.mapInArrow(deal, schema), "vector-cells")
     # Block borders of cells with more than one block: quantiles of the sorted projection, so many that a block has about block_rows.
     counts = dealt.groupBy(*key).agg(F.count(F.lit(1)).alias("rows")).where(F.col("rows") > block_rows)
     several = store(counts.select(*[F.col(c).alias(f"_{c}") for c in key], F.least(F.lit(MARKS), F.ceil(F.col("rows") / block_rows)).alias("blocks")), "vector-blocks")
@@ -316,9 +332,10 @@ def class_links(classes: DataFrame, rule: Collisions, cell_rows: int, block_rows
     chunk = F.floor((F.col("block") - F.col("first")) / CHUNK_BLOCKS).cast("int")
     chunks = F.when(F.col("home"), F.sequence(F.lit(0), F.floor(F.col("block") / CHUNK_BLOCKS).cast("int"))).otherwise(F.array(chunk))
     shards = shards.withColumn("chunk", F.explode(chunks))
-    shards = shards.select("class_id", "n", "vector", "table", "cells", "home", *[c for c in key if c != "table"], "block", "chunk")
+    shards = shards.select("class_id", "n", "vector", "size", "home", *key, "block", "chunk")
 
     def link(group: pa.Table) -> pa.Table:
-        return shard_links(group, rule, seed)
+        grid = grid_for(group.column("size")[0].as_py(), cell_rows, rule.distance, rule.recall)
+        return shard_links(group, rule, grid, seed)
 
     return shards.groupBy(*key, "block", "chunk").applyInArrow(link, "class_id long, links long, root long")
