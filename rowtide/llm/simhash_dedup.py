@@ -12,7 +12,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rowtide.llm.common import first_by_hash, merge_labels, store
+from rowtide.llm.common import first_by_hash, merge_labels, spread_join, store
 from rowtide.llm.graph import components
 
 
@@ -277,10 +277,11 @@ def keep_one(documents: DataFrame, *, shingle: int = 3, reach: int = 2, shard_ro
     columns are kept, whatever their names.
     """
     rows, rooted = rooted_rows(documents, shingle, reach, shard_rows)
-    named = rows.where(F.col("doc_id").isNotNull()).join(rooted.select("fp", "root"), "fp")
+    # A group may hold a large part of all rows: both joins deal its rows to several tasks.
+    named = spread_join(rows.where(F.col("doc_id").isNotNull()), rooted.select("fp", "root"), "fp")
     members = named.groupBy("root", "doc_id", "digest").agg(F.count(F.lit(1)).alias("rows"))
     best = members.groupBy("root").agg(F.min(F.struct("doc_id", "digest")).alias("best"))
-    judged = members.join(best, "root").withColumn("kept", F.struct("doc_id", "digest") == F.col("best"))
+    judged = spread_join(members, best, "root").withColumn("kept", F.struct("doc_id", "digest") == F.col("best"))
     judged = store(
         judged.where(~F.col("kept") | (F.col("rows") > 1)).select(F.col("doc_id").alias("_id"), F.col("digest").alias("_digest"), "kept"), "simhash-judged"
     )
