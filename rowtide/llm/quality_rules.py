@@ -21,10 +21,11 @@ def repeated_in_windows(ids: np.ndarray, size: int = 3) -> int:
     n = len(ids) - size + 1
     if n < 2:
         return 0
-    # Ids are below 2**21 for any text that fits in a string; three make one exact number.
     base = int(ids.max()) + 1
-    key = np.zeros(n, np.int64)
-    for k in range(size):
+    key = ids[:n].astype(np.int64)
+    for k in range(1, size):
+        # Numbered anew, the windows so far are fewer than the words: the next product is exact for any text.
+        key = np.unique(key, return_inverse=True)[1] if base ** (k + 1) >= 1 << 62 else key
         key = key * base + ids[k : k + n]
     _, inverse, count = np.unique(key, return_inverse=True, return_counts=True)
     twice = count[inverse] > 1
@@ -61,7 +62,7 @@ def base_counts(text: str | None, words: list[bytes]) -> tuple[int, int, int, in
 
 
 def grams(words: list[bytes], bits: int) -> tuple[np.ndarray, np.ndarray]:
-    """Feature numbers and weights of a text: hashed words, word pairs and character 2- to 4-grams.
+    """Feature numbers and weights of a text: hashed words, word pairs and 2- to 4-grams of code points.
 
     Each kind has a share of one in the text, whatever its length. A pair of
     equal words is one feature, whatever the word.
@@ -75,12 +76,13 @@ def grams(words: list[bytes], bits: int) -> tuple[np.ndarray, np.ndarray]:
         pair = (one[:-1] * OTHER + one[1:]) * MIX
         pair[one[:-1] == one[1:]] = OTHER
         kinds.append(pair)
-    data = np.frombuffer(b" " + b" ".join(words) + b" ", np.uint8).astype(np.uint64)
+    text = (b" " + b" ".join(words) + b" ").decode("utf-8", "surrogatepass")
+    data = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
     code = data
     for size in (2, 3, 4):
         if len(data) < size:
             break
-        code = code[: len(data) - size + 1] * np.uint64(257) + data[size - 1 :]
+        code = code[: len(data) - size + 1] * np.uint64(0x110001) + data[size - 1 :]
         kinds.append((code + np.uint64(size << 40)) * MIX * OTHER)
     return np.concatenate([(k >> shift).astype(np.int64) for k in kinds]), np.concatenate([np.full(len(k), 1.0 / len(k)) for k in kinds])
 

@@ -196,3 +196,20 @@ def test_keep_good_decides_by_text(spark, documents, odd_rows, clashing):
     assert left == {i for i, p in score.items() if p}
     assert keep_good(rows.limit(0), labels).count() == 0
     assert keep_good(rows, labels.limit(0)).count() == len(odd_rows)
+
+
+def test_windows_of_texts_with_very_many_words():
+    """Numbers too large for three in one long: the windows are still told apart."""
+    ids = np.arange(3_000_000, dtype=np.int64)
+    ids[-3:] = ids[:3]
+    assert repeated_in_windows(ids) == 6
+
+
+def test_character_grams_are_of_code_points():
+    from rowtide.llm.quality_rules import grams
+
+    def number(word):
+        return len(grams([word.encode()], 16)[0])
+
+    # One word, no pair, and of n characters with a space on both sides n + 1, n and n - 1 grams.
+    assert number("abc") == number("\u00e4\u00f6\u00fc") == number("\u65e5\u672c\u8a9e") == 1 + 4 + 3 + 2
