@@ -15,6 +15,7 @@ from __future__ import annotations
 import re
 import uuid
 from collections.abc import Callable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 from operator import or_
 
@@ -105,13 +106,18 @@ def load_csv_tables(
         return False
     specs = specs or csv_specs(spark, files)
     part = _new_part(load_id)
-    for table, path in files.items():
+
+    def stage(table: str) -> None:
         spec = specs[table]
         # Bad keys are counted below, for a message that covers the whole load.
         strict = set(spec.columns) - set(spec.key)
-        rows = read_csv_table(spark, path, spec, multiline=multiline, strict=strict, blocks=True)
+        rows = read_csv_table(spark, files[table], spec, multiline=multiline, strict=strict, blocks=True)
         _stage(rows.withColumn(ROW, F.monotonically_increasing_id()), root, table, part)
 
+    # One job for each table, side by side: a small table does not wait for a large one.
+    with ThreadPoolExecutor(max(1, len(files))) as pool:
+        list(pool.map(stage, files))
+
     def checked() -> str | None:
         if is_committed(spark, root, load_id):
             return None
