@@ -162,12 +162,9 @@ def count_tokens(documents: DataFrame, tokenizer: str, *, cache: str | None = No
         "token-rows",
     )
     stored = open_cache(spark, cache).where(F.col("tokenizer") == version).select("content").distinct()
-    misses = (
-        documents.select(digest.alias("content"), content.alias("text"))
-        .join(stored, "content", "left_anti")
-        .groupBy("content")
-        .agg(F.first("text").alias("text"))
-    )
+    # Grouped before they are compared with the cache: the comparison would deal all copies of a text to one task.
+    distinct = documents.select(digest.alias("content"), content.alias("text")).groupBy("content").agg(F.first("text").alias("text"))
+    misses = distinct.join(stored, "content", "left_anti")
     encode_misses(misses, tokenizer, version).write.mode("append").parquet(folder)
     counts = (
         spark.read.schema(CACHE).parquet(folder).where(F.col("tokenizer") == version).groupBy("content").agg(F.max("n_tokens").alias("n_tokens"))
