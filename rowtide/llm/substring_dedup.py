@@ -433,7 +433,8 @@ def remove_repeats(
     width = 1 << (plan.bits - plan.range_bits)
     # A bucket holds several chunks, and more where Spark does not allow so many buckets.
     most = int(spark.conf.get("spark.sql.sources.bucketing.maxBuckets", "100000"))
-    buckets = min(most, math.ceil(chunks / BUCKET_CHUNKS))
+    # Few chunks have a bucket each, so that all cores have work.
+    buckets = min(most, chunks, max(math.ceil(chunks / BUCKET_CHUNKS), 4 * spark.sparkContext.defaultParallelism))
 
     chunk = F.pmod(F.xxhash64("digest"), F.lit(chunks)).cast("int")
     dealt = (
