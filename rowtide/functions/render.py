@@ -3,14 +3,19 @@
 from __future__ import annotations
 
 import json
+import sys
 from collections.abc import Callable, Iterator
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from rowtide.functions.records import META_PREFIX, MISSING_OP, OP, TABLE
 
+# Tasks carry this module's code with them, so executors need no copy of it.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 # Indent of a record's fields and the line between two messages.
 INDENT = 4
 RULE = "-" * 80

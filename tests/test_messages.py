@@ -81,3 +81,18 @@ def test_operations_and_tables_of_other_types(records):
     log = records((None, '{"__op":5,"__table":7}'), (None, '{"__op":null,"__table":null}'), (None, "{}"))
     heads = [r.message.splitlines()[1] for r in messages(log, [TOPIC], stamp=False).orderBy("offset").collect()]
     assert heads == ["[7] UNKNOWN (5)", "[albumy] UNKNOWN (?)", "[albumy] UNKNOWN (?)"]
+
+
+def test_tasks_need_no_copy_of_the_library(tmp_path):
+    """Workers get the code with the task: it runs where the library cannot be imported."""
+    import subprocess
+    import sys
+
+    from pyspark import cloudpickle
+
+    from rowtide.functions import render
+
+    (tmp_path / "task").write_bytes(cloudpickle.dumps(render.shown))
+    code = "import pickle; print(pickle.load(open('task', 'rb'))(b'[1]', b'{\"a\": 1}'))"
+    done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env={}, capture_output=True, text=True)
+    assert done.stdout.startswith("('change', '[1]', '{\\n"), done.stderr
