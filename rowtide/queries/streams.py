@@ -145,12 +145,28 @@ def broken_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return event_records(table(spark, sf_dir, "events"), cut, partition=kind)
 
 
+def append_files(records: DataFrame, topic: str, path: str, before: int, files: int) -> None:
+    """Append records of one topic to a log of ``before`` files in ``files`` more, empty ones where records are too few.
+
+    So a stream that takes as many files at a time takes the records in one
+    batch, and as many tasks share the writing and the batch.
+    """
+    spark, folder = records.sparkSession, f"{path}/topic={topic}"
+    rows = records.drop("topic")
+    rows.repartition(files).write.mode("append").parquet(folder)
+    # A task without rows writes no file, save the first one.
+    written = len(spark.read.schema(KAFKA_SCHEMA).parquet(path).inputFiles()) - before
+    for _ in range(files - written):
+        rows.limit(0).coalesce(1).write.mode("append").parquet(folder)
+
+
 def split_batches(spark: SparkSession, sf_dir: str, root: str) -> DataFrame:
     """That log taken in one batch for each of its parts, with a restart after the first; gives the log."""
     records = broken_events(spark, sf_dir)
-    for since, until in LOG_DAYS:
-        append_log(records.where(within(since, until)).coalesce(1), f"{root}/log")
-        stream = stored_stream(spark, f"{root}/log", max_files_per_trigger=1)
+    files = max(spark.sparkContext.defaultParallelism, records.rdd.getNumPartitions())
+    for part, (since, until) in enumerate(LOG_DAYS):
+        append_files(records.where(within(since, until)), EVENTS_TOPIC, f"{root}/log", part * files, files)
+        stream = stored_stream(spark, f"{root}/log", max_files_per_trigger=files)
         if since is None or until is None:
             finish([start_split_job(stream, PROPS, f"{root}/lake", trigger=AVAILABLE_NOW, keep_source=True)])
     return spark.read.schema(KAFKA_SCHEMA).parquet(f"{root}/log")
